@@ -5,17 +5,86 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition
+from . import bpe_count, fingerprint, line_dedup, packing, repetition, warc
+from .staging import fresh_path, staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenize_pieces(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    pieces = pieces.select("doc_id", "piece", "start", F.col("length").cast("long"), F.crc32("ids").alias("ids_crc32"))
+    return packing.best_fit_pack(pieces)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(warc.resolve_revisits(_table(spark, sf_dir, "pages")), path, date="2024-01-01T00:00:00Z")
+    records = staged(warc.read_archives(spark, path), "records")
+    return warc.follow_revisits(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition.with_repetition(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return repetition.judge(found).drop("text")
 
 
-QUERIES = {"op8_quality_rules": op8_quality_rules}
-ORACLE_SQL: dict[str, str] = {}
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = fingerprint.with_next(fingerprint.with_sketch(docs, "text", "sketch"), carry="sketch")
+    docs = docs.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text")))
+    docs = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "edited", "sketch", "next_sketch")
+    docs = fingerprint.with_sketch(docs, "edited", "edited_sketch").drop("edited")
+    return docs.select(
+        "doc_id", "n_chars", "edited_sha256",
+        fingerprint.as_text("sketch").alias("fingerprint"),
+        fingerprint.as_text("edited_sketch").alias("edited_fingerprint"),
+        fingerprint.likeness("sketch", "edited_sketch").alias("near_edited"),
+        fingerprint.likeness("sketch", "next_sketch").alias("near_next"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_line_dedup, op7_warc_revisits, op8_quality_rules, op9_fingerprints)}
+
+OP5_SQL = """
+WITH lines AS (
+  SELECT doc_id, coalesce(source, '') AS site, pos, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line, line AS raw
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+), spread AS (
+  SELECT line, min(doc_id) AS first FROM lines WHERE length(line) >= 30 GROUP BY line HAVING count(DISTINCT site) >= 5
+), marked AS (
+  SELECT l.doc_id, l.pos, l.raw, s.line IS NOT NULL AND l.doc_id <> s.first AS gone FROM lines l LEFT JOIN spread s ON l.line = s.line
+), again AS (
+  SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text, count(*)::INT AS n_lines, count(*) FILTER (WHERE gone)::INT AS n_removed
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, a.text, coalesce(a.n_lines, 0) AS n_lines, coalesce(a.n_removed, 0) AS n_removed FROM documents d LEFT JOIN again a ON d.doc_id = a.doc_id
+"""
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), o AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS original FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN original > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN original > page_id THEN original END AS refers_to FROM o
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op7_warc_revisits": OP7_SQL}
