@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, fingerprint, line_dedup, packing, repetition, warc
+from . import bagminhash, bpe_count, fingerprint, line_dedup, packing, repetition, toxicity, warc
 from .staging import fresh_path, staged
 
 
@@ -25,6 +25,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(pieces)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs, model).drop("text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -60,7 +68,11 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_line_dedup, op7_warc_revisits, op8_quality_rules, op9_fingerprints)}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op4_token_counts, op5_line_dedup, op7_warc_revisits, op8_quality_rules, op9_fingerprints, op10_near_duplicates)}
 
 OP5_SQL = """
 WITH lines AS (

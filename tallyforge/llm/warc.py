@@ -1,12 +1,13 @@
 """WARC archives: writing records from a table, resolving revisits of equal payloads, reading archives back.
 
 Payloads are UTF-8 text, so a whole record is, and Spark's text writer with the record end as its line separator
-writes plain WARC/1.1 files into any store. Archives hold a bounded number of records each and are read back
+writes gzipped WARC/1.1 files into any store. Archives hold a bounded number of records each and are read back
 file by file, by the lengths in their headers, never by searching payloads for separators.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -70,7 +71,7 @@ def write_archives(resolved: DataFrame, path: str, *, date: str, file_records: i
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"),
         block,
     )
-    resolved.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records).text(path)
+    resolved.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records).option("compression", "gzip").text(path)
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -102,7 +103,7 @@ def read_archives(spark: SparkSession, path: str, *, payload: bool = False) -> D
         for batch in batches:
             for archive in batch.column(0):
                 rows = []
-                for h, block in parse(archive.as_buffer().to_pybytes()):
+                for h, block in parse(gzip.decompress(archive.as_buffer())):
                     body = digest = None
                     if h["warc-type"] == "response":
                         body = block.partition(b"\r\n\r\n")[2]
