@@ -126,15 +126,22 @@ def _similarity(pairs: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``class``, the least node reachable by ``edges`` (a, b); rows are written after each round."""
-    both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("class")), "labels")
+    """``node`` and ``class``, the least node reachable by ``edges`` (a, b).
+
+    Every node takes the least class among itself and its neighbours until nothing changes; from the third round on it
+    also takes its class's class, so long chains shrink by half. Rows are written after each round.
+    """
+    ab = edges.select("a", "b")
+    both = ab.unionByName(ab.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(ab.select("a", F.col("a").alias("b"))).unionByName(ab.select(F.col("b").alias("a"), "b")).distinct()
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class"))
+    labels, turn = staged(labels, "labels"), 0
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("class").alias("_near"))
-        found = labels.join(near, labels.node == near.a).select("node", F.col("class").alias("_was"), F.least("class", "_near").alias("class"))
-        up = found.select(F.col("node").alias("_up"), F.col("class").alias("_of_up"))
-        found = found.join(up, F.col("class") == F.col("_up"), "left").select("node", "_was", F.least("class", F.coalesce("_of_up", "class")).alias("class"))
-        found = staged(found, "labels")
+        met = both.join(labels, both.b == labels.node)
+        found = met.groupBy("a").agg(F.max(F.when(F.col("a") == F.col("b"), F.col("class"))).alias("_was"), F.min("class").alias("class")).withColumnRenamed("a", "node")
+        if turn >= 2:
+            up = labels.select(F.col("node").alias("_up"), F.col("class").alias("_of_up"))
+            found = found.join(up, F.col("class") == F.col("_up"), "left").select("node", "_was", F.least("class", F.coalesce("_of_up", "class")).alias("class"))
+        found, turn = staged(found, "labels"), turn + 1
         labels = found.select("node", "class")
         if found.where(F.col("class") != F.col("_was")).isEmpty():
             return labels
@@ -150,35 +157,52 @@ def near_duplicate_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "
     rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     marks = staged(with_bands(rows.withColumn("mark", F.sha1("text"))), "marks")
     nodes = marks.groupBy("mark").agg(F.min("id").alias("node")).where("node IS NOT NULL")
-    members = staged(marks.select("id", "mark").join(nodes, "mark").select("id", "node"), "members")
-    own = marks.join(nodes, [marks.mark == nodes.mark, marks.id == nodes.node]).select("node", F.explode("bands").alias("bucket")).distinct()
+    own = marks.dropDuplicates(["id", "mark"]).join(nodes, [marks.mark == nodes.mark, marks.id == nodes.node]).select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    left = staged(own.join(shared, "bucket", "left_semi"), "buckets")
-    total = left.count()
-    met = left.select("node").distinct()
-    texts = rows.join(met, rows.id == met.node, "left_semi").dropDuplicates(["id"]) if total else None
-    texts = staged(texts, "texts") if total else None
+    buckets = staged(own.join(shared, "bucket", "left_semi"), "buckets")
+    total, labels = buckets.count(), None
+    if total:
+        met = buckets.select("node").distinct()
+        texts = staged(rows.join(met, rows.id == met.node, "left_semi").dropDuplicates(["id"]), "texts")
+        labels = _linked(buckets.select("bucket", "node", "band"), texts, total, similarity)
+    members = marks.select("id", "mark").join(nodes, "mark").select("id", "node")
+    if labels is not None:
+        members = members.join(labels, "node", "left").select("id", F.coalesce("class", "node").alias("node"))
+    alone = marks.where("id IS NULL").select("id", F.col("id").alias("node"))
+    return members.unionByName(alone).select(F.col("id").alias(id), F.col("node").alias("class_id"))
+
+
+def _linked(buckets: DataFrame, texts: DataFrame, total: int, similarity: float) -> DataFrame | None:
+    """Classes of the nodes in ``buckets``. The first round takes half of the bands: what it links leaves the other half's buckets done."""
+    left, waiting = buckets.where(F.col("band") < BANDS // 2), buckets.where(F.col("band") >= BANDS // 2)
     links = tested = labels = None
-    while total and not left.isEmpty():
-        if labels is None:
-            classed = left.withColumn("class", F.col("node"))
-        else:
-            classed = left.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        classed = classed.select("bucket", "node", "class")
-        sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
-        open_ = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.min(F.struct("n", "least", "class")).alias("rarest")).where(F.col("n") * F.col("n") > F.col("nn"))
-        open_ = staged(open_.select("bucket", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.col("rarest.least").alias("pivot"), F.col("rarest.class").alias("pivot_class")), "open")
-        pairs_left = open_.agg(F.sum("pairs")).first()[0]
-        if not pairs_left:
-            break
-        last = labels is not None and pairs_left <= FEW * total
-        classed = classed.join(open_.select("bucket", "pivot", "pivot_class"), "bucket")
-        if last:
-            other = classed.select("bucket", F.col("node").alias("b"), F.col("class").alias("class_b"))
-            pairs = classed.withColumnRenamed("node", "a").join(other, "bucket").where((F.col("a") < F.col("b")) & (F.col("class") != F.col("class_b")))
+    turn = 0
+    while True:
+        last, turn = False, turn + 1
+        if waiting is not None:  # every node is a class of its own
+            open_ = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").select("bucket", "pivot")
+            classed = left.join(open_, "bucket")
+            pairs = classed.where(F.col("node") != F.col("pivot"))
         else:
-            pairs = classed.where(F.col("class") != F.col("pivot_class")).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
+            classed = left if labels is None else left.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
+            classed = staged(classed if labels is not None else classed.withColumn("class", F.col("node")), "classed")
+            # by turns a member of the largest class, drawn at random, so that those just beyond one pivot meet others; and one of the rarest
+            drawn = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node"))
+            sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), drawn.alias("drawn"))
+            named = (F.max if turn % 3 else F.min)(F.struct("n", "drawn.node", "class"))
+            open_ = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), named.alias("named")).where(F.col("n") * F.col("n") > F.col("nn"))
+            open_ = staged(open_.select("bucket", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.col("named.node").alias("pivot"), F.col("named.class").alias("pivot_class")), "open")
+            pairs_left = open_.agg(F.sum("pairs")).first()[0]
+            if not pairs_left:
+                return labels
+            last = pairs_left <= FEW * total
+            classed = classed.join(open_.drop("pairs"), "bucket")
+            if last:
+                other = classed.select("bucket", F.col("node").alias("pivot"), F.col("class").alias("pivot_class"))
+                pairs = classed.drop("pivot", "pivot_class").join(other, "bucket").where((F.col("node") < F.col("pivot")) & (F.col("class") != F.col("pivot_class")))
+            else:
+                pairs = classed.where(F.col("class") != F.col("pivot_class"))
+        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
@@ -188,15 +212,11 @@ def near_duplicate_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not found.isEmpty():
             labels = components(links)
-        elif labels is None:
-            labels = links.select(F.col("a").alias("node"), F.col("b").alias("class"))
         if last:
-            break
-        left = staged(classed.where(F.col("node") != F.col("pivot")).select("bucket", "node"), "buckets")
-    result = members if labels is None else members.join(labels, "node", "left")
-    return marks.where("id IS NULL").select(F.col("id").alias(id), F.col("id").alias("class_id")).unionByName(
-        result.select(F.col("id").alias(id), (F.coalesce("class", "node") if labels is not None else F.col("node")).alias("class_id"))
-    )
+            return labels
+        left = classed.where(F.col("node") != F.col("pivot")).select("bucket", "node")
+        if waiting is not None:
+            left, waiting = left.unionByName(waiting.select("bucket", "node")), None
 
 
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

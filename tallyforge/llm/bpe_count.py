@@ -26,7 +26,7 @@ from . import spans
 #: Unicode white space (fixed values of the Unicode standard).
 WHITE = "\t-\r \x85\xa0  -     　"
 #: Words, and pieces of words, that a worker remembers at most; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 def byte_symbols() -> list[str]:

@@ -25,7 +25,7 @@ from . import spans
 from .staging import staged
 
 #: Units of text that a worker remembers the ids of, at most; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 _RUNS = "length int, rank_from long, rank_to long, first_sequence long, per_sequence int, room_used int"
 
 

@@ -37,7 +37,7 @@ FLOOR = 0.01
 #: Score from which on a text is toxic.
 THRESHOLD = 0.7
 #: Words that a worker remembers at most; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 _STRIP = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
