@@ -110,7 +110,7 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     In turn: the exact name, the name without accents, case and signs, a first word or its plain form that only one person has, and the
     most similar name from ``cutoff`` on (of equals the greatest name). The last step alone pairs names, and only those left over with those of their block.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_plain", T.normalised_name(F.col(name)))
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_own_plain", T.normalised_name(F.col(name)))
     known = people.select(*block, F.col(name).alias("_name"), F.col(id).alias("_id")).dropna(subset=["_name", "_id"]).distinct()
     known = known.withColumn("_plain_name", T.normalised_name(F.col("_name"))).withColumn("_first", T.first_token(F.col("_name")))
     known = known.withColumn("_plain_first", T.normalised_name(F.col("_first")))
@@ -119,7 +119,7 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
         found = known.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(*block, F.col(key).alias(f"_{out}_key")).agg(F.min("_id").alias(f"_{out}"), F.count_distinct("_id").alias("_n"))
         return found.where("_n = 1").drop("_n")
 
-    steps = {"exact": ("_name", F.col(name)), "plain": ("_plain_name", F.col("_plain")), "first": ("_first", F.col(name)), "plain_first": ("_plain_first", F.col("_plain"))}
+    steps = {"exact": ("_name", F.col(name)), "plain": ("_plain_name", F.col("_own_plain")), "first": ("_first", F.col(name)), "plain_first": ("_plain_first", F.col("_own_plain"))}
     for step, (key, value) in steps.items():
         rows = rows.withColumn(f"_{step}_key", value).join(lookup(key, step), [*block, f"_{step}_key"], "left")
     found = F.coalesce(*(f"_{step}" for step in steps))
