@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe_count, fingerprint, line_dedup, packing, repetition, toxicity, warc
+from . import bagminhash, bpe_count, fingerprint, knlm, line_dedup, packing, repetition, toxicity, warc
 from .staging import fresh_path, staged
 
 
@@ -41,6 +41,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (rest != 1).alias("train"))
+    scored = knlm.score_documents(docs, "train")
+    return scored.select("doc_id", (rest == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_archives(warc.resolve_revisits(_table(spark, sf_dir, "pages")), path, date="2024-01-01T00:00:00Z")
@@ -72,7 +79,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op4_token_counts, op5_line_dedup, op7_warc_revisits, op8_quality_rules, op9_fingerprints, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op4_token_counts, op5_line_dedup, op6_lm_scores, op7_warc_revisits, op8_quality_rules, op9_fingerprints, op10_near_duplicates)}
 
 OP5_SQL = """
 WITH lines AS (
