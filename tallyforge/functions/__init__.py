@@ -94,7 +94,7 @@ def rounded_integer(value: Column) -> Column:
 
 def split_cell(value: Column, separator: str = ",") -> Column:
     """Members of a cell: split, trimmed, blanks dropped, in order; null for a null cell."""
-    return F.filter(F.transform(F.split(value, separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(value, separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def join_cell(items: Column, separator: str = ", ") -> Column:
