@@ -82,6 +82,7 @@ class Chunk:
         self.owner = np.repeat(np.arange(len(sizes)), sizes)
         self.grams, self.contexts = [words], [np.zeros(len(words), np.uint64)]
         self.begins = [BEGIN]
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for k in range(2, order + 1):
             before = np.roll(self.grams[-1], 1)
             before[first] = self.begins[-1]
@@ -91,8 +92,10 @@ class Chunk:
 
     def keys(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct n-grams of order k (and the begin context of the next order), and the place of each position's."""
-        kinds, place = np.unique(np.append(self.grams[k - 1], self.begins[k - 1]), return_inverse=True)
-        return kinds, place[:-1]
+        if k not in self.known:
+            kinds, place = np.unique(np.append(self.grams[k - 1], self.begins[k - 1]), return_inverse=True)
+            self.known[k] = kinds, place[:-1].astype(np.uint32)
+        return self.known[k]
 
 
 def _edges(shards: int) -> np.ndarray:
@@ -107,12 +110,12 @@ def contributions(chunk: Chunk, k: int, order: int, above: np.ndarray | None) ->
     raw = np.bincount(place[chunk.train], minlength=n)
     if k == order:
         return keys, [raw, zero, zero, zero, zero, raw]
-    own, count = above[1].astype(bool), above[0].astype(np.int64)
+    own, count = above[1], above[0]
     upper, at = chunk.keys(k + 1)
     one = np.zeros(len(upper), np.int64)  # a position for each distinct n-gram above
     one[at] = np.arange(len(at))
-    speak = np.flatnonzero(own & (count > 0))
-    where, count = one[speak], count[speak]
+    speak = np.flatnonzero((own > 0) & (count > 0))
+    where, count = one[speak], count[speak].astype(np.int64)
     suffix = place[where]
     context = np.searchsorted(keys, chunk.contexts[k][where])
     kinds = [np.bincount(context[count == c], minlength=n) for c in (1, 2)] + [np.bincount(context[count > 2], minlength=n)]
@@ -124,7 +127,10 @@ def _chunk_of(row: dict, order: int) -> Chunk:
 
 
 def _joined(blobs: list[dict]) -> np.ndarray:
-    return np.concatenate([unpack(x["blob"]) for x in sorted(blobs, key=lambda x: x["shard"])], axis=1)
+    """The columns of all shards in order, in 32 bits where they fit."""
+    parts = [unpack(x["blob"]) for x in sorted(blobs, key=lambda x: x["shard"])]
+    small = max(int(p.max(initial=0)) for p in parts) < 1 << 32
+    return np.concatenate([p.astype(np.uint32) if small else p for p in parts], axis=1)
 
 
 def send(chunks: DataFrame, k: int, order: int, shards: int) -> DataFrame:
@@ -192,9 +198,9 @@ def probabilities(chunk: Chunk, replies: list[np.ndarray], stats: list[dict], or
     p = raw = None
     for k in range(1, order + 1):
         _, place = chunk.keys(k)
-        reply, s = replies[k - 1].astype(np.int64), stats[k - 1]
+        reply, s = replies[k - 1], stats[k - 1]
         d = np.array([0, *discounts(s["n1"], s["n2"], s["n3"], s["n4"])])
-        count = reply[0][place]
+        count = reply[0][place].astype(np.int64)
         taken = np.maximum(count - d[np.minimum(count, 3)], 0)
         if k == 1:
             raw = reply[6][place]
@@ -204,8 +210,8 @@ def probabilities(chunk: Chunk, replies: list[np.ndarray], stats: list[dict], or
         else:
             lower = chunk.keys(k - 1)[0]
             at = np.searchsorted(lower, chunk.contexts[k - 1])
-            below = replies[k - 2].astype(np.int64)
-            total = below[2][at]
+            below = replies[k - 2]
+            total = below[2][at].astype(np.int64)
             rest = (d[1] * below[3][at] + d[2] * below[4][at] + d[3] * below[5][at]) / np.maximum(total, 1)
             p = np.where(total > 0, taken / np.maximum(total, 1) + rest * p, p)
     return p, raw

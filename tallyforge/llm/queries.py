@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, bpe_count, fingerprint, knlm, line_dedup, packing, repetition, toxicity, warc
+from . import bagminhash, bpe_count, fingerprint, knlm, line_dedup, packing, repetition, toxicity, unigram, warc
 from .staging import fresh_path, staged
 
 
@@ -33,6 +33,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    encoded = unigram.encode_documents(docs, path).withColumn("ids_crc32", F.crc32("ids"))
+    return unigram.decode_documents(encoded, path).select("doc_id", "n_tokens", "n_bytes_fallen", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -79,7 +86,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op4_token_counts, op5_line_dedup, op6_lm_scores, op7_warc_revisits, op8_quality_rules, op9_fingerprints, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_toxicity, op3_sentencepiece, op4_token_counts, op5_line_dedup, op6_lm_scores, op7_warc_revisits, op8_quality_rules, op9_fingerprints, op10_near_duplicates)}
 
 OP5_SQL = """
 WITH lines AS (
