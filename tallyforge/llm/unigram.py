@@ -9,6 +9,7 @@ of its words, and each task remembers those of words it has seen in a bounded ta
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -105,7 +106,7 @@ class DoubleArray:
 
 
 class Unigram(dict):
-    """Maps a word (with its markers) to the ids of its best pieces, and remembers it."""
+    """Maps a word (with its markers) to the ids of its best pieces (as unsigned 32-bit numbers in bytes), and remembers it."""
 
     def __init__(self, path: str):
         pieces = read_pieces(path)
@@ -119,11 +120,12 @@ class Unigram(dict):
         self.trie = DoubleArray(normal)
         self.unknown = min(self.scores[i] for i in normal.values()) - UNKNOWN_PENALTY
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.written = [bytes((self.bytes_of[i],)) if i in self.bytes_of else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = found = self.best(word.encode())
+        self[word] = found = array("I", self.best(word.encode())).tobytes()
         return found
 
     def best(self, data: bytes) -> list[int]:
@@ -161,18 +163,15 @@ class Unigram(dict):
             n = i
         return out[::-1]
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """Ids of a text, as bytes."""
         if not text:
-            return []
-        out = []
-        for ids in map(self.__getitem__, self.words.findall((MARK + text).replace(" ", MARK))):
-            out += ids
-        return out
+            return b""
+        return b"".join(map(self.__getitem__, self.words.findall((MARK + text).replace(" ", MARK))))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: byte pieces as the bytes they are, markers as spaces, without the one in front."""
-        parts = [bytes((self.bytes_of[i],)) if i in self.bytes_of else self.pieces[i].replace(MARK, " ").encode() for i in ids]
-        text = b"".join(parts).decode(errors="replace")
+        text = b"".join(map(self.written.__getitem__, ids)).decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -195,10 +194,11 @@ def encode_documents(docs: DataFrame, path: str, *, id: str = "doc_id", text: st
         for batch in batches:
             _, offsets = spans.text_bytes(batch.column(1))
             for i, j in spans.blocks(offsets):
-                found = [np.array(own.encode(x or ""), "<u4") for x in batch.column(1).slice(i, j - i).to_pylist()]
+                found = [own.encode(x or "") for x in batch.column(1).slice(i, j - i).to_pylist()]
                 low, high = min(own.bytes_of, default=0), max(own.bytes_of, default=-1)
-                fallen = [int(((x >= low) & (x <= high)).sum()) for x in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([len(x) for x in found], pa.int64()), pa.array(fallen, pa.int64())], names=schema.names)
+                views = [np.frombuffer(x, "<u4") for x in found]
+                fallen = [int(((x >= low) & (x <= high)).sum()) for x in views]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(found, pa.binary()), pa.array([len(x) for x in views], pa.int64()), pa.array(fallen, pa.int64())], names=schema.names)
 
     return docs.select(id, text).mapInArrow(run, schema)
 
