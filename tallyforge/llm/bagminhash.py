@@ -9,7 +9,9 @@ only as long as they come before the latest register of the text; most shingles
 Equal texts are one node. Nodes that share a band meet in a bucket. In each round every bucket names a pivot, which is
 compared with all members that aren't yet in its class; then it leaves the bucket, and buckets with a single class are done.
 So no link between nodes that share a bucket is lost, and a bucket costs its size in each round, not its square. When few
-pairs are left, in proportion to the rows, they are compared at once.
+pairs are left, in proportion to the rows, they are compared at once. When many are left after the first round, as where
+edits of one text lie just beyond the threshold, the nodes move to buckets by rare shingles: two bags of given sizes can reach
+the threshold only if they share one of their rarest shingles, so this loses no link either.
 """
 
 from __future__ import annotations
@@ -31,6 +33,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 #: Pairs left for each row of the buckets at which rounds end.
 FEW = 4
+#: Ratio of the largest to the least size in a size class; slots of the table of shingle frequencies, the same for any corpus.
+STEP, SLOTS = 1.04, 1 << 18
+#: Pivots of a bucket in a round, at most.
+PIVOTS = 16
+#: Rows of links or classes for each task of a small step, beyond the least number of tasks.
+TASK_ROWS, TASKS = 100_000, 8
 
 
 def shingle_bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,6 +133,69 @@ def _similarity(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
 
 
+def shingle_frequencies(texts: DataFrame) -> np.ndarray:
+    """For each of SLOTS classes of shingle hashes, how many times a text of ``texts`` holds one of them; summed in Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            data, offsets = spans.text_bytes(batch.column(0))
+            for i, j in spans.blocks(offsets):
+                bag, _, _ = shingle_bags(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                counts += np.bincount((bag % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slots = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts[slots])], names=["slot", "n"])
+
+    found = texts.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def rare_keys(bag: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int, frequency: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their text. Any two of the texts with the similarity or more share a key.
+
+    In one order of all shingles, rare ones first, two bags with an overlap of ``o`` share a shingle among the first |x| - o + 1 of
+    x and the first |y| - o + 1 of y. The overlap that is needed grows with both sizes, so x has keys for each size class it can be linked to.
+    """
+    often = frequency[(bag % np.uint64(SLOTS)).astype(np.int64)]
+    order = np.lexsort((bag, often, owner))
+    bag, weight, owner, often = bag[order], weight[order], owner[order], often[order]
+    sizes = np.bincount(owner, weight, n).astype(np.int64)
+    begin, first = np.cumsum(sizes) - sizes, np.searchsorted(owner, np.arange(n))
+    before = np.cumsum(weight) - weight
+    step = np.log(STEP)
+    own, low, high = (np.floor(np.log(np.maximum(x, 1)) / step + e).astype(np.int64) for x, e in ((sizes, 0), (sizes * similarity, -1e-6), (sizes / similarity, 1e-6)))
+    text = np.repeat(np.arange(n), high - low + 1)
+    other = np.arange(len(text)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[text]
+    need = similarity / (1 + similarity) * (sizes[text] + np.maximum(STEP**other * (1 - 1e-9), sizes[text] * similarity))
+    most = np.maximum(sizes[text] - np.ceil(need - 1e-6).astype(np.int64) + 1, 1)
+    held = np.searchsorted(before, begin[text] + most) - first[text]
+    held[sizes[text] == 0] = 0
+    at = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat(first[text], held)
+    one, two = (np.repeat(f(own[text], other), held) for f in (np.minimum, np.maximum))
+    keys = spans.join_hashes(bag[at], one.astype(np.uint64), two.astype(np.uint64))
+    more = often[at] > 1
+    return keys[more], np.repeat(text, held)[more]
+
+
+def by_rare_shingles(texts: DataFrame, similarity: float) -> DataFrame:
+    """``bucket`` and ``node`` for each key of each of ``texts`` (id, text) that another has too."""
+    frequency = texts.sparkSession.sparkContext.broadcast(shingle_frequencies(texts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            data, offsets = spans.text_bytes(batch.column(1))
+            for i, j in spans.blocks(offsets, 1 << 20):
+                keys, text = rare_keys(*shingle_bags(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), j - i, frequency.value, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[i:j][text], pa.int64())], names=["bucket", "node"])
+
+    rows = staged(texts.select("id", "text").mapInArrow(run, "bucket long, node long"), "rare")
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    return staged(rows.join(shared, "bucket", "left_semi"), "buckets")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``class``, the least node reachable by ``edges`` (a, b).
 
@@ -132,21 +203,36 @@ def components(edges: DataFrame) -> DataFrame:
     also takes its class's class, so long chains shrink by half. Rows are written after each round.
     """
     ab = edges.select("a", "b")
+    tasks = TASKS + ab.count() // TASK_ROWS
     both = ab.unionByName(ab.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(ab.select("a", F.col("a").alias("b"))).unionByName(ab.select(F.col("b").alias("a"), "b")).distinct()
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class"))
-    labels, turn = staged(labels, "labels"), 0
+    labels, turn = staged(labels.coalesce(tasks), "labels"), 0
+    both = staged(both.coalesce(tasks), "both")
     while True:
         met = both.join(labels, both.b == labels.node)
         found = met.groupBy("a").agg(F.max(F.when(F.col("a") == F.col("b"), F.col("class"))).alias("_was"), F.min("class").alias("class")).withColumnRenamed("a", "node")
         if turn >= 2:
             up = labels.select(F.col("node").alias("_up"), F.col("class").alias("_of_up"))
             found = found.join(up, F.col("class") == F.col("_up"), "left").select("node", "_was", F.least("class", F.coalesce("_of_up", "class")).alias("class"))
-        found, turn = staged(found, "labels"), turn + 1
+        found, turn = staged(found.coalesce(tasks), "labels"), turn + 1
         labels = found.select("node", "class")
         if found.where(F.col("class") != F.col("_was")).isEmpty():
             return labels
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (node, class) after new links (a, b): only the classes that these touch are looked at."""
+    if labels is None:
+        return components(links)
+    of_a, of_b = (labels.select(F.col("node").alias(x), F.col("class").alias(f"_{x}")) for x in "ab")
+    between = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    joined = components(between.where("a <> b").distinct())
+    to = joined.select(F.col("node").alias("class"), F.col("class").alias("_to"))
+    known = labels.join(to, "class", "left").select("node", F.coalesce("_to", "class").alias("class"))
+    tasks = TASKS + (labels.count() + joined.count()) // TASK_ROWS
+    return staged(known.unionByName(joined.join(labels, "node", "left_anti")).coalesce(tasks), "labels")
+
+
 def near_duplicate_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``id`` and ``class_id`` of each row: the least id among texts linked by similarities of at least ``similarity``.
 
@@ -175,46 +261,50 @@ def near_duplicate_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "
 def _linked(buckets: DataFrame, texts: DataFrame, total: int, similarity: float) -> DataFrame | None:
     """Classes of the nodes in ``buckets``. The first round takes half of the bands: what it links leaves the other half's buckets done."""
     left, waiting = buckets.where(F.col("band") < BANDS // 2), buckets.where(F.col("band") >= BANDS // 2)
-    links = tested = labels = None
-    turn = 0
+    tested = labels = None
+    turn, moved = 0, False
     while True:
         last, turn = False, turn + 1
         if waiting is not None:  # every node is a class of its own
             open_ = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").select("bucket", "pivot")
-            classed = left.join(open_, "bucket")
+            classed = left.join(open_, "bucket").withColumn("pivots", F.array(F.struct(F.col("pivot").alias("node"))))
             pairs = classed.where(F.col("node") != F.col("pivot"))
         else:
             classed = left if labels is None else left.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
             classed = staged(classed if labels is not None else classed.withColumn("class", F.col("node")), "classed")
-            # by turns a member of the largest class, drawn at random, so that those just beyond one pivot meet others; and one of the rarest
+            # a member of the largest class, drawn at random, so that those just beyond one pivot meet others; and of more and more other classes
             drawn = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node"))
-            sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), drawn.alias("drawn"))
-            named = (F.max if turn % 3 else F.min)(F.struct("n", "drawn.node", "class"))
-            open_ = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), named.alias("named")).where(F.col("n") * F.col("n") > F.col("nn"))
-            open_ = staged(open_.select("bucket", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.col("named.node").alias("pivot"), F.col("named.class").alias("pivot_class")), "open")
+            sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), drawn.alias("drawn")).select("bucket", "class", "n", "drawn.node")
+            named = [F.max(F.struct("n", "node", "class"))] + [F.min(F.struct(F.xxhash64("class", F.lit(turn), F.lit(i)), "node", "class")) for i in range(1, min(PIVOTS, 2 ** max(turn - 2, 0)))]
+            pivots = F.array_distinct(F.array(*(F.struct(x.getField("node").alias("node"), x.getField("class").alias("class")) for x in named)))
+            open_ = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), pivots.alias("pivots")).where(F.col("n") * F.col("n") > F.col("nn"))
+            open_ = staged(open_.select("bucket", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), "pivots"), "open")
             pairs_left = open_.agg(F.sum("pairs")).first()[0]
             if not pairs_left:
                 return labels
             last = pairs_left <= FEW * total
+            if not last and not moved:
+                met = classed.join(open_, "bucket", "left_semi").select("node").distinct()
+                left, moved = by_rare_shingles(texts.join(met, texts.id == met.node, "left_semi"), similarity), True
+                continue
             classed = classed.join(open_.drop("pairs"), "bucket")
             if last:
                 other = classed.select("bucket", F.col("node").alias("pivot"), F.col("class").alias("pivot_class"))
-                pairs = classed.drop("pivot", "pivot_class").join(other, "bucket").where((F.col("node") < F.col("pivot")) & (F.col("class") != F.col("pivot_class")))
+                pairs = classed.select("bucket", "node", "class").join(other, "bucket").where((F.col("node") < F.col("pivot")) & (F.col("class") != F.col("pivot_class")))
             else:
-                pairs = classed.where(F.col("class") != F.col("pivot_class"))
+                pairs = classed.select("node", "class", F.explode("pivots").alias("_pivot")).where(F.col("class") != F.col("_pivot.class")).select("node", F.col("_pivot.node").alias("pivot"))
         pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         a, b = (texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
         found = staged(_similarity(pairs.join(b, "b").join(a, "a")).where(F.col("similarity") >= similarity).select("a", "b"), "links")
-        links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not found.isEmpty():
-            labels = components(links)
+            labels = merged(labels, found)
         if last:
             return labels
-        left = classed.where(F.col("node") != F.col("pivot")).select("bucket", "node")
+        left = classed.where(~F.array_contains("pivots.node", F.col("node"))).select("bucket", "node")
         if waiting is not None:
             left, waiting = left.unionByName(waiting.select("bucket", "node")), None
 

@@ -188,6 +188,35 @@ def test_near_duplicates(spark, docs, none):
     assert bagminhash.near_duplicate_classes(none).count() == 0
 
 
+def test_near_duplicates_by_rare_shingles(spark, monkeypatch):
+    """Edits of one text on both sides of the threshold, and never few enough pairs to compare at once: classes as by brute force."""
+    monkeypatch.setattr(bagminhash, "FEW", 0)
+    rnd = random.Random(8)
+    base = [f"w{rnd.randrange(50)}" if i % 9 else "same" for i in range(120)]
+    texts = []
+    for _ in range(70):
+        words = list(base)
+        for _ in range(rnd.randrange(7)):
+            at = rnd.randrange(len(words))
+            words[at : at + rnd.randrange(2)] = [f"x{rnd.randrange(10**6)}"] * rnd.randrange(2)
+        texts.append(" ".join(words))
+    bags = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts)]
+    near = [{j for j, b in enumerate(bags) if sum((a & b).values()) >= 0.8 * sum((a | b).values())} for a in bags]
+    wanted = {}
+    for i in range(len(texts)):
+        todo = [i]
+        while todo:
+            if (k := todo.pop()) not in wanted:
+                wanted[k] = i
+                todo += near[k]
+    found = bagminhash.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in found} == wanted
+    data, offsets = spans.text_bytes(pa.array(texts))
+    keys, owner = bagminhash.rare_keys(*bagminhash.shingle_bags(data, offsets), len(texts), np.full(bagminhash.SLOTS, 2), 0.8)
+    held = [set(keys[owner == i].tolist()) for i in range(len(texts))]
+    assert all(held[i] & held[j] for i in range(len(texts)) for j in near[i])
+
+
 def test_signatures_are_unbiased():
     rnd = random.Random(6)
     errors = []
