@@ -12,6 +12,7 @@ tokens that don't. Tokens not seen in training share one place of the V + 1 of t
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +65,8 @@ def as_chunks(docs: DataFrame, id: str, text: str, train: str) -> DataFrame:
                 tokens = np.full(sizes.sum(), END)
                 tokens[np.arange(len(words)) + owner] = words
                 kinds, place = np.unique(tokens, return_inverse=True)
-                blob = len(kinds).to_bytes(8, "little") + kinds.tobytes() + place.astype(np.uint32).tobytes()
+                kept, places = pack(np.diff(kinds, prepend=np.uint64(0))), pack(place)
+                blob = len(kept).to_bytes(8, "little") + kept + places
                 lists = [pa.array([batch.column(c).slice(i, j - i).to_pylist()], t) for c, t in ((0, pa.list_(pa.int64())), (1, pa.list_(pa.bool_())))]
                 yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 66]), *lists, pa.array([sizes.tolist()], pa.list_(pa.int64())), pa.array([blob], pa.binary()), pa.array([len(tokens)], pa.int64())], names=["chunk", "ids", "train", "sizes", "tokens", "n_tokens"])
 
@@ -75,8 +78,8 @@ class Chunk:
 
     def __init__(self, sizes: np.ndarray, train: np.ndarray, blob: bytes, order: int):
         n = int.from_bytes(blob[:8], "little")
-        kinds = np.frombuffer(blob, np.uint64, n, 8)
-        words = kinds[np.frombuffer(blob, np.uint32, offset=8 + 8 * n)]
+        kinds = np.cumsum(unpack(blob[8 : 8 + n])[0], dtype=np.uint64)
+        words = kinds[unpack(blob[8 + n :])[0].astype(np.int64)]
         first = np.cumsum(sizes) - sizes
         self.train = np.repeat(train, sizes)
         self.owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -133,20 +136,26 @@ def _joined(blobs: list[dict]) -> np.ndarray:
     return np.concatenate([p.astype(np.uint32) if small else p for p in parts], axis=1)
 
 
-def send(chunks: DataFrame, k: int, order: int, shards: int) -> DataFrame:
-    """(shard, chunk, blob) for order k; ``chunks`` has the replies of order k + 1 as ``above``."""
+def send(chunks: DataFrame, k: int, order: int, shards: int, replies: DataFrame | None = None) -> DataFrame:
+    """(shard, chunk, blob) for order k; ``replies`` are those of order k + 1."""
     edges = _edges(shards)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def say(row: dict, above: np.ndarray | None) -> pa.Table:
+        keys, values = contributions(_chunk_of(row, order), k, order, above)
+        cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+        found = [(s, pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        return pa.table([pa.array([s for s, _ in found], pa.int32()), pa.array([row["chunk"]] * len(found), pa.int64()), pa.array([x for _, x in found], pa.binary())], names=["shard", "chunk", "blob"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                keys, values = contributions(_chunk_of(row, order), k, order, _joined(row["above"]) if k < order else None)
-                cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                found = [(s, pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int32()), pa.array([row["chunk"]] * len(found), pa.int64()), pa.array([x for _, x in found], pa.binary())], names=["shard", "chunk", "blob"])
+                yield from say(batch.slice(i, 1).to_pylist()[0], None).to_batches()
 
-    return chunks.mapInArrow(run, "shard int, chunk long, blob binary")
+    schema = "shard int, chunk long, blob binary"
+    if replies is None:
+        return chunks.mapInArrow(first, schema)
+    own = replies.where("chunk >= 0").select("chunk", "shard", "blob")
+    return chunks.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(lambda one, met: say(one.to_pylist()[0], _joined(met.to_pylist())), schema)
 
 
 def answer(sent: DataFrame) -> DataFrame:
@@ -229,30 +238,22 @@ def score_documents(docs: DataFrame, train: str, *, id: str = "doc_id", text: st
     replies: dict[int, DataFrame] = {}
     stats: dict[int, dict] = {}
 
-    def with_replies(k: int, rows: DataFrame, name: str) -> DataFrame:
-        own = replies[k].where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("shard", "blob")).alias(name))
-        return rows.join(own, "chunk")
-
     for k in range(order, 0, -1):
-        sent = send(chunks if k == order else with_replies(k + 1, chunks, "above"), k, order, shards)
+        sent = send(chunks, k, order, shards, replies.get(k + 1))
         replies[k] = staged(answer(sent), f"order{k}")
         sums = replies[k].where("chunk = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS)).first()
         stats[k] = sums.asDict()
-    rows = chunks
-    for k in range(1, order + 1):
-        rows = with_replies(k, rows, f"order{k}")
+    told = functools.reduce(DataFrame.unionByName, (replies[k].where("chunk >= 0").select("chunk", F.lit(k).alias("k"), "shard", "blob") for k in replies))
     known = [stats[k] for k in range(1, order + 1)]
     n_train, n_kinds = stats[1]["raw_total"], stats[1]["kinds"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                chunk = _chunk_of(row, order)
-                p, raw = probabilities(chunk, [_joined(row[f"order{k}"]) for k in range(1, order + 1)], known, order)
-                n = len(row["ids"])
-                base = np.log10((raw + 0.5) / (n_train + 0.5 * (n_kinds + 1)))
-                sums = [np.bincount(chunk.owner, v, n) for v in (base, np.log10(p))]
-                yield pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(row["sizes"], pa.int64()), pa.array(np.bincount(chunk.owner[raw > 0], minlength=n)), pa.array(np.full(n, n_train)), *map(pa.array, sums)], names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return rows.mapInArrow(run, f"`{id}` long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    def run(one: pa.Table, met: pa.Table) -> pa.Table:
+        row = one.to_pylist()[0]
+        chunk, n = _chunk_of(row, order), len(row["ids"])
+        p, raw = probabilities(chunk, [_joined(met.filter(pc.equal(met.column("k"), k)).to_pylist()) for k in range(1, order + 1)], known, order)
+        base = np.log10((raw + 0.5) / (n_train + 0.5 * (n_kinds + 1)))
+        sums = [np.bincount(chunk.owner, v, n) for v in (base, np.log10(p))]
+        return pa.table([pa.array(row["ids"], pa.int64()), pa.array(row["sizes"], pa.int64()), pa.array(np.bincount(chunk.owner[raw > 0], minlength=n)), pa.array(np.full(n, n_train)), *map(pa.array, sums)], names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    schema = f"`{id}` long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, schema)
