@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from ..functions import ratio
 
 
-def pairwise_alignment(df: DataFrame, group: list[str], actor: str, target: str) -> DataFrame:
-    """Per group and actor: ``total_others``, ``aligned_others`` and ``alignment_ratio``.
+def pairwise_alignment(df: DataFrame, group: list[str], actor: str, target: str, extra_keys: list[str] | None = None) -> DataFrame:
+    """Per group, actor and ``extra_keys``: ``total_others``, ``aligned_others`` and ``alignment_ratio``.
 
     Counts what a self-join on the group with differing actors would, without its square: each row meets the group's rows
     less the actor's own, and aligns with those of its target less the actor's own. Rows with a null actor or group
-    don't count; a null target never aligns; an actor alone in its groups has no row.
+    don't count; a null target never aligns; an actor alone in its groups has no row. ``extra_keys`` split the actor's rows, not the others.
     """
-    counts = df.dropna(subset=[*group, actor]).groupBy(*group, actor, target).agg(F.count(F.lit(1)).alias("_n"))
-    in_group, of_actor, on_target = Window.partitionBy(*group), Window.partitionBy(*group, actor), Window.partitionBy(*group, target)
-    counts = counts.withColumn("_others", F.sum("_n").over(in_group) - F.sum("_n").over(of_actor))
-    counts = counts.withColumn("_same", F.when(F.col(target).isNotNull(), F.sum("_n").over(on_target) - F.col("_n")).otherwise(0))
-    out = counts.groupBy(*group, actor).agg(F.sum(F.col("_n") * F.col("_others")).alias("total_others"), F.sum(F.col("_n") * F.col("_same")).alias("aligned_others"))
+    keys = [*group, actor, *(extra_keys or [])]
+    counts = df.dropna(subset=[*group, actor]).groupBy(*keys, target).agg(F.count(F.lit(1)).alias("_n"))
+
+    def rows_of(*columns: str):
+        return F.sum("_n").over(Window.partitionBy(*group, *columns))
+
+    counts = counts.withColumn("_others", rows_of() - rows_of(actor))
+    counts = counts.withColumn("_same", F.when(F.col(target).isNotNull(), rows_of(target) - rows_of(actor, target)).otherwise(0))
+    out = counts.groupBy(*keys).agg(F.sum(F.col("_n") * F.col("_others")).alias("total_others"), F.sum(F.col("_n") * F.col("_same")).alias("aligned_others"))
     return out.where("total_others > 0").withColumn("alignment_ratio", ratio(F.col("aligned_others"), F.col("total_others")))
