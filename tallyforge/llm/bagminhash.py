@@ -111,42 +111,72 @@ def with_bands(docs: DataFrame, *, text: str = "text", out: str = "bands") -> Da
     return docs.select(*keep, text).mapInArrow(run, schema)
 
 
+def units(bag: np.ndarray, weight: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bags as sets, and the text of each member: the k-th time that a text has a shingle is a member of its own, so sets overlap as bags do."""
+    item = np.repeat(np.arange(len(bag)), weight)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(weight) - weight, weight)
+    return np.where(nth > 0, spans.join_hashes(bag[item], nth.astype(np.uint64)), bag[item]), owner[item]
+
+
+def with_units(texts: DataFrame) -> DataFrame:
+    """``id`` and ``units``, the members of the text's set as 64-bit words, so that no comparison reads words again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = spans.text_bytes(batch.column(1))
+            for i, j in spans.blocks(offsets):
+                members, owner = units(*shingle_bags(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=j - i))].astype(np.int64) * 8
+                packed = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(members)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), packed.cast(pa.binary())], names=["id", "units"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, units binary")
+
+
+def held_units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The members of all sets of a column that ``with_units`` made, and where each set begins and the last ends."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data.view(np.uint64), (offsets - offsets[0]) // 8
+
+
+def overlaps(x: np.ndarray, of_x: np.ndarray, y: np.ndarray, of_y: np.ndarray) -> np.ndarray:
+    """For each pair of sets, how many members they share. A member is known by its pair and the bits that this leaves of its hash."""
+    n = len(of_x) - 1
+    bits = np.uint64(max(1, int(n - 1).bit_length()))
+    keys = [np.repeat(np.arange(n, dtype=np.uint64), np.diff(of)) << (np.uint64(64) - bits) | m >> bits for m, of in ((x, of_x), (y, of_y))]
+    keys = np.sort(np.concatenate(keys))
+    return np.bincount((keys[1:][keys[1:] == keys[:-1]] >> (np.uint64(64) - bits)).astype(np.int64), minlength=n)
+
+
 def _similarity(pairs: DataFrame) -> DataFrame:
-    """``a``, ``b`` and the weighted Jaccard similarity of ``text_a`` and ``text_b``."""
+    """``a``, ``b`` and the weighted Jaccard similarity of their bags, of which ``units_a`` and ``units_b`` are the sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [spans.text_bytes(batch.column(c))[1] for c in (2, 3)]
-            for i, j in spans.blocks(sizes[0] + sizes[1]):
-                bags = []
-                for c in (2, 3):
-                    data, offsets = spans.text_bytes(batch.column(c).slice(i, j - i))
-                    bag, weight, owner = shingle_bags(data, offsets)
-                    bags.append((spans.join_hashes(spans.mix(owner.astype(np.uint64)), bag), weight, owner))
-                (x, wx, ox), (y, wy, oy) = bags
-                _, at, to = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                common = np.bincount(ox[at], np.minimum(wx[at], wy[to]), j - i)
-                total = np.bincount(ox, wx, j - i) + np.bincount(oy, wy, j - i) - common
+            (x, of_x), (y, of_y) = (held_units(batch.column(c)) for c in (2, 3))
+            for i, j in spans.blocks((of_x + of_y) * 8):
+                common = overlaps(x[of_x[i] : of_x[j]], of_x[i : j + 1], y[of_y[i] : of_y[j]], of_y[i : j + 1])
+                total = np.diff(of_x[i : j + 1]) + np.diff(of_y[i : j + 1]) - common
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common / np.maximum(total, 1))], names=["a", "b", "similarity"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    return pairs.select("a", "b", "units_a", "units_b").mapInArrow(run, "a long, b long, similarity double")
 
 
 def shingle_frequencies(texts: DataFrame) -> np.ndarray:
-    """For each of SLOTS classes of shingle hashes, how many times a text of ``texts`` holds one of them; summed in Spark."""
+    """For each of SLOTS classes of members of sets, how many sets of ``texts`` hold one of them; summed in Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            data, offsets = spans.text_bytes(batch.column(0))
-            for i, j in spans.blocks(offsets):
-                bag, _, _ = shingle_bags(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                counts += np.bincount((bag % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+            counts += np.bincount((held_units(batch.column(0))[0] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
         slots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts[slots])], names=["slot", "n"])
 
-    found = texts.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    found = texts.select("units").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     return counts
@@ -180,18 +210,19 @@ def rare_keys(bag: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int, fr
 
 
 def by_rare_shingles(texts: DataFrame, similarity: float) -> DataFrame:
-    """``bucket`` and ``node`` for each key of each of ``texts`` (id, text) that another has too."""
+    """``bucket`` and ``node`` for each key of each of ``texts`` (id, units) that another has too."""
     frequency = texts.sparkSession.sparkContext.broadcast(shingle_frequencies(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            data, offsets = spans.text_bytes(batch.column(1))
-            for i, j in spans.blocks(offsets, 1 << 20):
-                keys, text = rare_keys(*shingle_bags(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), j - i, frequency.value, similarity)
+            members, of = held_units(batch.column(1))
+            for i, j in spans.blocks(of * 8, 1 << 20):
+                held, owner = members[of[i] : of[j]], np.repeat(np.arange(j - i), np.diff(of[i : j + 1]))
+                keys, text = rare_keys(held, np.ones(len(held), np.int64), owner, j - i, frequency.value, similarity)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[i:j][text], pa.int64())], names=["bucket", "node"])
 
-    rows = staged(texts.select("id", "text").mapInArrow(run, "bucket long, node long"), "rare")
+    rows = staged(texts.select("id", "units").mapInArrow(run, "bucket long, node long"), "rare")
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     return staged(rows.join(shared, "bucket", "left_semi"), "buckets")
 
@@ -249,7 +280,7 @@ def near_duplicate_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "
     total, labels = buckets.count(), None
     if total:
         met = buckets.select("node").distinct()
-        texts = staged(rows.join(met, rows.id == met.node, "left_semi").dropDuplicates(["id"]), "texts")
+        texts = staged(with_units(rows.join(met, rows.id == met.node, "left_semi").dropDuplicates(["id"])), "units")
         labels = _linked(buckets.select("bucket", "node", "band"), texts, total, similarity)
     members = marks.select("id", "mark").join(nodes, "mark").select("id", "node")
     if labels is not None:
@@ -297,7 +328,7 @@ def _linked(buckets: DataFrame, texts: DataFrame, total: int, similarity: float)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        a, b = (texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+        a, b = (texts.select(F.col("id").alias(x), F.col("units").alias(f"units_{x}")) for x in "ab")
         found = staged(_similarity(pairs.join(b, "b").join(a, "a")).where(F.col("similarity") >= similarity).select("a", "b"), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not found.isEmpty():
