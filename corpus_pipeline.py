@@ -26,8 +26,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that many sites share; ``n_chars`` follows the text."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """All documents, without lines that many sites share, short or long; ``n_chars`` follows the text."""
+    cleaned = line_dedup.dedup_lines(docs, min_chars=1)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*docs.columns)

@@ -13,22 +13,22 @@ from pyspark.sql import functions as F
 
 #: Distinct sites from which on a line is boilerplate.
 MIN_SITES = 5
-#: Characters that a line must have, so that everyday short lines stay.
+#: Characters that a line must have unless the caller says otherwise; 1 is every line that isn't blank.
 MIN_CHARS = 30
 #: Estimates within this share of the threshold are settled by exact counts; about four standard errors at LG_K.
 MARGIN = 0.2
 LG_K = 10
 
 
-def _lines(docs: DataFrame, id: str, text: str, site: str) -> DataFrame:
+def _lines(docs: DataFrame, id: str, text: str, site: str, min_chars: int) -> DataFrame:
     line = F.btrim("_line", F.lit(" \t\r\x0b\x0c"))
     out = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_text"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("_site"), F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
-    return out.withColumn("_line", line).where(F.char_length("_line") >= MIN_CHARS).withColumn("_hash", F.xxhash64("_line", F.char_length("_line"))).drop("_line")
+    return out.withColumn("_line", line).where(F.char_length("_line") >= max(min_chars, 1)).withColumn("_hash", F.xxhash64("_line", F.char_length("_line"))).drop("_line")
 
 
-def spread_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def spread_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Lines (by hash) that at least ``min_sites`` sites hold, with the least document id that has them."""
-    lines = _lines(docs, id, text, site)
+    lines = _lines(docs, id, text, site, min_chars)
     spread = lines.groupBy("_hash").agg(F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LG_K))).alias("_sites"), F.min("_id").alias("_first"))
     low, high = min_sites * (1 - MARGIN), min_sites * (1 + MARGIN)
     far = spread.where(F.col("_sites") > high)
@@ -38,15 +38,16 @@ def spread_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", sit
     return far.unionByName(exact).select("_hash", "_first")
 
 
-def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and ``n_lines`` and ``n_removed``; no row goes.
 
-    Lines are compared without surrounding white space; those under MIN_CHARS characters stay. A null text stays null
+    Lines are compared without surrounding white space; those under ``min_chars`` characters, and blank ones, stay. A null text stays null
     and has no lines; an empty text has one. A null site is a site of its own; a null id counts as greater than any.
     Rows with equal ids and texts are treated alike. Own columns named n_lines or n_removed give way.
     """
     docs = docs.drop("n_lines", "n_removed")
-    gone = _lines(docs, id, text, site).join(spread_lines(docs, id=id, text=text, site=site, min_sites=min_sites), "_hash").where(~F.col("_id").eqNullSafe(F.col("_first")))
+    spread = spread_lines(docs, id=id, text=text, site=site, min_sites=min_sites, min_chars=min_chars)
+    gone = _lines(docs, id, text, site, min_chars).join(spread, "_hash").where(~F.col("_id").eqNullSafe(F.col("_first")))
     gone = gone.groupBy("_id", "_text").agg(F.collect_set("_at").alias("_gone"))
     rows = docs.withColumn("_own", F.xxhash64(text)).alias("d")
     joined = rows.join(gone.alias("g"), F.col(f"d.{id}").eqNullSafe(F.col("g._id")) & (F.col("d._own") == F.col("g._text")), "left")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tallyforge.llm import bagminhash, bpe_count, fingerprint, knlm, line_dedup, packing, repetition, spans, toxicity, unigram, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -109,6 +110,12 @@ def test_lines(spark, docs, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_pipeline_removes_short_lines_too(spark):
+    rows = [(i, f"own {i}\n{'All rights reserved.' if i < 10 else 'Once more.'}\n \nend", f"s{i % 5 if i < 10 else i % 4}") for i in range(18)]
+    found = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
+    assert found == {0: rows[0][1]} | {i: f"own {i}\n " for i in range(1, 10)} | {i: f"own {i}\nOnce more.\n " for i in range(10, 18)}
+
+
 def brute_ngram(texts, train, n):
     tokens = [[*WORD.findall((t or "").lower()), None] for t in texts]
     grams = Counter()
