@@ -36,7 +36,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    encoded = unigram.encode_documents(docs, path).withColumn("ids_crc32", F.crc32("ids"))
+    encoded = unigram.encode_documents(docs, path, scores=unigram.fitted_scores(docs, path)).withColumn("ids_crc32", F.crc32("ids"))
     return unigram.decode_documents(encoded, path).select("doc_id", "n_tokens", "n_bytes_fallen", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
 
 

@@ -4,18 +4,24 @@ Of all ways to cut a text into pieces of the vocabulary the one with the greates
 piece covers costs a fixed penalty and becomes its UTF-8 bytes as byte pieces. Spaces are written as a marker, one in front
 of the text too. A piece holds the marker only at its start or consists of markers, so the best cut of a text joins the best cuts
 of its words, and each task remembers those of words it has seen in a bounded table.
+
+The scores of a BPE model are merge ranks, whose sums mean nothing. For such a file log probabilities take their place: those of
+a Zipf law over the ranks, or better ``fitted_scores``, which are estimated by Viterbi training on all words of a corpus.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from copy import copy
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import spans
 
@@ -24,7 +30,12 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words that a worker remembers at most; then it starts anew.
 REMEMBERED = 400_000
+#: Distinct words that a task counts at most before it cuts them.
+COUNTED = 400_000
+#: Rounds of Viterbi training, and what a piece's count has on top.
+ROUNDS, SMOOTH = 1, 0.5
 _NORMAL, _USER, _BYTE = 1, 4, 6
+_BPE = 2
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -64,6 +75,13 @@ def read_pieces(path: str) -> list[tuple[str, float, int]]:
     return out
 
 
+def is_bpe(path: str) -> bool:
+    """Whether the file's trainer says that its scores are merge ranks."""
+    with open(path, "rb") as f:
+        data = f.read()
+    return any(dict(_fields(value)).get(3) == _BPE for number, value in _fields(data) if number == 2)
+
+
 class DoubleArray:
     """A trie over bytes: the child of node s by byte b is base[s] + b + 1 if check there is s; value holds a piece's id at its last node."""
 
@@ -111,17 +129,40 @@ class Unigram(dict):
     def __init__(self, path: str):
         pieces = read_pieces(path)
         self.pieces = [p for p, _, _ in pieces]
-        self.scores = [s for _, s, _ in pieces]
         self.byte_ids = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
         normal = {p.encode(): i for i, (p, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER)}
         if any(MARK in p.decode().lstrip(MARK) for p in normal):
             raise ValueError("a piece goes on after a marker; words can't be cut apart")
         self.trie = DoubleArray(normal)
-        self.unknown = min(self.scores[i] for i in normal.values()) - UNKNOWN_PENALTY
+        self.normal = np.array(sorted(normal.values()))
+        self.bpe = is_bpe(path)
+        scores = np.array([s for _, s, _ in pieces])
+        self._score(self.logs(1 / np.maximum(1 - scores, 1)) if self.bpe else scores)
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.written = [bytes((self.bytes_of[i],)) if i in self.bytes_of else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
 
+    def _score(self, scores: np.ndarray) -> None:
+        self.scores = scores.tolist()
+        self.unknown = float(scores[self.normal].min()) - UNKNOWN_PENALTY
+
+    def logs(self, weights: np.ndarray) -> np.ndarray:
+        """Log probabilities of the pieces that a text is cut into, in proportion to ``weights``; 0 for other pieces."""
+        out = np.zeros(len(self.pieces))
+        out[self.normal] = np.log(weights[self.normal]) - np.log(weights[self.normal].sum())
+        return out
+
+    def rescored(self, scores: np.ndarray) -> Unigram:
+        """The same pieces with other scores, and nothing remembered."""
+        out = copy(self)
+        out.clear()
+        out._score(scores)
+        return out
+
+    def words_of(self, text: str) -> list[str]:
+        """Words of a text, with their markers."""
+        return self.words.findall((MARK + text).replace(" ", MARK)) if text else []
+
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
@@ -165,9 +206,7 @@ class Unigram(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as bytes."""
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, self.words.findall((MARK + text).replace(" ", MARK))))
+        return b"".join(map(self.__getitem__, self.words_of(text)))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: byte pieces as the bytes they are, markers as spaces, without the one in front."""
@@ -181,16 +220,61 @@ def codec(path: str) -> Unigram:
     return Unigram(path)
 
 
-def encode_documents(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+@lru_cache(1)
+def _fitted(path: str, scores: bytes) -> Unigram:
+    return codec(path).rescored(np.frombuffer(scores))
+
+
+def piece_counts(docs: DataFrame, path: str, scores: np.ndarray, *, text: str = "text") -> np.ndarray:
+    """How often each piece is in the best cuts of all words of ``docs``. Each task cuts its distinct words; only counts of pieces leave it."""
+    held = docs.sparkSession.sparkContext.broadcast(scores)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen, counts = codec(path).rescored(held.value), Counter(), [0] * len(held.value)
+
+        def cut() -> None:
+            for word, n in seen.items():
+                for piece in own.best(word.encode()):
+                    counts[piece] += n
+            seen.clear()
+
+        for batch in batches:
+            for x in batch.column(0):
+                seen.update(own.words_of(x.as_py() or ""))
+                if len(seen) >= COUNTED:
+                    cut()
+        cut()
+        pieces = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), pa.array(np.array(counts)[pieces], pa.int64())], names=["piece", "n"])
+
+    found = docs.select(text).mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(scores), np.int64)
+    counts[found.column("piece").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def fitted_scores(docs: DataFrame, path: str, *, text: str = "text", rounds: int = ROUNDS) -> np.ndarray | None:
+    """Log probabilities of a BPE file's pieces, by ``rounds`` of Viterbi training on all words of ``docs``; None for a file that has its own."""
+    own = codec(path)
+    if not own.bpe:
+        return None
+    scores = np.array(own.scores)
+    for _ in range(rounds):
+        scores = own.logs(piece_counts(docs, path, scores, text=text) + SMOOTH)
+    return scores
+
+
+def encode_documents(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text", scores: np.ndarray | None = None) -> DataFrame:
     """``id``, ``ids`` (binary, little-endian unsigned 32-bit), ``n_tokens`` and ``n_bytes_fallen`` (byte pieces) of each row.
 
     A null or empty text has no ids; rows with equal ids stay apart; other columns are not carried. Spaces are kept as they are, and a
-    marker in the text becomes a space.
+    marker in the text becomes a space. ``scores`` take the place of the file's.
     """
+    held = None if scores is None else docs.sparkSession.sparkContext.broadcast(scores.tobytes())
     schema = docs.select(id).schema.add("ids", "binary").add("n_tokens", "long").add("n_bytes_fallen", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        own = codec(path) if held is None else _fitted(path, held.value)
         for batch in batches:
             _, offsets = spans.text_bytes(batch.column(1))
             for i, j in spans.blocks(offsets):

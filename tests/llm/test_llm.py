@@ -66,6 +66,21 @@ def test_pieces_round_trip(docs, none):
     assert unigram.encode_documents(none, path).count() == 0
 
 
+def test_scores_of_a_bpe_file_are_log_probabilities(spark, docs, none):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    codec = unigram.codec(path)
+    pieces = lambda own, word: [own.pieces[i] for i in np.frombuffer(own[word], "<u4")]
+    texts = ["the information of the people", "the other time", "the information", None] * 20
+    scores = unigram.fitted_scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path)
+    for own in (codec, codec.rescored(scores)):
+        assert np.isclose(np.exp(np.array(own.scores)[own.normal]).sum(), 1)
+        assert all(pieces(own, w) == [w] for w in ("▁the", "▁information", "▁people"))
+    assert np.isclose(scores[codec.pieces.index("▁the")] - scores[codec.pieces.index("▁people")], np.log(80.5 / 20.5))
+    encoded = unigram.encode_documents(docs, path, scores=scores)
+    assert {r.doc_id: r.text for r in unigram.decode_documents(encoded, path).collect()} == {i: t or "" for i, t, _ in EDGE}
+    assert len(unigram.fitted_scores(none, path)) == len(codec.pieces)
+
+
 def test_repetition_against_brute_force(docs, none):
     rnd = random.Random(2)
     texts = [" ".join(rnd.choice("abc") * rnd.randint(1, 2) for _ in range(rnd.randrange(60))) for _ in range(200)]
