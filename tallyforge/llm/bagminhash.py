@@ -9,7 +9,7 @@ only as long as they come before the latest register of the text; most shingles
 Equal texts are one node. Nodes that share a band meet in a bucket. In each round every bucket names a pivot, which is
 compared with all members that aren't yet in its class; then it leaves the bucket, and buckets with a single class are done.
 So no link between nodes that share a bucket is lost, and a bucket costs its size in each round, not its square. When few
-pairs are left, in proportion to the rows, they are compared at once. When many are left after the first round, as where
+pairs are left, in proportion to the rows, they are compared at once: all nodes of a bucket with those outside its largest class. When many are left after the first round, as where
 edits of one text lie just beyond the threshold, the nodes move to buckets by rare shingles: two bags of given sizes can reach
 the threshold only if they share one of their rarest shingles, so this loses no link either.
 """
@@ -320,8 +320,7 @@ def _linked(buckets: DataFrame, texts: DataFrame, total: int, similarity: float)
                 continue
             classed = classed.join(open_.drop("pairs"), "bucket")
             if last:
-                other = classed.select("bucket", F.col("node").alias("pivot"), F.col("class").alias("pivot_class"))
-                pairs = classed.select("bucket", "node", "class").join(other, "bucket").where((F.col("node") < F.col("pivot")) & (F.col("class") != F.col("pivot_class")))
+                pairs = _outside_largest(classed).where(F.col("class") != F.col("pivot_class"))
             else:
                 pairs = classed.select("node", "class", F.explode("pivots").alias("_pivot")).where(F.col("class") != F.col("_pivot.class")).select("node", F.col("_pivot.node").alias("pivot"))
         pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
@@ -340,6 +339,16 @@ def _linked(buckets: DataFrame, texts: DataFrame, total: int, similarity: float)
             left, waiting = left.unionByName(waiting.select("bucket", "node")), None
 
 
+def _outside_largest(classed: DataFrame) -> DataFrame:
+    """``node``, ``class``, ``pivot`` and ``pivot_class``: all nodes of each bucket with those outside its largest class, which ``pivots`` names first.
+
+    Of two nodes of different classes one is outside the largest, so no pair is missed; rows are at most twice the pairs of different classes.
+    """
+    other = classed.where(F.col("class") != F.get("pivots", F.lit(0)).getField("class"))
+    other = other.select("bucket", F.col("node").alias("pivot"), F.col("class").alias("pivot_class"))
+    return classed.select("bucket", "node", "class").join(other, "bucket").drop("bucket")
+
+
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each class, that of the least id. Rows without an id stay; of rows that share a kept id one stays."""
     classes = near_duplicate_classes(docs, id=id, text=text, similarity=similarity)

@@ -210,6 +210,17 @@ def test_near_duplicates(spark, docs, none):
     assert bagminhash.near_duplicate_classes(none).count() == 0
 
 
+def test_last_round_looks_at_few_pairs(spark):
+    """A large class and an outlier in one bucket, three classes in another: all pairs of different classes, and no more than twice as many looked at."""
+    rows = [("a", i, 0) for i in range(1999)] + [("a", 5000, 5000)] + [("b", i, i // 2) for i in range(6)]
+    classed = spark.createDataFrame(rows, "bucket string, node long, class long")
+    classed = classed.withColumn("pivots", F.expr("IF(bucket = 'a', array(named_struct('node', 7L, 'class', 0L)), array(named_struct('node', 2L, 'class', 1L), named_struct('node', 5L, 'class', 2L)))"))
+    met = bagminhash._outside_largest(classed).collect()
+    wanted = {(i, 5000) for i in range(1999)} | {(i, j) for i in range(6) for j in range(i) if i // 2 != j // 2}
+    assert {frozenset((r.node, r.pivot)) for r in met if r["class"] != r.pivot_class} == set(map(frozenset, wanted))
+    assert len(met) <= 2 * len(wanted)
+
+
 def test_near_duplicates_by_rare_shingles(spark, monkeypatch):
     """Edits of one text on both sides of the threshold, and never few enough pairs to compare at once: classes as by brute force."""
     monkeypatch.setattr(bagminhash, "FEW", 0)
