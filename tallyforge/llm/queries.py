@@ -69,10 +69,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = fingerprint.with_next(fingerprint.with_sketch(docs, "text", "sketch"), carry="sketch")
+    docs = fingerprint.with_next(docs)
     docs = docs.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text")))
-    docs = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "edited", "sketch", "next_sketch")
-    docs = fingerprint.with_sketch(docs, "edited", "edited_sketch").drop("edited")
+    docs = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "text", "next_text", "edited")
+    for text, sketch in (("text", "sketch"), ("next_text", "next_sketch"), ("edited", "edited_sketch")):
+        docs = fingerprint.with_sketch(docs, text, sketch).drop(text)
     return docs.select(
         "doc_id", "n_chars", "edited_sha256",
         fingerprint.as_text("sketch").alias("fingerprint"),

@@ -194,6 +194,18 @@ def test_fingerprints(docs, none):
     assert fingerprint.with_next(none.select("doc_id", "text")).count() == 0
 
 
+def test_fingerprints_of_short_texts(spark):
+    rnd = random.Random(7)
+    texts = [" ".join(f"w{rnd.randrange(500)}" for _ in range(n)) for n in range(5, 51)]
+    found = fingerprint.with_next(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = found.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text")))
+    for c in ("text", "edited"):
+        found = fingerprint.with_sketch(found, c, f"{c}_sketch")
+    for r in found.withColumn("near", fingerprint.likeness("text_sketch", "edited_sketch")).collect():
+        a, b = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (r.text.split(), r.edited.split()))
+        assert np.isclose(r.near, len(a & b) / min(len(a), len(b)))
+
+
 def test_near_duplicates(spark, docs, none):
     rnd = random.Random(5)
     base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
