@@ -6,12 +6,15 @@ falls to it, so two texts agree in a register with the probability of their weig
 numbers in dyadic levels, each with a process of its own, and the points of a level are drawn in order of time
 only as long as they come before the latest register of the text; most shingles of a longer text need one or two.
 
-Equal texts are one node. Nodes that share a band meet in a bucket. In each round every bucket names a pivot, which is
-compared with all members that aren't yet in its class; then it leaves the bucket, and buckets with a single class are done.
-So no link between nodes that share a bucket is lost, and a bucket costs its size in each round, not its square. When few
-pairs are left, in proportion to the rows, they are compared at once: all nodes of a bucket with those outside its largest class. When many are left after the first round, as where
-edits of one text lie just beyond the threshold, the nodes move to buckets by rare shingles: two bags of given sizes can reach
-the threshold only if they share one of their rarest shingles, so this loses no link either.
+Equal texts are one node. Nodes that share a band meet in a bucket. In each round every bucket names pivots, which are
+compared with all members that aren't yet in their classes; then they leave the bucket, and buckets with a single class are done.
+So no link between nodes that share a bucket is lost, and a bucket costs its size in each round, not its square.
+
+Where many pairs stay open after the first round, as where edits of one text lie just beyond the threshold, the shingles of the
+open nodes are counted, and a pivot's overlap with all members of its bucket is kept. Two bags overlap by what each shares with any
+open node at most; and within and without the pivot's bag by what each has there at most. So most pairs are told apart
+unread. When few pairs are left, in proportion to the rows, they are compared at once: nodes outside a bucket's largest class with
+all that they may reach. Bounds and last rounds only save work; classes are the same with and without them.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -33,8 +36,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 #: Pairs left for each row of the buckets at which rounds end.
 FEW = 4
-#: Ratio of the largest to the least size in a size class; slots of the table of shingle frequencies, the same for any corpus.
-STEP, SLOTS = 1.04, 1 << 18
+#: Pairs of nodes for each row of the buckets whose bounds are compared at most before the last round; else another pivot comes first.
+REACH = 64
+#: Ratio of the largest to the least size in a size class.
+STEP = 1.01
 #: Pivots of a bucket in a round, at most.
 PIVOTS = 16
 #: Rows of links or classes for each task of a small step, beyond the least number of tasks.
@@ -119,27 +124,25 @@ def units(bag: np.ndarray, weight: np.ndarray, owner: np.ndarray) -> tuple[np.nd
 
 
 def with_units(texts: DataFrame) -> DataFrame:
-    """``id`` and ``units``, the members of the text's set as 64-bit words, so that no comparison reads words again."""
+    """``node`` and ``units``, the members of the text's set as 64-bit words, so that no comparison reads words again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = spans.text_bytes(batch.column(1))
             for i, j in spans.blocks(offsets):
                 members, owner = units(*shingle_bags(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=j - i))].astype(np.int64) * 8
-                packed = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(members)])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), packed.cast(pa.binary())], names=["id", "units"])
+                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=j - i))].astype(np.int32)
+                held = pa.ListArray.from_arrays(pa.array(ends), pa.array(members.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), held], names=["node", "units"])
 
-    return texts.select("id", "text").mapInArrow(run, "id long, units binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, units array<long>")
 
 
 def held_units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The members of all sets of a column that ``with_units`` made, and where each set begins and the last ends."""
-    column = column.cast(pa.large_binary())
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return data.view(np.uint64), (offsets - offsets[0]) // 8
+    offsets = column.offsets.to_numpy()
+    members = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
+    return members.view(np.uint64), (offsets - offsets[0]).astype(np.int64)
 
 
 def overlaps(x: np.ndarray, of_x: np.ndarray, y: np.ndarray, of_y: np.ndarray) -> np.ndarray:
@@ -151,8 +154,8 @@ def overlaps(x: np.ndarray, of_x: np.ndarray, y: np.ndarray, of_y: np.ndarray) -
     return np.bincount((keys[1:][keys[1:] == keys[:-1]] >> (np.uint64(64) - bits)).astype(np.int64), minlength=n)
 
 
-def _similarity(pairs: DataFrame) -> DataFrame:
-    """``a``, ``b`` and the weighted Jaccard similarity of their bags, of which ``units_a`` and ``units_b`` are the sets."""
+def _overlaps(pairs: DataFrame) -> DataFrame:
+    """``a``, ``b``, how many members the sets ``units_a`` and ``units_b`` have in ``common``, and in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,70 +164,31 @@ def _similarity(pairs: DataFrame) -> DataFrame:
                 common = overlaps(x[of_x[i] : of_x[j]], of_x[i : j + 1], y[of_y[i] : of_y[j]], of_y[i : j + 1])
                 total = np.diff(of_x[i : j + 1]) + np.diff(of_y[i : j + 1]) - common
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common / np.maximum(total, 1))], names=["a", "b", "similarity"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common), pa.array(total)], names=["a", "b", "common", "total"])
 
-    return pairs.select("a", "b", "units_a", "units_b").mapInArrow(run, "a long, b long, similarity double")
+    return pairs.select("a", "b", "units_a", "units_b").mapInArrow(run, "a long, b long, common long, total long")
 
 
-def shingle_frequencies(texts: DataFrame) -> np.ndarray:
-    """For each of SLOTS classes of members of sets, how many sets of ``texts`` hold one of them; summed in Spark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            counts += np.bincount((held_units(batch.column(0))[0] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-        slots = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts[slots])], names=["slot", "n"])
-
-    found = texts.select("units").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(SLOTS, np.int64)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return counts
+def shared_sizes(texts: DataFrame) -> DataFrame:
+    """``node``, ``size`` of its bag, and ``shared``: how many of its members another of ``texts`` (node, units) has too."""
+    members = texts.select("node", F.explode("units").alias("unit")).groupBy("unit")
+    alone = members.agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = texts.select("node", F.size("units").alias("size")).join(alone, "node", "left")
+    return sizes.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
-def rare_keys(bag: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int, frequency: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and their text. Any two of the texts with the similarity or more share a key.
+def within_reach(rows: DataFrame, sizes: DataFrame, similarity: float) -> DataFrame:
+    """``rows`` (bucket, node) with the columns of ``sizes``, without nodes that can't reach any size in their bucket.
 
-    In one order of all shingles, rare ones first, two bags with an overlap of ``o`` share a shingle among the first |x| - o + 1 of
-    x and the first |y| - o + 1 of y. The overlap that is needed grows with both sizes, so x has keys for each size class it can be linked to.
+    A bag can be linked with those from ``similarity`` times its size on, and to none so large that the overlap it takes
+    exceeds what the bag shares. Sizes are told by classes, of which a bucket has some hundreds at most.
     """
-    often = frequency[(bag % np.uint64(SLOTS)).astype(np.int64)]
-    order = np.lexsort((bag, often, owner))
-    bag, weight, owner, often = bag[order], weight[order], owner[order], often[order]
-    sizes = np.bincount(owner, weight, n).astype(np.int64)
-    begin, first = np.cumsum(sizes) - sizes, np.searchsorted(owner, np.arange(n))
-    before = np.cumsum(weight) - weight
-    step = np.log(STEP)
-    own, low, high = (np.floor(np.log(np.maximum(x, 1)) / step + e).astype(np.int64) for x, e in ((sizes, 0), (sizes * similarity, -1e-6), (sizes / similarity, 1e-6)))
-    text = np.repeat(np.arange(n), high - low + 1)
-    other = np.arange(len(text)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[text]
-    need = similarity / (1 + similarity) * (sizes[text] + np.maximum(STEP**other * (1 - 1e-9), sizes[text] * similarity))
-    most = np.maximum(sizes[text] - np.ceil(need - 1e-6).astype(np.int64) + 1, 1)
-    held = np.searchsorted(before, begin[text] + most) - first[text]
-    held[sizes[text] == 0] = 0
-    at = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat(first[text], held)
-    one, two = (np.repeat(f(own[text], other), held) for f in (np.minimum, np.maximum))
-    keys = spans.join_hashes(bag[at], one.astype(np.uint64), two.astype(np.uint64))
-    more = often[at] > 1
-    return keys[more], np.repeat(text, held)[more]
-
-
-def by_rare_shingles(texts: DataFrame, similarity: float) -> DataFrame:
-    """``bucket`` and ``node`` for each key of each of ``texts`` (id, units) that another has too."""
-    frequency = texts.sparkSession.sparkContext.broadcast(shingle_frequencies(texts))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            members, of = held_units(batch.column(1))
-            for i, j in spans.blocks(of * 8, 1 << 20):
-                held, owner = members[of[i] : of[j]], np.repeat(np.arange(j - i), np.diff(of[i : j + 1]))
-                keys, text = rare_keys(held, np.ones(len(held), np.int64), owner, j - i, frequency.value, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[i:j][text], pa.int64())], names=["bucket", "node"])
-
-    rows = staged(texts.select("id", "units").mapInArrow(run, "bucket long, node long"), "rare")
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    return staged(rows.join(shared, "bucket", "left_semi"), "buckets")
+    rows = rows.join(sizes, "node").where(F.col("shared") >= similarity * F.col("size") - 1e-6)
+    largest = F.col("shared") * (1 + similarity) / similarity - F.col("size")
+    rows = rows.withColumn("_from", _log(F.col("size") * similarity, -1e-6)).withColumn("_to", _log(largest, 1e-6)).withColumn("_kind", _log(F.col("size")))
+    kinds = rows.groupBy("bucket").agg(F.collect_set("_kind").alias("_kinds"))
+    met = F.exists("_kinds", lambda k: k.between(F.col("_from"), F.col("_to")))
+    return rows.join(kinds, "bucket").where(met).select("bucket", "node", "size", "shared")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -264,79 +228,170 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return staged(known.unionByName(joined.join(labels, "node", "left_anti")).coalesce(tasks), "labels")
 
 
+def _classes(marks: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """For each ``mark`` of ``marks`` (id, mark, bands) ``class``: the least ``id`` of the class, and the least ``mark`` that this id has there."""
+    nodes = marks.where("id IS NOT NULL").groupBy("mark").agg(F.min("id").alias("id"), F.any_value("bands").alias("bands"))
+    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    own = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").select("bucket", "pivot")
+    buckets = staged(own.join(shared, "bucket"), "buckets")
+    total, labels = buckets.count(), None
+    nodes = nodes.drop("bands")
+    if total:
+        met = nodes.join(buckets.select("node").distinct(), "node").select("id", "mark", "node")
+        texts = rows.join(met, ["id", "mark"]).dropDuplicates(["node"])
+        labels = _linked(buckets, staged(with_units(texts), "units"), total, similarity)
+    named = F.struct("id", "mark")
+    if labels is None:
+        return nodes.select("mark", named.alias("class"))
+    linked = nodes.join(labels, "node")
+    of_class = linked.groupBy("class").agg(F.min(named).alias("_named"))
+    named = F.coalesce("_named", named)
+    return nodes.join(linked.join(of_class, "class").select("node", "_named"), "node", "left").select("mark", named.alias("class"))
+
+
+def _marks(rows: DataFrame) -> DataFrame:
+    return staged(with_bands(rows), "marks")
+
+
+def _marked(docs: DataFrame, id: str, text: str) -> DataFrame:
+    text = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(id).cast("long").alias("id"), text.alias("text"), F.sha1(text).alias("mark"))
+
+
 def near_duplicate_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``id`` and ``class_id`` of each row: the least id among texts linked by similarities of at least ``similarity``.
 
     Equal texts (null counts as empty) are one class whatever their length; texts without words have no other link.
-    Ids are whole numbers; rows that share an id are taken as one document; rows without an id have no class. Other columns are not
-    carried.
+    Ids are whole numbers; rows that share an id but not a text each have the class of their text; rows without an id have
+    no class. Other columns are not carried. An empty table gives no rows.
     """
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    marks = staged(with_bands(rows.withColumn("mark", F.sha1("text"))), "marks")
-    nodes = marks.groupBy("mark").agg(F.min("id").alias("node")).where("node IS NOT NULL")
-    own = marks.dropDuplicates(["id", "mark"]).join(nodes, [marks.mark == nodes.mark, marks.id == nodes.node]).select("node", F.posexplode("bands").alias("band", "bucket"))
-    shared = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    buckets = staged(own.join(shared, "bucket", "left_semi"), "buckets")
-    total, labels = buckets.count(), None
-    if total:
-        met = buckets.select("node").distinct()
-        texts = staged(with_units(rows.join(met, rows.id == met.node, "left_semi").dropDuplicates(["id"])), "units")
-        labels = _linked(buckets.select("bucket", "node", "band"), texts, total, similarity)
-    members = marks.select("id", "mark").join(nodes, "mark").select("id", "node")
-    if labels is not None:
-        members = members.join(labels, "node", "left").select("id", F.coalesce("class", "node").alias("node"))
-    alone = marks.where("id IS NULL").select("id", F.col("id").alias("node"))
-    return members.unionByName(alone).select(F.col("id").alias(id), F.col("node").alias("class_id"))
+    rows = _marked(docs, id, text)
+    marks = _marks(rows)
+    found = marks.select("id", "mark").where("id IS NOT NULL").join(_classes(marks, rows, similarity), "mark")
+    alone = marks.where("id IS NULL").select("id", F.col("id").alias("class_id"))
+    return found.select("id", F.col("class.id").alias("class_id")).unionByName(alone).withColumnRenamed("id", id)
 
 
 def _linked(buckets: DataFrame, texts: DataFrame, total: int, similarity: float) -> DataFrame | None:
-    """Classes of the nodes in ``buckets``. The first round takes half of the bands: what it links leaves the other half's buckets done."""
-    left, waiting = buckets.where(F.col("band") < BANDS // 2), buckets.where(F.col("band") >= BANDS // 2)
-    tested = labels = None
-    turn, moved = 0, False
+    """Classes (node, class) of the linked nodes in ``buckets`` (bucket, node, band, pivot).
+
+    The first round takes half of the bands: what it links leaves the other half's buckets done.
+    """
+    first = buckets.where(F.col("band") < BANDS // 2).select("node", "pivot")
+    labels, tested = _linked_more(None, _compared(first.where("node <> pivot"), None, texts), similarity)
+    left = buckets.where((F.col("band") >= BANDS // 2) | (F.col("node") != F.col("pivot"))).select("bucket", "node")
+    turn, sizes = 1, None
     while True:
-        last, turn = False, turn + 1
-        if waiting is not None:  # every node is a class of its own
-            open_ = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1").select("bucket", "pivot")
-            classed = left.join(open_, "bucket").withColumn("pivots", F.array(F.struct(F.col("pivot").alias("node"))))
-            pairs = classed.where(F.col("node") != F.col("pivot"))
-        else:
-            classed = left if labels is None else left.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
-            classed = staged(classed if labels is not None else classed.withColumn("class", F.col("node")), "classed")
-            # a member of the largest class, drawn at random, so that those just beyond one pivot meet others; and of more and more other classes
-            drawn = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn)), "node"))
-            sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), drawn.alias("drawn")).select("bucket", "class", "n", "drawn.node")
-            named = [F.max(F.struct("n", "node", "class"))] + [F.min(F.struct(F.xxhash64("class", F.lit(turn), F.lit(i)), "node", "class")) for i in range(1, min(PIVOTS, 2 ** max(turn - 2, 0)))]
-            pivots = F.array_distinct(F.array(*(F.struct(x.getField("node").alias("node"), x.getField("class").alias("class")) for x in named)))
-            open_ = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), pivots.alias("pivots")).where(F.col("n") * F.col("n") > F.col("nn"))
-            open_ = staged(open_.select("bucket", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), "pivots"), "open")
-            pairs_left = open_.agg(F.sum("pairs")).first()[0]
-            if not pairs_left:
-                return labels
-            last = pairs_left <= FEW * total
-            if not last and not moved:
-                met = classed.join(open_, "bucket", "left_semi").select("node").distinct()
-                left, moved = by_rare_shingles(texts.join(met, texts.id == met.node, "left_semi"), similarity), True
-                continue
-            classed = classed.join(open_.drop("pairs"), "bucket")
-            if last:
-                pairs = _outside_largest(classed).where(F.col("class") != F.col("pivot_class"))
-            else:
-                pairs = classed.select("node", "class", F.explode("pivots").alias("_pivot")).where(F.col("class") != F.col("_pivot.class")).select("node", F.col("_pivot.node").alias("pivot"))
-        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        a, b = (texts.select(F.col("id").alias(x), F.col("units").alias(f"units_{x}")) for x in "ab")
-        found = staged(_similarity(pairs.join(b, "b").join(a, "a")).where(F.col("similarity") >= similarity).select("a", "b"), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if not found.isEmpty():
-            labels = merged(labels, found)
-        if last:
+        turn += 1
+        classed = staged(_classed(left, labels), "classed")
+        open_ = staged(_open_buckets(classed, turn), "open")
+        pairs_left = open_.agg(F.sum("pairs")).first()[0]
+        if not pairs_left:
             return labels
-        left = classed.where(~F.array_contains("pivots.node", F.col("node"))).select("bucket", "node")
-        if waiting is not None:
-            left, waiting = left.unionByName(waiting.select("bucket", "node")), None
+        classed = classed.join(open_.drop("pairs"), "bucket")
+        if pairs_left <= FEW * total:
+            pairs = _outside_largest(classed).where(F.col("class") != F.col("pivot_class"))
+            return _linked_more(labels, _compared(pairs, tested, texts), similarity)[0]
+        if sizes is None:
+            sizes = staged(shared_sizes(texts.join(classed.select("node").distinct(), "node", "left_semi")), "sizes")
+            left = staged(within_reach(classed.select("bucket", "node"), sizes, similarity), "reach")
+            continue
+        met = classed.select("bucket", "node", "class", F.posexplode("pivots").alias("nth", "pivot"))
+        met = met.where((F.col("node") != F.col("pivot.node")) & ((F.col("nth") == 0) | (F.col("class") != F.col("pivot.class"))))
+        found = _compared(met.select("node", F.col("pivot.node").alias("pivot")), None, texts)
+        labels, tested = _linked_more(labels, found, similarity, tested)
+        left = staged(_with_common(classed, found), "left")
+        reached = staged(_reached(_classed(left, labels), similarity), "reached")
+        if (reached.agg(F.sum("n")).first()[0] or 0) <= REACH * total:
+            pairs = _reached_pairs(reached, _classed(left, labels), similarity)
+            return _linked_more(labels, _compared(pairs, tested, texts), similarity)[0]
+
+
+def _classed(left: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``left`` with the ``class`` of each node so far."""
+    if labels is None:
+        return left.withColumn("class", F.col("node"))
+    return left.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
+
+
+def _with_common(classed: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets without their pivots; ``common`` is their overlap with the first pivot, ``own`` what they share beside it with others."""
+    first = F.get("pivots", F.lit(0)).getField("node")
+    rows = classed.where(~F.array_contains("pivots.node", F.col("node"))).select("bucket", "node", "size", "shared", F.least(first, "node").alias("a"), F.greatest(first, "node").alias("b"))
+    rows = rows.join(found.select("a", "b", "common"), ["a", "b"])
+    return rows.select("bucket", "node", "size", "shared", "common", F.greatest(F.col("shared") - F.col("common"), F.lit(0)).alias("own"))
+
+
+def _log(size: Column, slack: float = 0.0) -> Column:
+    return F.floor(F.log(F.greatest(size.cast("double"), F.lit(1.0))) / np.log(STEP) + slack)
+
+
+def _reached(classed: DataFrame, similarity: float) -> DataFrame:
+    """Nodes outside their bucket's largest class (``x``) with each ``cell`` of the bucket that may hold a node to link them to, and its rows ``n``.
+
+    A cell is the nodes of a bucket with about the same ``common``; a bucket has some hundreds at most.
+    """
+    classed = classed.withColumn("cell", _log(F.col("common")))
+    largest = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("largest"), F.count(F.lit(1)).alias("classes"))
+    x = classed.join(largest.where("classes > 1"), "bucket").where(F.col("class") != F.col("largest.class"))
+    x = x.select("bucket", F.struct("node", "class", "size", "common", "own").alias("x"))
+    cells = classed.groupBy("bucket", "cell").agg(F.struct(F.min("size").alias("size"), F.max("common").alias("common"), F.max("own").alias("own")).alias("y"), F.count(F.lit(1)).alias("n"))
+    x, cells = x.alias("x"), cells.alias("c")
+    near = (F.col("x.bucket") == F.col("c.bucket")) & _may_link(F.col("x.x"), F.col("c.y"), similarity)
+    return x.join(cells, near).select("x.bucket", "x.x", "c.cell", "c.n")
+
+
+def _may_link(x: Column, y: Column, similarity: float) -> Column:
+    """Whether the overlap that bags x and y need is no more than they may have: within the pivot, and beside it."""
+    need = similarity / (1 + similarity) * (x.getField("size") + y.getField("size"))
+    most = F.least(x.getField("common"), y.getField("common")) + F.least(x.getField("own"), y.getField("own"))
+    return need <= most + 1e-6
+
+
+def _reached_pairs(reached: DataFrame, classed: DataFrame, similarity: float) -> DataFrame:
+    """``node`` and ``pivot``: nodes of ``reached`` with all of another class that they may be linked to, in the first bucket that both are in."""
+    of = classed.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))  # BANDS at most
+    x = reached.select("bucket", "cell", "x").join(of.select(F.col("node").alias("_node"), "buckets"), F.col("x.node") == F.col("_node"))
+    y = classed.join(of, "node").select("bucket", _log(F.col("common")).alias("cell"), F.struct("node", "class", "size", "common", "own").alias("y"), "buckets")
+    x, y = x.alias("x"), y.alias("y")
+    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.x.class") != F.col("y.y.class"))
+    once = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
+    return x.join(y, meet & _may_link(F.col("x.x"), F.col("y.y"), similarity) & once).select(F.col("x.x.node").alias("node"), F.col("y.y.node").alias("pivot"))
+
+
+def _open_buckets(classed: DataFrame, turn: int) -> DataFrame:
+    """``bucket``, how many ``pairs`` of nodes of different classes it has if any, and its ``pivots``.
+
+    A pivot is a member of the largest class, drawn at random, so that those just beyond one pivot meet others, or where
+    it is known what bags share, the one with least of its own, so that bounds are close; and one of more and more other classes.
+    """
+    by = F.col("size") - F.col("shared") if "shared" in classed.columns and turn == 3 else F.xxhash64("node", "bucket", F.lit(turn))
+    sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(by, "node")).alias("drawn")).select("bucket", "class", "n", "drawn.node")
+    others = range(1, min(PIVOTS, 2 ** max(turn - 2, 0)))
+    named = [F.max(F.struct("n", "node", "class")), *(F.min(F.struct(F.xxhash64("class", F.lit(turn), F.lit(i)), "node", "class")) for i in others)]
+    pivots = F.array_distinct(F.array(*(F.struct(x.getField("node").alias("node"), x.getField("class").alias("class")) for x in named)))
+    found = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), pivots.alias("pivots"))
+    return found.where(F.col("n") * F.col("n") > F.col("nn")).select("bucket", ((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), "pivots")
+
+
+def _compared(pairs: DataFrame, tested: DataFrame | None, texts: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``common`` and ``total`` of ``pairs`` (node, pivot) that weren't ``tested`` before."""
+    pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    pairs = staged(pairs, "pairs")
+    a, b = (texts.select(F.col("node").alias(x), F.col("units").alias(f"units_{x}")) for x in "ab")
+    return staged(_overlaps(pairs.join(b, "b").join(a, "a")), "overlaps")
+
+
+def _linked_more(labels: DataFrame | None, found: DataFrame, similarity: float, tested: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame]:
+    """``labels`` after the links among the pairs ``found``, and all pairs tested so far."""
+    links = found.where(F.col("common") >= similarity * F.col("total")).where("total > 0").select("a", "b")
+    if not links.isEmpty():
+        labels = merged(labels, links)
+    pairs = found.select("a", "b")
+    return labels, pairs if tested is None else tested.unionByName(pairs)
 
 
 def _outside_largest(classed: DataFrame) -> DataFrame:
@@ -350,8 +405,10 @@ def _outside_largest(classed: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class, that of the least id. Rows without an id stay; of rows that share a kept id one stays."""
-    classes = near_duplicate_classes(docs, id=id, text=text, similarity=similarity)
-    kept = classes.where(F.col(id) == F.col("class_id")).select(id).distinct()
-    one = docs.where(F.col(id).isNotNull()).join(kept, id, "left_semi").dropDuplicates([id])
+    """``docs`` with one document of each class, that of the least id. Rows without an id stay; of rows that agree in a kept id and text one stays."""
+    rows = _marked(docs, id, text)
+    marks = _marks(rows)
+    kept = _classes(marks, rows, similarity).select(F.col("class.id").alias("_kept"), F.col("class.mark").alias("_mark")).distinct()
+    own = docs.where(F.col(id).isNotNull()).withColumn("_own", F.sha1(F.coalesce(F.col(text), F.lit(""))))
+    one = own.join(kept, (F.col(id) == F.col("_kept")) & (F.col("_own") == F.col("_mark")), "left_semi").dropDuplicates([id, "_own"]).drop("_own")
     return one.unionByName(docs.where(F.col(id).isNull()))

@@ -100,6 +100,27 @@ def test_repetition_against_brute_force(docs, none):
     assert repetition.judge(repetition.with_repetition(none)).count() == 0
 
 
+def test_quality_columns_and_both_verdicts(spark):
+    """Base columns as by brute force on odd texts; texts that pass the base and fail each rule of the method, and ones near them that stay."""
+    w = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    texts = {
+        1: w(0, 400), 2: f"{w(0, 20)} {w(100, 160)} {w(0, 20)}", 3: f"{w(0, 9)} {w(100, 200)} {w(0, 9)}", 4: f"{w(0, 4900)} {w(10000, 25100)} {w(0, 4900)}", 5: f"{w(0, 300)} {w(1000, 9000)} {w(0, 300)}",
+        6: "a # b\n\na # b\n $% \n $% \nA", 7: "", 8: None, 9: "é" * 7 + " \u2003x\x0by", 10: "one\none\n" * 30,
+    }
+    found = {r.doc_id: r for r in repetition.judge(repetition.with_repetition(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))).collect()}
+    for i, text in texts.items():
+        words = WORD.findall(text or "")
+        assert found[i].n_words == len(words) and found[i].word_chars == sum(map(len, words))
+        assert found[i].n_symbols == sum(c in "#*$%&|<>" for c in text or "")
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        assert found[i].n_dup_lines == len(lines) - len(set(lines))
+        seen = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+        again = {j for k in range(len(words) - 2) if seen[tuple(words[k : k + 3])] > 1 for j in range(k, k + 3)}
+        assert found[i].n_repeat_words == len(again)
+        assert found[i].base_failed == (len(words) < 50 or 100 * len(again) > 50 * len(words))
+    assert {i: r.kept for i, r in found.items() if not r.base_failed} == {1: True, 2: False, 3: True, 4: False, 5: True}
+
+
 def test_toxicity_learns_misspellings(spark, docs, none):
     rnd = random.Random(3)
     clean = lambda n: " ".join("".join(rnd.choice(["an", "th", "or", "es", "un"]) for _ in range(rnd.randint(1, 4))) for _ in range(n))
@@ -233,7 +254,7 @@ def test_last_round_looks_at_few_pairs(spark):
     assert len(met) <= 2 * len(wanted)
 
 
-def test_near_duplicates_by_rare_shingles(spark, monkeypatch):
+def test_near_duplicates_of_edits_near_the_threshold(spark, monkeypatch):
     """Edits of one text on both sides of the threshold, and never few enough pairs to compare at once: classes as by brute force."""
     monkeypatch.setattr(bagminhash, "FEW", 0)
     rnd = random.Random(8)
@@ -256,10 +277,36 @@ def test_near_duplicates_by_rare_shingles(spark, monkeypatch):
                 todo += near[k]
     found = bagminhash.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.class_id for r in found} == wanted
-    data, offsets = spans.text_bytes(pa.array(texts))
-    keys, owner = bagminhash.rare_keys(*bagminhash.shingle_bags(data, offsets), len(texts), np.full(bagminhash.SLOTS, 2), 0.8)
-    held = [set(keys[owner == i].tolist()) for i in range(len(texts))]
-    assert all(held[i] & held[j] for i in range(len(texts)) for j in near[i])
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    """Rows that share an id but not a text, rows that repeat, null ids, extra columns with names used inside; one row of each class stays."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long, 1), (1, "another text altogether", 2), (1, long, 1), (2, long + " end", 3), (None, long, 4), (None, None, 5), (3, None, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node int").withColumn("mark", F.lit("x")).withColumn("class", F.lit(1))
+    found = sorted(((r.doc_id, r.class_id) for r in bagminhash.near_duplicate_classes(df).collect()), key=str)
+    assert found == sorted([(1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (None, None), (None, None)], key=str)
+    kept = bagminhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.node for r in kept.collect())) == [1, 2, 4, 5, 6]
+
+
+def test_bounds_lose_no_link(spark):
+    """Whatever may be linked passes the bounds from a pivot's overlap and from shared members."""
+    rnd = random.Random(9)
+    base = list(range(100))
+    sets = [{*rnd.sample(base, rnd.randrange(70, 101)), *(1000 * rnd.randrange(1, 60) + k for k in range(rnd.randrange(25)))} for _ in range(80)]
+    texts = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, units array<long>")
+    sizes = {r.node: r for r in bagminhash.shared_sizes(texts).collect()}
+    for i, s in enumerate(sets):
+        assert sizes[i].size == len(s) and sizes[i].shared == len({x for x in s if any(x in t for j, t in enumerate(sets) if j != i)})
+    rows = spark.createDataFrame([("b", i, i, sizes[i].size, sizes[i].shared, len(s & sets[0])) for i, s in enumerate(sets) if i], "bucket string, node long, class long, size int, shared long, common long")
+    rows = rows.withColumn("own", F.greatest(F.col("shared") - F.col("common"), F.lit(0)))
+    pairs = {frozenset((r.node, r.pivot)) for r in bagminhash._reached_pairs(bagminhash._reached(rows, 0.8), rows, 0.8).collect()}
+    links = {frozenset((i, j)) for i in range(1, len(sets)) for j in range(1, i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert links and links <= pairs and len(pairs) < 79 * 78 / 2
+    held = {r.node for r in bagminhash.within_reach(rows.select("bucket", "node"), bagminhash.shared_sizes(texts), 0.8).collect()}
+    assert {i for p in links for i in p} <= held
 
 
 def test_signatures_are_unbiased():
