@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from . import spans
 from .staging import staged
 
-#: Units of text that a worker remembers the ids of, at most; then it starts anew.
-REMEMBERED = 300_000
+#: Units of text that a task remembers the ids of, at most; then it starts anew.
+REMEMBERED = 100_000
 _RUNS = "length int, rank_from long, rank_to long, first_sequence long, per_sequence int, room_used int"
 
 
@@ -133,31 +133,42 @@ def best_fit_pack(pieces: DataFrame, *, capacity: int = 2048, length: str = "len
 UNIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def unit_encoding(path: str):
+def unit_encoding(vocab: dict[str, int]):
     """The same vocabulary in ``tiktoken``, which takes short strings far faster: there a merge ranks by the id it makes."""
-    import json
-
     import tiktoken
 
     from .bpe_count import byte_symbols
 
-    with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
     byte = {c: b for b, c in enumerate(byte_symbols())}
     ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items()}
     return tiktoken.Encoding("units", pat_str=UNIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class UnitIds(dict):
-    """Maps a unit of text to its ids as bytes, and remembers it. A unit is a space and what follows it up to the next space."""
+    """Maps a unit of text to its ids as bytes, and remembers it. A unit is a space and what follows it up to the next space.
+
+    It lives as long as a task, so that the worker's next stage has its memory.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import json
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.path = path
+        self.specials = [t["content"] for t in file["added_tokens"]]
         self.mixed = re.compile(r"\s (?:\s|$)")
-        self.encoding = unit_encoding(path)
+        self.encoding = unit_encoding(file["model"]["vocab"])
+
+    @cached_property
+    def tokenizer(self):
+        """Only made where a text needs it."""
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def __missing__(self, unit: str) -> bytes:
         """unit: without the space."""
@@ -179,15 +190,6 @@ class UnitIds(dict):
         return b"".join([array("I", self.encoding.encode_ordinary(first)).tobytes(), *map(self.__getitem__, rest)])
 
 
-@cache
-def unit_ids(path: str) -> UnitIds:
-    """One for each worker process."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return UnitIds(path)
-
-
 def tokenize_pieces(docs: DataFrame, path: str, *, id: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Token ids of each text by the ``tokenizers`` file at ``path``, closed by ``end_id``, in pieces of at most ``capacity``.
 
@@ -199,10 +201,10 @@ def tokenize_pieces(docs: DataFrame, path: str, *, id: str = "doc_id", text: str
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = unit_ids(path)
+        own = UnitIds(path)
         for batch in batches:
             _, offsets = spans.text_bytes(batch.column(1))
-            for i, j in spans.blocks(offsets, 2 << 20):
+            for i, j in spans.blocks(offsets):
                 doc, piece, start, length, ids = [], [], [], [], []
                 for k, found in enumerate(batch.column(1).slice(i, j - i).to_pylist()):
                     found = own.encode(found or "") + end

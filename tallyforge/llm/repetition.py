@@ -20,11 +20,12 @@ from . import spans
 
 #: A repeat counts from this many words on.
 MIN_REPEAT = 10
-#: Share of the word characters that repeats may cover.
-MAX_COVERED = 0.5
+#: Share of the word characters that repeats may cover, all occurrences counted: the published rule for ten-word
+#: repeats allows 10 % without the first occurrence, which is about twice that with it.
+MAX_COVERED = 0.2
 #: Words that the longest repeat may have, and its share of the text's words; a text fails beyond both.
 MAX_REPEAT_WORDS = 100
-MAX_REPEAT_SHARE = 0.25
+MAX_REPEAT_SHARE = 0.05
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True

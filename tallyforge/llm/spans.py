@@ -17,7 +17,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _K = 0x9E3779B97F4A7C15 | 1
 _K_INVERSE = pow(_K, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -51,7 +51,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of texts with about ``most`` bytes each; a longer text stands alone."""
     i, n = 0, len(offsets) - 1
     while i < n:

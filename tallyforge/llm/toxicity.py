@@ -12,7 +12,6 @@ With two classes only the difference of the class weights matters, so a bucket a
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,13 +30,15 @@ BUCKETS = 1 << 17
 DIM = 8
 N_GRAMS = (3, 4, 5)
 WINDOW = 8
-EPOCHS = 5
+#: Gradient steps that a fit takes about, whatever the rows: fewer rows are gone through more often.
+STEPS = 800
+BATCH = 64
 #: Squared gradient that an embedding starts with: n-grams seen a few times move little, so chance company of an insult isn't learned.
 FLOOR = 0.01
 #: Score from which on a text is toxic.
 THRESHOLD = 0.7
-#: Words that a worker remembers at most; then it starts anew.
-REMEMBERED = 300_000
+#: Words that a task remembers at most; then it starts anew.
+REMEMBERED = 100_000
 
 _STRIP = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
@@ -92,7 +93,7 @@ def window_starts(sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarra
     return (np.cumsum(sizes) - sizes)[owner] + within * window, owner
 
 
-def fit(texts: list[str], labels: np.ndarray, *, buckets: int = BUCKETS, dim: int = DIM, window: int = WINDOW, epochs: int = EPOCHS, rate: float = 0.4, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: np.ndarray, *, buckets: int = BUCKETS, dim: int = DIM, window: int = WINDOW, epochs: int | None = None, rate: float = 0.4, seed: int = 7) -> Model:
     """Embeddings and softmax weights by Adagrad on the likelihood of the labels; the same input gives the same model."""
     rng = np.random.default_rng(seed)
     index: dict[str, int] = {}
@@ -106,10 +107,12 @@ def fit(texts: list[str], labels: np.ndarray, *, buckets: int = BUCKETS, dim: in
     soft = rng.choice([-0.5, 0.5], (dim, 1)) * [1.0, -1.0]
     emb_sq, soft_sq, bias_sq = np.full(buckets, FLOOR), np.full((dim, 2), 1.0), 1.0
     labels = np.asarray(labels, float)
+    steps = max(1, len(texts) // BATCH)
+    epochs = epochs or -(-STEPS // steps)
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
         step = rate * (1 - epoch / epochs)
-        for part in np.array_split(order, max(1, len(order) // 64)):
+        for part in np.array_split(order, steps):
             part = part[[len(ids[k]) > 0 for k in part]]
             if not len(part):
                 continue
@@ -189,26 +192,20 @@ def score_texts(own: WordLogits, texts: list[str]) -> np.ndarray:
     return -np.expm1(np.bincount(owner, -np.logaddexp(0, logit), len(texts)))
 
 
-_workers: dict[int, WordLogits] = {}
-
-
 def with_score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability that the text is toxic. Null texts and those without words have 0; an own column of that name gives way."""
     docs = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
-    token = zlib.crc32(model.weights.tobytes())
     names = docs.columns
     place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _workers:
-            _workers.clear()
-            _workers[token] = WordLogits(shared.value)
+        own = WordLogits(shared.value)  # as long as the task, so that the worker's next stage has its memory
         for batch in batches:
             _, offsets = spans.text_bytes(batch.column(place))
             for i, j in spans.blocks(offsets):
                 part = batch.slice(i, j - i)
-                score = score_texts(_workers[token], [x or "" for x in part.column(place).to_pylist()])
+                score = score_texts(own, [x or "" for x in part.column(place).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*names, out])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
