@@ -1,10 +1,12 @@
 """LM scoring: an interpolated modified Kneser-Ney n-gram model, counted and looked up in Spark.
 
 Texts are held as chunks of a few megabytes with their word hashes. For each order from the highest down, a chunk sends its
-distinct n-grams (64-bit hashes) with their counts to shards of the hash range. A shard merges what it gets into sorted hash arrays,
-writes them to a file that it maps into memory, and looks up every chunk's n-grams there: the total count, and whether the chunk is the
-one (of those that have it) to speak for that n-gram. So each distinct n-gram adds one to the count of its suffix and to the statistics of its
-context in the next round, which is what Kneser-Ney smoothing counts. Nothing is pruned; a frequent n-gram is one entry for each chunk.
+distinct n-grams (64-bit hashes) with their counts to shards of the hash range. A shard merges what it gets into sorted hash arrays
+and stores them as a file of the model in the shared folder. It maps this file into memory and looks up every chunk's n-grams there: the
+count, and whether the chunk is the one (of those that have it) to speak for that n-gram. So each distinct n-gram adds one to the count
+of its suffix and to the statistics of its context in the next round, which is what Kneser-Ney smoothing counts. Nothing is
+pruned; a frequent n-gram is one entry for each chunk. ``score_with`` scores other texts by a stored model in the same way:
+their n-grams go to the shards, whose workers map the files.
 
 A text of tokens w is scored as sum log10 p(w | the n - 1 tokens before), each text alone, with an end token that counts and begin
 tokens that don't. Tokens not seen in training share one place of the V + 1 of the uniform distribution at the bottom.
@@ -13,20 +15,21 @@ tokens that don't. Tokens not seen in training share one place of the V + 1 of t
 from __future__ import annotations
 
 import functools
-import os
-import tempfile
+import json
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
-from .staging import staged
+from .staging import fresh_path, staged
 
 ORDER = 3
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
@@ -38,16 +41,43 @@ _CHUNK = "chunk long, ids array<long>, train array<boolean>, sizes array<long>,
 _STATS = ["n1", "n2", "n3", "n4", "more", "total", "kinds", "raw_total"]
 
 
-def pack(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit numbers, stored byte plane by byte plane and compressed, so small numbers cost little."""
-    data = np.stack([c.astype(np.uint64) for c in columns]).view(np.uint8).reshape(len(columns), -1, 8)
-    return len(columns).to_bytes(2, "little") + zstandard.compress(np.ascontiguousarray(data.transpose(0, 2, 1)).tobytes(), 1)
+def _narrow(column: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in the least width that holds them."""
+    most = int(column.max(initial=0))
+    return column.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max))
 
 
-def unpack(blob: bytes) -> np.ndarray:
-    k = int.from_bytes(blob[:2], "little")
-    planes = np.frombuffer(zstandard.decompress(blob[2:]), np.uint8).reshape(k, 8, -1)
-    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64).reshape(k, -1)
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers in their least widths, stored byte plane by byte plane and compressed."""
+    columns = [_narrow(c) for c in columns]
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T) for c in columns]
+    return bytes([len(columns), *(c.itemsize for c in columns)]) + zstandard.compress(b"".join(planes), 1)
+
+
+def unpack(blob: bytes) -> list[np.ndarray]:
+    widths = blob[1 : 1 + blob[0]]
+    data = np.frombuffer(zstandard.decompress(blob[1 + len(widths) :]), np.uint8)
+    n, at, out = len(data) // sum(widths), 0, []
+    for w in widths:
+        out.append(np.ascontiguousarray(data[at : at + w * n].reshape(w, n).T).view(f"<u{w}").ravel())
+        at += w * n
+    return out
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and each value's place among them. Sorts positions along in the low bits, which is several times faster than to sort indices."""
+    n = len(values)
+    mask = np.uint64((1 << max(1, (n - 1).bit_length())) - 1)
+    mixed = values & ~mask | np.arange(n, dtype=np.uint64)
+    mixed.sort()
+    at = (mixed & mask).astype(np.int64)
+    ordered = values[at]
+    if (ordered[1:] < ordered[:-1]).any():  # two values agree in all high bits
+        return np.unique(values, return_inverse=True)
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
+    place = np.empty(n, np.int64)
+    place[at] = np.cumsum(new) - 1
+    return ordered[new], place
 
 
 def as_chunks(docs: DataFrame, id: str, text: str, train: str) -> DataFrame:
@@ -64,7 +94,7 @@ def as_chunks(docs: DataFrame, id: str, text: str, train: str) -> DataFrame:
                 sizes = np.bincount(owner, minlength=j - i) + 1
                 tokens = np.full(sizes.sum(), END)
                 tokens[np.arange(len(words)) + owner] = words
-                kinds, place = np.unique(tokens, return_inverse=True)
+                kinds, place = distinct(tokens)
                 kept, places = pack(np.diff(kinds, prepend=np.uint64(0))), pack(place)
                 blob = len(kept).to_bytes(8, "little") + kept + places
                 lists = [pa.array([batch.column(c).slice(i, j - i).to_pylist()], t) for c, t in ((0, pa.list_(pa.int64())), (1, pa.list_(pa.bool_())))]
@@ -74,77 +104,83 @@ def as_chunks(docs: DataFrame, id: str, text: str, train: str) -> DataFrame:
 
 
 class Chunk:
-    """The n-grams of a chunk: for each order their hashes by position, and those of their contexts."""
+    """The n-grams of a chunk: for each order their hashes by position."""
 
     def __init__(self, sizes: np.ndarray, train: np.ndarray, blob: bytes, order: int):
         n = int.from_bytes(blob[:8], "little")
         kinds = np.cumsum(unpack(blob[8 : 8 + n])[0], dtype=np.uint64)
-        words = kinds[unpack(blob[8 + n :])[0].astype(np.int64)]
-        first = np.cumsum(sizes) - sizes
+        words = kinds[unpack(blob[8 + n :])[0]]
+        self.first = np.cumsum(sizes) - sizes
         self.train = np.repeat(train, sizes)
         self.owner = np.repeat(np.arange(len(sizes)), sizes)
-        self.grams, self.contexts = [words], [np.zeros(len(words), np.uint64)]
-        self.begins = [BEGIN]
+        self.grams, self.begins = [words], [BEGIN]
         self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in range(2, order + 1):
+        for _ in range(2, order + 1):
             before = np.roll(self.grams[-1], 1)
-            before[first] = self.begins[-1]
-            self.contexts.append(before)
+            before[self.first] = self.begins[-1]
             self.grams.append(spans.join_hashes(before, words))
             self.begins.append(spans.join_hashes(np.array([self.begins[-1]]), np.array([BEGIN]))[0])
 
     def keys(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct n-grams of order k (and the begin context of the next order), and the place of each position's."""
+        """Sorted distinct n-grams of order k (and the begin context of the next order), and the place of each position's; the last is that of the begin."""
         if k not in self.known:
-            kinds, place = np.unique(np.append(self.grams[k - 1], self.begins[k - 1]), return_inverse=True)
-            self.known[k] = kinds, place[:-1].astype(np.uint32)
+            keys, place = distinct(np.append(self.grams[k - 1], self.begins[k - 1]))
+            self.known[k] = keys, place.astype(np.uint32)
         return self.known[k]
 
+    def contexts(self, k: int) -> np.ndarray:
+        """For each position, the place among the keys of order k - 1 of its n-gram's context."""
+        place = self.keys(k - 1)[1]
+        before = np.roll(place[:-1], 1)
+        before[self.first] = place[-1]
+        return before
+
 
 def _edges(shards: int) -> np.ndarray:
     return np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
 
 
-def contributions(chunk: Chunk, k: int, order: int, above: np.ndarray | None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """What a chunk says of its keys of order k: count, sum and 1, 2, 3+ kinds of what follows as a context, count in training (order 1)."""
+def contributions(chunk: Chunk, k: int, order: int, above: list[np.ndarray] | None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What a chunk says of its keys of order k: the count; below the highest order, sum and 1, 2, 3+ kinds of what follows as a context; at order 1, the count in training."""
     keys, place = chunk.keys(k)
     n = len(keys)
-    zero = np.zeros(n, np.int64)
-    raw = np.bincount(place[chunk.train], minlength=n)
+    raw = np.bincount(place[:-1][chunk.train], minlength=n) if k in (1, order) else None
     if k == order:
-        return keys, [raw, zero, zero, zero, zero, raw]
-    own, count = above[1], above[0]
+        return keys, [raw, *([np.zeros(n, np.int64)] * 4 + [raw] if k == 1 else [])]
+    count, own = above[:2]
     upper, at = chunk.keys(k + 1)
     one = np.zeros(len(upper), np.int64)  # a position for each distinct n-gram above
-    one[at] = np.arange(len(at))
+    one[at[:-1]] = np.arange(len(at) - 1)
     speak = np.flatnonzero((own > 0) & (count > 0))
     where, count = one[speak], count[speak].astype(np.int64)
-    suffix = place[where]
-    context = np.searchsorted(keys, chunk.contexts[k][where])
+    context = chunk.contexts(k + 1)[where]
     kinds = [np.bincount(context[count == c], minlength=n) for c in (1, 2)] + [np.bincount(context[count > 2], minlength=n)]
-    return keys, [np.bincount(suffix, minlength=n), np.bincount(context, count, n).astype(np.int64), *kinds, raw if k == 1 else zero]
+    found = [np.bincount(place[where], minlength=n), np.bincount(context, count, n).astype(np.int64), *kinds]
+    return keys, [*found, raw] if k == 1 else found
 
 
 def _chunk_of(row: dict, order: int) -> Chunk:
     return Chunk(np.array(row["sizes"]), np.array(row["train"], bool), row["tokens"], order)
 
 
-def _joined(blobs: list[dict]) -> np.ndarray:
-    """The columns of all shards in order, in 32 bits where they fit."""
+def _joined(blobs: list[dict]) -> list[np.ndarray]:
+    """The columns of all shards in order."""
     parts = [unpack(x["blob"]) for x in sorted(blobs, key=lambda x: x["shard"])]
-    small = max(int(p.max(initial=0)) for p in parts) < 1 << 32
-    return np.concatenate([p.astype(np.uint32) if small else p for p in parts], axis=1)
+    return [np.concatenate(columns) for columns in zip(*parts)]
+
+
+def _by_shard(chunk: int, keys: np.ndarray, values: list[np.ndarray], edges: np.ndarray) -> pa.Table:
+    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+    found = [(s, pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    return pa.table([pa.array([s for s, _ in found], pa.int32()), pa.array([chunk] * len(found), pa.int64()), pa.array([x for _, x in found], pa.binary())], names=["shard", "chunk", "blob"])
 
 
 def send(chunks: DataFrame, k: int, order: int, shards: int, replies: DataFrame | None = None) -> DataFrame:
     """(shard, chunk, blob) for order k; ``replies`` are those of order k + 1."""
     edges = _edges(shards)
 
-    def say(row: dict, above: np.ndarray | None) -> pa.Table:
-        keys, values = contributions(_chunk_of(row, order), k, order, above)
-        cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-        found = [(s, pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-        return pa.table([pa.array([s for s, _ in found], pa.int32()), pa.array([row["chunk"]] * len(found), pa.int64()), pa.array([x for _, x in found], pa.binary())], names=["shard", "chunk", "blob"])
+    def say(row: dict, above: list[np.ndarray] | None) -> pa.Table:
+        return _by_shard(row["chunk"], *contributions(_chunk_of(row, order), k, order, above), edges)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,39 +194,79 @@ def send(chunks: DataFrame, k: int, order: int, shards: int, replies: DataFrame
     return chunks.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(lambda one, met: say(one.to_pylist()[0], _joined(met.to_pylist())), schema)
 
 
-def answer(sent: DataFrame) -> DataFrame:
-    """For each shard and chunk the totals of its keys (count, whether it speaks, sum and kinds, count in training); with chunk -1 the shard's statistics."""
-    schema = "chunk long, shard int, blob binary, " + ", ".join(f"{c} long" for c in _STATS)
+def _store(path: str, columns: list[np.ndarray]) -> str:
+    """Writes sorted hashes and the columns beside them, each in its least width, as a file; returns what ``_mapped`` needs."""
+    columns = [columns[0], *map(_narrow, columns[1:])]
+    system, at = fs.FileSystem.from_uri(path)
+    system.create_dir(at.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(at) as out:
+        for c in columns:
+            out.write(np.ascontiguousarray(c).tobytes())
+    return json.dumps([path, len(columns[0]), [c.dtype.str for c in columns]])
+
+
+def _mapped(stored: str) -> list[np.ndarray]:
+    """The arrays of a stored shard, mapped where the shared folder is a mounted one, else read."""
+    path, n, kinds = json.loads(stored)
+    system, at = fs.FileSystem.from_uri(path)
+    if not n:
+        return [np.zeros(0, k) for k in kinds]
+    data = np.memmap(at, np.uint8, "r") if isinstance(system, fs.LocalFileSystem) else np.frombuffer(system.open_input_file(at).readall(), np.uint8)
+    ends = np.cumsum([0, *(n * np.dtype(k).itemsize for k in kinds)])
+    return [data[a:b].view(k) for a, b, k in zip(ends, ends[1:], kinds)]
+
+
+def _remove(stored: str) -> None:
+    system, at = fs.FileSystem.from_uri(json.loads(stored)[0])
+    system.delete_file(at)
+
+
+def _found(columns: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sorted ``keys`` in a stored shard, and which of them are there."""
+    at = np.searchsorted(columns[0], keys)
+    at[at == len(columns[0])] = 0
+    return at, columns[0][at] == keys if len(columns[0]) else np.zeros(len(keys), bool)
+
+
+def answer(sent: DataFrame, path: str, keep: bool) -> DataFrame:
+    """For each shard and chunk the totals of its keys (count, whether it speaks, then as ``contributions``); with chunk -1 the shard's file and statistics.
+
+    Without ``keep`` the file goes once the chunks are answered; it takes about twice the text's compressed size.
+    """
+    schema = "chunk long, shard int, blob binary, stored string, " + ", ".join(f"{c} long" for c in _STATS)
 
     def run(table: pa.Table) -> pa.Table:
         chunks, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
         order = sorted(range(len(chunks)), key=chunks.__getitem__)
         parts = []
         for i in order:
-            part = unpack(table.column("blob")[i].as_py())
-            parts.append((np.cumsum(part[0], dtype=np.uint64), part[1:].astype(np.int64)))
+            keys, *values = unpack(table.column("blob")[i].as_py())
+            parts.append((np.cumsum(keys, dtype=np.uint64), values))
         kinds = np.unique(np.concatenate([p[0] for p in parts]))
-        handle, path = tempfile.mkstemp()
-        try:
-            with os.fdopen(handle, "wb") as f:
-                f.write(kinds.tobytes())
-            keys = np.memmap(path, np.uint64, "r")
-            totals, spoken = np.zeros((6, len(keys)), np.int64), np.full(len(keys), -1, np.int64)
-            places = []
-            for i, (own, values) in enumerate(parts):
-                at = np.searchsorted(keys, own)
-                totals[:, at] += values
-                free = at[(values[0] > 0) & (spoken[at] < 0)]
-                spoken[free] = i
-                places.append(at)
-            del keys
-        finally:
-            os.remove(path)
-        out = [(chunks[i], shard, pack(totals[0][at], spoken[at] == n, *totals[1:][:, at]), *[None] * len(_STATS)) for n, (i, at) in enumerate(zip(order, places))]
-        count = totals[0]
-        out.append((-1, shard, None, *(int((count == c).sum()) for c in (1, 2, 3, 4)), int((count > 2).sum()), int(count.sum()), int((count > 0).sum()), int(totals[5].sum())))
-        types = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * len(_STATS)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["chunk", "shard", "blob", *_STATS])
+        totals = np.zeros((len(parts[0][1]), len(kinds)), np.int64)
+        spoken = np.full(len(kinds), len(parts), np.int32)
+        for i, (own, values) in enumerate(parts):
+            at = np.searchsorted(kinds, own)
+            for total, v in zip(totals, values):
+                total[at] += v
+            at = at[values[0] > 0]
+            spoken[at] = np.minimum(spoken[at], i)
+        held = totals.any(axis=0)  # the rest is in no training text
+        stored = _store(f"{path}/{shard}-{uuid.uuid4().hex}", [kinds[held], *totals[:, held]])
+        spoken, count = spoken[held], totals[0]
+        stats = [*(int((count == c).sum()) for c in (1, 2, 3, 4)), int((count > 2).sum()), int(count.sum()), int((count > 0).sum()), int(totals[-1].sum())]
+        del kinds, totals, count
+        columns, out = _mapped(stored), []
+        for n, (i, (own, _)) in enumerate(zip(order, parts)):
+            at, there = _found(columns, own)
+            looked = [np.where(there, c[at], 0) if len(c) else np.zeros(len(own), np.int64) for c in [columns[1], spoken == n, *columns[2:]]]
+            out.append((chunks[i], shard, pack(*looked), None, *[None] * len(_STATS)))
+        if not keep:
+            del columns
+            _remove(stored)
+        out.append((-1, shard, None, stored, *stats))
+        types = [pa.int64(), pa.int32(), pa.binary(), pa.string(), *[pa.int64()] * len(_STATS)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["chunk", "shard", "blob", "stored", *_STATS])
 
     return sent.groupBy("shard").applyInArrow(run, schema)
 
@@ -202,58 +278,119 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in enumerate(found, 1))
 
 
-def probabilities(chunk: Chunk, replies: list[np.ndarray], stats: list[dict], order: int) -> tuple[np.ndarray, np.ndarray]:
+def probabilities(chunk: Chunk, replies: list[list[np.ndarray]], stats: list[dict], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Model probability and training count of each token."""
     p = raw = None
     for k in range(1, order + 1):
-        _, place = chunk.keys(k)
+        place = chunk.keys(k)[1][:-1]
         reply, s = replies[k - 1], stats[k - 1]
         d = np.array([0, *discounts(s["n1"], s["n2"], s["n3"], s["n4"])])
-        count = reply[0][place].astype(np.int64)
-        taken = np.maximum(count - d[np.minimum(count, 3)], 0)
+        own = reply[0].astype(np.int64)
+        taken = np.maximum(own - d[np.minimum(own, 3)], 0)[place]
         if k == 1:
             raw = reply[6][place]
             whole = max(s["total"], 1)
             rest = (d[1] * s["n1"] + d[2] * s["n2"] + d[3] * s["more"]) / whole if s["total"] else 1.0
             p = taken / whole + rest / (s["kinds"] + 1)
         else:
-            lower = chunk.keys(k - 1)[0]
-            at = np.searchsorted(lower, chunk.contexts[k - 1])
-            below = replies[k - 2]
-            total = below[2][at].astype(np.int64)
-            rest = (d[1] * below[3][at] + d[2] * below[4][at] + d[3] * below[5][at]) / np.maximum(total, 1)
-            p = np.where(total > 0, taken / np.maximum(total, 1) + rest * p, p)
+            total, *kinds = (c.astype(np.int64) for c in replies[k - 2][2:6])
+            at = chunk.contexts(k)
+            rest = (d[1] * kinds[0] + d[2] * kinds[1] + d[3] * kinds[2]) / np.maximum(total, 1)
+            p = np.where((total > 0)[at], taken / np.maximum(total, 1)[at] + rest[at] * p, p)
     return p, raw
 
 
-def score_documents(docs: DataFrame, train: str, *, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
-    """``id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-half unigrams) and ``score`` (log10 of the model) of each row.
+@dataclass
+class Model:
+    """A stored model: its files (order, shard, stored), the number of shards, and the statistics of each order from 1 on."""
 
-    The model learns from rows where the column ``train`` is true. A null or empty text is the end token alone; rows
-    that repeat count and are scored each. Ids are whole numbers or null. Without training rows every token has probability 1.
-    """
-    chunks = staged(as_chunks(docs, id, text, train), "chunks")
+    files: DataFrame
+    shards: int
+    stats: list[dict]
+
+    @property
+    def order(self) -> int:
+        return len(self.stats)
+
+
+def _scored(chunks: DataFrame, told: DataFrame, stats: list[dict], id: str) -> DataFrame:
+    """Scores of the texts of ``chunks``; ``told`` (chunk, k, shard, blob) has the replies of all orders."""
+    order, n_train, n_kinds = len(stats), stats[0]["raw_total"], stats[0]["kinds"]
+
+    def run(one: pa.Table, met: pa.Table) -> pa.Table:
+        row = one.to_pylist()[0]
+        chunk, n = _chunk_of(row, order), len(row["ids"])
+        p, raw = probabilities(chunk, [_joined(met.filter(pc.equal(met.column("k"), k)).to_pylist()) for k in range(1, order + 1)], stats, order)
+        base = np.log10((raw + 0.5) / (n_train + 0.5 * (n_kinds + 1)))
+        base, score = (np.bincount(chunk.owner, v, n) for v in (base, np.log10(p)))
+        columns = [pa.array(row["ids"], pa.int64()), pa.array(row["sizes"], pa.int64()), pa.array(np.bincount(chunk.owner[raw > 0], minlength=n)), pa.array(np.full(n, n_train))]
+        return pa.table([*columns, pa.array(base), pa.array(score), pa.array(10 ** (-score / np.array(row["sizes"])))], names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+
+    schema = f"`{id}` long, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
+    return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def _learned(chunks: DataFrame, order: int, keep: bool) -> tuple[DataFrame, Model]:
+    """The replies to the chunks' n-grams of all orders (chunk, k, shard, blob), and the model, whose files are there only with ``keep``."""
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(4, -(-total // SHARD_TOKENS))
+    path = fresh_path(chunks.sparkSession, "model")
     replies: dict[int, DataFrame] = {}
     stats: dict[int, dict] = {}
-
     for k in range(order, 0, -1):
         sent = send(chunks, k, order, shards, replies.get(k + 1))
-        replies[k] = staged(answer(sent), f"order{k}")
+        replies[k] = staged(answer(sent, f"{path}/{k}", keep), f"order{k}")
         sums = replies[k].where("chunk = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS)).first()
         stats[k] = sums.asDict()
-    told = functools.reduce(DataFrame.unionByName, (replies[k].where("chunk >= 0").select("chunk", F.lit(k).alias("k"), "shard", "blob") for k in replies))
-    known = [stats[k] for k in range(1, order + 1)]
-    n_train, n_kinds = stats[1]["raw_total"], stats[1]["kinds"]
+    every = functools.reduce(DataFrame.unionByName, (replies[k].select("chunk", F.lit(k).alias("k"), "shard", "blob", "stored") for k in replies))
+    files = every.where("chunk = -1").select(F.col("k").alias("order"), "shard", "stored")
+    return every.where("chunk >= 0").drop("stored"), Model(files, shards, [stats[k] for k in range(1, order + 1)])
 
-    def run(one: pa.Table, met: pa.Table) -> pa.Table:
-        row = one.to_pylist()[0]
-        chunk, n = _chunk_of(row, order), len(row["ids"])
-        p, raw = probabilities(chunk, [_joined(met.filter(pc.equal(met.column("k"), k)).to_pylist()) for k in range(1, order + 1)], known, order)
-        base = np.log10((raw + 0.5) / (n_train + 0.5 * (n_kinds + 1)))
-        sums = [np.bincount(chunk.owner, v, n) for v in (base, np.log10(p))]
-        return pa.table([pa.array(row["ids"], pa.int64()), pa.array(row["sizes"], pa.int64()), pa.array(np.bincount(chunk.owner[raw > 0], minlength=n)), pa.array(np.full(n, n_train)), *map(pa.array, sums)], names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    schema = f"`{id}` long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, schema)
+def score_documents(docs: DataFrame, train: str, *, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+    """``id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-half unigrams), ``score`` (log10 of the model) and ``perplexity`` of each row.
+
+    The model learns from rows where the column ``train`` is true. A null or empty text is the end token alone; rows
+    that repeat count and are scored each. Ids are whole numbers or null. Other columns are not carried. Without training rows every token
+    has probability 1; an empty table gives no rows. The model is stored shard by shard while it answers; ``train_model`` keeps it.
+    """
+    chunks = staged(as_chunks(docs, id, text, train), "chunks")
+    told, model = _learned(chunks, order, keep=False)
+    return _scored(chunks, told, model.stats, id)
+
+
+def train_model(docs: DataFrame, *, id: str = "doc_id", text: str = "text", order: int = ORDER) -> Model:
+    """A model of all rows of ``docs``, stored in the shared folder."""
+    chunks = staged(as_chunks(docs.select(id, text).withColumn("_train", F.lit(True)), id, text, "_train"), "chunks")
+    return _learned(chunks, order, keep=True)[1]
+
+
+def score_with(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``score_documents``, of any texts by a stored model: each shard's worker maps its file and looks up the n-grams sent to it."""
+    order, edges = model.order, _edges(model.shards)
+    chunks = staged(as_chunks(docs.select(id, text).withColumn("_train", F.lit(False)), id, text, "_train"), "chunks")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                chunk = _chunk_of(row, order)
+                for k in range(1, order + 1):
+                    found = _by_shard(row["chunk"], chunk.keys(k)[0], [], edges)
+                    yield from found.append_column("order", pa.array([k] * len(found), pa.int32())).to_batches()
+
+    def look(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        files = stored.column("stored").to_pylist()
+        columns = _mapped(files[0]) if files else [np.zeros(0, np.uint64)] * 7
+        out = []
+        for row in asked.to_pylist():
+            keys = np.cumsum(unpack(row["blob"])[0], dtype=np.uint64)
+            at, there = _found(columns, keys)
+            looked = [np.where(there, c[at], 0) if len(c) else np.zeros(len(keys), np.int64) for c in columns[1:]]
+            out.append((row["chunk"], row["order"], row["shard"], pack(looked[0], np.zeros(len(keys), np.int64), *looked[1:])))
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, types)], names=["chunk", "k", "shard", "blob"])
+
+    asked = chunks.mapInArrow(ask, "shard int, chunk long, blob binary, order int")
+    told = asked.groupBy("order", "shard").cogroup(model.files.groupBy("order", "shard")).applyInArrow(look, "chunk long, k int, shard int, blob binary")
+    return _scored(chunks, told, model.stats, id)

@@ -52,7 +52,7 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.crc32(F.col("doc_id").cast("string")) % 5
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (rest != 1).alias("train"))
     scored = knlm.score_documents(docs, "train")
-    return scored.select("doc_id", (rest == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", (rest == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -189,6 +189,35 @@ def test_language_model(spark, none):
     assert knlm.score_documents(none.withColumn("train", F.lit(True)), "train").count() == 0
 
 
+def test_language_model_columns_and_stored_model(spark, docs, none):
+    """Base columns as by brute force; a stored model scores texts as the run that learned it; odd and repeated rows."""
+    rows = [(i, t, i % 5 != 1) for i, t, _ in EDGE] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    found = sorted(knlm.score_documents(df, "train").collect(), key=lambda r: r.doc_id)
+    tokens = {i: [*WORD.findall((t or "").lower()), None] for i, t, _ in EDGE}
+    counts = Counter(w for i, _, y in rows if y for w in tokens[i])
+    n = sum(counts.values())
+    for r in found:
+        own = tokens[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), n)
+        assert np.isclose(r.base_score, sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (len(counts) + 1))) for w in own))
+        assert np.isclose(r.perplexity, 10 ** (-r.score / r.n_tokens))
+    assert len(found) == 2 * len(EDGE)
+    model = knlm.train_model(df.where("train"))
+    again = {r.doc_id: tuple(r) for r in knlm.score_with(docs, model).collect()}
+    assert all(np.allclose(again[r.doc_id], tuple(r)) for r in found) and len(again) == len(EDGE)
+    assert knlm.score_with(none, model).count() == 0
+
+
+def test_distinct_and_pack():
+    rng = np.random.default_rng(1)
+    for values in (rng.integers(0, 1 << 63, 1000).astype(np.uint64), np.array([5, 4, 5, 7, 4, 6] * 50, np.uint64), np.array([3], np.uint64)):
+        keys, place = knlm.distinct(values)
+        assert (keys == np.unique(values)).all() and (keys[place] == values).all()
+        back = knlm.unpack(knlm.pack(values, place, np.zeros(len(values), int)))
+        assert (back[0] == values).all() and (back[1] == place).all() and not back[2].any()
+
+
 def test_archives(spark, tmp_path):
     big = "x" * 1500 + "\r\n\r\nWARC/1.1\r\né"
     rows = [(1, "http://a", big), (2, None, big), (3, "http://c d", "small"), (4, "http://e", "small"), (5, "http://f", None), (6, "http://g", big)]
