@@ -16,7 +16,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from copy import copy
-from functools import cache, lru_cache
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,12 @@ from . import spans
 MARK = "▁"
 #: What an uncovered character costs below the least score of the vocabulary, as in the format's own encoder (fixed value).
 UNKNOWN_PENALTY = 10.0
-#: Words that a worker remembers at most; then it starts anew.
-REMEMBERED = 400_000
+#: Words that a task remembers at most; then it starts anew.
+REMEMBERED = 150_000
 #: Distinct words that a task counts at most before it cuts them.
-COUNTED = 400_000
+COUNTED = 150_000
+#: Words that are cut side by side, and the bytes that such a word has at most.
+TOGETHER, SHORT = 20_000, 64
 #: Rounds of Viterbi training, and what a piece's count has on top.
 ROUNDS, SMOOTH = 1, 0.5
 _NORMAL, _USER, _BYTE = 1, 4, 6
@@ -145,6 +147,9 @@ class Unigram(dict):
     def _score(self, scores: np.ndarray) -> None:
         self.scores = scores.tolist()
         self.unknown = float(scores[self.normal].min()) - UNKNOWN_PENALTY
+        trie = self.trie
+        self.arrays = *(np.array(x, np.int64) for x in (trie.base, trie.check, trie.value)), np.asarray(scores, float)
+        self.byte_table = np.array([self.byte_ids.get(b, 0) for b in range(256)])
 
     def logs(self, weights: np.ndarray) -> np.ndarray:
         """Log probabilities of the pieces that a text is cut into, in proportion to ``weights``; 0 for other pieces."""
@@ -152,11 +157,12 @@ class Unigram(dict):
         out[self.normal] = np.log(weights[self.normal]) - np.log(weights[self.normal].sum())
         return out
 
-    def rescored(self, scores: np.ndarray) -> Unigram:
-        """The same pieces with other scores, and nothing remembered."""
+    def rescored(self, scores: np.ndarray | None) -> Unigram:
+        """The same pieces with other scores if any, and nothing remembered."""
         out = copy(self)
         out.clear()
-        out._score(scores)
+        if scores is not None:
+            out._score(scores)
         return out
 
     def words_of(self, text: str) -> list[str]:
@@ -204,9 +210,96 @@ class Unigram(dict):
             n = i
         return out[::-1]
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text, as bytes."""
-        return b"".join(map(self.__getitem__, self.words_of(text)))
+    def cuts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the best cuts of all words, one after the other, and how many each word has; the same as ``best`` gives word by word.
+
+        All words advance side by side: the trie is walked from every character at once, then positions are settled from left
+        to right, those at the same distance from their word's start together.
+        """
+        coded = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        ends = np.cumsum(sizes + 1) - 1  # a place for each byte, and one for the end of the word
+        data = np.frombuffer(b"\0".join([*coded, b""]), np.uint8)
+        starts = ends - sizes
+        owner = np.repeat(np.arange(len(coded)), sizes + 1)
+        last = ends[owner]
+        inside = np.arange(len(data)) < last
+        first = np.flatnonzero(inside & (data & 0xC0 != 0x80))
+        base, check, value, scores = self.arrays
+        wide = np.diff(np.append(first, len(data)))  # to the next character, or past the end of the word
+        wide = np.minimum(wide, last[first] - first)
+        at, to, node, found = first, first, np.zeros(len(first), np.int64), []
+        while len(at):
+            child = base[node] + data[to] + 1
+            hit = np.flatnonzero((child < len(check)) & (check[np.minimum(child, len(check) - 1)] == node))
+            at, to, node = at[hit], to[hit] + 1, child[hit]
+            whole = np.flatnonzero(value[node] >= 0)
+            found.append((at[whole], to[whole], value[node[whole]]))
+            more = np.flatnonzero(to < last[at])
+            at, to, node = at[more], to[more], node[more]
+        begin, end, piece = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+        covered = np.zeros(len(data), bool)
+        width = np.zeros(len(data), np.int64)
+        width[first] = wide
+        covered[begin[end == begin + width[begin]]] = True
+        bare = first[~covered[first]]  # characters that no piece covers
+        begin, end, piece = np.append(begin, bare), np.append(end, bare + width[bare]), np.append(piece, np.full(len(bare), -1))
+        score = np.where(piece >= 0, scores[piece], self.unknown)
+        distance = (begin - starts[owner[begin]]).astype(np.uint16)
+        order = np.argsort(distance, kind="stable")
+        best, back = np.full(len(data), -np.inf), np.full(len(data), -1)
+        best[starts] = 0.0
+        steps = np.searchsorted(distance[order], np.arange(int(distance.max(initial=0)) + 2))
+        for a, b in zip(steps, steps[1:]):
+            edge = order[a:b]
+            reached = best[begin[edge]] + score[edge]
+            better = reached > best[end[edge]]
+            best[end[edge[better]]] = reached[better]
+            back[end[edge[better]]] = edge[better]
+        words_at, taken, here = np.flatnonzero(sizes), [], ends[sizes > 0]
+        while len(here):
+            edge = back[here]
+            taken.append((words_at, edge))
+            here = begin[edge]
+            more = here > starts[words_at]
+            words_at, here = words_at[more], here[more]
+        if not taken:
+            return np.zeros(0, np.uint32), np.zeros(len(words), np.int64)
+        word, edge = (np.concatenate(x) for x in zip(*taken))
+        order = np.lexsort((begin[edge], word))
+        word, edge = word[order], edge[order]
+        many = np.where(piece[edge] >= 0, 1, end[edge] - begin[edge])
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        edge, word = np.repeat(edge, many), np.repeat(word, many)
+        ids = np.where(piece[edge] >= 0, piece[edge], self.byte_table[data[begin[edge] + step]])
+        return ids.astype(np.uint32), np.bincount(word, minlength=len(words))
+
+    def cut(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """``cuts`` of all words, some at a time."""
+        long = [w for w in words if 4 * len(w) > SHORT and len(w.encode()) > SHORT]
+        short = words if not long else [w for w in words if 4 * len(w) <= SHORT or len(w.encode()) <= SHORT]
+        for i in range(0, len(short), TOGETHER):
+            yield short[i : i + TOGETHER], *self.cuts(short[i : i + TOGETHER])
+        for w in long:
+            ids = np.array(self.best(w.encode()), np.uint32)
+            yield [w], ids, np.array([len(ids)])
+
+    def learn(self, words: set[str]) -> None:
+        """Remembers the best cuts of all words."""
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(words)
+        for part, ids, many in self.cut(new):
+            ends = (np.cumsum(many) * 4).tolist()
+            data = ids.tobytes()
+            self.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as bytes."""
+        parts = [self.words_of(t) for t in texts]
+        self.learn({w for p in parts for w in p})
+        return [b"".join(map(self.__getitem__, p)) for p in parts]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: byte pieces as the bytes they are, markers as spaces, without the one in front."""
@@ -220,22 +313,17 @@ def codec(path: str) -> Unigram:
     return Unigram(path)
 
 
-@lru_cache(1)
-def _fitted(path: str, scores: bytes) -> Unigram:
-    return codec(path).rescored(np.frombuffer(scores))
-
-
 def piece_counts(docs: DataFrame, path: str, scores: np.ndarray, *, text: str = "text") -> np.ndarray:
     """How often each piece is in the best cuts of all words of ``docs``. Each task cuts its distinct words; only counts of pieces leave it."""
     held = docs.sparkSession.sparkContext.broadcast(scores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen, counts = codec(path).rescored(held.value), Counter(), [0] * len(held.value)
+        own, seen, counts = codec(path).rescored(held.value), Counter(), np.zeros(len(held.value), np.int64)
 
         def cut() -> None:
-            for word, n in seen.items():
-                for piece in own.best(word.encode()):
-                    counts[piece] += n
+            for part, ids, many in own.cut(list(seen)):
+                times = np.fromiter(map(seen.__getitem__, part), np.int64, len(part))
+                np.add.at(counts, ids, np.repeat(times, many))
             seen.clear()
 
         for batch in batches:
@@ -245,7 +333,7 @@ def piece_counts(docs: DataFrame, path: str, scores: np.ndarray, *, text: str =
                     cut()
         cut()
         pieces = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), pa.array(np.array(counts)[pieces], pa.int64())], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), pa.array(counts[pieces], pa.int64())], names=["piece", "n"])
 
     found = docs.select(text).mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(scores), np.int64)
@@ -274,11 +362,11 @@ def encode_documents(docs: DataFrame, path: str, *, id: str = "doc_id", text: st
     schema = docs.select(id).schema.add("ids", "binary").add("n_tokens", "long").add("n_bytes_fallen", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path) if held is None else _fitted(path, held.value)
+        own = codec(path).rescored(None if held is None else np.frombuffer(held.value))  # it remembers as long as the task
         for batch in batches:
             _, offsets = spans.text_bytes(batch.column(1))
             for i, j in spans.blocks(offsets):
-                found = [own.encode(x or "") for x in batch.column(1).slice(i, j - i).to_pylist()]
+                found = own.encode_all([x or "" for x in batch.column(1).slice(i, j - i).to_pylist()])
                 low, high = min(own.bytes_of, default=0), max(own.bytes_of, default=-1)
                 views = [np.frombuffer(x, "<u4") for x in found]
                 fallen = [int(((x >= low) & (x <= high)).sum()) for x in views]

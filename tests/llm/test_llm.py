@@ -66,6 +66,16 @@ def test_pieces_round_trip(docs, none):
     assert unigram.encode_documents(none, path).count() == 0
 
 
+def test_words_cut_side_by_side_as_one_by_one():
+    own = unigram.codec(public_tokenizers.path("piece_bpe_32k.model"))
+    rnd = random.Random(10)
+    words = ["▁" * rnd.randrange(3) + "".join(rnd.choice(["th", "e", "ing", "é", "😀", "日本", "x", "1", "\x01", "the", "ation"]) for _ in range(rnd.randrange(12))) for _ in range(3000)] + ["", "▁" + "ab" * 400]
+    found = {w: c for part, ids, many in own.cut(words) for w, c in zip(part, np.split(ids, np.cumsum(many)[:-1]))}
+    assert len(found) == len(set(words)) and all(c.tolist() == own.best(w.encode()) for w, c in found.items())
+    ids, many = own.cuts([])
+    assert len(ids) == 0 and len(many) == 0
+
+
 def test_scores_of_a_bpe_file_are_log_probabilities(spark, docs, none):
     path = public_tokenizers.path("piece_bpe_32k.model")
     codec = unigram.codec(path)
