@@ -18,6 +18,8 @@ MIN_CHARS = 30
 #: Estimates within this share of the threshold are settled by exact counts; about four standard errors at LG_K.
 MARGIN = 0.2
 LG_K = 10
+#: Parts that the documents of a line are dealt to where lines meet a list of lines, so that a line of every document isn't one task's.
+SALTS = 16
 
 
 def _lines(docs: DataFrame, id: str, text: str, site: str, min_chars: int) -> DataFrame:
@@ -26,6 +28,12 @@ def _lines(docs: DataFrame, id: str, text: str, site: str, min_chars: int) -> Da
     return out.withColumn("_line", line).where(F.char_length("_line") >= max(min_chars, 1)).withColumn("_hash", F.xxhash64("_line", F.char_length("_line"))).drop("_line")
 
 
+def _among(lines: DataFrame, listed: DataFrame) -> DataFrame:
+    """``lines`` joined with ``listed`` by hash; each listed line is there for each part of the documents."""
+    salted = listed.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    return lines.withColumn("_salt", F.pmod(F.xxhash64("_id", "_text"), F.lit(SALTS)).cast("int")).join(salted, ["_hash", "_salt"]).drop("_salt")
+
+
 def spread_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Lines (by hash) that at least ``min_sites`` sites hold, with the least document id that has them."""
     lines = _lines(docs, id, text, site, min_chars)
@@ -33,7 +41,7 @@ def spread_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", sit
     low, high = min_sites * (1 - MARGIN), min_sites * (1 + MARGIN)
     far = spread.where(F.col("_sites") > high)
     near = spread.where(F.col("_sites").between(low, high))
-    pairs = lines.join(near.select("_hash"), "_hash", "left_semi").groupBy("_hash", "_site").agg(F.min("_id").alias("_first"))
+    pairs = _among(lines, near.select("_hash")).groupBy("_hash", "_site").agg(F.min("_id").alias("_first"))
     exact = pairs.groupBy("_hash").agg(F.count(F.lit(1)).alias("_sites"), F.min("_first").alias("_first")).where(F.col("_sites") >= min_sites)
     return far.unionByName(exact).select("_hash", "_first")
 
@@ -47,7 +55,7 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site
     """
     docs = docs.drop("n_lines", "n_removed")
     spread = spread_lines(docs, id=id, text=text, site=site, min_sites=min_sites, min_chars=min_chars)
-    gone = _lines(docs, id, text, site, min_chars).join(spread, "_hash").where(~F.col("_id").eqNullSafe(F.col("_first")))
+    gone = _among(_lines(docs, id, text, site, min_chars), spread).where(~F.col("_id").eqNullSafe(F.col("_first")))
     gone = gone.groupBy("_id", "_text").agg(F.collect_set("_at").alias("_gone"))
     rows = docs.withColumn("_own", F.xxhash64(text)).alias("d")
     joined = rows.join(gone.alias("g"), F.col(f"d.{id}").eqNullSafe(F.col("g._id")) & (F.col("d._own") == F.col("g._text")), "left")
