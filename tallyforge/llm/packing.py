@@ -105,27 +105,29 @@ def best_fit_pack(pieces: DataFrame, *, capacity: int = 2048, length: str = "len
     """``pieces`` with ``sequence_id`` and ``offset``: best-fit decreasing over all rows.
 
     Rows are written once to the shared folder; no column but ``length`` matters to the placement. A null length or
-    one outside 1..capacity is an error. Equal lengths are placed in the order of the written rows.
+    one outside 1..capacity is an error. Own columns named sequence_id or offset give way; others may have any
+    name. An empty table gives no rows. Equal lengths are placed in the order of the written rows.
     """
     spark = pieces.sparkSession
-    rows = staged(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
-    rows = rows.withColumn("_part", F.shiftright("_row", 33))
-    counts = rows.groupBy(length, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    histogram = {n: count for n, count in counts.groupBy(length).agg(F.sum("_n")).collect()}  # at most `capacity` rows
+    pieces = pieces.drop("sequence_id", "offset")
+    rows = staged(pieces.select(F.struct(*(F.col(f"`{c}`") for c in pieces.columns)).alias("piece"), F.col(length).alias("length"), F.monotonically_increasing_id().alias("row")), "pieces")
+    rows = rows.withColumn("part", F.shiftright("row", 33))
+    counts = rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    histogram = {n: count for n, count in counts.groupBy("length").agg(F.sum("n")).collect()}  # at most `capacity` rows
     if None in histogram:
         raise ValueError("a piece has no length")
-    runs = spark.createDataFrame(plan_runs(histogram, capacity), _RUNS).withColumnRenamed("length", "_length")
-    before = Window.partitionBy(length).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    own = Window.partitionBy(length, "_part").orderBy("_row")
-    ranked = rows.withColumn("_rank", F.row_number().over(own) - 1).join(counts, [length, "_part"])
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))
-    fits = (F.col(length) == F.col("_length")) & (F.col("_rank") >= F.col("rank_from")) & (F.col("_rank") < F.col("rank_to"))
-    nth = F.col("_rank") - F.col("rank_from")
+    runs = spark.createDataFrame(plan_runs(histogram, capacity), _RUNS).withColumnRenamed("length", "run_length")
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    own = Window.partitionBy("length", "part").orderBy("row")
+    ranked = rows.withColumn("rank", F.row_number().over(own) - 1).join(counts, ["length", "part"])
+    ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
+    fits = (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to"))
+    nth = F.col("rank") - F.col("rank_from")
     return ranked.join(F.broadcast(runs), fits).select(
-        *pieces.columns,
+        "piece.*",
         (F.col("first_sequence") + F.floor(nth / F.col("per_sequence"))).alias("sequence_id"),
-        (F.col("room_used") + nth % F.col("per_sequence") * F.col(length)).cast("long").alias("offset"),
+        (F.col("room_used") + nth % F.col("per_sequence") * F.col("length")).cast("long").alias("offset"),
     )
 
 

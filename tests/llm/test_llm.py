@@ -41,6 +41,24 @@ def test_tokens_and_packing(docs, none):
     assert packing.best_fit_pack(packing.tokenize_pieces(none, path)).count() == 0
 
 
+def test_packing_is_best_fit_and_keeps_columns(spark):
+    rnd = random.Random(11)
+    lengths = [rnd.choice([rnd.randrange(1, 60), rnd.randrange(1, 2049)]) for _ in range(700)]
+    df = spark.createDataFrame([(i, n, "x", 1, 2) for i, n in enumerate(lengths)], "id int, length int, rank_from string, offset int, row int").repartition(3)
+    found = packing.best_fit_pack(df)
+    assert found.columns == ["id", "length", "rank_from", "row", "sequence_id", "offset"]
+    rows, rooms = found.collect(), []
+    for n in sorted(lengths, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else 2048) - n)
+    assert len({r.sequence_id for r in rows}) == len(rooms) and sorted(r.id for r in rows) == list(range(700))
+    for s in {r.sequence_id for r in rows}:
+        mine = sorted((r.offset, r.length) for r in rows if r.sequence_id == s)
+        assert [o for o, _ in mine] == np.cumsum([0, *(n for _, n in mine)])[:-1].tolist() and sum(n for _, n in mine) <= 2048
+
+
 def test_token_counts_equal_the_library(docs, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     own = Tokenizer.from_file(path)
