@@ -16,7 +16,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from copy import copy
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +116,7 @@ class DoubleArray:
             for b in bytes_:
                 self.check[base + b + 1] = place
             queue += [(base + b + 1, node[b]) for b in bytes_]
+        self.base, self.check, self.value = (np.array(x, np.int32) for x in (self.base, self.check, self.value))
 
     def _grow(self, size: int) -> None:
         if len(self.base) <= size:
@@ -133,11 +134,9 @@ class Unigram(dict):
         self.pieces = [p for p, _, _ in pieces]
         self.byte_ids = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
-        normal = {p.encode(): i for i, (p, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER)}
-        if any(MARK in p.decode().lstrip(MARK) for p in normal):
+        self.normal = np.array([i for i, (_, _, kind) in enumerate(pieces) if kind in (_NORMAL, _USER)])
+        if any(MARK in self.pieces[i].lstrip(MARK) for i in self.normal):
             raise ValueError("a piece goes on after a marker; words can't be cut apart")
-        self.trie = DoubleArray(normal)
-        self.normal = np.array(sorted(normal.values()))
         self.bpe = is_bpe(path)
         scores = np.array([s for _, s, _ in pieces])
         self._score(self.logs(1 / np.maximum(1 - scores, 1)) if self.bpe else scores)
@@ -147,10 +146,14 @@ class Unigram(dict):
     def _score(self, scores: np.ndarray) -> None:
         self.scores = scores.tolist()
         self.unknown = float(scores[self.normal].min()) - UNKNOWN_PENALTY
-        trie = self.trie
-        self.arrays = *(np.array(x, np.int64) for x in (trie.base, trie.check, trie.value)), np.asarray(scores, float)
+        self.score_array = np.asarray(scores, float)
         self.byte_table = np.array([self.byte_ids.get(b, 0) for b in range(256)])
 
+    @cached_property
+    def trie(self) -> DoubleArray:
+        """Made where texts are encoded; decoding doesn't need it."""
+        return DoubleArray({self.pieces[i].encode(): int(i) for i in self.normal})
+
     def logs(self, weights: np.ndarray) -> np.ndarray:
         """Log probabilities of the pieces that a text is cut into, in proportion to ``weights``; 0 for other pieces."""
         out = np.zeros(len(self.pieces))
@@ -159,6 +162,7 @@ class Unigram(dict):
 
     def rescored(self, scores: np.ndarray | None) -> Unigram:
         """The same pieces with other scores if any, and nothing remembered."""
+        self.trie  # noqa: B018  made once for all
         out = copy(self)
         out.clear()
         if scores is not None:
@@ -225,7 +229,7 @@ class Unigram(dict):
         last = ends[owner]
         inside = np.arange(len(data)) < last
         first = np.flatnonzero(inside & (data & 0xC0 != 0x80))
-        base, check, value, scores = self.arrays
+        base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.score_array
         wide = np.diff(np.append(first, len(data)))  # to the next character, or past the end of the word
         wide = np.minimum(wide, last[first] - first)
         at, to, node, found = first, first, np.zeros(len(first), np.int64), []
