@@ -4,33 +4,39 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import functions as T
 
 
+def _n_null(column: str) -> Column:
+    return F.count_if(F.col(column).isNull())
+
+
+def _n_duplicate(column: str) -> Column:
+    distinct = F.count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+    return F.count(F.lit(1)) - distinct
+
+
 def profile(df: DataFrame) -> DataFrame:
     """A row for each column: ``n_rows``, ``n_null`` and ``n_duplicate`` (rows less distinct values, null being a value), all in one pass."""
-    aggs = []
-    for c in df.columns:
-        null = F.count_if(F.col(c).isNull())
-        distinct = F.count_distinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
-        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), null.alias("n_null"), (F.count(F.lit(1)) - distinct).alias("n_duplicate")))
+    aggs = [F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), _n_null(c).alias("n_null"), _n_duplicate(c).alias("n_duplicate")) for c in df.columns]
     return df.agg(F.array(*aggs).alias("_all")).select(F.inline("_all"))
 
 
 def run_rules(df: DataFrame, rules: list[str]) -> DataFrame:
-    """Outcome of rules like ``missing_count(column) = 0`` and ``duplicate_count(column) = 0``; a rule on a missing column fails."""
-    found = profile(df)
-    out = None
+    """Outcome of rules like ``missing_count(column) = 0`` and ``duplicate_count(column) = 0``, in one pass over the columns they name; a rule on a missing column fails."""
+    found = []
     for rule in rules:
         kind, column, wanted = re.fullmatch(r"(missing|duplicate)_count\((\w+)\)\s*=\s*(\d+)", rule.strip()).groups()
-        value = F.max(F.when(F.col("column_name") == column, F.col("n_null" if kind == "missing" else "n_duplicate")))
-        row = found.agg(value.alias("found")).select(F.lit(rule).alias("rule"), "found", F.coalesce(F.col("found") == int(wanted), F.lit(False)).alias("passed"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        value = (_n_null if kind == "missing" else _n_duplicate)(column) if column in df.columns else F.lit(None)
+        found.append(F.struct(F.lit(rule).alias("rule"), value.cast("long").alias("found"), F.lit(int(wanted)).alias("_wanted")))
+    if not found:
+        return df.sparkSession.createDataFrame([], "rule string, found long, passed boolean")
+    rows = df.agg(F.array(*found).alias("_all")).select(F.inline("_all"))
+    return rows.select("rule", "found", F.coalesce(F.col("found") == F.col("_wanted"), F.lit(False)).alias("passed"))
 
 
 def duplicates_of_key(df: DataFrame, keys: list[str], nullable: list[str] = ()) -> DataFrame:

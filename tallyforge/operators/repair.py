@@ -71,6 +71,12 @@ def upsert_counts(target: DataFrame, updates: DataFrame, keys: list[str]) -> Dat
     return updates.join(known, keys, "left").agg(F.count_if(F.col("_known").isNull()).alias("n_inserted"), F.count_if(F.col("_known").isNotNull()).alias("n_updated"))
 
 
+def upsert_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` of ``updates`` and ``action``: inserted, or updated where ``target`` has the key."""
+    known = target.select(*keys).distinct().withColumn("_known", F.lit(1))
+    return updates.select(*keys).join(known, keys, "left").select(*keys, F.when(F.col("_known").isNull(), "inserted").otherwise("updated").alias("action"))
+
+
 def create_missing_parents(children: DataFrame, parents: DataFrame, keys: list[str], order: str, enrich: list[str], summary: DataFrame | None = None) -> DataFrame:
     """A stub for each key that children have and parents lack: ``enrich`` from ``summary`` if it has them, else the children's first known value by ``order``."""
     missing = children.dropna(subset=keys).join(parents.select(*keys), keys, "left_anti")
@@ -108,9 +114,10 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     """``df`` with ``id`` and ``resolved_by``, found by ``name`` among ``people`` (block, name, id) of the same block.
 
     In turn: the exact name, the name without accents, case and signs, a first word or its plain form that only one person has, and the
-    most similar name from ``cutoff`` on (of equals the greatest name). The last step alone pairs names, and only those left over with those of their block.
+    most similar name from ``cutoff`` on (of equals the greatest name). The last step alone pairs names: the distinct ones left over
+    with those of their block whose lengths allow the similarity, which is 2 * shorter / (a + b) at most.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_own_plain", T.normalised_name(F.col(name)))
+    rows = df.withColumn("_own_plain", T.normalised_name(F.col(name)))
     known = people.select(*block, F.col(name).alias("_name"), F.col(id).alias("_id")).dropna(subset=["_name", "_id"]).distinct()
     known = known.withColumn("_plain_name", T.normalised_name(F.col("_name"))).withColumn("_first", T.first_token(F.col("_name")))
     known = known.withColumn("_plain_first", T.normalised_name(F.col("_first")))
@@ -125,8 +132,10 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     found = F.coalesce(*(f"_{step}" for step in steps))
     by = F.coalesce(*(F.when(F.col(f"_{step}").isNotNull(), step) for step in steps))
     rows = rows.withColumn("_found", found).withColumn("_by", by)
-    left = rows.where(F.col("_found").isNull() & F.col(name).isNotNull()).select("_row", *block, name).join(known.select(*block, "_name", "_id").distinct(), block)
-    close = left.withColumn("_score", T.name_similarity(F.col(name), F.col("_name"))).where(F.col("_score") >= cutoff)
-    close = close.groupBy("_row").agg(F.max(F.struct("_score", "_name", "_id")).getField("_id").alias("_close"))
-    out = rows.join(close, "_row", "left")
+    left = rows.where(F.col("_found").isNull() & F.col(name).isNotNull()).select(*block, name).distinct()
+    a, b = F.length(name), F.length("_name")
+    pairs = left.join(known.select(*block, "_name", "_id").distinct(), block).where(2 * F.least(a, b) >= cutoff * (a + b))
+    close = pairs.withColumn("_score", T.name_similarity(F.col(name), F.col("_name"))).where(F.col("_score") >= cutoff)
+    close = close.groupBy(*block, name).agg(F.max(F.struct("_score", "_name", "_id")).getField("_id").alias("_similar"))
+    out = rows.join(close, [*block, name], "left").withColumn("_close", F.when(F.col("_found").isNull(), F.col("_similar")))
     return out.select(*df.columns, F.coalesce("_found", "_close").alias(id), F.coalesce("_by", F.when(F.col("_close").isNotNull(), "similar")).alias("resolved_by"))

@@ -114,6 +114,20 @@ def _oracle(name: str, columns: list[str]) -> str:
     return "WITH " + ", ".join(f"{n} AS ({sql})" for n, sql in steps.items()) + f" SELECT *{f' REPLACE ({rounded})' if rounded else ''} FROM {name}"
 
 
+def sql_over(select: str, *names: str) -> str:
+    """SQL over the bronze tables ``names``, or over all of them and the models."""
+    steps = {n: _bronze_sql(n) for n in names or BRONZE}
+    if not names:
+        steps |= SILVER_SQL | {"ml_features_non_edit": NON_EDIT_SQL, "ml_features_hybrid": HYBRID_SQL}
+    return "WITH " + ", ".join(f"{n} AS ({sql})" for n, sql in steps.items()) + f" {select}"
+
+
+def silver_of(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """A silver model over bronze ``tables``."""
+    model = next(m for m in M.SILVER if m.__name__ == name)
+    return model(*(tables[n] for n in M.SILVER[model]))
+
+
 def rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 9) for c in df.columns if c in ROUNDED})
 

@@ -362,6 +362,22 @@ def ml_features_hybrid(non_edit: DataFrame, edit: DataFrame) -> DataFrame:
     return flagged.fillna(dict.fromkeys(EDIT_STATS, 0)).select(*non_edit.columns, *EDIT_STATS, *EDIT_FLAGS)
 
 
+def castaway_features(castaways: DataFrame, castaway_details: DataFrame, version_season: str | None = None, episode: tuple[str, int] | None = None) -> DataFrame:
+    """People with their details and ``returning_player``, of one season or of the episodes that a comparison (=, < or >) allows."""
+    nth = F.row_number().over(Window.partitionBy("castaway_id").orderBy("version_season"))
+    rows = castaways.select(*PERSON, "age", "state", "episode", (nth > 1).alias("returning_player"))
+    if version_season:
+        rows = rows.where(F.col("version_season") == version_season)
+    if episode:
+        operator, number = episode
+        compare = {"=": F.col("episode") == number, "<": F.col("episode") < number, ">": F.col("episode") > number}
+        if operator not in compare:
+            raise ValueError(f"{operator} isn't one of {', '.join(compare)}")
+        rows = rows.where(compare[operator])
+    details = castaway_details.select("castaway_id", "gender", *ORIGINS, "personality_type", "occupation")
+    return rows.join(details, "castaway_id", "left")
+
+
 #: Silver models and the bronze tables that each takes, in order.
 SILVER = {
     vote_dynamics: ["vote_history"],

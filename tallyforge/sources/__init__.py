@@ -82,15 +82,23 @@ class Warehouse:
         return self.spark.sql(text)
 
     def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite", keys: list[str] | None = None) -> None:
-        """Write a table: overwrite, append, or upsert on ``keys`` (append without keys). An upsert is staged, so that no table is read while it is replaced."""
-        table = f"{layer}.{name}"
-        if mode == "upsert" and keys and self.spark.catalog.tableExists(table):
-            staged = f"{table}_{uuid.uuid4().hex}"
-            upsert(self.spark.table(table), df, keys).write.saveAsTable(staged)
-            self.spark.sql(f"DROP TABLE {table}")
-            self.spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        """Write a table: overwrite, append, or upsert on ``keys`` (append without keys).
+
+        An overwrite or upsert writes a new table, puts the old one aside, and drops that once the new one has its name: a
+        table may be made from itself, and a run that ends in between leaves the old rows as ``<name>_before_<id>``.
+        """
+        table, id = f"{layer}.{name}", uuid.uuid4().hex
+        there = self.spark.catalog.tableExists(table)
+        if mode == "append" or mode == "upsert" and not keys:
+            df.write.mode("append").saveAsTable(table)
+        elif not there:
+            df.write.mode("overwrite").saveAsTable(table)
         else:
-            df.write.mode("append" if mode == "append" or mode == "upsert" and not keys else "overwrite").saveAsTable(table)
+            new = upsert(self.spark.table(table), df, keys) if mode == "upsert" else df
+            new.write.saveAsTable(f"{table}_{id}")
+            self.spark.sql(f"ALTER TABLE {table} RENAME TO {table}_before_{id}")
+            self.spark.sql(f"ALTER TABLE {table}_{id} RENAME TO {table}")
+            self.spark.sql(f"DROP TABLE {table}_before_{id}")
 
     def row_counts(self) -> DataFrame:
         counts = [self.spark.table(f"{x}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(x).alias("layer"), F.lit(t).alias("table_name"), "n_rows") for x, t in self.list_tables()]
@@ -101,8 +109,8 @@ class Warehouse:
         kept = self.layers[: self.layers.index(layer) + 1]
         for x, t in self.list_tables():
             if x in kept:
-                self.spark.table(f"{x}.{t}").write.mode("overwrite").parquet(f"{path}/{t}")
-        files = reduce(DataFrame.unionByName, [signatures(self.spark, f"{path}/{t}/*.parquet").withColumn("layer", F.lit(x)).withColumn("table_name", F.lit(t)) for x, t in self.list_tables() if x in kept])
+                self.spark.table(f"{x}.{t}").write.mode("overwrite").parquet(f"{path}/{x}/{t}")
+        files = reduce(DataFrame.unionByName, [signatures(self.spark, f"{path}/{x}/{t}/*.parquet").withColumn("layer", F.lit(x)).withColumn("table_name", F.lit(t)) for x, t in self.list_tables() if x in kept])
         files.write.mode("overwrite").json(f"{path}/_manifest")
         return self.spark.read.schema(files.schema).json(f"{path}/_manifest")
 
