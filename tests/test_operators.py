@@ -59,3 +59,28 @@ def test_warehouse(spark, tmp_path):
     close_run(w, run, "succeeded", "2024-01-01 01:00:00")
     assert latest_run(w).first().status == "succeeded"
     assert w.export("silver", f"file://{tmp_path}/out").count() > 0
+
+
+def test_run_through_the_layers(spark):
+    """A run writes every layer, a second one without news does nothing, and a failed check stops the load after its report."""
+    from tallyforge import medallion as L
+    from tallyforge.plans import game, models
+    from tallyforge.plans.registry import Tables
+
+    tables = game.bronze(Tables(spark, "/root/testdata/sf0.001"))
+    datasets = [L.Dataset(n, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), rules=(), references=()) for n, df in tables.items()]
+    landed = {n: (df, "v1") for n, df in tables.items()}
+    w = Warehouse(spark)
+    assert L.run_pipeline(w, landed, datasets, "2024-01-01 00:00:00") == "succeeded"
+    assert {t for x, t in w.list_tables() if x == "silver"} >= {m.__name__ for m in models.SILVER}
+    assert w.load("gold.ml_features_hybrid").count() == models.build_models(tables)["ml_features_hybrid"].count() > 0
+    assert L.run_pipeline(w, landed, datasets, "2024-01-02 00:00:00") == "unchanged"
+    bad = L.Dataset("seasons", "version_season string", rules=("duplicate_count(version_season) = 0",))
+    rows = spark.createDataFrame([("a", 1), ("a", 2)], "version_season string, more int")
+    try:
+        L.load_bronze(w, rows, bad, "r1", "2024-01-03 00:00:00")
+        raise AssertionError
+    except ValueError as e:
+        assert "duplicate_count" in str(e)
+    assert w.load("bronze.validation_checks").where("run_id = 'r1' AND NOT passed").count() == 1
+    assert L.load_bronze(w, rows, bad, "r2", "2024-01-03 00:00:00", strict=False).count() == 2
