@@ -377,3 +377,56 @@ def test_signatures_are_unbiased():
         s = bagminhash.signatures(*bagminhash.shingle_bags(data, offsets), 2, 1024)
         errors.append((s[0] == s[1]).mean() - sum((bags[0] & bags[1]).values()) / sum((bags[0] | bags[1]).values()))
     assert abs(np.mean(errors)) < 0.006 and np.std(errors) < 0.03
+
+
+def brute_classes(texts):
+    """Class of each text: the first one that links of 0.8 or more lead to."""
+    bags = [Counter(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))) for w in (WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t)) for t in texts)]
+    near = lambda a, b: texts[a] == texts[b] or sum((bags[a] & bags[b]).values()) >= 0.8 * sum((bags[a] | bags[b]).values()) > 0
+    found = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if near(i, j) and found[i] != found[j]:
+                low, high = sorted((found[i], found[j]))
+                found = [low if x == high else x for x in found]
+    return found
+
+
+def test_pipeline_stages(spark):
+    """Each stage on nulls, empty texts, repeated rows, ties and an empty table, against brute force where the stage decides by itself."""
+    rnd = random.Random(12)
+    say = lambda n: " ".join(rnd.choice("abcdefghij") + str(rnd.randrange(300)) for _ in range(n))
+    base = say(120)
+    footer = "all rights reserved by the owner"
+    rows = [(i, f"{say(80)}\n{footer}", "en", f"s{i % 7}") for i in range(30)]
+    rows += [(40 + i, base + f" more{i}", "en", "s1") for i in range(4)] + [(50, base, None, None), (50, base, None, None), (60, None, "en", "s1"), (61, "", "en", "s2"), (62, "few words", None, None), (63, " ".join(["again and again"] * 40), "en", "s3")]
+    docs = spark.createDataFrame([(i, t, lang, src, len(t or "")) for i, t, lang, src in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality_rules"](spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _, _, _ in rows if i < 60)
+    cleaned = {r.doc_id: r.text for r in stages["line_dedup"](spark, docs, "").collect()}
+    assert cleaned[0] == rows[0][1] and all(cleaned[i] == rows[i][1].split("\n")[0] for i in range(1, 30)) and cleaned[60] is None and cleaned[61] == ""
+    one = stages["near_dedup"](spark, docs, "").collect()
+    texts = [t or "" for _, t, _, _ in rows]
+    wanted = {rows[c][0] for c in set(brute_classes(texts))}
+    assert sorted(r.doc_id for r in one) == sorted(wanted)
+    packed = stages["packing"](spark, docs, "")
+    assert {r.doc_id for r in packed.collect()} == {i for i, _, _, _ in rows} and packed.where("length > 2048").count() == 0
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "toxicity":
+            assert stage(spark, docs.where("false"), "").count() == 0
+
+
+def test_whole_pipeline_and_toxicity_query(spark):
+    """The pipeline's rows on a given folder: whole documents in gapless sequences; the toxicity query's columns."""
+    sf = "/root/testdata/sf0.001"
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    assert {r.doc_id for r in pieces} <= set(docs) and len(pieces) > 100
+    for s in {r.sequence_id for r in pieces}:
+        mine = sorted((r.offset, r.length) for r in pieces if r.sequence_id == s)
+        assert [o for o, _ in mine] == np.cumsum([0, *(n for _, n in mine)])[:-1].tolist() and sum(n for _, n in mine) <= 2048
+    from tallyforge.llm import queries
+
+    scored = queries.op2_toxicity(spark, sf).collect()
+    assert sorted(r.doc_id for r in scored) == sorted(docs) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in scored)
