@@ -71,20 +71,46 @@ def _bronze_sql(name: str) -> str:
     return f"SELECT {listed(keys | (more or {}))} FROM {source}" + (f" GROUP BY {', '.join(keys.values())}" if more else "")
 
 
+def _md5(*names: str) -> str:
+    return "md5(" + " || '|' || ".join(f"coalesce({n}::VARCHAR, '')" for n in names) + ")"
+
+
 ON_PERSON, ON_TRIBE = "(castaway_id, version_season)", "(version_season, episode, tribe)"
 TRIBES = "SELECT castaway_id, version_season, arg_min(original_tribe, episode) AS original_tribe FROM castaways WHERE original_tribe IS NOT NULL GROUP BY ALL"
 SILVER_SQL = {
-    "vote_dynamics": f"""WITH votes AS (SELECT {listed(M.VOTE_BASE)} FROM vote_history WHERE vote_id IS NOT NULL),
-      met AS (SELECT a.castaway_id, a.version_season, a.episode, a.merge_phase AS p, count(*) AS total_voters, count(CASE WHEN a.target_id = b.target_id THEN 1 END) AS aligned_votes
+    "vote_dynamics": f"""WITH votes AS (SELECT *, CASE WHEN lower(tribe_status) LIKE '%merge%' THEN 'post_merge' ELSE 'pre_merge' END AS merge_phase FROM vote_history WHERE vote_id IS NOT NULL),
+      met AS (SELECT a.castaway_id, a.version_season, a.episode, a.merge_phase AS p, count(*) AS others, count(CASE WHEN a.vote_id = b.vote_id THEN 1 END) AS same
         FROM votes a, votes b WHERE a.version_season = b.version_season AND a.episode = b.episode AND a.castaway_id <> b.castaway_id GROUP BY ALL)
-      SELECT {listed(M.VOTE_DYNAMICS)} FROM (SELECT *, aligned_votes / total_voters AS alignment_ratio FROM votes LEFT JOIN met USING (castaway_id, version_season, episode))""",
-    "advantage_strategy": f"SELECT {listed(M.ADVANTAGE_STRATEGY)} FROM (SELECT {listed(M.ADVANTAGE_BASE)} FROM advantage_movement JOIN advantage_details USING (advantage_id, version_season))",
-    "challenge_performance": f"SELECT {listed(M.CHALLENGE_PERFORMANCE)} FROM (SELECT {listed(M.CHALLENGE_BASE | M.same(*M.SKILLS))} FROM challenge_results JOIN challenge_description USING (challenge_id, version_season))",
-    "edit_features": f"SELECT {listed(M.EDIT_FEATURES)} FROM confessionals",
-    "jury_analysis": f"""WITH tribes AS ({TRIBES}) SELECT {listed(M.JURY_ANALYSIS)} FROM (
-      SELECT j.*, j.vote AS voted_for_finalist_name, s.winner_id AS actual_winner_id, x.original_tribe AS juror_original_tribe, y.original_tribe AS finalist_original_tribe
+      SELECT {_md5("castaway_id", "version_season", "episode")} AS vote_dynamics_key, castaway_id, version_season, episode, day, tribe, tribe_status, merge_phase, vote_id AS target_id, voted_out_id, immunity,
+        vote_event, vote_event_outcome, split_vote, nullified, tie, vote_order,
+        CASE WHEN voted_out_id = vote_id THEN 1 ELSE 0 END AS vote_correct, CASE WHEN voted_out_id IS DISTINCT FROM vote_id THEN 1 ELSE 0 END AS vote_incorrect, CASE WHEN nullified IS TRUE THEN 1 ELSE 0 END AS vote_nullified,
+        others AS total_voters, same AS aligned_votes, same / others AS alignment_ratio, CASE WHEN 2 * same >= others THEN 1 ELSE 0 END AS in_majority_alliance, CASE WHEN 10 * same < 3 * others THEN 1 ELSE 0 END AS voting_alone,
+        CASE WHEN split_vote = 'split' THEN 1 ELSE 0 END AS split_vote_scenario, CASE WHEN tie IS TRUE THEN 1 ELSE 0 END AS tie_vote_scenario, CASE WHEN immunity <> '' THEN 1 ELSE 0 END AS has_immunity
+      FROM votes LEFT JOIN met USING (castaway_id, version_season, episode)""",
+    "advantage_strategy": f"""WITH moves AS (SELECT m.*, d.advantage_type, d.clue_details, d.location_found, d.conditions, lower(m.event) AS did, lower(m.success) AS ended, lower(d.advantage_type) AS what, lower(m.event) LIKE '%played%' AS played
+        FROM advantage_movement m JOIN advantage_details d ON d.advantage_id = m.advantage_id AND d.version_season = m.version_season)
+      SELECT {_md5("castaway_id", "version_season", "advantage_id", "sequence_id")} AS advantage_strategy_key, castaway_id, version_season, episode, day, advantage_id, sequence_id, did AS event_type, played_for_id AS target_castaway_id,
+        co_castaway_ids, joint_play, multi_target_play, ended AS success_outcome, votes_nullified, advantage_type, clue_details, location_found, conditions,
+        CASE WHEN contains(did, 'found') THEN 'found' WHEN contains(did, 'played') THEN 'played' WHEN contains(did, 'received') THEN 'received' WHEN contains(did, 'gifted') OR contains(did, 'shared') THEN 'shared' ELSE 'other' END AS event_category,
+        CASE WHEN contains(what, 'idol') THEN 'idol' WHEN contains(what, 'immunity') THEN 'immunity' WHEN contains(what, 'vote') THEN 'vote_modifier' WHEN contains(what, 'advantage') THEN 'advantage' ELSE 'other' END AS advantage_category,
+        CASE WHEN played AND ended = 'yes' THEN 1 ELSE 0 END AS played_successfully, CASE WHEN played AND (ended = 'no' OR ended = 'not needed') THEN 1 ELSE 0 END AS played_unsuccessfully,
+        CASE WHEN played AND coalesce(played_for_id = castaway_id, played_for_id IS NULL) THEN 1 ELSE 0 END AS played_for_self, CASE WHEN played AND played_for_id <> castaway_id THEN 1 ELSE 0 END AS played_for_others FROM moves""",
+    "challenge_performance": f"""WITH runs AS (SELECT r.*, d.* EXCLUDE (challenge_id, version_season), CASE WHEN lower(r.result) LIKE '%win%' THEN 1 ELSE 0 END AS won
+        FROM challenge_results r JOIN challenge_description d ON d.challenge_id = r.challenge_id AND d.version_season = r.version_season)
+      SELECT {_md5("castaway_id", "version_season", "challenge_id")} AS challenge_performance_key, castaway_id, version_season, episode, challenge_id, challenge_type, name AS challenge_name, recurring_name, lower(result) AS result, won AS won_flag,
+        chosen_for_reward, sit_out, order_of_finish, team, tribe_status, CASE WHEN lower(tribe_status) LIKE '%merge%' THEN 'post_merge' ELSE 'pre_merge' END AS merge_phase,
+        CASE WHEN lower(challenge_type) LIKE '%individual%' THEN 'individual' WHEN regexp_matches(lower(challenge_type), 'tribe|team') THEN 'team' ELSE 'other' END AS challenge_format,
+        {", ".join(f"coalesce({x}, false)::INT * won AS {x}_win, coalesce({x}, false)::INT AS {x}_participated" for x in ("balance", "endurance", "knowledge", "memory", "precision", "puzzle", "race", "strength", "water"))} FROM runs""",
+    "edit_features": f"""SELECT {_md5("castaway_id", "version_season", "episode")} AS edit_features_key, castaway_id, version_season, episode, confessional_count, confessional_time, exp_count AS expected_confessional_count, exp_time AS expected_confessional_time,
+        CASE WHEN exp_count > 0 THEN confessional_count / exp_count END AS confessional_count_ratio, CASE WHEN exp_time > 0 THEN confessional_time / exp_time END AS confessional_time_ratio,
+        CASE WHEN confessional_count > 0 THEN 1 ELSE 0 END AS has_confessional, CASE WHEN confessional_count >= 3 THEN 1 ELSE 0 END AS high_confessional_count, CASE WHEN confessional_time >= 60 THEN 1 ELSE 0 END AS high_confessional_time,
+        CASE WHEN exp_count > 0 AND confessional_count > exp_count THEN 1 ELSE 0 END AS over_edited_count, CASE WHEN exp_time > 0 AND confessional_time > exp_time THEN 1 ELSE 0 END AS over_edited_time,
+        CASE WHEN exp_count > 0 AND confessional_count < exp_count THEN 1 ELSE 0 END AS under_edited_count, CASE WHEN exp_time > 0 AND confessional_time < exp_time THEN 1 ELSE 0 END AS under_edited_time FROM confessionals""",
+    "jury_analysis": f"""WITH tribes AS ({TRIBES}) SELECT {_md5("j.castaway_id", "j.version_season", "j.finalist_id")} AS jury_analysis_key, j.castaway_id, j.version_season, j.finalist_id, j.vote AS voted_for_finalist_name, s.winner_id AS actual_winner_id,
+        coalesce((j.finalist_id = s.winner_id)::INT, 0) AS voted_for_winner, coalesce((j.finalist_id <> s.winner_id)::INT, 0) AS voted_against_winner, x.original_tribe AS juror_original_tribe, y.original_tribe AS finalist_original_tribe,
+        coalesce((x.original_tribe = y.original_tribe)::INT, 0) AS same_original_tribe, coalesce((x.original_tribe <> y.original_tribe)::INT, 0) AS different_original_tribe
       FROM jury_votes j JOIN season_summary s ON s.version_season = j.version_season LEFT JOIN tribes x ON x.castaway_id = j.castaway_id AND x.version_season = j.version_season
-      LEFT JOIN tribes y ON y.castaway_id = j.finalist_id AND y.version_season = j.version_season)""",
+      LEFT JOIN tribes y ON y.castaway_id = j.finalist_id AND y.version_season = j.version_season""",
     "castaway_profile": f"""SELECT DISTINCT {listed(["c." + n for n in M.PROFILE["castaways"]]).replace("AS c.", "AS ")}, {listed(M.PROFILE["castaway_details"]).replace("race AS", "d.race AS")}, {", ".join(f"s.{e} AS {n}" for n, e in M.PROFILE["season_summary"].items())}
       FROM castaways c LEFT JOIN castaway_details d ON d.castaway_id = c.castaway_id LEFT JOIN season_summary s ON s.season = c.season""",
     "season_context": f"""WITH people AS (SELECT d.*, n > 1 AS is_returning_player FROM castaway_details d JOIN (SELECT castaway_id, count(*) AS n FROM castaway_details GROUP BY 1) USING (castaway_id)),
