@@ -101,8 +101,11 @@ def fit(texts: list[str], labels: np.ndarray, *, buckets: int = BUCKETS, dim: in
     bias = -4.0
     if not index:
         return Model(np.zeros(buckets), bias, window)
-    grams, starts = bags(list(index), buckets)
-    sizes = np.diff(starts)
+    words = list(index)
+    found = [bags(words[i : i + 20_000], buckets) for i in range(0, len(words), 20_000)]  # some at a time, as this is the driver
+    grams, sizes = np.concatenate([g.astype(np.int32) for g, _ in found]), np.concatenate([np.diff(at) for _, at in found])
+    starts = np.append(0, np.cumsum(sizes))
+    del found, words
     emb = rng.normal(0, 0.01, (buckets, dim))
     soft = rng.choice([-0.5, 0.5], (dim, 1)) * [1.0, -1.0]
     emb_sq, soft_sq, bias_sq = np.full(buckets, FLOOR), np.full((dim, 2), 1.0), 1.0
