@@ -34,8 +34,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Bands and rows: a pair at similarity 0.8 shares a bucket with probability 0.9999, one at 0.4 with 0.22.
 BANDS, ROWS = 24, 5
-#: Pairs left for each row of the buckets at which rounds end.
-FEW = 4
+#: Pairs left for each row of the buckets at which rounds end: so few that comparing them costs less than the bounds. Pairs grow with the
+#: square of a group of near copies, so anything above goes through the bounds, whatever the size of the input.
+FEW = 0.25
 #: Pairs of nodes for each row of the buckets whose bounds are compared at most before the last round; else another pivot comes first.
 REACH = 64
 #: Ratio of the largest to the least size in a size class.
