@@ -33,11 +33,11 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 COLUMNS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "covered_chars": "long", "longest_repeat": "long"}
 
 
-def repeat_lengths(symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """For each position, the words of the longest prefix of its suffix that occurs elsewhere in its text."""
+def suffix_array(symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of all texts in order, and the words of the common prefix of each two that follow each other; suffixes of two texts share none."""
     n = len(symbols)
     if n == 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(symbols, kind="stable")
     levels = [_ranks(order, symbols[order], n)]
     last = np.searchsorted(owner, owner, "right")  # end of each position's text
@@ -73,7 +73,13 @@ def repeat_lengths(symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
         common[fits] += step
         left[fits] += step
         right[fits] += step
-    out = np.zeros(n, np.int64)
+    return suffixes, common
+
+
+def repeat_lengths(symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For each position, the words of the longest prefix of its suffix that occurs elsewhere in its text."""
+    suffixes, common = suffix_array(symbols, owner)
+    out = np.zeros(len(symbols), np.int64)
     out[suffixes[1:]] = common
     out[suffixes[:-1]] = np.maximum(out[suffixes[:-1]], common)
     return out

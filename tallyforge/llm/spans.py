@@ -15,6 +15,11 @@ import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes that part words made of letters, and of letters and digits; all of a character outside ASCII count as letters.
+NOT_LETTERS = np.ones(256, bool)
+NOT_LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+NOT_LETTERS_OR_DIGITS = NOT_LETTERS.copy()
+NOT_LETTERS_OR_DIGITS[48:58] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _CHUNK = 1 << 18
@@ -65,9 +70,9 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, and the index of each word's text."""
-    inside = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and the index of each word's text; ``apart`` marks the bytes that part words."""
+    inside = ~apart[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -122,3 +127,17 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 def per_text(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Sum of whole numbers by text."""
     return np.bincount(owner, weights=values, minlength=n).astype(np.int64)
+
+
+def taken(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the spans one after the other, and the offsets of each."""
+    size = ends - starts
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    return data[np.repeat(starts - offsets[:-1], size) + np.arange(offsets[-1])], offsets
+
+
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans as a string column."""
+    part, offsets = taken(data, starts, ends)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(part))
