@@ -132,7 +132,8 @@ def _sliced(terms: DataFrame, groups: DataFrame):
     slices = groups.select("lang", F.greatest(F.col("kinds") / SLICE_ROWS, F.lit(1)).cast("int").alias("slices")).distinct()
     dealt = terms.join(slices, "lang").withColumn("slice", F.pmod(F.xxhash64("term"), F.col("slices")).cast("int"))
     each = groups.join(slices, "lang").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    return dealt.select("lang", "slice", "counts").groupBy("lang", "slice").cogroup(each.select("lang", "slice", "source", "n", "kinds").groupBy("lang", "slice"))
+    each = each.select(*(F.col(c).alias(c) for c in ("lang", "slice", "source", "n", "kinds")))  # columns of their own, where both sides come from one table
+    return dealt.select("lang", "slice", "counts").groupBy("lang", "slice").cogroup(each.groupBy("lang", "slice"))
 
 
 def joint_tables(terms: DataFrame, groups: DataFrame) -> DataFrame:
