@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 from . import spans
 
 #: A repeat counts from this many words on.
-MIN_REPEAT = 10
-#: Share of the word characters that repeats may cover, all occurrences counted: the published rule for ten-word
-#: repeats allows 10 % without the first occurrence, which is about twice that with it.
-MAX_COVERED = 0.2
+MIN_REPEAT = 5
+#: Share of the word characters that repeats may cover, all occurrences counted, as the published rule for five-word repeats has it.
+MAX_COVERED = 0.15
 #: Words that the longest repeat may have, and its share of the text's words; a text fails beyond both.
 MAX_REPEAT_WORDS = 100
 MAX_REPEAT_SHARE = 0.05
@@ -150,7 +149,7 @@ def with_repetition(docs: DataFrame, *, text: str = "text", min_repeat: int = MI
 
 
 def judge(measured: DataFrame, *, max_covered: float = MAX_COVERED, max_repeat_words: int = MAX_REPEAT_WORDS, max_repeat_share: float = MAX_REPEAT_SHARE) -> DataFrame:
-    """Adds ``base_failed`` and ``kept``: a text goes if it fails the base rules, if repeats cover too much of it or if its longest repeat is too long."""
+    """Adds ``base_failed`` and ``kept``: a text goes if it fails the base rules, if repeats cover too much of it or if its longest repeat is too long. Own columns of these names give way."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     covered = F.col("covered_chars") > max_covered * F.col("word_chars")
     long = (F.col("longest_repeat") > max_repeat_words) & (F.col("longest_repeat") > max_repeat_share * F.col("n_words"))

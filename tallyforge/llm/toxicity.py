@@ -29,9 +29,11 @@ TRAIN_BYTES = 16_384
 BUCKETS = 1 << 17
 DIM = 8
 N_GRAMS = (3, 4, 5)
-WINDOW = 8
+#: Words that are averaged: an insult is one or two words, and what stands around it is chance. Held out, at 0.7, windows of 8, 4, 2 words
+#: catch 4, 9, 9 of 18 toxic texts of sf0.01 and 101, 102, 111 of 144 of sf0.1, and flag 20, 6, 3 of 1,200 clean ones there.
+WINDOW = 2
 #: Gradient steps that a fit takes about, whatever the rows: fewer rows are gone through more often.
-STEPS = 800
+STEPS = 400
 BATCH = 64
 #: Squared gradient that an embedding starts with: n-grams seen a few times move little, so chance company of an insult isn't learned.
 FLOOR = 0.01
