@@ -410,6 +410,6 @@ def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", similar
     rows = _marked(docs, id, text)
     marks = _marks(rows)
     kept = _classes(marks, rows, similarity).select(F.col("class.id").alias("_kept"), F.col("class.mark").alias("_mark")).distinct()
-    own = docs.where(F.col(id).isNotNull()).withColumn("_own", F.sha1(F.coalesce(F.col(text), F.lit(""))))
-    one = own.join(kept, (F.col(id) == F.col("_kept")) & (F.col("_own") == F.col("_mark")), "left_semi").dropDuplicates([id, "_own"]).drop("_own")
+    own = docs.where(F.col(id).isNotNull()).select(F.struct("*").alias("row"), F.col(id).alias("id"), F.sha1(F.coalesce(F.col(text), F.lit(""))).alias("own"))
+    one = own.join(kept, (F.col("id") == F.col("_kept")) & (F.col("own") == F.col("_mark")), "left_semi").dropDuplicates(["id", "own"]).select("row.*")
     return one.unionByName(docs.where(F.col(id).isNull()))

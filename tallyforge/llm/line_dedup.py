@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 #: Distinct sites from which on a line is boilerplate.
 MIN_SITES = 5
-#: Characters that a line must have unless the caller says otherwise; 1 is every line that isn't blank.
-MIN_CHARS = 30
+#: Characters that a line must have unless the caller says otherwise: every line that isn't blank.
+MIN_CHARS = 1
 #: Estimates within this share of the threshold are settled by exact counts; about four standard errors at LG_K.
 MARGIN = 0.2
 LG_K = 10
@@ -57,13 +57,14 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", site
     spread = spread_lines(docs, id=id, text=text, site=site, min_sites=min_sites, min_chars=min_chars)
     gone = _among(_lines(docs, id, text, site, min_chars), spread).where(~F.col("_id").eqNullSafe(F.col("_first")))
     gone = gone.groupBy("_id", "_text").agg(F.collect_set("_at").alias("_gone"))
-    rows = docs.withColumn("_own", F.xxhash64(text)).alias("d")
-    joined = rows.join(gone.alias("g"), F.col(f"d.{id}").eqNullSafe(F.col("g._id")) & (F.col("d._own") == F.col("g._text")), "left")
-    lines = F.split(text, "\n")
-    stay = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    cleaned = F.when(F.col("_gone").isNull(), F.col(f"d.{text}")).otherwise(stay)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("own"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_text")), "left")
+    joined = joined.select("row", "text", "_gone", F.split("text", "\n").alias("lines"))
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    stay = F.array_join(F.transform(F.array_except(places, "_gone"), lambda i: F.get("lines", i)), "\n")
+    cleaned = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(stay)
     return joined.select(
-        *(cleaned.alias(c) if c == text else F.col(f"d.{c}") for c in docs.columns),
-        F.when(F.col(f"d.{text}").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
+        *(cleaned.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).alias("n_lines"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_removed"),
     )

@@ -121,7 +121,7 @@ WITH lines AS (
   SELECT doc_id, coalesce(source, '') AS site, pos, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line, line AS raw
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
 ), spread AS (
-  SELECT line, min(doc_id) AS first FROM lines WHERE length(line) >= 30 GROUP BY line HAVING count(DISTINCT site) >= 5
+  SELECT line, min(doc_id) AS first FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 5
 ), marked AS (
   SELECT l.doc_id, l.pos, l.raw, s.line IS NOT NULL AND l.doc_id <> s.first AS gone FROM lines l LEFT JOIN spread s ON l.line = s.line
 ), again AS (

@@ -166,8 +166,10 @@ def test_toxicity_learns_misspellings(spark, docs, none):
 def test_lines(spark, docs, none):
     shared = "this very line stands on every single site"
     rows = [(i, f"own {i}\n{shared}\nend", f"s{i % 6}") for i in range(12)]
-    found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_chars=30).collect()}
     assert found[0] == (rows[0][1], 3, 0) and found[7] == ("own 7\nend", 3, 1)
+    found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert found[0] == (rows[0][1], 3, 0) and found[7] == ("own 7", 3, 2)
     few = spark.createDataFrame([r for r in rows if r[2] < "s4"], "doc_id long, text string, source string")
     assert line_dedup.dedup_lines(few).where("n_removed > 0").count() == 0
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()} == {i: t for i, t, _ in EDGE}

@@ -7,10 +7,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import divergence, positional, queries, runs
+import corpus_pipeline
+from tallyforge.llm import bagminhash, bpe_count, divergence, fingerprint, line_dedup, positional, queries, repetition, runs
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -235,6 +237,86 @@ def test_runs_of_small_exponents_and_long_texts():
     assert runs.find_runs(symbols, np.zeros(len(symbols), int)).tolist() == [[0, 50_000, 1], [50_000, 28_000, 700]]
 
 
+# Own columns, odd rows and merging of the earlier operators
+
+INSIDE = ["_gone", "_own", "_first", "_bucket", "_order", "_words", "row", "order", "bucket", "first", "follows", "own", "lines", "id", "words", "kept"]
+
+
+def test_own_columns_of_any_name(spark):
+    """Columns named as those used inside come back as they were."""
+    shared = "a line that stands on very many different sites"
+    rows = [(i, f"own {i} " + " ".join(f"w{i}x{k}" for k in range(20)) + f"\n{shared}", f"s{i % 6}") for i in range(12)] + [(20, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in INSIDE})
+    for out in (line_dedup.dedup_lines(df), fingerprint.with_next(fingerprint.with_sketch(df, "text", "sketch"), carry="sketch"), bagminhash.keep_one(df)):
+        assert set(df.columns) <= set(out.columns) and out.count() == len(rows)
+        assert all(r[c] == f"{c}{r.doc_id}" for r in out.collect() for c in INSIDE)
+    assert line_dedup.dedup_lines(df).where("n_removed = 1").count() == 11
+
+
+def test_sketches_merge_and_hold_a_fraction(spark):
+    """The sketch of two texts together comes from their sketches; long ones hold about one hash in SCALE, short ones all; estimates are near the truth."""
+    rnd = random.Random(8)
+    say = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for n in (0, 3, 5, 30, 67, 68, 100, 400, 3000, 20_000):
+        a, b = say(n), say(n // 3)
+        rows.append((" ".join(a), " ".join([*a[n // 2 :], *b])))
+    df = spark.createDataFrame(rows, "a string, b string")
+    for c in "ab":
+        df = fingerprint.with_sketch(df, c, f"{c}_sketch")
+    df = df.select("*", fingerprint.merged("a_sketch", "b_sketch").alias("both"), fingerprint.likeness("a_sketch", "b_sketch").alias("near"))
+    hashes = {}
+    many = spark.createDataFrame([(" ".join(w[k : k + 5]),) for r in rows for w in (r[0].split(), r[1].split()) for k in range(max(len(w) - 4, min(len(w), 1)))], "s string").distinct()
+    for r in fingerprint.with_sketch(many, "s", "h").collect():
+        hashes[r.s] = r.h[0]
+    shingles = lambda t: {hashes[" ".join(w[k : k + 5])] for w in [t.split()] for k in range(max(len(w) - 4, min(len(w), 1)))}
+    held = lambda s: [h for k, h in enumerate(sorted(s)) if k < fingerprint.LEAST or h < fingerprint.LIMIT]
+    for r in df.collect():
+        a, b = shingles(r.a), shingles(r.b)
+        assert r.a_sketch == held(a) and r.both == held(a | b)
+        truth = len(a & b) / min(len(a), len(b)) if a and b else float(a == b)
+        assert abs(r.near - truth) <= (1e-9 if len(a) < fingerprint.LEAST else 0.25)
+        if len(a) > 2000:
+            assert 0.5 < len(r.a_sketch) * fingerprint.SCALE / len(a) < 1.5
+
+
+def test_next_wants_whole_numbers(spark):
+    with pytest.raises(TypeError):
+        fingerprint.with_next(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
+def test_toxicity_stage_on_odd_rows(spark):
+    """Nulls, repeated rows, an empty table, no labels among the documents: nothing clean goes."""
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    rows = [(10**9, None), (10**9 + 1, ""), (10**9 + 2, "plain words only"), (10**9 + 2, "plain words only"), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("own"))
+    kept = stage(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted(rows, key=str)
+    assert stage(spark, docs.where("false"), SF).count() == 0
+
+
+def test_quality_limits_act(spark):
+    """Some documents pass the base and repeat five words or more over more than the limit; those go."""
+    found = queries.op8_quality_rules(spark, "/root/testdata/sf0.01").where("NOT base_failed")
+    gone = found.where("NOT kept")
+    assert 0 < gone.count() < 0.05 * found.count()
+    assert gone.where(f"covered_chars <= {repetition.MAX_COVERED} * word_chars AND longest_repeat <= {repetition.MAX_REPEAT_WORDS}").count() == 0
+
+
+def test_texts_over_one_block(spark):
+    """A text longer than the blocks that texts are worked on in is measured whole."""
+    rnd = random.Random(9)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(180_000)]
+    long = " ".join(words)
+    assert len(long) > 1 << 20
+    docs = spark.createDataFrame([(1, "short text"), (2, long), (3, " ".join(words[:90_000] * 2))], "doc_id long, text string")
+    found = {r.doc_id: r for r in repetition.judge(repetition.with_repetition(docs)).collect()}
+    assert found[2].n_words == found[3].n_words == 180_000 and found[2].kept and not found[3].kept and found[3].longest_repeat == 90_000
+    counted = {r.doc_id: r.n_bytes for r in bpe_count.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).collect()}
+    assert counted[2] == len(long)
+    assert {r.doc_id: r.n_lines for r in line_dedup.dedup_lines(docs.withColumn("source", F.lit("s"))).collect()} == {1: 1, 2: 1, 3: 1}
+
+
 # As queries
 
 
