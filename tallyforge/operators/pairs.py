@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ratio
@@ -12,18 +12,20 @@ def pairwise_alignment(df: DataFrame, group: list[str], actor: str, target: str,
     """Per group, actor and ``extra_keys``: ``total_others``, ``aligned_others`` and ``alignment_ratio``.
 
     Counts what a self-join on the group with differing actors would, without its square: each row meets the group's rows
-    less the actor's own, and aligns with those of its target less the actor's own. The sums are aggregates that are joined
-    back, so a large group isn't one task's. Rows with a null actor or group
-    don't count; a null target never aligns; an actor alone in its groups has no row. ``extra_keys`` split the actor's rows, not the others.
+    less the actor's own, and aligns with those of its target less the actor's own. The group's and the target's sums are small
+    aggregates of the counts, so a large group isn't one task's; the actor's are windows over the actor's own counts, and only where ``extra_keys`` split them.
+    Rows with a null actor or group don't count; a null target never aligns; an actor alone in its groups has no row. ``extra_keys``
+    split the actor's rows, not the others.
     """
-    keys = [*group, actor, *(extra_keys or [])]
-    counts = df.dropna(subset=[*group, actor]).groupBy(*keys, target).agg(F.count(F.lit(1)).alias("_n"))
-
-    def rows_of(name: str, *columns: str):
-        return counts.groupBy(*group, *columns).agg(F.sum("_n").alias(name))
-
-    counts = counts.join(rows_of("_all"), group).join(rows_of("_own", actor), [*group, actor])
-    counts = counts.join(rows_of("_target", target), [*group, target], "left").join(rows_of("_both", actor, target), [*group, actor, target], "left")
-    counts = counts.withColumn("_others", F.col("_all") - F.col("_own")).withColumn("_same", F.coalesce(F.col("_target") - F.col("_both"), F.lit(0)))
-    out = counts.groupBy(*keys).agg(F.sum(F.col("_n") * F.col("_others")).alias("total_others"), F.sum(F.col("_n") * F.col("_same")).alias("aligned_others"))
-    return out.where("total_others > 0").withColumn("alignment_ratio", ratio(F.col("aligned_others"), F.col("total_others")))
+    own, keys = [*group, actor], [*group, actor, *(extra_keys or [])]
+    counts = df.dropna(subset=own).groupBy(*keys, target).agg(F.count(F.lit(1)).alias("_n"))
+    targets = counts.groupBy(*group, target).agg(F.sum("_n").alias("_target"))
+    groups = targets.groupBy(*group).agg(F.sum("_target").alias("_all"))
+    both = whole = F.col("_n")
+    if extra_keys:
+        counts = counts.withColumn("_own", F.sum("_n").over(Window.partitionBy(*own))).withColumn("_both", F.sum("_n").over(Window.partitionBy(*own, target)))
+        both, whole = F.col("_both"), F.col("_own")
+    met = counts.join(targets, [*group, target], "left").withColumn("_same", F.col("_n") * F.coalesce(F.col("_target") - both, F.lit(0)))
+    mine = met.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_same").alias("aligned_others"), (F.max(whole) if extra_keys else F.sum("_n")).alias("_own"))
+    out = mine.join(groups, group).withColumn("total_others", F.col("_n") * (F.col("_all") - F.col("_own"))).where("total_others > 0")
+    return out.select(*keys, "total_others", "aligned_others", ratio(F.col("aligned_others"), F.col("total_others")).alias("alignment_ratio"))

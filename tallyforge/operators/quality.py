@@ -20,19 +20,32 @@ def _n_duplicate(column: str) -> Column:
     return F.count(F.lit(1)) - distinct
 
 
+def value_counts(df: DataFrame) -> DataFrame:
+    """Rows (column_name, value, n) of all columns, as text, null included: tasks count before anything is shuffled, so a column of few values sends few rows."""
+    values = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns))
+    return df.select(F.inline(values)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profile(df: DataFrame) -> DataFrame:
-    """A row for each column: ``n_rows``, ``n_null`` and ``n_duplicate`` (rows less distinct values, null being a value), all in one pass."""
-    aggs = [F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), _n_null(c).alias("n_null"), _n_duplicate(c).alias("n_duplicate")) for c in df.columns]
-    return df.agg(F.array(*aggs).alias("_all")).select(F.inline("_all"))
+    """A row for each column: ``n_rows``, ``n_null`` and ``n_duplicate`` (rows less distinct values, null being a value), all in one pass. A table without rows gives zeros."""
+    counts = value_counts(df).groupBy("column_name").agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"), (F.sum("n") - F.count(F.lit(1))).alias("n_duplicate"))
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
+    return names.join(counts, "column_name", "left").fillna(0)
+
+
+def rule_parts(rule: str) -> tuple[str, str, int]:
+    """Kind (missing or duplicate), column and wanted count of a rule."""
+    kind, column, wanted = re.fullmatch(r"(missing|duplicate)_count\((\w+)\)\s*=\s*(\d+)", rule.strip()).groups()
+    return kind, column, int(wanted)
 
 
 def run_rules(df: DataFrame, rules: list[str]) -> DataFrame:
     """Outcome of rules like ``missing_count(column) = 0`` and ``duplicate_count(column) = 0``, in one pass over the columns they name; a rule on a missing column fails."""
     found = []
     for rule in rules:
-        kind, column, wanted = re.fullmatch(r"(missing|duplicate)_count\((\w+)\)\s*=\s*(\d+)", rule.strip()).groups()
+        kind, column, wanted = rule_parts(rule)
         value = (_n_null if kind == "missing" else _n_duplicate)(column) if column in df.columns else F.lit(None)
-        found.append(F.struct(F.lit(rule).alias("rule"), value.cast("long").alias("found"), F.lit(int(wanted)).alias("_wanted")))
+        found.append(F.struct(F.lit(rule).alias("rule"), value.cast("long").alias("found"), F.lit(wanted).alias("_wanted")))
     if not found:
         return df.sparkSession.createDataFrame([], "rule string, found long, passed boolean")
     rows = df.agg(F.array(*found).alias("_all")).select(F.inline("_all"))
@@ -71,10 +84,10 @@ def schema_differences(actual: StructType, expected: StructType, optional: list[
 
 
 def value_changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """A row for each changed value: key, ``column_name``, ``before``, ``after`` (as text) and ``became_null``."""
+    """A row for each changed value: key, ``column_name``, ``before``, ``after`` (as text) and ``became_null``. A row that one side has alone has all its values changed, from null or to null."""
     a, b = before.select(key, *(F.col(c).cast("string").alias(f"a_{c}") for c in columns)), after.select(key, *(F.col(c).cast("string").alias(f"b_{c}") for c in columns))
     pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"a_{c}").alias("before"), F.col(f"b_{c}").alias("after")) for c in columns))
-    out = a.join(b, key).select(key, F.inline(pairs))
+    out = a.join(b, key, "full").select(key, F.inline(pairs))
     return out.where(T.changed(F.col("before"), F.col("after"))).withColumn("became_null", F.col("after").isNull())
 
 

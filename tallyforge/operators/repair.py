@@ -48,7 +48,8 @@ def flag_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("is_duplicate", F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
 
 
-def _lenient(column: Column, kind: DataType) -> Column:
+def lenient(column: Column, kind: DataType) -> Column:
+    """The column read as a type, null where it can't be."""
     for kinds, cast in (((BooleanType,), T.lenient_boolean), ((ShortType, IntegerType), T.lenient_integer), ((LongType,), lambda c: T.lenient_double(c).try_cast("long")), ((DoubleType, FloatType), T.lenient_double), ((DateType,), T.lenient_date), ((TimestampType,), T.lenient_timestamp), ((StringType,), T.clean_id)):
         if isinstance(kind, kinds):
             return cast(column)
@@ -57,7 +58,7 @@ def _lenient(column: Column, kind: DataType) -> Column:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns in its order, cast leniently: what can't be read is null. Further columns go, missing ones are null."""
-    return df.select(*((_lenient(F.col(f.name), f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields))
+    return df.select(*((lenient(F.col(f.name), f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields))
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:

@@ -84,3 +84,77 @@ def test_run_through_the_layers(spark):
         assert "duplicate_count" in str(e)
     assert w.load("bronze.validation_checks").where("run_id = 'r1' AND NOT passed").count() == 1
     assert L.load_bronze(w, rows, bad, "r2", "2024-01-03 00:00:00", strict=False).count() == 2
+    newer = {n: (df, "v2" if n == "jury_votes" else "v1") for n, (df, _) in landed.items()}
+    before = {n: w.load(f"bronze.{n}").count() for n in tables}
+    assert L.run_pipeline(w, newer, datasets, "2024-01-04 00:00:00") == "succeeded"
+    assert {n for n in tables if w.load(f"bronze.{n}").count() != before[n]} == {"jury_votes"}  # without keys a load appends
+
+
+def test_checks_of_references(spark):
+    """Nulls are no violations; where a reference allows them they are counted. Orphans and null references go only if there are parents."""
+    from tallyforge import medallion as L
+
+    rows = spark.createDataFrame([("1", "a", "s"), ("2", None, "s"), ("3", "x", None), ("4", "x", "s"), ("4", "x", "s")], "id string, person string, season string")
+    people, nobody = spark.createDataFrame([("a",)], "person string"), spark.createDataFrame([], "person string")
+    strict, lenient = L.Reference(("person",), "people", ("person",)), L.Reference(("person",), "people", ("person",), True)
+    data = L.Dataset("d", "id int, person string", references=(strict, lenient, L.Reference(("season",), "seasons", ("season",))), rules=("missing_count(person) = 0",))
+    for parents, found, n_null in ((people, 3, 1), (nobody, None, None)):
+        checks = {(r.check, r.n_null): (r.found, r.passed, r.samples) for r in L.prepared(rows, data, {"people": parents})[1].collect()}
+        ok = found is None
+        assert checks["person in people", None][:2] == (found, ok) and checks["person in people", n_null] == (found, ok, None if ok else "x")
+        assert checks["season in seasons", None] == (None, True, None) and checks["missing_count(person) = 0", None] == (1, False, "2")
+    repaired = L.Dataset("d", "id int, person string", ("id",), repairs=(L.drop_orphans(["id"], "person", "people", "person"),), references=(), rules=())
+    kept, _, events = L.prepared(rows, repaired, {"people": people})
+    assert [tuple(r) for r in kept.collect()] == [(1, "a")]
+    assert sorted((r.action, r.row_key, r.before) for r in events.collect() if r.action != "column dropped") == sorted([("orphan dropped", "2", None), *[("orphan dropped", k, "x") for k in "344"]])
+    assert {r.id for r in L.prepared(rows, repaired, {"people": nobody})[0].collect()} == {1, 2, 3, 4}
+
+
+def test_coercion_audit_and_schema_check(spark):
+    """What a cast changes is an event with context; extra columns are noted, missing and unreadable ones are errors; which duplicate stays doesn't depend on how rows are dealt."""
+    from tallyforge import medallion as L
+
+    rows = spark.createDataFrame([("1", " yes ", "3.0", 7), ("2", "nope", "x", 8), ("2", "no", "5", 9)], "id string, ok string, n string, more int")
+    data = L.Dataset("d", "id int, ok boolean, n int", ("id",), references=(), rules=(), context=("n",))
+    wanted = None
+    for parts in (1, 2, 3):
+        kept, _, events = L.prepared(rows.repartition(parts, "more"), data, {})
+        found = sorted(map(tuple, kept.collect())), sorted((r.action, r.row_key, r.column_name, r.before, r.after, r.context) for r in events.collect() if r.row_key)
+        wanted = wanted or found
+        assert found == wanted and [r.before for r in events.where("action = 'column dropped' AND column_name = 'more'").collect()] == ["int"]
+    assert wanted[0] == [(1, True, 3), (2, False, 5)]
+    assert ("value coerced", "1", "ok", " yes ", "true", "n=3.0") in wanted[1] and ("value coerced", "1", "n", "3.0", "3", "n=3.0") in wanted[1] and ("duplicate dropped", "2", None, None, None, None) in wanted[1]
+    for schema, words in (("id int, gone int", "lacks gone"), ("id array<int>", "id is string instead of"), ("more date", "more is int instead of date")):
+        try:
+            L.prepared(rows, L.Dataset("d", schema), {})
+            raise AssertionError
+        except ValueError as e:
+            assert words in str(e)
+
+
+def test_load_order_parents_and_refresh(spark):
+    """Datasets load after what they refer to; missing parents are added to their table; a refresh replaces rows, but not in prod."""
+    from tallyforge import medallion as L
+
+    w = Warehouse(spark)
+    held = L.Dataset("o41_items", "item_id string, kind string", ("item_id",), references=(), rules=())
+    uses = L.Dataset("o41_uses", "use_id int, item_id string, kind string", ("use_id",), parents=(L.Parents("o41_items", ("item_id",), "use_id", ("kind",)),), references=(L.Reference(("item_id",), "o41_items", ("item_id",)),), rules=())
+    assert [d.name for d in L.load_order([uses, held])] == ["o41_items", "o41_uses"]
+    L.load_bronze(w, spark.createDataFrame([("a", "x")], "item_id string, kind string"), held, "r1", "2024-01-01 00:00:00")
+    found = L.load_bronze(w, spark.createDataFrame([(1, "a", None), (3, "b", "late"), (2, "b", "early")], "use_id int, item_id string, kind string"), uses, "r1", "2024-01-01 00:00:00")
+    assert found.count() == 3 and sorted((r.item_id, r.kind) for r in w.load("bronze.o41_items").collect()) == [("a", "x"), ("b", "early")]
+    assert w.load("bronze.remediation_events").where("action = 'parent added' AND row_key = 'b'").count() == 1
+    fewer = spark.createDataFrame([(9, "a", "z")], "use_id int, item_id string, kind string")
+    assert L.load_bronze(w, fewer, uses, "r2", "2024-01-02 00:00:00", mode="refresh", environment="prod").count() == 4
+    assert L.load_bronze(w, fewer, uses, "r3", "2024-01-03 00:00:00", mode="refresh").count() == 1
+
+
+def test_streamed_upserts_are_the_same_each_time(spark, tmp_path):
+    from tallyforge.streaming import upsert_landed
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"k": 1, "at": 2, "v": "late"}\n{"k": 1, "at": 1, "v": "z"}\n{"k": 1, "at": 1, "v": "b"}\n{"k": 2, "at": 1, "v": "c"}\n')
+    schema = spark.createDataFrame([], "k int, at int, v string").schema
+    for n in (1, 2):
+        upsert_landed(spark, f"file://{tmp_path}/in", schema, "silver", f"streamed{n}", ["k"], f"file://{tmp_path}/check{n}", order=["at"]).awaitTermination(120)
+        assert sorted((r.k, r.v) for r in Warehouse(spark).load(f"silver.streamed{n}").collect()) == [(1, "b"), (2, "c")]
