@@ -91,3 +91,40 @@ def resolve_ids(t):
     edited = F.when(kind == 0, F.lower("s_name")).when(kind == 1, F.concat(F.lit("x"), F.col("s_name"))).when(kind == 2, F.translate("s_name", "e", "é")).otherwise(F.col("s_name"))
     rows = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("block"), edited.alias("name"))
     return O.resolve_ids(rows, people, ["block"], "name", "id")
+
+
+_CELLS = ["ref", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_AFTER = """SELECT o_custkey, o.o_orderkey * 10 + k AS seq, CASE WHEN o.o_orderkey % 5 = 0 THEN o.o_orderkey + 1 ELSE o.o_orderkey END AS ref, CASE WHEN o.o_orderkey % 3 = 0 THEN 'X' ELSE o.o_orderstatus END AS o_orderstatus,
+  CASE WHEN o.o_orderkey % 7 > 0 THEN o.o_totalprice END AS o_totalprice, o_orderdate, CASE WHEN o.o_orderkey % 4 = 0 AND k = 1 THEN 'split' ELSE o.o_orderpriority END AS o_orderpriority FROM orders o, (VALUES (0), (1)) AS v(k) WHERE o.o_orderkey % 11 > 0 AND (k = 0 OR o.o_orderkey % 6 = 2)"""
+
+
+def _before_and_after(t):
+    """Orders of customers, and the same after a repair: some gone, some split, cells changed, the order's number among them."""
+    key = F.col("o_orderkey")
+    before = t.orders.select("o_custkey", (key * 10).alias("seq"), key.alias("ref"), *_CELLS[1:])
+    after = t.orders.where(key % 11 > 0).withColumn("k", F.explode(F.when(key % 6 == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    after = after.select(
+        "o_custkey", (key * 10 + F.col("k")).alias("seq"), F.when(key % 5 == 0, key + 1).otherwise(key).alias("ref"), F.when(key % 3 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(key % 7 > 0, F.col("o_totalprice")).alias("o_totalprice"), "o_orderdate", F.when((key % 4 == 0) & (F.col("k") == 1), "split").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+    return before, after
+
+
+_PAIRED = f"""before AS (SELECT o_custkey, o_orderkey * 10 AS seq, o_orderkey AS ref, {", ".join(_CELLS[1:])} FROM orders), after AS ({_AFTER}),
+  met AS (SELECT a.o_custkey, a.seq AS after_seq, b.seq AS before_seq, list_filter([{", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _CELLS)}], lambda x: x IS NOT NULL) AS changed FROM after a JOIN before b ON a.o_custkey = b.o_custkey),
+  paired AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, after_seq ORDER BY len(changed), before_seq) AS nth FROM met) WHERE nth = 1)"""
+
+
+@query(f"WITH {_PAIRED} SELECT o_custkey, after_seq, before_seq, len(changed)::INT AS n_changed, array_to_string(changed, ', ') AS changed FROM paired")
+def row_pairs(t):
+    before, after = _before_and_after(t)
+    return O.pair_rows(before, after, ["o_custkey"], _CELLS, "seq").withColumn("changed", F.array_join("changed", ", "))
+
+
+@query(f"""WITH {_PAIRED}, cells AS (SELECT o_custkey, seq, unnest([{", ".join(f"'{c}'" for c in _CELLS)}]) AS column_name, unnest([{", ".join(f"CAST({c} AS VARCHAR)" for c in _CELLS)}]) AS value, side FROM (SELECT *, 'b' AS side FROM before UNION ALL SELECT *, 'a' FROM after))
+  SELECT p.o_custkey, 'result' AS state, before_seq, after_seq, b.column_name, b.value AS before, a.value AS after FROM paired p JOIN cells b ON b.side = 'b' AND b.o_custkey = p.o_custkey AND b.seq = before_seq JOIN cells a ON a.side = 'a' AND a.o_custkey = p.o_custkey AND a.seq = after_seq AND a.column_name = b.column_name WHERE a.value IS DISTINCT FROM b.value
+  UNION ALL SELECT o_custkey, 'removed', seq, NULL, column_name, value, NULL FROM cells c WHERE side = 'b' AND NOT EXISTS (SELECT 1 FROM paired p WHERE p.o_custkey = c.o_custkey AND p.before_seq = c.seq)
+  UNION ALL SELECT o_custkey, 'added', NULL, seq, column_name, NULL, value FROM cells c WHERE side = 'a' AND NOT EXISTS (SELECT 1 FROM paired p WHERE p.o_custkey = c.o_custkey AND p.after_seq = c.seq)""")
+def row_changes(t):
+    before, after = _before_and_after(t)
+    return O.row_changes(before, after, ["o_custkey"], _CELLS, "seq")
