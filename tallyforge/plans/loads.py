@@ -11,8 +11,10 @@ _RAW = """SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CASE WHEN o_orderkey
 _PEOPLE = "SELECT CAST(c_custkey AS VARCHAR) AS castaway_id FROM customer WHERE c_custkey % 10 > 0"
 
 
-def _load(t):
+def load(t):
+    """What landed (names and types), and rows, checks and events of the load."""
     from .. import medallion as L
+    from ..sources import normalised_columns
 
     raw = t.orders.select(
         F.col("o_orderkey").cast("string").alias(" Order Key "), F.when(F.expr("o_orderkey % 9 > 0"), F.col("o_custkey").cast("string")).alias("castaway_id"),
@@ -27,7 +29,7 @@ def _load(t):
         rules=("missing_count(version_season) = 0", "missing_count(castaway_id) = 0", "duplicate_count(order_key) = 0", "duplicate_count(place) = 0"), context=("order_key",),
         references=(L.Reference(person, "castaway_details", person), L.Reference(("helper_id",), "castaway_details", person, True), L.Reference(("version_season",), "season_summary", ("version_season",))),
     )
-    return L.prepared(raw, dataset, {"castaway_details": people})
+    return normalised_columns(raw).dtypes, L.prepared(raw, dataset, {"castaway_details": people})
 
 
 _KEPT = f"""raw AS ({_RAW}), people AS ({_PEOPLE}), met AS (SELECT r.*, p.castaway_id IS NULL AS orphan FROM raw r LEFT JOIN people p ON p.castaway_id = r.castaway_id),
@@ -35,12 +37,15 @@ _KEPT = f"""raw AS ({_RAW}), people AS ({_PEOPLE}), met AS (SELECT r.*, p.castaw
   kept AS (SELECT *, castaway_id || '/' || coalesce(version_season, '') AS key FROM ranked WHERE nth = 1)"""
 
 
-@query(f"""WITH {_KEPT} SELECT castaway_id, version_season, order_key::INT AS order_key, CASE paid WHEN ' yes ' THEN true WHEN 'False' THEN false END AS paid, place::DOUBLE AS place, helper_id FROM kept""")
+ROWS_SQL = f"""WITH {_KEPT} SELECT castaway_id, version_season, order_key::INT AS order_key, CASE paid WHEN ' yes ' THEN true WHEN 'False' THEN false END AS paid, place::DOUBLE AS place, helper_id FROM kept"""
+
+
+@query(ROWS_SQL)
 def load_rows(t):
-    return _load(t)[0]
+    return load(t)[1][0]
 
 
-@query(f"""WITH {_KEPT}, missing AS (SELECT key || ' (order_key=' || order_key || ')' AS s FROM kept WHERE version_season IS NULL),
+CHECKS_SQL = f"""WITH {_KEPT}, missing AS (SELECT key || ' (order_key=' || order_key || ')' AS s FROM kept WHERE version_season IS NULL),
     again AS (SELECT place AS s, count(*) AS n FROM kept GROUP BY place HAVING count(*) > 1), bad AS (SELECT helper_id AS s, count(*) AS n FROM kept WHERE helper_id NOT IN (SELECT castaway_id FROM people) GROUP BY 1)
   SELECT 'journeys' AS dataset, 'missing_count(version_season) = 0' AS "check", count(*) AS found, count(*) = 0 AS passed, NULL::BIGINT AS n_null, (SELECT string_agg(s, '; ' ORDER BY s) FROM (SELECT s FROM missing ORDER BY s LIMIT 10)) AS samples FROM missing
   UNION ALL SELECT 'journeys', 'missing_count(castaway_id) = 0', 0, true, NULL, NULL
@@ -49,16 +54,22 @@ def load_rows(t):
   UNION ALL SELECT 'journeys', 'unique(castaway_id, version_season)', 0, true, NULL, NULL
   UNION ALL SELECT 'journeys', 'castaway_id in castaway_details', 0, true, NULL, NULL
   UNION ALL SELECT 'journeys', 'helper_id in castaway_details', coalesce(sum(n), 0), sum(n) IS NULL, (SELECT count(*) FROM kept WHERE helper_id IS NULL), (SELECT string_agg(s, '; ' ORDER BY s) FROM (SELECT s FROM bad ORDER BY s LIMIT 10)) FROM bad
-  UNION ALL SELECT 'journeys', 'version_season in season_summary', NULL, true, NULL, NULL""")
+  UNION ALL SELECT 'journeys', 'version_season in season_summary', NULL, true, NULL, NULL"""
+
+
+@query(CHECKS_SQL)
 def load_checks(t):
-    return _load(t)[1]
+    return load(t)[1][1]
 
 
-@query(f"""WITH {_KEPT}, cast_values AS (SELECT key, order_key, unnest(['paid', 'place']) AS column_name, unnest([paid, place]) AS before, unnest([CASE paid WHEN ' yes ' THEN 'true' WHEN 'False' THEN 'false' END, place::DOUBLE::VARCHAR]) AS after FROM kept)
+EVENTS_SQL = f"""WITH {_KEPT}, cast_values AS (SELECT key, order_key, unnest(['paid', 'place']) AS column_name, unnest([paid, place]) AS before, unnest([CASE paid WHEN ' yes ' THEN 'true' WHEN 'False' THEN 'false' END, place::DOUBLE::VARCHAR]) AS after FROM kept)
   SELECT 'journeys' AS dataset, 'orphan dropped' AS action, order_key AS row_key, 'castaway_id' AS column_name, castaway_id AS before, NULL::VARCHAR AS after, NULL::VARCHAR AS context FROM met WHERE orphan
   UNION ALL SELECT 'journeys', 'null kept', order_key, 'version_season', NULL, NULL, NULL FROM met WHERE NOT orphan AND version_season IS NULL
   UNION ALL SELECT 'journeys', 'duplicate dropped', concat(castaway_id, '/', version_season), NULL, NULL, NULL, NULL FROM ranked WHERE nth > 1
   UNION ALL SELECT 'journeys', 'value coerced', key, column_name, before, after, 'order_key=' || order_key FROM cast_values WHERE before IS DISTINCT FROM after
-  UNION ALL SELECT 'journeys', 'column dropped', NULL, 'o_orderpriority', 'string', NULL, NULL""")
+  UNION ALL SELECT 'journeys', 'column dropped', NULL, 'o_orderpriority', 'string', NULL, NULL"""
+
+
+@query(EVENTS_SQL)
 def load_events(t):
-    return _load(t)[2]
+    return load(t)[1][2]
