@@ -28,6 +28,21 @@ def ratio(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
 
 
+def rate(condition: Column) -> Column:
+    """Aggregate: share of rows where the condition holds; null counts as not held."""
+    return F.avg(F.when(condition, 1.0).otherwise(0.0))
+
+
+def strategic_score(cast: Column, received: Column, betrayals: Column) -> Column:
+    """(cast - received + betrayals) / cast, 0 where none was cast."""
+    return F.when(cast == 0, 0.0).otherwise((cast - received + betrayals) / cast)
+
+
+def season_weight(rank: Column) -> Column:
+    """1 and a hundredth for each rank."""
+    return 1 + rank / 100.0
+
+
 def bucket(value: Column, ladder: Iterable[tuple[str, str]], default: str | None = None, ignore_case: bool = True) -> Column:
     """Label of the first LIKE pattern that matches; the default where none does (null included)."""
     out = None

@@ -144,6 +144,18 @@ FACT_SQL = {
 }
 
 
+def star_tables(t, *facts: str) -> dict[str, DataFrame]:
+    """All dimensions and the facts asked for."""
+    out = {d: build_dimension(d, sources(t, FROM[d])[FROM[d]]) for d in DIMENSIONS}
+    return out | {f: build_fact(f, sources(t, FACTS[f][0])[FACTS[f][0]], {x.dimension: out[x.dimension] for x in FACTS[f][1]}) for f in facts}
+
+
+def star_sql(*facts: str) -> str:
+    """The steps of a WITH clause that has all dimensions and the facts asked for."""
+    names = dict.fromkeys([*(FACTS[f][0] for f in facts), *FROM.values()])
+    return ", ".join([*map(_source_sql, names), *(f"{d} AS ({DIMENSION_SQL[d]})" for d in DIMENSIONS), *(f"{f} AS ({FACT_SQL[f]})" for f in facts)])
+
+
 def _register_dimension(name: str) -> None:
     def build(t):
         return build_dimension(name, sources(t, FROM[name])[FROM[name]])
