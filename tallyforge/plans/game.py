@@ -111,25 +111,83 @@ SILVER_SQL = {
         coalesce((x.original_tribe = y.original_tribe)::INT, 0) AS same_original_tribe, coalesce((x.original_tribe <> y.original_tribe)::INT, 0) AS different_original_tribe
       FROM jury_votes j JOIN season_summary s ON s.version_season = j.version_season LEFT JOIN tribes x ON x.castaway_id = j.castaway_id AND x.version_season = j.version_season
       LEFT JOIN tribes y ON y.castaway_id = j.finalist_id AND y.version_season = j.version_season""",
-    "castaway_profile": f"""SELECT DISTINCT {listed(["c." + n for n in M.PROFILE["castaways"]]).replace("AS c.", "AS ")}, {listed(M.PROFILE["castaway_details"]).replace("race AS", "d.race AS")}, {", ".join(f"s.{e} AS {n}" for n, e in M.PROFILE["season_summary"].items())}
+    "castaway_profile": """SELECT DISTINCT c.castaway_id, c.full_name, c.season, c.castaway, c.age, c.city, c.state, d.personality_type, d.occupation, d.gender, d.african, d.asian, d.latin_american, d.native_american, d.bipoc, d.lgbt, d.race, d.ethnicity,
+        s.location AS season_location, s.country AS season_country, s.tribe_setup, s.full_name AS season_name, s.viewers_premiere, s.viewers_finale, s.viewers_reunion, s.viewers_mean AS season_avg_viewers
       FROM castaways c LEFT JOIN castaway_details d ON d.castaway_id = c.castaway_id LEFT JOIN season_summary s ON s.season = c.season""",
-    "season_context": f"""WITH people AS (SELECT d.*, n > 1 AS is_returning_player FROM castaway_details d JOIN (SELECT castaway_id, count(*) AS n FROM castaway_details GROUP BY 1) USING (castaway_id)),
-      mix AS (SELECT version_season, {listed(M.DEMOGRAPHICS)} FROM castaways JOIN people USING (castaway_id) GROUP BY 1), seasons AS (SELECT {listed(M.SEASON_BASE)} FROM season_summary)
-      SELECT {listed(M.SEASON_CONTEXT)} FROM (SELECT *, (SELECT min(season_number) FROM seasons) AS min_season, (SELECT max(season_number) FROM seasons) AS max_season FROM seasons LEFT JOIN mix USING (version_season))""",
-    "social_positioning": f"""WITH stays AS (SELECT {listed(M.TRIBE_BASE)} FROM tribe_mapping), tribes AS ({TRIBES}), members AS (SELECT * FROM stays JOIN castaway_details USING (castaway_id)),
-      mix AS (SELECT version_season, episode, tribe, merge_phase AS p, {listed(M.COMPOSITION)} FROM members GROUP BY ALL),
-      counts AS (SELECT version_season, episode, tribe, original_tribe, count(*) AS original_tribe_members FROM stays JOIN tribes USING {ON_PERSON} WHERE merge_phase = 'post_merge' GROUP BY ALL),
-      present AS (SELECT version_season, episode, tribe, count(*) AS total_tribe_members FROM counts GROUP BY ALL)
-      SELECT {listed(M.SOCIAL_POSITIONING)} FROM members JOIN mix USING {ON_TRIBE} LEFT JOIN tribes USING {ON_PERSON} LEFT JOIN (SELECT * FROM counts JOIN present USING {ON_TRIBE}) USING (version_season, episode, tribe, original_tribe)""",
+    "season_context": """WITH rows_of AS (SELECT castaway_id, count(*) AS n FROM castaway_details GROUP BY 1),
+      people AS (SELECT c.version_season, c.age, lower(d.gender) AS g, d.bipoc AS b, d.lgbt AS l, r.n > 1 AS again FROM castaways c JOIN castaway_details d ON d.castaway_id = c.castaway_id JOIN rows_of r ON r.castaway_id = c.castaway_id),
+      mix AS (SELECT version_season, count(*) AS total_cast, count(*) FILTER (WHERE g = 'male') AS male_count, count(*) FILTER (WHERE g = 'female') AS female_count, count(*) FILTER (WHERE b) AS bipoc_count, count(*) FILTER (WHERE l) AS lgbt_count, count(*) FILTER (WHERE again) AS returnee_count,
+        avg(age) AS average_age, min(age) AS min_age, max(age) AS max_age, stddev_samp(age) AS age_stddev FROM people GROUP BY 1),
+      rates AS (SELECT *, male_count / total_cast AS male_ratio, female_count / total_cast AS female_ratio, bipoc_count / total_cast AS bipoc_ratio, lgbt_count / total_cast AS lgbt_ratio, returnee_count / total_cast AS returnee_ratio FROM mix),
+      bounds AS (SELECT min(season) AS low, max(season) AS high FROM season_summary)
+      SELECT md5(coalesce(s.version_season, '')) AS season_context_key, s.version, s.version_season, s.season_name, s.season AS season_number, s.location, s.country, s.tribe_setup, s.n_cast AS cast_size, s.n_tribes AS tribe_count, s.n_finalists AS finalist_count, s.n_jury AS jury_count,
+        s.premiered, s.ended, s.filming_started, s.filming_ended, s.winner_id AS winner_castaway_id, s.winner, s.runner_ups, s.final_vote, s.timeslot, s.viewers_reunion, s.viewers_premiere, s.viewers_finale, s.viewers_mean, s.rank,
+        CASE WHEN s.season BETWEEN 31 AND 40 THEN 'new_school' WHEN s.season BETWEEN 21 AND 30 THEN 'modern' WHEN s.season BETWEEN 11 AND 20 THEN 'middle' WHEN s.season < 11 THEN 'early' ELSE 'new_era' END AS season_era,
+        coalesce(s.n_cast < 19, false) AS is_new_era_format, CASE WHEN high > low THEN 1 - (high - s.season) / (high - low) ELSE 1 END AS season_recency_weight,
+        coalesce(regexp_matches(lower(s.tribe_setup), 'edge|extinction'), false) AS has_edge_of_extinction, coalesce(contains(lower(s.tribe_setup), 'redemption'), false) AS has_redemption_island, coalesce(contains(lower(s.tribe_setup), 'swap'), false) AS has_tribe_swap, coalesce(contains(lower(s.tribe_setup), 'merge'), false) AS has_merge_twist,
+        r.* EXCLUDE (version_season), coalesce(bipoc_ratio >= 0.4, false) AS high_diversity_cast, coalesce(returnee_ratio > 0 AND returnee_ratio < 1, false) AS mixed_returnee_cast, coalesce(returnee_count = total_cast, false) AS all_returnee_cast, coalesce(returnee_count = 0, false) AS all_newbie_cast
+      FROM season_summary s CROSS JOIN bounds LEFT JOIN rates r ON r.version_season = s.version_season""",
+    "social_positioning": f"""WITH tribes AS ({TRIBES}), stays AS (SELECT *, coalesce(contains(lower(tribe_status), 'merge'), false) AS merged FROM tribe_mapping),
+      members AS (SELECT y.*, d.gender, lower(d.gender) = 'male' AS m, lower(d.gender) = 'female' AS f, d.african, d.asian, d.latin_american, d.native_american, d.bipoc, d.lgbt, d.race, d.ethnicity FROM stays y JOIN castaway_details d ON d.castaway_id = y.castaway_id),
+      mix AS (SELECT version_season, episode, tribe, merged AS of_merged, count(*) AS tribe_size, {", ".join(f"count(*) FILTER (WHERE {e}) AS {n}_count, count(*) FILTER (WHERE {e}) / count(*) AS {n}_ratio" for n, e in
+        (("male", "m"), ("female", "f"), *((x, x) for x in ("african", "asian", "latin_american", "native_american", "bipoc", "lgbt"))))} FROM members GROUP BY 1, 2, 3, 4),
+      origin AS (SELECT y.version_season, y.episode, y.tribe, t.original_tribe, count(*) AS n FROM stays y JOIN tribes t ON t.castaway_id = y.castaway_id AND t.version_season = y.version_season WHERE merged GROUP BY ALL),
+      present AS (SELECT *, count(*) OVER (PARTITION BY version_season, episode, tribe) AS kinds FROM origin)
+      SELECT {_md5("p.castaway_id", "p.version_season", "p.episode", "p.tribe")} AS social_positioning_key, p.castaway_id, p.version_season, p.episode, p.day, p.tribe, p.tribe_status, CASE WHEN merged THEN 'post_merge' ELSE 'pre_merge' END AS merge_phase,
+        gender, african, asian, latin_american, native_american, bipoc, lgbt, race, ethnicity, x.* EXCLUDE (version_season, episode, tribe, of_merged), CASE WHEN m THEN male_ratio ELSE female_ratio END AS same_gender_ratio,
+        CASE WHEN lgbt THEN lgbt_ratio ELSE 1 - lgbt_ratio END AS lgbt_similarity_ratio, CASE WHEN bipoc THEN bipoc_ratio ELSE 1 - bipoc_ratio END AS bipoc_similarity_ratio, t.original_tribe, o.n AS original_tribe_members, o.kinds AS total_tribe_members,
+        CASE WHEN merged THEN o.n / o.kinds END AS original_tribe_proportion, CASE WHEN merged AND o.n IS NOT NULL THEN CASE WHEN 2 * o.n < o.kinds THEN 'minority' ELSE 'majority' END END AS original_tribe_status,
+        CASE WHEN (m AND 2 * male_count < tribe_size) OR (f AND 2 * female_count < tribe_size) THEN 'gender_minority' ELSE 'gender_majority' END AS gender_status,
+        CASE WHEN (bipoc AND 2 * bipoc_count < tribe_size) OR (NOT bipoc AND 2 * bipoc_count > tribe_size) THEN 'racial_minority' ELSE 'racial_majority' END AS racial_status,
+        CASE WHEN (lgbt AND 2 * lgbt_count < tribe_size) OR (NOT lgbt AND 2 * lgbt_count > tribe_size) THEN 'lgbt_minority' ELSE 'lgbt_majority' END AS lgbt_status
+      FROM members p JOIN mix x ON x.version_season = p.version_season AND x.episode = p.episode AND x.tribe = p.tribe LEFT JOIN tribes t ON t.castaway_id = p.castaway_id AND t.version_season = p.version_season
+      LEFT JOIN present o ON o.version_season = p.version_season AND o.episode = p.episode AND o.tribe = p.tribe AND o.original_tribe = t.original_tribe""",
 }
-_PARTS = ", ".join(f"part{i} AS (SELECT {listed(keys | measures)} FROM {table} GROUP BY {', '.join(keys.values())})" for i, (table, keys, measures) in enumerate(M.PARTS))
+
+
+def _each(names: str, pattern: str) -> str:
+    return ", ".join(pattern.replace("@", n) for n in names.split())
+
+
+def _parts(*steps: tuple[str, str, str, str]) -> str:
+    return ", ".join(f"{name} AS (SELECT {keys}, {measures} FROM {table} GROUP BY 1, 2)" for name, keys, measures, table in steps)
+
+
+_OWN, _PRE, _POST = "castaway_id, version_season", "merge_phase = 'pre_merge'", "merge_phase = 'post_merge'"
 _MEASURES = [m for _, _, part in M.PARTS for m in part]
-NON_EDIT_SQL = f"""WITH last AS (SELECT {listed(M.TARGETS)} FROM (SELECT *, row_number() OVER (PARTITION BY castaway_id, version_season ORDER BY episode DESC NULLS FIRST) AS nth FROM castaways WHERE result IS NOT NULL) WHERE nth = 1), {_PARTS}
-  SELECT {listed(list(M.TARGETS))}, {listed(list(M.OF_PROFILE))}, {listed(list(M.OF_SEASON))}, {listed({m: f"coalesce({m}, 0)" for m in _MEASURES})}
-  FROM last LEFT JOIN (SELECT castaway_id, {listed(M.OF_PROFILE)} FROM castaway_profile) USING (castaway_id) LEFT JOIN (SELECT version_season, {listed(M.OF_SEASON)} FROM season_context) USING (version_season)
-  {" ".join(f"LEFT JOIN part{i} USING {ON_PERSON}" for i in range(len(M.PARTS)))}"""
-HYBRID_SQL = f"""WITH edits AS (SELECT {listed(M.OF_PERSON | M.EDIT_STATS)} FROM edit_features GROUP BY ALL)
-  SELECT n.*, {listed({m: f"coalesce({m}, 0)" for m in M.EDIT_STATS})}, {listed({n: M.flag(e) for n, e in M.EDIT_FLAGS.items()})} FROM ml_features_non_edit n LEFT JOIN edits USING {ON_PERSON}"""
+_ZERO = ", ".join(f"coalesce({m}, 0) AS {m}" for m in _MEASURES)
+NON_EDIT_SQL = f"""WITH {_parts(
+    ("ch", _OWN, f"""count(*) AS total_challenges, sum(won_flag)::BIGINT AS challenges_won, count(*) FILTER (WHERE won_flag = 1 AND challenge_format = 'individual') AS individual_wins, count(*) FILTER (WHERE won_flag = 1 AND challenge_format = 'team') AS team_wins,
+      count(*) FILTER (WHERE won_flag = 1 AND {_PRE}) AS pre_merge_wins, count(*) FILTER (WHERE won_flag = 1 AND {_POST}) AS post_merge_wins, sum(chosen_for_reward::INT)::BIGINT AS reward_selections, sum(sit_out::INT)::BIGINT AS challenge_sitouts,
+      avg(won_flag) FILTER (WHERE challenge_format = 'individual') AS individual_win_rate, avg(won_flag) FILTER (WHERE challenge_format = 'team') AS team_win_rate,
+      {_each("balance endurance knowledge memory precision puzzle race strength water", "sum(@_win)::BIGINT AS @_wins")}, {_each("balance endurance puzzle strength", "avg(@_participated) AS @_participation_rate")}""", "challenge_performance"),
+    ("ad", _OWN, f"""count(*) FILTER (WHERE event_category = 'found') AS advantages_found, count(*) FILTER (WHERE event_category = 'played') AS advantages_played, count(*) FILTER (WHERE advantage_category = 'idol' AND event_category = 'found') AS idols_found,
+      count(*) FILTER (WHERE advantage_category = 'idol' AND event_category = 'played') AS idols_played, {_each("played_successfully played_unsuccessfully played_for_self played_for_others", "sum(@)::BIGINT AS advantages_@")},
+      sum(played_successfully) / nullif(count(*) FILTER (WHERE event_category = 'played'), 0) AS advantage_success_rate, sum(CASE WHEN advantage_category = 'idol' THEN played_successfully ELSE 0 END) / nullif(count(*) FILTER (WHERE advantage_category = 'idol' AND event_category = 'played'), 0) AS idol_success_rate""", "advantage_strategy"),
+    ("vo", _OWN, f"""count(*) AS total_votes_cast, sum(vote_correct)::BIGINT AS votes_correct, sum(vote_incorrect)::BIGINT AS votes_incorrect, count(*) FILTER (WHERE {_PRE}) AS pre_merge_tribals_attended, count(*) FILTER (WHERE {_POST}) AS post_merge_tribals_attended,
+      count(*) FILTER (WHERE {_PRE} AND vote_correct = 1) AS pre_merge_correct_votes, count(*) FILTER (WHERE {_POST} AND vote_correct = 1) AS post_merge_correct_votes, sum(in_majority_alliance)::BIGINT AS majority_alliance_votes, sum(voting_alone)::BIGINT AS lone_wolf_votes,
+      avg(alignment_ratio) AS avg_vote_alignment, avg(vote_correct) AS vote_accuracy_rate, avg(vote_correct) FILTER (WHERE {_PRE}) AS pre_merge_accuracy_rate, avg(vote_correct) FILTER (WHERE {_POST}) AS post_merge_accuracy_rate, avg(in_majority_alliance) AS majority_alliance_rate, avg(voting_alone) AS lone_wolf_rate""", "vote_dynamics"),
+    ("re", "target_id AS castaway_id, version_season", f"count(*) AS total_votes_received, count(*) FILTER (WHERE {_PRE}) AS pre_merge_votes_received, count(*) FILTER (WHERE {_POST}) AS post_merge_votes_received", "vote_dynamics"),
+    ("so", _OWN, f"""{_each("same_gender_ratio lgbt_similarity_ratio bipoc_similarity_ratio", "avg(@) AS avg_@")}, avg(original_tribe_proportion) FILTER (WHERE {_POST}) AS avg_original_tribe_strength,
+      {_each("gender racial lgbt", "count(*) FILTER (WHERE @_status = '@_minority') / count(*) AS @_minority_rate")}, count(*) FILTER (WHERE original_tribe_status = 'minority') / nullif(count(*) FILTER (WHERE {_POST}), 0) AS original_tribe_minority_rate""", "social_positioning"),
+    ("ju", "finalist_id AS castaway_id, version_season", "count(*) AS jury_votes_received, sum(same_original_tribe)::BIGINT AS jury_votes_from_original_tribe, avg(same_original_tribe) AS original_tribe_jury_support_rate", "jury_analysis"),
+  )}, ends AS (SELECT * FROM castaways WHERE result IS NOT NULL QUALIFY row_number() OVER (PARTITION BY castaway_id, version_season ORDER BY episode DESC NULLS FIRST) = 1)
+  SELECT {_md5("e.castaway_id", "e.version_season")} AS ml_features_key, e.castaway_id, e.version_season, coalesce(e.winner, false)::INT AS target_winner, coalesce(e.finalist, false)::INT AS target_finalist, coalesce(e.jury, false)::INT AS target_jury, round(try_cast(e.place AS DOUBLE))::INT AS target_placement,
+    p.gender, p.race, p.ethnicity, p.occupation, p.personality_type, p.age AS current_age, {_each("african asian latin_american native_american bipoc lgbt", "p.@::INT AS is_@")},
+    s.season_number, s.season_era, s.is_new_era_format::INT AS is_new_era_format, s.season_recency_weight, s.cast_size, s.finalist_count, s.jury_count, {_each("male female bipoc returnee", "s.@_ratio AS season_@_ratio")}, s.average_age AS season_average_age,
+    {_each("has_edge_of_extinction has_redemption_island has_tribe_swap all_newbie_cast all_returnee_cast mixed_returnee_cast", "s.@::INT AS @")}, {_ZERO}
+  FROM ends e LEFT JOIN castaway_profile p ON p.castaway_id = e.castaway_id LEFT JOIN season_context s ON s.version_season = e.version_season
+  {" ".join(f"LEFT JOIN {x} ON {x}.castaway_id = e.castaway_id AND {x}.version_season = e.version_season" for x in ("ch", "ad", "vo", "re", "so", "ju"))}"""
+_EDIT_ZERO = ", ".join(f"coalesce({m}, 0) AS {m}" for m in M.EDIT_STATS)
+HYBRID_SQL = f"""WITH shown AS (SELECT castaway_id AS who, version_season AS season, sum(confessional_count)::BIGINT AS total_confessional_count, sum(confessional_time) AS total_confessional_time, sum(expected_confessional_count) AS total_expected_confessional_count, sum(expected_confessional_time) AS total_expected_confessional_time,
+    sum(has_confessional)::BIGINT AS episodes_with_confessionals, sum(high_confessional_count)::BIGINT AS high_confessional_episodes, sum(high_confessional_time)::BIGINT AS high_confessional_time_episodes,
+    {_each("over_edited_count over_edited_time under_edited_count under_edited_time", "sum(@)::BIGINT AS @_episodes")}, count(*) AS total_episodes_appeared, sum(confessional_count) / nullif(sum(expected_confessional_count), 0) AS overall_confessional_count_ratio,
+    sum(confessional_time) / nullif(sum(expected_confessional_time), 0) AS overall_confessional_time_ratio, avg(has_confessional) AS confessional_presence_rate, avg(over_edited_count) AS over_edited_rate, avg(under_edited_count) AS under_edited_rate,
+    avg(confessional_count) AS avg_confessional_count_per_episode, avg(confessional_time) AS avg_confessional_time_per_episode FROM edit_features GROUP BY 1, 2)
+  SELECT n.*, {_EDIT_ZERO}, coalesce(total_confessional_count > 0, false)::INT AS has_any_confessionals, coalesce(2 * episodes_with_confessionals >= total_episodes_appeared, false)::INT AS high_edit_presence,
+    coalesce(overall_confessional_count_ratio > 1.2, false)::INT AS significantly_over_edited, coalesce(overall_confessional_count_ratio < 0.8, false)::INT AS significantly_under_edited, coalesce(total_confessional_count > 0 AND challenges_won > 0, false)::INT AS edit_and_challenge_success,
+    coalesce(total_confessional_count > 0 AND advantages_found > 0, false)::INT AS edit_and_advantage_success, coalesce(2 * episodes_with_confessionals >= total_episodes_appeared AND vote_accuracy_rate >= 0.7, false)::INT AS edit_and_strategic_success
+  FROM ml_features_non_edit n LEFT JOIN shown ON who = n.castaway_id AND season = n.version_season"""
 #: Averages and deviations, which engines add up in different orders.
 ROUNDED = ("average_age", "age_stddev", "season_average_age", *(m for m in (*_MEASURES, *M.EDIT_STATS) if m.startswith("avg_")))
 
