@@ -159,12 +159,44 @@ def normalised_name(value: Column) -> Column:
     return run(value)
 
 
+def letters_in_common(a: Column, b: Column) -> Column:
+    """How many letters two names have in common, each as often as both have it."""
+    letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
+    often = lambda x, c: F.length(x) - F.length(F.replace(x, c, F.lit("")))
+    return F.aggregate(F.array_distinct(letters(a)), F.lit(0), lambda n, c: n + F.least(often(a, c), often(b, c)))
+
+
+def longest_block(a: str, b: str) -> tuple[int, int, int]:
+    """Start in ``a``, start in ``b`` and length of the longest common stretch; of equals the first in ``a``, then in ``b``."""
+    best, before = (0, 0, 0), [0] * (len(b) + 1)
+    for i, x in enumerate(a):
+        now = [0] * (len(b) + 1)
+        for j, y in enumerate(b):
+            if x == y:
+                now[j + 1] = n = before[j] + 1
+                start = (i - n + 1, j - n + 1)
+                if n > best[2] or n == best[2] and start < best[:2]:
+                    best = (*start, n)
+        before = now
+    return best
+
+
+def matching_letters(a: str, b: str) -> int:
+    """Letters in the longest common stretch and, in turn, in those on either side of it."""
+    i, j, n = longest_block(a, b)
+    return n and n + matching_letters(a[:i], b[:j]) + matching_letters(a[i + n :], b[j + n :])
+
+
 def name_similarity(a: Column, b: Column) -> Column:
-    """Share of matching characters of two names, by longest matching blocks (0 to 1)."""
+    """Twice the matching letters of two names over all their letters (0 to 1); of two empty names 1."""
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        return pd.Series([None if p is None or q is None else SequenceMatcher(None, q, p).ratio() for p, q in zip(x, y)], dtype="float64")
+        found = [None if p is None or q is None else 2 * matching_letters(q, p) / (len(p) + len(q)) if p or q else 1.0 for p, q in zip(x, y)]
+        return pd.Series(found, dtype="float64")
 
     return run(a, b)
+
+
+def iso_timestamp(value: Column) -> Column:
+    """A timestamp in ISO form, with Z or an offset, in the session's time zone; null for other text."""
+    return F.trim(value).try_cast("timestamp")

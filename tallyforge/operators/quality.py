@@ -100,3 +100,16 @@ def source_changes(current: DataFrame, stored: DataFrame, key: str, compared: li
         differs = differs | T.changed(F.col(f"a_{c}"), F.col(f"b_{c}"))
     status = F.when(F.col("_b").isNull(), "new").when(F.col("_a").isNull(), "gone").when(differs, "changed").otherwise("unchanged")
     return a.join(b, key, "full").select(key, status.alias("status"))
+
+
+def classification_report(predictions: DataFrame, label: str, prediction: str) -> DataFrame:
+    """A row for each class: precision, recall, f1 and support, and ``accuracy`` over all rows; measures without any case are 0. Rows with a null in either column don't count."""
+    rows = predictions.select(F.col(label).alias("label"), F.col(prediction).alias("said")).dropna()
+    hits = rows.groupBy("label", "said").agg(F.count(F.lit(1)).alias("n"))
+    sides = hits.select(F.explode(F.array(F.struct(F.col("label").alias("class"), F.col("n").alias("real"), F.lit(0).cast("long").alias("claimed"), F.when(F.col("label") == F.col("said"), F.col("n")).otherwise(0).alias("hit")),
+                                          F.struct(F.col("said").alias("class"), F.lit(0).cast("long").alias("real"), F.col("n").alias("claimed"), F.lit(0).cast("long").alias("hit")))).alias("s")).select("s.*")
+    per = sides.groupBy("class").agg(*(F.sum(c).alias(c) for c in ("real", "claimed", "hit")))
+    whole = hits.agg((F.sum(F.when(F.col("label") == F.col("said"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"))
+    share = lambda a, b: F.coalesce(T.ratio(a, b), F.lit(0.0))
+    hit, real, claimed = F.col("hit"), F.col("real"), F.col("claimed")
+    return per.crossJoin(F.broadcast(whole)).select("class", share(hit, claimed).alias("precision"), share(hit, real).alias("recall"), share(2 * hit, real + claimed).alias("f1"), real.alias("support"), "accuracy")  # one row

@@ -116,7 +116,7 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
 
     In turn: the exact name, the name without accents, case and signs, a first word or its plain form that only one person has, and the
     most similar name from ``cutoff`` on (of equals the greatest name). The last step alone pairs names: the distinct ones left over
-    with those of their block whose lengths allow the similarity, which is 2 * shorter / (a + b) at most.
+    with those of their block whose lengths and letters allow the similarity, which is twice the letters in common over all letters at most.
     """
     rows = df.withColumn("_own_plain", T.normalised_name(F.col(name)))
     known = people.select(*block, F.col(name).alias("_name"), F.col(id).alias("_id")).dropna(subset=["_name", "_id"]).distinct()
@@ -136,6 +136,7 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     left = rows.where(F.col("_found").isNull() & F.col(name).isNotNull()).select(*block, name).distinct()
     a, b = F.length(name), F.length("_name")
     pairs = left.join(known.select(*block, "_name", "_id").distinct(), block).where(2 * F.least(a, b) >= cutoff * (a + b))
+    pairs = pairs.where(2 * T.letters_in_common(F.col(name), F.col("_name")) >= cutoff * (a + b))
     close = pairs.withColumn("_score", T.name_similarity(F.col(name), F.col("_name"))).where(F.col("_score") >= cutoff)
     close = close.groupBy(*block, name).agg(F.max(F.struct("_score", "_name", "_id")).getField("_id").alias("_similar"))
     out = rows.join(close, [*block, name], "left").withColumn("_close", F.when(F.col("_found").isNull(), F.col("_similar")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import functions as T
 from .. import operators as O
 from . import models as M
 from .game import bronze, silver_of, sql_over
@@ -82,12 +83,13 @@ def season_format_impact(t):
     return found.agg(mean("individual_win_rate").alias("avg_challenge_performance"), mean("vote_accuracy_rate").alias("avg_vote_accuracy"), mean("total_confessional_count").alias("avg_screen_time"))
 
 
-@query(sql_over("""SELECT c.castaway_id, c.full_name, d.gender, d.bipoc, coalesce(ch.n, 0) AS challenges_participated, coalesce(ch.won, 0) AS challenges_won, coalesce(ad.n, 0) AS advantage_actions, round(e.mean, 9) AS avg_confessionals
+@query(sql_over("""SELECT c.castaway_id, c.full_name, d.gender, d.bipoc, coalesce(ch.n, 0) AS challenges_participated, coalesce(ch.won, 0) AS challenges_won, coalesce(ad.n, 0) AS advantage_actions, round(e.mean, 9) AS avg_confessionals, round(v.right_rate, 9) AS vote_accuracy
   FROM castaways c LEFT JOIN castaway_details d ON d.castaway_id = c.castaway_id
   LEFT JOIN (SELECT castaway_id, version_season, count(*) AS n, count(CASE WHEN lower(result) LIKE '%win%' THEN 1 END) AS won FROM challenge_results JOIN challenge_description USING (challenge_id, version_season) GROUP BY ALL) ch ON ch.castaway_id = c.castaway_id AND ch.version_season = c.version_season
   LEFT JOIN (SELECT castaway_id, version_season, count(*) AS n FROM advantage_movement JOIN advantage_details USING (advantage_id, version_season) GROUP BY ALL) ad ON ad.castaway_id = c.castaway_id AND ad.version_season = c.version_season
+  LEFT JOIN (SELECT castaway_id, version_season, avg(CASE WHEN vote_id = voted_out_id THEN 1 ELSE 0 END) AS right_rate FROM vote_history WHERE vote_id IS NOT NULL GROUP BY ALL) v ON v.castaway_id = c.castaway_id AND v.version_season = c.version_season
   LEFT JOIN (SELECT castaway_id, version_season, avg(confessional_count) AS mean FROM confessionals GROUP BY ALL) e ON e.castaway_id = c.castaway_id AND e.version_season = c.version_season
-  WHERE c.version_season = 'Y1995'""", "castaways", "castaway_details", "challenge_results", "challenge_description", "advantage_movement", "advantage_details", "confessionals"))
+  WHERE c.version_season = 'Y1995'""", "castaways", "castaway_details", "challenge_results", "challenge_description", "advantage_movement", "advantage_details", "confessionals", "vote_history"))
 def castaway_overview(t):
     """All strategic sides of a season's people; each side is aggregated before it is joined, so counts don't multiply."""
     b = bronze(t)
@@ -95,22 +97,26 @@ def castaway_overview(t):
     challenges = silver_of(b, "challenge_performance").where(season).groupBy(*PERSON).agg(F.count(F.lit(1)).alias("challenges_participated"), F.sum("won_flag").alias("challenges_won"))
     actions = silver_of(b, "advantage_strategy").where(season).groupBy(*PERSON).agg(F.count(F.lit(1)).alias("advantage_actions"))
     edit = silver_of(b, "edit_features").where(season).groupBy(*PERSON).agg(F.round(F.avg("confessional_count"), 9).alias("avg_confessionals"))
+    votes = b["vote_history"].where(season & F.col("vote_id").isNotNull()).groupBy(*PERSON).agg(F.round(T.rate(F.col("vote_id") == F.col("voted_out_id")), 9).alias("vote_accuracy"))
     base = b["castaways"].where(season).select(*PERSON, "full_name").join(b["castaway_details"].select("castaway_id", "gender", "bipoc"), "castaway_id", "left")
-    rows = O.feature_matrix(base, [challenges, actions, edit], PERSON, {"challenges_participated": 0, "challenges_won": 0, "advantage_actions": 0})
-    return rows.select("castaway_id", "full_name", "gender", "bipoc", "challenges_participated", "challenges_won", "advantage_actions", "avg_confessionals")
+    rows = O.feature_matrix(base, [challenges, actions, edit, votes], PERSON, {"challenges_participated": 0, "challenges_won": 0, "advantage_actions": 0})
+    return rows.select("castaway_id", "full_name", "gender", "bipoc", "challenges_participated", "challenges_won", "advantage_actions", "avg_confessionals", "vote_accuracy")
 
 
-@query(sql_over("""SELECT e.castaway_id, e.version_season, e.episode, e.confessional_count, coalesce(sum(c.won) OVER w, 0)::BIGINT AS challenges_won_cumulative
+@query(sql_over("""SELECT e.castaway_id, e.version_season, e.episode, e.confessional_count, coalesce(sum(c.won) OVER w, 0)::BIGINT AS challenges_won_cumulative, round(sum(v.good) OVER w / nullif(sum(v.n) OVER w, 0), 9) AS vote_accuracy_to_date
   FROM confessionals e LEFT JOIN (SELECT castaway_id, version_season, episode, count(CASE WHEN result LIKE '%win%' THEN 1 END) AS won FROM challenge_results GROUP BY ALL) c
     ON c.castaway_id = e.castaway_id AND c.version_season = e.version_season AND c.episode = e.episode
-  WINDOW w AS (PARTITION BY e.castaway_id, e.version_season ORDER BY e.episode ROWS UNBOUNDED PRECEDING)""", "confessionals", "challenge_results"))
+  LEFT JOIN (SELECT castaway_id, version_season, episode, count(*) AS n, count(CASE WHEN vote_id = voted_out_id THEN 1 END) AS good FROM vote_history WHERE vote_id IS NOT NULL GROUP BY ALL) v ON v.castaway_id = e.castaway_id AND v.version_season = e.version_season AND v.episode = e.episode
+  WINDOW w AS (PARTITION BY e.castaway_id, e.version_season ORDER BY e.episode ROWS UNBOUNDED PRECEDING)""", "confessionals", "challenge_results", "vote_history"))
 def episode_evolution(t):
-    b = bronze(t, "confessionals", "challenge_results")
+    b = bronze(t, "confessionals", "challenge_results", "vote_history")
     keys = [*PERSON, "episode"]
+    votes = b["vote_history"].where("vote_id IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("vote_id") == F.col("voted_out_id")).alias("_good"))
     won = b["challenge_results"].groupBy(*keys).agg(F.count_if(F.col("result").contains("win")).alias("_won"))
     so_far = Window.partitionBy(*PERSON).orderBy("episode").rowsBetween(Window.unboundedPreceding, 0)
-    rows = b["confessionals"].join(won, keys, "left")
-    return rows.select(*keys, "confessional_count", F.coalesce(F.sum("_won").over(so_far), F.lit(0)).alias("challenges_won_cumulative"))
+    rows = b["confessionals"].join(won, keys, "left").join(votes, keys, "left")
+    accuracy = F.round(T.ratio(F.sum("_good").over(so_far), F.sum("_n").over(so_far)), 9)
+    return rows.select(*keys, "confessional_count", F.coalesce(F.sum("_won").over(so_far), F.lit(0)).alias("challenges_won_cumulative"), accuracy.alias("vote_accuracy_to_date"))
 
 
 @query(sql_over("SELECT castaway_id, count(vote_id) AS total_votes_cast, count(CASE WHEN nullified THEN 1 END) AS nullified, count(CASE WHEN tie THEN 1 END) AS ties FROM vote_history GROUP BY castaway_id", "vote_history"))
@@ -150,3 +156,13 @@ def castaway_features(t):
     b = bronze(t, "castaways", "castaway_details")
     found = M.castaway_features(b["castaways"], b["castaway_details"], episode=(">", 5))
     return found.select("version_season", "castaway_id", "age", "state", "gender", "bipoc", "lgbt", "personality_type", "returning_player")
+
+
+@query(sql_over("""SELECT c.castaway_id, c.age, c.state, d.gender, d.occupation, o.nth > 1 AS returning_player FROM castaways c LEFT JOIN castaway_details d ON d.castaway_id = c.castaway_id
+  JOIN (SELECT castaway_id, version_season, row_number() OVER (PARTITION BY castaway_id ORDER BY version_season) AS nth FROM castaways) o ON o.castaway_id = c.castaway_id AND o.version_season = c.version_season
+  WHERE c.version_season = 'Y1996' AND c.episode < 9""", "castaways", "castaway_details"))
+def castaway_features_of_season(t):
+    """People of one season who were last seen before an episode."""
+    b = bronze(t, "castaways", "castaway_details")
+    found = M.castaway_features(b["castaways"], b["castaway_details"], "Y1996", ("<", 9))
+    return found.select("castaway_id", "age", "state", "gender", "occupation", "returning_player")

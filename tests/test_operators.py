@@ -58,7 +58,19 @@ def test_warehouse(spark, tmp_path):
     run = open_run(w, "test", "2024-01-01 00:00:00")
     close_run(w, run, "succeeded", "2024-01-01 01:00:00")
     assert latest_run(w).first().status == "succeeded"
-    assert w.export("silver", f"file://{tmp_path}/out").count() > 0
+    manifest = w.export("silver", f"file://{tmp_path}/out")
+    entry = manifest.where("table_name = 'things'").first()
+    assert (entry.n_rows, entry.run_id, entry.status) == (2, run, "succeeded")
+    w.write(w.load("silver.things").repartition(3), "silver", "things_again")
+    again = w.export("silver", f"file://{tmp_path}/again").where("table_name = 'things_again'").first()
+    assert again.checksum == entry.checksum != "0"
+    assert w.missing_tables(["silver.things", "gold.none", "bronze.ingestion_runs"]) == ["gold.none"]
+    assert sorted(r.k for r in w.existing_keys("things", ["k"]).collect()) == [1, 2]
+    from tallyforge.sources import load_freshest, save_csv
+
+    save_csv(w.load("silver.things"), f"file://{tmp_path}/csv")
+    listed = spark.createDataFrame([("things", "csv", f"file://{tmp_path}/csv", 2), ("things", "json", "nowhere", 1)], "dataset string, format string, path string, committed_at int")
+    assert sorted(map(tuple, load_freshest(spark, listed, "things").collect())) == [("1", "b"), ("2", "c")]
 
 
 def test_run_through_the_layers(spark):
@@ -158,3 +170,91 @@ def test_streamed_upserts_are_the_same_each_time(spark, tmp_path):
     for n in (1, 2):
         upsert_landed(spark, f"file://{tmp_path}/in", schema, "silver", f"streamed{n}", ["k"], f"file://{tmp_path}/check{n}", order=["at"]).awaitTermination(120)
         assert sorted((r.k, r.v) for r in Warehouse(spark).load(f"silver.streamed{n}").collect()) == [(1, "b"), (2, "c")]
+
+
+def test_pairing_rounds_and_bounds(spark):
+    """Ties go to the first, nulls are equal, rows beyond the bound and in new blocks have no partner, also null blocks; copies are looked at once."""
+    columns = ["a", "b", "c"]
+    before = spark.createDataFrame([("x", 1, "p", None, 1), ("x", 2, "p", None, 1), ("x", 3, "q", "r", 2), (None, 1, "p", "p", 3)], "blk string, n int, a string, b string, c int")
+    after = spark.createDataFrame([("x", 1, "p", None, 1), ("x", 2, "q", None, 2), ("x", 3, "z", "z", 9), ("y", 1, "p", None, 1), (None, 1, "p", "q", 3)], "blk string, n int, a string, b string, c int")
+    every = {(r.blk, r.after_n): (r.before_n, r.n_changed, r.changed) for r in O.pair_rows(before, after, ["blk"], columns, "n").collect()}
+    assert every == {("x", 1): (1, 0, []), ("x", 2): (3, 1, ["b"]), ("x", 3): (1, 3, columns), ("y", 1): (None, None, None), (None, 1): (1, 1, ["b"])}
+    near = {(r.blk, r.after_n): r.before_n for r in O.pair_rows(before, after, ["blk"], columns, "n", max_changed=1).collect()}
+    assert near == {("x", 1): 1, ("x", 2): 3, ("x", 3): None, ("y", 1): None, (None, 1): 1}
+    states = sorted((r.state, r.column_name, r.before, r.after) for r in O.row_changes(before, after, ["blk"], columns, "n", max_changed=1).where("blk = 'x'").collect())
+    assert [x for x in states if x[0] == "result"] == [("result", "b", "r", None)] and sum(x[0] == "added" for x in states) == 3 and sum(x[0] == "removed" for x in states) == 3
+
+
+def test_pairing_of_a_large_block_is_linear(spark):
+    """100,000 rows of one block, most changed in a cell: every row meets few others."""
+    cells = F.expr("named_struct('id', id, 'k', cast(id % 50000 as string), 'v', cast(id * 7 % 100003 as string), 'w', cast(id % 3 as string))")
+    before = spark.range(100_000).select(F.lit("one").alias("blk"), cells.alias("s")).select("blk", "s.*")
+    after = before.withColumn("v", F.when(F.col("id") % 4 == 0, "new").otherwise(F.col("v"))).withColumn("w", F.when(F.col("id") % 4 == 1, "x").otherwise(F.col("w")))
+    found = O.pair_rows(before, after, ["blk"], ["k", "v", "w"], "id", max_changed=1)
+    assert found.count() == 100_000 and found.where("before_id = after_id").count() > 99_000 and found.where("n_changed > 1").count() == 0
+
+
+def test_star_keys_are_stable(spark):
+    """A second run with changed and late rows keeps every key; late members are filled in, and facts find them."""
+    d = O.Dimension("dim", "key", ("id",), {"label": "name"})
+    first = O.keep_dimension(None, O.dimension_rows(spark.createDataFrame([("a", "A"), ("b", "B"), ("b", "C"), (None, "N")], "id string, name string"), d), d)
+    keys = {r.id: r.key for r in first.collect()}
+    assert {r.id: r.label for r in first.collect()} == {"a": "A", "b": "B"}
+    facts = spark.createDataFrame([("a", 1), ("z", 2), (None, 3)], "who string, n int")
+    late = O.with_late_members(first, facts, d, ("who",))
+    assert {(r.id, r.label, r.is_late) for r in late.collect()} == {("a", "A", False), ("b", "B", False), ("z", None, True)}
+    second = O.keep_dimension(late, O.dimension_rows(spark.createDataFrame([("a", "A2"), ("z", "Z")], "id string, name string"), d), d)
+    assert {r.id: (r.label, r.is_late) for r in second.collect()} == {"a": ("A2", False), "b": ("B", False), "z": ("Z", False)}
+    again = {r.id: r.key for r in second.collect()}
+    assert all(again[i] == k for i, k in keys.items()) and again["z"] == {r.id: r.key for r in late.collect()}["z"]
+    for required, wanted in ((False, {(again["a"], 1), (again["z"], 2), (None, 3)}), (True, {(again["a"], 1), (again["z"], 2)})):
+        found = O.fact_rows(facts, [O.Lookup("dim", ("who",), "who_key", required)], {"dim": (d, second)}, {"n": "n"})
+        assert set(map(tuple, found.collect())) == wanted
+
+
+def test_events_are_told_once(spark, tmp_path):
+    from tallyforge import snapshots as S
+
+    path = f"file://{tmp_path}/seen"
+    event = lambda *keys: spark.createDataFrame([(k, f"about {k}") for k in keys], "event_key string, message string")
+    told = lambda df: sorted(r.event_key for r in df.collect())
+    assert told(S.record_events(event("a", "b", "b"), path, "r1")) == ["a", "b"]
+    for _ in range(2):
+        assert told(S.record_events(event("b", "c"), path, "r2")) == ["c"]
+    assert told(S.record_events(event("a", "c"), path, "r3")) == [] and spark.read.parquet(path).count() == 3
+
+
+def test_snapshots_stand_side_by_side(spark, tmp_path):
+    from tallyforge import snapshots as S
+
+    path, runs = f"file://{tmp_path}/features", spark.createDataFrame([("r1", "dev", 1), ("r2", "prod", 2)], "run_id string, environment string, run_started_at int")
+    one, none = S.snapshot_row(runs), S.snapshot_row(runs.where("false"), environment="local")
+    assert one.first().ingest_run_id == "r2" and none.first().environment == "local" and none.first().ingest_run_id is None
+    for df, id in ((spark.range(3), "s1"), (spark.range(5), one), (spark.range(4), one)):
+        S.write_snapshot(df, path, id)
+    taken = spark.createDataFrame([("s1", "2024-01-01"), (one.first().snapshot_id, "2024-02-01")], "snapshot_id string, at string").select("snapshot_id", F.to_timestamp("at").alias("taken_at"))
+    assert S.read_snapshot(spark, path, taken).count() == 4 and S.read_snapshot(spark, path, taken, at="2024-01-15").count() == 3
+    assert S.read_snapshot(spark, path, taken, at="2023-01-15").count() == 0
+
+
+def test_name_similarity_is_by_matching_blocks(spark):
+    """The same share as the standard library's matcher gives, on names of a few letters, and never above the bound by letters."""
+    import random
+    from difflib import SequenceMatcher
+
+    rnd = random.Random(1)
+    names = ["".join(rnd.choice("abcé ") for _ in range(rnd.randrange(9))) for _ in range(400)]
+    df = spark.createDataFrame(list(zip(names, reversed(names))), "a string, b string")
+    for r in df.select("a", "b", T.name_similarity(F.col("a"), F.col("b")).alias("s"), T.letters_in_common(F.col("a"), F.col("b")).alias("n")).collect():
+        assert abs(r.s - SequenceMatcher(None, r.b, r.a).ratio()) < 1e-12, (r.a, r.b)
+        assert 2 * r.n >= r.s * (len(r.a) + len(r.b)) - 1e-9
+
+
+def test_ids_of_the_query(spark):
+    """Every edited name of the query finds its own supplier, or one with the same plain name."""
+    from tallyforge import plans
+
+    found = plans.QUERIES["resolve_ids"](spark, "/root/testdata/sf0.001").collect()
+    by = {r.s_suppkey: r for r in found}
+    assert all(r.resolved_by == ("plain" if r.s_suppkey % 4 == 0 else "similar" if r.s_suppkey % 4 == 1 else r.resolved_by) for r in found)
+    assert sum(r.id == r.s_suppkey for r in found) == len(by)
