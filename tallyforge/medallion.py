@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from . import functions as T
 from . import operators as O
 from .plans import models as M
+from .rules import RULES
 from .sources import LAYERS, Warehouse, close_run, normalised_columns, open_run, with_lineage
 from .staging import staged
 
@@ -27,28 +28,6 @@ _NOTE = "array<struct<action: string, row_key: string, column_name: string, befo
 #: Offending rows or keys that a check shows at most.
 SAMPLES = 10
 
-# Checks of landed datasets (fixed values).
-_ONCE = ("missing_count({0}) = 0", "duplicate_count({0}) = 0")
-RULES: dict[str, list[str]] = {
-    "castaway_details": [r.format("castaway_id") for r in _ONCE],
-    "season_summary": [r.format("version_season") for r in _ONCE],
-    **{
-        name: [f"missing_count({c}) = 0" for c in columns]
-        for name, columns in {
-            "episodes": ("version_season", "episode"),
-            "advantage_details": ("advantage_id", "version_season"),
-            "challenge_description": ("challenge_id", "version_season"),
-            "challenge_summary": ("version_season", "challenge_id"),
-            "auction_details": ("version_season", "auction_num", "item"),
-            "advantage_movement": ("version_season", "advantage_id", "sequence_id"),
-            "journeys": ("version_season", "sog_id"),
-            "tribe_mapping": ("version_season", "tribe"),
-            "vote_history": ("version_season",),
-        }.items()
-    },
-}
-
-
 @dataclass(frozen=True)
 class Reference:
     """Columns whose values the parent's columns must have. A null is no violation; with ``allow_null`` the rows that have one are counted."""
@@ -86,7 +65,7 @@ class Dataset:
     """How a landed dataset becomes a table.
 
     ``order`` decides which of several rows of a key stays; rows that agree in it are told apart by their content. ``context`` names the
-    columns that events and samples show beside what they are about.
+    columns that events and samples show beside what they are about; ``after`` tables that its repairs look things up in.
     """
 
     name: str
@@ -100,11 +79,12 @@ class Dataset:
     rules: tuple[str, ...] | None = None
     references: tuple[Reference, ...] | None = None
     context: tuple[str, ...] = ()
+    after: tuple[str, ...] = ()
 
     def needs(self) -> set[str]:
         """Tables that have to be loaded before."""
         found = {r.parent for r in (self.references if self.references is not None else REFERENCES.get(self.name, ()))}
-        return (found | {t for p in self.parents for t in (p.parent, p.summary) if t}) - {self.name}
+        return (found | set(self.after) | {t for p in self.parents for t in (p.parent, p.summary) if t}) - {self.name}
 
 
 def row_key(keys: list[str] | tuple[str, ...]) -> Column:

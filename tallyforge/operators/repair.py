@@ -81,6 +81,8 @@ def upsert_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataF
 def create_missing_parents(children: DataFrame, parents: DataFrame, keys: list[str], order: str, enrich: list[str], summary: DataFrame | None = None) -> DataFrame:
     """A stub for each key that children have and parents lack: ``enrich`` from ``summary`` if it has them, else the children's first known value by ``order``."""
     missing = children.dropna(subset=keys).join(parents.select(*keys), keys, "left_anti")
+    if not enrich:
+        return missing.select(*keys).distinct()
     first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in enrich]
     stubs = missing.groupBy(*keys).agg(*first)
     if summary is None:

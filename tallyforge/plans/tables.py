@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import functions as T
-from .. import medallion as L
 from .. import operators as O
+from ..rules import RULES
 from ..sources import Warehouse, close_run, latest_run, load_freshest, normalised_columns, open_run, with_lineage
 from ..staging import fresh_path
 from .game import bronze, sql_over
@@ -86,7 +86,7 @@ _CHECKED = ("castaway_details", "season_summary", "episodes", "advantage_details
 
 def _rule_sql(name: str) -> str:
     count = {"missing": "count(*) FILTER (WHERE {c} IS NULL)", "duplicate": "count(*) - count(DISTINCT {c}) - coalesce(max(({c} IS NULL)::INT), 0)"}
-    rules = [(r, *O.rule_parts(r)) for r in L.RULES[name]]
+    rules = [(r, *O.rule_parts(r)) for r in RULES[name]]
     return " UNION ALL ".join(f"SELECT '{name}' AS dataset, '{r}' AS rule, {count[k].format(c=c)} AS found, {count[k].format(c=c)} = {n} AS passed FROM {name}" for r, k, c, n in rules)
 
 
@@ -94,7 +94,7 @@ def _rule_sql(name: str) -> str:
 def rule_catalogue(t):
     """The catalogue's rules for the datasets that can be derived here, one pass a dataset."""
     found = sources(t, *_CHECKED)
-    return reduce(DataFrame.unionByName, (O.run_rules(df, L.RULES[n]).select(F.lit(n).alias("dataset"), "rule", "found", "passed") for n, df in found.items()))
+    return reduce(DataFrame.unionByName, (O.run_rules(df, RULES[n]).select(F.lit(n).alias("dataset"), "rule", "found", "passed") for n, df in found.items()))
 
 
 @query("""WITH p AS (SELECT p_partkey, string_split(p_name, ' ') AS ids, string_split(p_type, ' ') AS names FROM part), u AS (SELECT p_partkey, ids, names, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM p)

@@ -258,3 +258,61 @@ def test_ids_of_the_query(spark):
     by = {r.s_suppkey: r for r in found}
     assert all(r.resolved_by == ("plain" if r.s_suppkey % 4 == 0 else "similar" if r.s_suppkey % 4 == 1 else r.resolved_by) for r in found)
     assert sum(r.id == r.s_suppkey for r in found) == len(by)
+
+
+def test_load_of_all_datasets(spark):
+    """Nineteen landed datasets, in a bad order, into bronze: types by rule, repairs, missing parents, duplicates, events and checks."""
+    import random
+    import uuid
+
+    from tallyforge import datasets as D
+    from tallyforge import medallion as L
+
+    mark = uuid.uuid4().hex[:6]
+    people = [(f"p{i}", f"Name {i}", "yes" if i % 2 else "0") for i in range(6)]
+    person = lambda *more: [(f"p{i}", "US37", *more) for i in range(6)]
+    landed = {
+        "castaway_details": (people, "castaway_id string, full_name string, bipoc string"),
+        "season_summary": ([("US37", "37", "2018-09-26")], "version_season string, season string, premiered string"),
+        "castaways": ([*[(f"p{i}", "US37", f"Ann{chr(97 + i) * 3}", str(i)) for i in range(6)], ("p9", "US37", "Nobody", "9")], "castaway_id string, version_season string, castaway string, `Order` string"),
+        "challenge_description": ([("US37", "25", "Immunity", "true"), ("US37", "7", "Reward", "no")], "version_season string, challenge_id string, challenge_type string, race string"),
+        "challenge_summary": ([("US37", "8", "x"), ("US37", "8", "x"), ("US37", "25", "y")], "version_season string, challenge_id string, category string"),
+        "challenge_results": (person("8", "1") + person("25", "2"), "castaway_id string, version_season string, challenge_id string, sog_id string"),
+        "vote_history": ([("p1", "US37", "3", "26", "p2", "p2"), ("none", "US37", "3", "99", None, "p2"), ("p3", "US37", "4", None, "p2", "p2")], "castaway_id string, version_season string, episode string, challenge_id string, vote_id string, voted_out_id string"),
+        "journeys": ([(None, "US37", "2", "1", "Annbbb"), ("p2", "US37", "2", "1", "Annccc")], "castaway_id string, version_season string, episode string, sog_id string, castaway string"),
+        "advantage_movement": ([("p1, p2", "US37", "5", "1", "p3, p77"), ("p4", "US37", "5", "2", None)], "castaway_id string, version_season string, advantage_id string, sequence_id string, played_for_id string"),
+        "advantage_details": ([("5", "US37")], "advantage_id string, version_season string"),
+        "auction_details": ([("US37", "1", "pie", " p1 "), ("US37", "1", "pie", "nan")], "version_season string, auction_num string, item string, castaway_id string"),
+        "boot_mapping": (person("1", "3"), "castaway_id string, version_season string, sog_id string, `order` string"),
+        "boot_order": (person("1"), "castaway_id string, version_season string, `order` string"),
+        "episodes": ([("US37", "1"), ("US37", "1"), ("US37", "2")], "version_season string, episode string"),
+        "confessionals": (person("1", "4"), "castaway_id string, version_season string, episode string, confessional_count string"),
+        "jury_votes": (person("Annaaa", "p0"), "castaway_id string, version_season string, vote string, finalist_id string"),
+        "survivor_auction": (person("5", "20"), "castaway_id string, version_season string, episode string, total string"),
+        "tribe_mapping": (person("1", "red", None), "castaway_id string, version_season string, episode string, tribe string, day string"),
+        "castaway_scores": (person("0.5") + person("0.5"), "castaway_id string, version_season string, score_overall string"),
+    }
+    assert set(landed) == set(D.KEYS)
+    frames = {n: spark.createDataFrame(rows, schema) for n, (rows, schema) in landed.items()}
+    w = Warehouse(spark)
+    for x, t in w.list_tables():
+        spark.sql(f"DROP TABLE {x}.{t}")
+    names = list(frames)
+    random.Random(3).shuffle(names)
+    configured = [D.dataset_of(n, frames[n]) for n in names]
+    order = [d.name for d in L.load_order(configured)]
+    assert order.index("castaway_details") < order.index("castaways") < order.index("journeys") and order.index("challenge_summary") < order.index("challenge_results")
+    assert L.run_pipeline(w, {n: (df, mark) for n, df in frames.items()}, configured, "2024-01-01 00:00:00", upto="bronze", strict=False) == "succeeded"
+    count = lambda n: w.load(f"bronze.{n}").count()
+    wanted = {"castaway_details": 6, "castaways": 6, "challenge_description": 3, "challenge_summary": 3, "challenge_results": 12, "vote_history": 3, "journeys": 2, "advantage_movement": 5, "episodes": 2, "castaway_scores": 6, "auction_details": 2, "tribe_mapping": 6}
+    assert {n: count(n) for n in wanted} == wanted
+    votes = {(r.castaway_id, r.challenge_id) for r in w.load("bronze.vote_history").collect()}
+    assert votes == {("p1", 25), (None, None), ("p3", None)}
+    assert {r.castaway_id for r in w.load("bronze.journeys").collect()} == {"p1", "p2"}
+    plays = {(r.castaway_id, r.played_for_id, r.joint_play, r.multi_target_play) for r in w.load("bronze.advantage_movement").collect()}
+    assert plays == {("p1", "p3", True, True), ("p1", None, True, True), ("p2", "p3", True, True), ("p2", None, True, True), ("p4", None, False, False)}
+    kinds = dict(w.load("bronze.castaway_details").dtypes) | dict(w.load("bronze.season_summary").dtypes) | dict(w.load("bronze.challenge_description").dtypes)
+    assert (kinds["bipoc"], kinds["premiered"], kinds["race"], kinds["challenge_id"]) == ("boolean", "date", "boolean", "int")
+    actions = {(r.dataset, r.action): r.n for r in w.load("bronze.remediation_events").where("action <> 'value coerced'").groupBy("dataset", "action").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert actions["castaways", "orphan dropped"] == 1 and actions["vote_history", "null kept"] == 1 and actions["vote_history", "reference fixed"] == 1 and actions["vote_history", "reference nulled"] == 1
+    assert actions["journeys", "id filled in"] == 1 and actions["challenge_description", "parent added"] == 1 and actions["challenge_summary", "duplicate kept"] == 2 and actions["castaway_scores", "duplicate dropped"] == 6
