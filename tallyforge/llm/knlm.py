@@ -5,8 +5,12 @@ distinct n-grams (64-bit hashes) with their counts to shards of the hash range.
 and stores them as a file of the model in the shared folder. It maps this file into memory and looks up every chunk's n-grams there: the
 count, and whether the chunk is the one (of those that have it) to speak for that n-gram. So each distinct n-gram adds one to the count
 of its suffix and to the statistics of its context in the next round, which is what Kneser-Ney smoothing counts. Nothing is
-pruned; a frequent n-gram is one entry for each chunk. ``score_with`` scores other texts by a stored model in the same way:
-their n-grams go to the shards, whose workers map the files.
+pruned. ``score_with`` scores other texts by a stored model in the same way: their n-grams go to the shards, whose workers map the files.
+
+Chunks and shards both grow with the corpus, so no chunk speaks to all shards. N-grams travel in tiers: a tier's task takes what about
+``Sizes.fan`` senders say of one range of hashes, merges it, and cuts the range for the next tier into at most as many ranges.
+The last tier's ranges are the shards; answers go back the same way. Messages grow with the corpus times the number of tiers (one up to
+32 GB of text, two up to 130 TB), and a frequent n-gram is at most one entry for each sender of a task.
 
 A text of tokens w is scored as sum log10 p(w | the n - 1 tokens before), each text alone, with an end token that counts and begin
 tokens that don't. Tokens not seen in training share one place of the V + 1 of the uniform distribution at the bottom.
@@ -32,15 +36,48 @@ from . import spans
 from .staging import fresh_path, staged
 
 ORDER = 3
-#: Bytes of text in a chunk, about; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
-#: Tokens of the corpus for each shard.
-SHARD_TOKENS = 2_000_000
 END, BEGIN = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x5A5A5A5A5A5A5A5A)
 _CHUNK = "chunk long, ids array<long>, train array<boolean>, sizes array<long>, tokens binary, n_tokens long"
+_SENT = "k int, part long, shard int, chunk long, blob binary"
+_REPLY = "chunk long, k int, shard int, blob binary"
 _STATS = ["n1", "n2", "n3", "n4", "more", "total", "kinds", "raw_total"]
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """How the work is cut: bytes of text in a chunk, about (a longer text is a chunk of its own), tokens of the corpus for each shard, and senders of a task, about."""
+
+    chunk_bytes: int = 8 << 20
+    shard_tokens: int = 2_000_000
+    fan: int = 4096
+
+
+@dataclass(frozen=True)
+class Route:
+    """The way from chunks to shards: tier t has ``fan ** (tiers - t)`` parts of the chunks, and ranges of as many shards each."""
+
+    shards: int
+    tiers: int
+    fan: int
+
+    @classmethod
+    def between(cls, chunks: int, shards: int, fan: int) -> Route:
+        tiers = 1
+        while fan**tiers < max(chunks, shards):
+            tiers += 1
+        return cls(shards, tiers, fan)
+
+    def part(self, chunk: int) -> int:
+        """The part of the first tier that a chunk belongs to; chunks have random ids of 62 bits, so parts are about as large."""
+        return chunk * self.fan ** (self.tiers - 1) >> 62
+
+    def ranges(self, tier: int, above: int = 0) -> tuple[int, np.ndarray]:
+        """The first of the tier's ranges that range ``above`` of the tier before is cut into, and the hashes where the others begin."""
+        step, first = self.fan ** (self.tiers - tier), above * self.fan
+        last = min(first + self.fan, -(-self.shards // step))
+        return first, np.array([(s * step << 64) // self.shards for s in range(first + 1, last)], np.uint64)
+
+
 def _narrow(column: np.ndarray) -> np.ndarray:
     """Whole numbers from 0 in the least width that holds them."""
     most = int(column.max(initial=0))
@@ -80,14 +117,14 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], place
 
 
-def as_chunks(docs: DataFrame, id: str, text: str, train: str) -> DataFrame:
+def as_chunks(docs: DataFrame, id: str, text: str, train: str, chunk_bytes: int) -> DataFrame:
     """Rows of _CHUNK; tokens are word hashes, each text closed by END."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = spans.text_bytes(batch.column(2))
             data = spans.lowered(data)
-            for i, j in spans.blocks(offsets, CHUNK_BYTES):
+            for i, j in spans.blocks(offsets, chunk_bytes):
                 part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 starts, ends, owner = spans.words(part, off)
                 words = spans.hash_spans(part, starts, ends)
@@ -136,10 +173,6 @@ class Chunk:
         return before
 
 
-def _edges(shards: int) -> np.ndarray:
-    return np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
-
-
 def contributions(chunk: Chunk, k: int, order: int, above: list[np.ndarray] | None) -> tuple[np.ndarray, list[np.ndarray]]:
     """What a chunk says of its keys of order k: the count; below the highest order, sum and 1, 2, 3+ kinds of what follows as a context; at order 1, the count in training."""
     keys, place = chunk.keys(k)
@@ -164,34 +197,102 @@ def _chunk_of(row: dict, order: int) -> Chunk:
 
 
 def _joined(blobs: list[dict]) -> list[np.ndarray]:
-    """The columns of all shards in order."""
+    """The columns of all ranges in order."""
     parts = [unpack(x["blob"]) for x in sorted(blobs, key=lambda x: x["shard"])]
     return [np.concatenate(columns) for columns in zip(*parts)]
 
 
-def _by_shard(chunk: int, keys: np.ndarray, values: list[np.ndarray], edges: np.ndarray) -> pa.Table:
+def _messages(k: int, part: int, sender: int, keys: np.ndarray, values: list[np.ndarray] | np.ndarray, first: int, edges: np.ndarray) -> pa.Table:
+    """Rows of _SENT: the keys with their values, cut at the edges of ranges."""
     cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-    found = [(s, pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-    return pa.table([pa.array([s for s, _ in found], pa.int32()), pa.array([chunk] * len(found), pa.int64()), pa.array([x for _, x in found], pa.binary())], names=["shard", "chunk", "blob"])
+    found = [(first + s, pack(np.diff(keys[a:b], prepend=np.uint64(0)), *(v[a:b] for v in values))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    n = len(found)
+    columns = [pa.array([k] * n, pa.int32()), pa.array([part] * n, pa.int64()), pa.array([s for s, _ in found], pa.int32()), pa.array([sender] * n, pa.int64()), pa.array([x for _, x in found], pa.binary())]
+    return pa.table(columns, names=["k", "part", "shard", "chunk", "blob"])
 
 
-def send(chunks: DataFrame, k: int, order: int, shards: int, replies: DataFrame | None = None) -> DataFrame:
-    """(shard, chunk, blob) for order k; ``replies`` are those of order k + 1."""
-    edges = _edges(shards)
+def send(chunks: DataFrame, k: int, order: int, route: Route, replies: DataFrame | None = None) -> DataFrame:
+    """What chunks say of their n-grams of order k to the first tier; ``replies`` are those of order k + 1."""
+    first, edges = route.ranges(1)
 
     def say(row: dict, above: list[np.ndarray] | None) -> pa.Table:
-        return _by_shard(row["chunk"], *contributions(_chunk_of(row, order), k, order, above), edges)
+        return _messages(k, route.part(row["chunk"]), row["chunk"], *contributions(_chunk_of(row, order), k, order, above), first, edges)
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from say(batch.slice(i, 1).to_pylist()[0], None).to_batches()
 
-    schema = "shard int, chunk long, blob binary"
     if replies is None:
-        return chunks.mapInArrow(first, schema)
-    own = replies.where("chunk >= 0").select("chunk", "shard", "blob")
-    return chunks.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(lambda one, met: say(one.to_pylist()[0], _joined(met.to_pylist())), schema)
+        return chunks.mapInArrow(start, _SENT)
+    own = replies.select("chunk", "shard", "blob")
+    return chunks.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(lambda one, met: say(one.to_pylist()[0], _joined(met.to_pylist())), _SENT)
+
+
+def _merged(sent: pa.Table) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+    """What a task was sent: each sender with its keys, all keys, the sums of their values, and which sender is the first to have counted each."""
+    senders = sent.column("chunk").to_pylist()
+    parts = []
+    for i in sorted(range(len(senders)), key=senders.__getitem__):
+        keys, *values = unpack(sent.column("blob")[i].as_py())
+        parts.append((senders[i], np.cumsum(keys, dtype=np.uint64), values))
+    kinds = np.unique(np.concatenate([own for _, own, _ in parts]))
+    totals = np.zeros((len(parts[0][2]), len(kinds)), np.int64)
+    spoken = np.full(len(kinds), len(parts), np.int32)
+    for i, (_, own, values) in enumerate(parts):
+        at = np.searchsorted(kinds, own)
+        for total, v in zip(totals, values):
+            total[at] += v
+        if values:
+            at = at[values[0] > 0]
+            spoken[at] = np.minimum(spoken[at], i)
+    return [(sender, own) for sender, own, _ in parts], kinds, totals, spoken
+
+
+def relay(sent: DataFrame, route: Route, tier: int) -> DataFrame:
+    """What the tasks of a tier, having merged what they were sent, say to the next tier. Their part of the chunks is the sender."""
+
+    def run(table: pa.Table) -> pa.Table:
+        k, part, shard = (table.column(c)[0].as_py() for c in ("k", "part", "shard"))
+        _, kinds, totals, _ = _merged(table)
+        return _messages(k, part // route.fan, part, kinds, totals, *route.ranges(tier + 1, shard))
+
+    return sent.groupBy("k", "part", "shard").applyInArrow(run, _SENT)
+
+
+def pass_on(sent: DataFrame, replies: DataFrame, fan: int) -> DataFrame:
+    """Replies (_REPLY) to the senders of a tier from those that its tasks got from the next. If a task is to speak for an n-gram, its first sender is."""
+
+    def run(one: pa.Table, met: pa.Table) -> pa.Table:
+        k, shard = one.column("k")[0].as_py(), one.column("shard")[0].as_py()
+        senders, kinds, _, spoken = _merged(one)
+        told, out = _joined(met.to_pylist()), []
+        for n, (sender, own) in enumerate(senders):
+            at = np.searchsorted(kinds, own)
+            looked = [c[at] for c in told]
+            looked[1] = looked[1] * (spoken[at] == n)
+            out.append(pack(*looked))
+        n = len(senders)
+        return pa.table([pa.array([s for s, _ in senders], pa.int64()), pa.array([k] * n, pa.int32()), pa.array([shard] * n, pa.int32()), pa.array(out, pa.binary())], names=["chunk", "k", "shard", "blob"])
+
+    own = replies.select("k", F.col("chunk").alias("part"), F.expr(f"cast(shard div {fan} as int)").alias("above"), "shard", "blob")
+    return sent.groupBy("k", "part", "shard").cogroup(own.groupBy("k", "part", "above")).applyInArrow(run, _REPLY)
+
+
+def _up(sent: DataFrame, route: Route) -> list[DataFrame]:
+    """The messages of each tier; those that are merged on the way and met again by the answers are written."""
+    tiers = [sent]
+    for tier in range(1, route.tiers):
+        tiers[-1] = staged(tiers[-1], "sent")
+        tiers.append(relay(tiers[-1], route, tier))
+    return tiers
+
+
+def _down(tiers: list[DataFrame], replies: DataFrame, route: Route) -> DataFrame:
+    """Replies to the chunks from those of the shards."""
+    for sent in tiers[-2::-1]:
+        replies = pass_on(sent, replies, route.fan)
+    return replies if route.tiers == 1 else staged(replies, "replies")
 
 
 def _store(path: str, columns: list[np.ndarray]) -> str:
@@ -229,44 +330,31 @@ def _found(columns: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def answer(sent: DataFrame, path: str, keep: bool) -> DataFrame:
-    """For each shard and chunk the totals of its keys (count, whether it speaks, then as ``contributions``); with chunk -1 the shard's file and statistics.
+    """For each shard and sender the totals of its keys (count, whether it speaks, then as ``contributions``); with chunk -1 the shard's file and statistics.
 
-    Without ``keep`` the file goes once the chunks are answered; it takes about twice the text's compressed size.
+    Without ``keep`` the file goes once the senders are answered; it takes about twice the text's compressed size.
     """
-    schema = "chunk long, shard int, blob binary, stored string, " + ", ".join(f"{c} long" for c in _STATS)
+    schema = f"{_REPLY}, stored string, " + ", ".join(f"{c} long" for c in _STATS)
 
     def run(table: pa.Table) -> pa.Table:
-        chunks, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
-        order = sorted(range(len(chunks)), key=chunks.__getitem__)
-        parts = []
-        for i in order:
-            keys, *values = unpack(table.column("blob")[i].as_py())
-            parts.append((np.cumsum(keys, dtype=np.uint64), values))
-        kinds = np.unique(np.concatenate([p[0] for p in parts]))
-        totals = np.zeros((len(parts[0][1]), len(kinds)), np.int64)
-        spoken = np.full(len(kinds), len(parts), np.int32)
-        for i, (own, values) in enumerate(parts):
-            at = np.searchsorted(kinds, own)
-            for total, v in zip(totals, values):
-                total[at] += v
-            at = at[values[0] > 0]
-            spoken[at] = np.minimum(spoken[at], i)
+        k, shard = table.column("k")[0].as_py(), table.column("shard")[0].as_py()
+        senders, kinds, totals, spoken = _merged(table)
         held = totals.any(axis=0)  # the rest is in no training text
         stored = _store(f"{path}/{shard}-{uuid.uuid4().hex}", [kinds[held], *totals[:, held]])
         spoken, count = spoken[held], totals[0]
         stats = [*(int((count == c).sum()) for c in (1, 2, 3, 4)), int((count > 2).sum()), int(count.sum()), int((count > 0).sum()), int(totals[-1].sum())]
         del kinds, totals, count
         columns, out = _mapped(stored), []
-        for n, (i, (own, _)) in enumerate(zip(order, parts)):
+        for n, (sender, own) in enumerate(senders):
             at, there = _found(columns, own)
             looked = [np.where(there, c[at], 0) if len(c) else np.zeros(len(own), np.int64) for c in [columns[1], spoken == n, *columns[2:]]]
-            out.append((chunks[i], shard, pack(*looked), None, *[None] * len(_STATS)))
+            out.append((sender, k, shard, pack(*looked), None, *[None] * len(_STATS)))
         if not keep:
             del columns
             _remove(stored)
-        out.append((-1, shard, None, stored, *stats))
-        types = [pa.int64(), pa.int32(), pa.binary(), pa.string(), *[pa.int64()] * len(_STATS)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["chunk", "shard", "blob", "stored", *_STATS])
+        out.append((-1, k, shard, None, stored, *stats))
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string(), *[pa.int64()] * len(_STATS)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["chunk", "k", "shard", "blob", "stored", *_STATS])
 
     return sent.groupBy("shard").applyInArrow(run, schema)
 
@@ -302,7 +390,7 @@ def probabilities(chunk: Chunk, replies: list[list[np.ndarray]], stats: list[dic
 
 @dataclass
 class Model:
-    """A stored model: its files (order, shard, stored), the number of shards, and the statistics of each order from 1 on."""
+    """A stored model: its files (k, shard, stored; k is the order), the number of shards, and the statistics of each order from 1 on."""
 
     files: DataFrame
     shards: int
@@ -330,45 +418,49 @@ def _scored(chunks: DataFrame, told: DataFrame, stats: list[dict], id: str) -> D
     return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def _learned(chunks: DataFrame, order: int, keep: bool) -> tuple[DataFrame, Model]:
-    """The replies to the chunks' n-grams of all orders (chunk, k, shard, blob), and the model, whose files are there only with ``keep``."""
-    total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
-    shards = max(4, -(-total // SHARD_TOKENS))
+def _learned(chunks: DataFrame, order: int, keep: bool, sizes: Sizes) -> tuple[DataFrame, Model]:
+    """The replies to the chunks' n-grams of all orders (_REPLY), and the model, whose files are there only with ``keep``."""
+    n_chunks, n_tokens = chunks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    route = Route.between(n_chunks, max(4, -(-n_tokens // sizes.shard_tokens)), sizes.fan)
     path = fresh_path(chunks.sparkSession, "model")
     replies: dict[int, DataFrame] = {}
+    files: list[DataFrame] = []
     stats: dict[int, dict] = {}
     for k in range(order, 0, -1):
-        sent = send(chunks, k, order, shards, replies.get(k + 1))
-        replies[k] = staged(answer(sent, f"{path}/{k}", keep), f"order{k}")
-        sums = replies[k].where("chunk = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS)).first()
-        stats[k] = sums.asDict()
-    every = functools.reduce(DataFrame.unionByName, (replies[k].select("chunk", F.lit(k).alias("k"), "shard", "blob", "stored") for k in replies))
-    files = every.where("chunk = -1").select(F.col("k").alias("order"), "shard", "stored")
-    return every.where("chunk >= 0").drop("stored"), Model(files, shards, [stats[k] for k in range(1, order + 1)])
+        tiers = _up(send(chunks, k, order, route, replies.get(k + 1)), route)
+        answered = staged(answer(tiers[-1], f"{path}/{k}", keep), f"order{k}")
+        shards = answered.where("chunk = -1")
+        stats[k] = shards.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS)).first().asDict()
+        files.append(shards.select("k", "shard", "stored"))
+        replies[k] = _down(tiers, answered.where("chunk >= 0").select("chunk", "k", "shard", "blob"), route)
+    model = Model(functools.reduce(DataFrame.unionByName, files), route.shards, [stats[k] for k in range(1, order + 1)])
+    return functools.reduce(DataFrame.unionByName, replies.values()), model
 
 
-def score_documents(docs: DataFrame, train: str, *, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+def score_documents(docs: DataFrame, train: str, *, id: str = "doc_id", text: str = "text", order: int = ORDER, sizes: Sizes = Sizes()) -> DataFrame:
     """``id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-half unigrams), ``score`` (log10 of the model) and ``perplexity`` of each row.
 
     The model learns from rows where the column ``train`` is true. A null or empty text is the end token alone; rows
     that repeat count and are scored each. Ids are whole numbers or null. Other columns are not carried. Without training rows every token
     has probability 1; an empty table gives no rows. The model is stored shard by shard while it answers; ``train_model`` keeps it.
     """
-    chunks = staged(as_chunks(docs, id, text, train), "chunks")
-    told, model = _learned(chunks, order, keep=False)
+    chunks = staged(as_chunks(docs, id, text, train, sizes.chunk_bytes), "chunks")
+    told, model = _learned(chunks, order, False, sizes)
     return _scored(chunks, told, model.stats, id)
 
 
-def train_model(docs: DataFrame, *, id: str = "doc_id", text: str = "text", order: int = ORDER) -> Model:
+def train_model(docs: DataFrame, *, id: str = "doc_id", text: str = "text", order: int = ORDER, sizes: Sizes = Sizes()) -> Model:
     """A model of all rows of ``docs``, stored in the shared folder."""
-    chunks = staged(as_chunks(docs.select(id, text).withColumn("_train", F.lit(True)), id, text, "_train"), "chunks")
-    return _learned(chunks, order, keep=True)[1]
+    chunks = staged(as_chunks(docs.select(id, text).withColumn("_train", F.lit(True)), id, text, "_train", sizes.chunk_bytes), "chunks")
+    return _learned(chunks, order, True, sizes)[1]
 
 
-def score_with(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_with(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", sizes: Sizes = Sizes()) -> DataFrame:
     """As ``score_documents``, of any texts by a stored model: each shard's worker maps its file and looks up the n-grams sent to it."""
-    order, edges = model.order, _edges(model.shards)
-    chunks = staged(as_chunks(docs.select(id, text).withColumn("_train", F.lit(False)), id, text, "_train"), "chunks")
+    order = model.order
+    chunks = staged(as_chunks(docs.select(id, text).withColumn("_train", F.lit(False)), id, text, "_train", sizes.chunk_bytes), "chunks")
+    route = Route.between(chunks.count(), model.shards, sizes.fan)
+    first, edges = route.ranges(1)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -376,8 +468,7 @@ def score_with(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str =
                 row = batch.slice(i, 1).to_pylist()[0]
                 chunk = _chunk_of(row, order)
                 for k in range(1, order + 1):
-                    found = _by_shard(row["chunk"], chunk.keys(k)[0], [], edges)
-                    yield from found.append_column("order", pa.array([k] * len(found), pa.int32())).to_batches()
+                    yield from _messages(k, route.part(row["chunk"]), row["chunk"], chunk.keys(k)[0], [], first, edges).to_batches()
 
     def look(asked: pa.Table, stored: pa.Table) -> pa.Table:
         files = stored.column("stored").to_pylist()
@@ -387,10 +478,10 @@ def score_with(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str =
             keys = np.cumsum(unpack(row["blob"])[0], dtype=np.uint64)
             at, there = _found(columns, keys)
             looked = [np.where(there, c[at], 0) if len(c) else np.zeros(len(keys), np.int64) for c in columns[1:]]
-            out.append((row["chunk"], row["order"], row["shard"], pack(looked[0], np.zeros(len(keys), np.int64), *looked[1:])))
+            out.append((row["chunk"], row["k"], row["shard"], pack(looked[0], np.zeros(len(keys), np.int64), *looked[1:])))
         types = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, types)], names=["chunk", "k", "shard", "blob"])
 
-    asked = chunks.mapInArrow(ask, "shard int, chunk long, blob binary, order int")
-    told = asked.groupBy("order", "shard").cogroup(model.files.groupBy("order", "shard")).applyInArrow(look, "chunk long, k int, shard int, blob binary")
-    return _scored(chunks, told, model.stats, id)
+    tiers = _up(chunks.mapInArrow(ask, _SENT), route)
+    answered = tiers[-1].groupBy("k", "shard").cogroup(model.files.groupBy("k", "shard")).applyInArrow(look, _REPLY)
+    return _scored(chunks, _down(tiers, answered, route), model.stats, id)

@@ -239,6 +239,38 @@ def test_language_model_columns_and_stored_model(spark, docs, none):
     assert knlm.score_with(none, model).count() == 0
 
 
+def test_tiers_change_nothing(spark):
+    """Chunks of a few texts and shards of a few n-grams, three senders a task: several tiers give what one gives."""
+    rnd = random.Random(9)
+    texts = [None, "", *(" ".join(rnd.choice(["a", "a", "b", "c", "d", f"w{rnd.randrange(40)}"]) for _ in range(rnd.randrange(1, 25))) for _ in range(60))]
+    df = spark.createDataFrame([(i, t, i % 5 != 1) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    sizes = knlm.Sizes(chunk_bytes=40, shard_tokens=50, fan=3)
+    route = knlm.Route.between(n := knlm.as_chunks(df, "doc_id", "text", "train", sizes.chunk_bytes).count(), 20, sizes.fan)
+    assert n > 27 and route.tiers > 3
+    rows = lambda found: {r.doc_id: tuple(r) for r in found.collect()}
+    whole, tiered = (rows(knlm.score_documents(df, "train", sizes=s)) for s in (knlm.Sizes(), sizes))
+    assert whole.keys() == tiered.keys() and all(np.allclose(whole[i], tiered[i]) for i in whole)
+    model = knlm.train_model(df.where("train"), sizes=sizes)
+    assert model.shards > 3
+    again = rows(knlm.score_with(df.select("doc_id", "text"), model, sizes=sizes))
+    assert whole.keys() == again.keys() and all(np.allclose(whole[i], again[i]) for i in whole)
+
+
+def test_ranges_of_tiers_nest():
+    for shards, fan in ((1, 3), (4, 4096), (20, 3), (27, 3), (100, 7)):
+        route = knlm.Route.between(40, shards, fan)
+        found = [(0, [])]  # ranges of a tier: number, and where it begins
+        for tier in range(1, route.tiers + 1):
+            cut = []
+            for above, begin in found:
+                first, edges = route.ranges(tier, above)
+                cut += [(first, begin), *((first + i, e) for i, e in enumerate(edges.tolist(), 1))]
+            found = cut
+        assert [n for n, _ in found] == list(range(shards))
+        assert [b or 0 for _, b in found] == [(s << 64) // shards for s in range(shards)]
+        assert {route.part(c) for c in (0, (1 << 62) - 1)} == {0, fan ** (route.tiers - 1) - 1}
+
+
 def test_distinct_and_pack():
     rng = np.random.default_rng(1)
     for values in (rng.integers(0, 1 << 63, 1000).astype(np.uint64), np.array([5, 4, 5, 7, 4, 6] * 50, np.uint64), np.array([3], np.uint64)):
