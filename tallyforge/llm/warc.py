@@ -2,7 +2,7 @@
 
 Payloads are UTF-8 text, so a whole record is, and Spark's text writer with the record end as its line separator
 writes gzipped WARC/1.1 files into any store. Archives hold a bounded number of records each and are read back
-file by file, by the lengths in their headers, never by searching payloads for separators.
+record by record, by the lengths in their headers, never by searching payloads for separators.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 MIN_BYTES = 1000
 #: Records of one archive file at most.
 FILE_RECORDS = 4000
+#: Bytes of payloads that are read before they are handed on, about.
+BATCH_BYTES = 8 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _READ = "record_id string, page_id long, record_type string, target_uri string, refers_to_record string, payload_digest string, payload_bytes long"
 
@@ -74,48 +77,53 @@ def write_archives(resolved: DataFrame, path: str, *, date: str, file_records: i
     resolved.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records).option("compression", "gzip").text(path)
 
 
-def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (by lower-case name) and block of each record of an archive."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        version, *lines = archive[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/1."):
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        n = int(headers["content-length"])
-        yield headers, archive[end + 4 : end + 4 + n]
-        at = end + 4 + n
-        if archive[at : at + 4] != b"\r\n\r\n":
-            raise ValueError(f"a record doesn't end at byte {at}")
-        at += 4
+def parse(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (by lower-case name) and block of each record of an unpacked archive, which is read record by record."""
+    while version := archive.readline():
+        if not version.startswith(b"WARC/1."):
+            raise ValueError(f"no WARC record at byte {archive.tell() - len(version)}")
+        headers = {}
+        while line := archive.readline().decode().rstrip("\r\n"):
+            k, _, v = line.partition(":")
+            headers[k.lower()] = v.strip()
+        block = archive.read(n := int(headers["content-length"]))
+        if len(block) < n or archive.read(4) != b"\r\n\r\n":
+            raise ValueError(f"a record doesn't end at byte {archive.tell()}")
+        yield headers, block
 
 
 def read_archives(spark: SparkSession, path: str, *, payload: bool = False) -> DataFrame:
     """A row for each record of the archives under ``path``; with ``payload``, the payload of responses too.
 
     The digest and the number of bytes of a response are those of the payload as read; a payload that differs from its
-    header's digest is an error. Of revisits they are null until ``follow_revisits``.
+    header's digest is an error. Of revisits they are null until ``follow_revisits``. An archive is unpacked record by record, whether it
+    is one gzip member or has one for each record; beside its packed bytes a task holds a record, and about BATCH_BYTES of payloads if they are asked for.
     """
     schema = _READ + (", payload binary" if payload else "")
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for archive in batch.column(0):
-                rows = []
-                for h, block in parse(gzip.decompress(archive.as_buffer())):
-                    body = digest = None
-                    if h["warc-type"] == "response":
-                        body = block.partition(b"\r\n\r\n")[2]
-                        digest = hashlib.sha1(body).hexdigest()
-                        if h["warc-payload-digest"] != f"sha1:{digest}":
-                            raise ValueError(f"the payload of {h['warc-record-id']} differs from its digest")
-                    page = h.get("x-page-id")
-                    rows.append((h["warc-record-id"], int(page) if page else None, h["warc-type"], h.get("warc-target-uri"), h.get("warc-refers-to"), digest, None if body is None else len(body), *([body] if payload else [])))
-                if rows:
-                    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-                    names = [x.split()[0] for x in schema.split(", ")]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
+        for archive in (x for batch in batches for x in batch.column(0)):
+            rows, held = [], 0
+            for h, block in parse(gzip.GzipFile(fileobj=pa.BufferReader(archive.as_buffer()))):
+                body = digest = None
+                if h["warc-type"] == "response":
+                    body = block.partition(b"\r\n\r\n")[2]
+                    digest = hashlib.sha1(body).hexdigest()
+                    if h["warc-payload-digest"] != f"sha1:{digest}":
+                        raise ValueError(f"the payload of {h['warc-record-id']} differs from its digest")
+                page = h.get("x-page-id")
+                rows.append((h["warc-record-id"], int(page) if page else None, h["warc-type"], h.get("warc-target-uri"), h.get("warc-refers-to"), digest, None if body is None else len(body), *([body] if payload else [])))
+                held += len(body or b"") if payload else 0
+                if held >= BATCH_BYTES:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
 
     return spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("content").mapInArrow(run, schema)
 

@@ -1,3 +1,5 @@
+import gzip
+import io
 import random
 import re
 from collections import Counter
@@ -293,6 +295,19 @@ def test_archives(spark, tmp_path):
     assert found == {1: ("revisit", 6, n), 2: ("revisit", 6, n), 3: ("response", None, 5), 4: ("response", None, 5), 5: ("response", None, 0), 6: ("response", None, n)}
 
 
+def test_archives_of_many_members_and_broken_ones():
+    """Archives of one gzip member and of one for each record read alike; a cut or misplaced record is an error."""
+    record = lambda body: b"WARC/1.1\r\nWARC-Type: response\r\nX: a: b\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+    bodies = [b"", b"a\r\n\r\nWARC/1.1\r\n", b"x" * 300_000]
+    for packed in (gzip.compress(b"".join(map(record, bodies))), b"".join(gzip.compress(record(b)) for b in bodies)):
+        found = list(warc.parse(gzip.GzipFile(fileobj=io.BytesIO(packed))))
+        assert [b for _, b in found] == bodies and found[0][0] == {"warc-type": "response", "x": "a: b", "content-length": "0"}
+    assert list(warc.parse(io.BytesIO(b""))) == []
+    for broken in (record(b"abc")[:-5], b"\r\n" + record(b"abc"), record(b"abc")[:-2] + record(b"d")):
+        with pytest.raises(ValueError):
+            list(warc.parse(io.BytesIO(broken)))
+
+
 def test_fingerprints(docs, none):
     text = F.coalesce("text", F.lit(""))
     found = fingerprint.with_next(fingerprint.with_sketch(docs.select("doc_id", text.alias("text")), "text", "sketch"), carry="sketch")
