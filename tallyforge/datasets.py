@@ -45,7 +45,9 @@ BOOLEANS = frozenset("""african asian latin_american native_american bipoc lgbt
     precision precision_catch precision_roll_ball precision_slingshot precision_throw_balls precision_throw_coconuts precision_throw_rings precision_throw_sandbags puzzle puzzle_slide puzzle_word race strength turn_based
     water water_paddling water_swim covered alternative_offered joint_play multi_target_play alternative_accepted lost_vote""".split())
 DATES = frozenset(("premiered", "ended", "filming_started", "filming_ended", "episode_date"))
-_WHOLE = re.compile(r"n_.*|.*_count|.*_number|.*_num|.*_order|.*_position|episode|day|age|season|rank|sog_id|sequence_id|challenge_id|votes_nullified|order_of_finish|final_n")
+_WHOLE = re.compile(
+    r"n_.*|.*_count|.*_number|.*_num|.*_order|.*_position|episode|day|age|season|rank|sog_id|sequence_id|challenge_id|votes_nullified|order_of_finish|final_n"
+)
 _REAL = re.compile(r".*_time|viewers_.*|exp_.*|score_.*|.*_rating|.*_cost|cost|total")
 
 
@@ -72,13 +74,18 @@ def split_plays(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     df = df.drop("joint_play", "multi_target_play")
     df = O.explode_multi_value(df, "castaway_id", "castaway", flag="joint_play", companions="co_castaway_ids")
     df = O.explode_targets(df, "played_for_id", "played_for", companions="co_castaway_ids", flag="multi_target_play")
-    df = noted(df, F.col("joint_play") | F.col("multi_target_play"), note("cell split", keys, "castaway_id", after=F.concat_ws("/", "castaway_id", "played_for_id")))
+    df = noted(
+        df, F.col("joint_play") | F.col("multi_target_play"),
+        note("cell split", keys, "castaway_id", after=F.concat_ws("/", "castaway_id", "played_for_id"))
+    )
     if "castaway_details" not in tables:
         return df
     known = tables["castaway_details"].select(F.col("castaway_id").alias("_known")).dropna().distinct()
     met = df.join(known, F.col("played_for_id") == F.col("_known"), "left")
     bad = F.col("played_for_id").isNotNull() & F.col("_known").isNull()
-    return noted(met, bad, note("reference nulled", keys, "played_for_id", F.col("played_for_id"))).withColumn("played_for_id", F.when(~bad, F.col("played_for_id"))).drop("_known")
+    return noted(
+        met, bad, note("reference nulled", keys, "played_for_id", F.col("played_for_id"))
+    ).withColumn("played_for_id", F.when(~bad, F.col("played_for_id"))).drop("_known")
 
 
 def fill_ids(keys: list[str]) -> Repair:
@@ -90,7 +97,10 @@ def fill_ids(keys: list[str]) -> Repair:
         people = tables["castaways"].select("version_season", "castaway", F.col("castaway_id").alias("_found"))
         met = O.resolve_ids(df, people, ["version_season"], "castaway", "_found")
         lost = F.col("castaway_id").isNull() & F.col("_found").isNotNull()
-        event = note("id filled in", keys, "castaway_id", after=F.col("_found"), context=F.concat_ws(", ", F.concat(F.lit("castaway="), F.col("castaway")), F.concat(F.lit("by="), F.col("resolved_by"))))
+        event = note(
+            "id filled in", keys, "castaway_id", after=F.col("_found"),
+            context=F.concat_ws(", ", F.concat(F.lit("castaway="), F.col("castaway")), F.concat(F.lit("by="), F.col("resolved_by")))
+        )
         return noted(met, lost, event).withColumn("castaway_id", F.coalesce("castaway_id", "_found")).drop("_found", "resolved_by")
 
     return run
@@ -103,10 +113,15 @@ def fix_challenges(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     number = T.lenient_integer(F.col("challenge_id"))
     valid = tables["challenge_description"].select("version_season", F.col("challenge_id").cast("int").alias("challenge_id"))
     fixes = df.sparkSession.createDataFrame(CHALLENGE_FIXES, "version_season string, challenge_id int, fixed int")
-    met = O.repair_reference(df.withColumn("_landed", F.col("challenge_id")).withColumn("challenge_id", number), "challenge_id", ["version_season"], valid, fixes)
+    met = O.repair_reference(
+        df.withColumn("_landed", F.col("challenge_id")).withColumn("challenge_id", number), "challenge_id", ["version_season"], valid, fixes
+    )
     lost = (F.col("repaired") == "unresolved") & F.col("_landed").isNotNull()
     keys = ["version_season", "castaway_id"]
-    met = noted(met, F.col("repaired").isin("fixed", "candidate") & F.col("_landed").isNotNull(), note("reference fixed", keys, "challenge_id", F.col("_landed"), F.col("challenge_id")))
+    met = noted(
+        met, F.col("repaired").isin("fixed", "candidate") & F.col("_landed").isNotNull(),
+        note("reference fixed", keys, "challenge_id", F.col("_landed"), F.col("challenge_id"))
+    )
     met = noted(met, lost, note("reference nulled", keys, "challenge_id", F.col("_landed")))
     return met.withColumn("challenge_id", F.when(~lost & F.col("_landed").isNotNull(), F.col("challenge_id"))).drop("_landed", "repaired")
 
@@ -134,7 +149,10 @@ REPAIRS: dict[str, tuple[Repair, ...]] = {
 PARENTS = {"challenge_results": (Parents("challenge_description", ("version_season", "challenge_id"), "sog_id", (), "challenge_summary"),)}
 CONTEXT = {"vote_history": ("episode", "vote_event"), "journeys": ("episode", "sog_id")}
 #: Datasets that repairs look things up in, besides references and parents.
-LOOKED_UP = {"castaways": ("castaway_details",), "vote_history": ("challenge_description",), "journeys": ("castaways",), "advantage_movement": ("castaway_details",)}
+LOOKED_UP = {
+    "castaways": ("castaway_details",), "vote_history": ("challenge_description",), "journeys": ("castaways",),
+    "advantage_movement": ("castaway_details",)
+}
 
 
 def dataset_of(name: str, landed: DataFrame, *, types: dict[str, str] | None = None) -> Dataset:
@@ -146,5 +164,8 @@ def dataset_of(name: str, landed: DataFrame, *, types: dict[str, str] | None = N
         columns += [c for c in ("castaway", "played_for", "co_castaway_ids", "joint_play", "multi_target_play") if c not in columns]
     schema = ", ".join(f"{c} {(types or {}).get(c) or column_type(c, name)}" for c in columns)
     context = tuple(c for c in CONTEXT.get(name, ()) if c in columns)
-    return Dataset(name, schema, tuple(keys.split()), (), tuple(nullable.split()), renames, REPAIRS.get(name, ()), PARENTS.get(name, ()), context=context, after=LOOKED_UP.get(name, ()))
+    return Dataset(
+        name, schema, tuple(keys.split()), (), tuple(nullable.split()), renames, REPAIRS.get(name, ()), PARENTS.get(name, ()),
+        context=context, after=LOOKED_UP.get(name, ())
+    )
 

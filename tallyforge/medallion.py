@@ -41,7 +41,10 @@ class Reference:
 # References of landed datasets (fixed values).
 _PERSON, _SEASON, _CHALLENGE = ("castaway_id",), ("version_season",), ("version_season", "challenge_id")
 REFERENCES: dict[str, list[Reference]] = {
-    "vote_history": [*(Reference((c,), "castaway_details", _PERSON, True) for c in ("castaway_id", "vote_id", "voted_out_id")), Reference(_CHALLENGE, "challenge_description", _CHALLENGE, True)],
+    "vote_history": [
+        *(Reference((c,), "castaway_details", _PERSON, True) for c in ("castaway_id", "vote_id", "voted_out_id")),
+        Reference(_CHALLENGE, "challenge_description", _CHALLENGE, True)
+    ],
     **{name: [Reference(_PERSON, "castaway_details", _PERSON), Reference(_SEASON, "season_summary", _SEASON)] for name in ("journeys", "castaway_scores")},
 }
 
@@ -95,10 +98,16 @@ def _context(columns: list[str] | tuple[str, ...]) -> Column:
     return F.concat_ws(", ", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in columns)) if columns else F.lit(None).cast("string")
 
 
-def note(action: str, keys: list[str] | tuple[str, ...], column: str | None = None, before: Column | None = None, after: Column | None = None, context: Column | None = None) -> Column:
+def note(
+    action: str, keys: list[str] | tuple[str, ...], column: str | None = None, before: Column | None = None, after: Column | None = None,
+    context: Column | None = None
+) -> Column:
     """An event of a row: what was done (``action``) to which row and column."""
     text = lambda c: F.lit(None).cast("string") if c is None else c.cast("string")
-    return F.struct(F.lit(action).alias("action"), row_key(keys).alias("row_key"), F.lit(column).cast("string").alias("column_name"), text(before).alias("before"), text(after).alias("after"), text(context).alias("context"))
+    return F.struct(
+        F.lit(action).alias("action"), row_key(keys).alias("row_key"), F.lit(column).cast("string").alias("column_name"),
+        text(before).alias("before"), text(after).alias("after"), text(context).alias("context")
+    )
 
 
 def noted(df: DataFrame, where: Column, event: Column, *, gone: bool = False) -> DataFrame:
@@ -140,7 +149,10 @@ def report_nulls(keys: list[str], column: str) -> Repair:
 
 
 def _family(kind: str) -> str:
-    for family, names in {"number": ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"), "text": ("string", "varchar", "char"), "time": ("date", "timestamp"), "boolean": ("boolean",)}.items():
+    for family, names in {
+        "number": ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"), "text": ("string", "varchar", "char"),
+        "time": ("date", "timestamp"), "boolean": ("boolean",)
+    }.items():
         if kind.startswith(names):
             return family
     return kind
@@ -156,7 +168,9 @@ def _checked_columns(df: DataFrame, dataset: Dataset) -> list[tuple[str, str]]:
     wrong = []
     for name, kind in df.dtypes:
         a, b = _family(kind), _family(wanted.get(name, kind))
-        if kind != wanted.get(name, kind) and not (a == b and a in ("number", "time", "text") or a == "text" and b in ("number", "time", "boolean") or b == "text" and a in ("number", "time", "boolean") or {a, b} == {"number", "boolean"}):
+        if kind != wanted.get(name, kind) and not (
+            a == b and a in ("number", "time", "text") or a == "text" and b in ("number", "time", "boolean") or b == "text" and a in ("number", "time", "boolean") or {a, b} == {"number", "boolean"}
+        ):
             wrong.append(f"{name} is {kind} instead of {wanted[name]}")
     if wrong:
         raise ValueError(f"{dataset.name}: {', '.join(wrong)}")
@@ -180,11 +194,21 @@ def marked(landed: DataFrame, dataset: Dataset, tables: dict[str, DataFrame]) ->
         df = df.withColumn("_nth", F.when(~F.col("_exempt"), F.row_number().over(Window.partitionBy(*keys, "_exempt").orderBy(*order, whole))))
         df = noted(df, F.col("_nth") > 1, note("duplicate dropped", keys), gone=True).drop("_nth", "_exempt")
     conformed = {f.name: O.lenient(F.col(f.name), f.dataType) for f in schema}
-    changes = [F.when(T.changed(F.col(c).cast("string"), v.cast("string")), note("value coerced", names, c, F.col(c), v, _context(dataset.context))) for c, v in conformed.items()]
+    changes = [
+        F.when(
+            T.changed(F.col(c).cast("string"), v.cast("string")), note("value coerced", names, c, F.col(c), v, _context(dataset.context))
+        ) for c,
+        v in conformed.items()
+    ]
     coerced = F.when(F.col("_gone"), F.array().cast(_NOTE)).otherwise(F.filter(F.array(*changes).cast(_NOTE), lambda e: e.isNotNull()))
     row = F.struct(*(v.alias(c) for c, v in conformed.items()))
     kept = [c for c in df.columns if c not in dict(extras)]
-    return staged(df.select(*(c for c in kept if c not in ("_events", "_gone")), F.concat("_events", coerced).alias("_events"), "_gone", row.alias("_row")), dataset.name)
+    return staged(
+        df.select(
+            *(c for c in kept if c not in ("_events", "_gone")), F.concat("_events", coerced).alias("_events"), "_gone", row.alias("_row")
+        ),
+        dataset.name
+    )
 
 
 def _offenders(df: DataFrame, dataset: Dataset, rules: list[str], tables: dict[str, DataFrame]) -> list[DataFrame]:
@@ -200,7 +224,11 @@ def _offenders(df: DataFrame, dataset: Dataset, rules: list[str], tables: dict[s
         if kind == "missing":
             missing.append(F.when(F.col(column).isNull(), F.struct(F.lit(rule).alias("check"), sample.alias("sample"))))
         else:
-            found.append(df.groupBy(F.col(column).cast("string").alias("sample")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit(rule).alias("check"), F.coalesce("sample", F.lit("")).alias("sample")))
+            found.append(
+                df.groupBy(F.col(column).cast("string").alias("sample")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+                    F.lit(rule).alias("check"), F.coalesce("sample", F.lit("")).alias("sample")
+                )
+            )
     if missing:
         found.append(df.select(F.explode(F.array(*missing)).alias("bad")).where("bad IS NOT NULL").select("bad.*"))
     if dataset.keys:
@@ -258,7 +286,10 @@ def validate(df: DataFrame, dataset: Dataset, tables: dict[str, DataFrame]) -> D
         few = reduce(DataFrame.unionByName, offenders).withColumn("nth", first).where(F.col("nth") <= SAMPLES)
         shown = few.groupBy("check").agg(F.array_join(F.array_sort(F.collect_set("sample")), "; ").alias("samples"))
     out = checks.join(F.broadcast(shown), "check", "left")  # a row for each check
-    return out.select(F.lit(dataset.name).alias("dataset"), "check", F.col("found").cast("long").alias("found"), "passed", F.col("n_null").cast("long").alias("n_null"), F.when(~F.col("passed"), F.col("samples")).alias("samples"))
+    return out.select(
+        F.lit(dataset.name).alias("dataset"), "check", F.col("found").cast("long").alias("found"), "passed",
+        F.col("n_null").cast("long").alias("n_null"), F.when(~F.col("passed"), F.col("samples")).alias("samples")
+    )
 
 
 def prepared(landed: DataFrame, dataset: Dataset, tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -271,7 +302,15 @@ def prepared(landed: DataFrame, dataset: Dataset, tables: dict[str, DataFrame])
     kept = rows.where("NOT _gone")
     events = rows.select(F.lit(dataset.name).alias("dataset"), F.inline("_events"))
     if extras:
-        said = F.array(*(F.struct(F.lit("column dropped").alias("action"), F.lit(None).cast("string").alias("row_key"), F.lit(c).alias("column_name"), F.lit(kind).alias("before"), F.lit(None).cast("string").alias("after"), F.lit(None).cast("string").alias("context")) for c, kind in extras))
+        said = F.array(
+            *(
+                F.struct(
+                    F.lit("column dropped").alias("action"), F.lit(None).cast("string").alias("row_key"), F.lit(c).alias("column_name"),
+                    F.lit(kind).alias("before"), F.lit(None).cast("string").alias("after"), F.lit(None).cast("string").alias("context")
+                ) for c,
+                kind in extras
+            )
+        )
         events = events.unionByName(rows.sparkSession.range(1).select(F.lit(dataset.name).alias("dataset"), F.inline(said)))
     return kept.select("_row.*"), validate(kept.drop("_events", "_gone", "_row"), dataset, tables), events
 
@@ -292,7 +331,10 @@ def add_parents(warehouse: Warehouse, rows: DataFrame, dataset: Dataset, run_id:
         lineage = with_lineage(stubs, run_id, dataset.name, at)
         full = lineage.select(*((F.col(f.name) if f.name in lineage.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in parent.schema))
         warehouse.write(full, "bronze", p.parent, "upsert", list(p.keys))
-        said = stubs.select(F.lit(p.parent).alias("dataset"), F.lit("parent added").alias("action"), row_key(p.keys).alias("row_key"), *(F.lit(None).cast("string").alias(c) for c in ("column_name", "before", "after")), F.lit(f"by {dataset.name}").alias("context"))
+        said = stubs.select(
+            F.lit(p.parent).alias("dataset"), F.lit("parent added").alias("action"), row_key(p.keys).alias("row_key"),
+            *(F.lit(None).cast("string").alias(c) for c in ("column_name", "before", "after")), F.lit(f"by {dataset.name}").alias("context")
+        )
         events = events.unionByName(said)
     return events
 
@@ -310,7 +352,10 @@ def load_order(datasets: list[Dataset]) -> list[Dataset]:
     return out
 
 
-def load_bronze(warehouse: Warehouse, landed: DataFrame, dataset: Dataset, run_id: str, at: str, *, strict: bool = True, environment: str = "dev", mode: str = "upsert") -> DataFrame:
+def load_bronze(
+    warehouse: Warehouse, landed: DataFrame, dataset: Dataset, run_id: str, at: str, *, strict: bool = True, environment: str = "dev",
+    mode: str = "upsert"
+) -> DataFrame:
     """Loads a dataset into its bronze table and gives its rows. ``mode`` is upsert (on its keys, else append) or refresh, which in environment "prod" never empties a table: it upserts there.
 
     Missing parents are added to their tables first. Checks and events are appended to bronze.validation_checks and bronze.remediation_events; with
@@ -334,7 +379,10 @@ def load_bronze(warehouse: Warehouse, landed: DataFrame, dataset: Dataset, run_i
     return warehouse.load(f"bronze.{dataset.name}")
 
 
-def run_pipeline(warehouse: Warehouse, landed: dict[str, tuple[DataFrame, str]], datasets: list[Dataset], at: str, *, environment: str = "dev", upto: str = "gold", only_if_changed: bool = True, strict: bool = True) -> str:
+def run_pipeline(
+    warehouse: Warehouse, landed: dict[str, tuple[DataFrame, str]], datasets: list[Dataset], at: str, *, environment: str = "dev",
+    upto: str = "gold", only_if_changed: bool = True, strict: bool = True
+) -> str:
     """Bronze, silver and gold up to a layer: "succeeded", or "unchanged" if no signature of ``landed`` (rows and signature by name) is new.
 
     Datasets load after those they refer to, and with ``only_if_changed`` only those whose signature is new; of the silver models only those

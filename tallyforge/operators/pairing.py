@@ -44,24 +44,41 @@ def pair_rows(before: DataFrame, after: DataFrame, block: list[str], columns: li
         keyed = lambda df: df.withColumn("key", F.explode(F.array(*(_cells_hash(group, g) for g, group in enumerate(groups)))))  # noqa: B023, E731
         a, b = keyed(left).withColumnRenamed("cells", "a"), keyed(old).withColumnRenamed("cells", "b").withColumnRenamed("block", "_block")
         met = a.join(b, F.col("block").eqNullSafe(F.col("_block")) & (a["key"] == b["key"]))
-        met = met.select("block", "new", "old", F.filter(F.array(*(F.when(x, columns[i]) for i, x in enumerate(differ))), lambda x: x.isNotNull()).alias("changed"))
+        met = met.select(
+            "block", "new", "old",
+            F.filter(F.array(*(F.when(x, columns[i]) for i, x in enumerate(differ))), lambda x: x.isNotNull()).alias("changed")
+        )
         best = met.where(F.size("changed") <= d).groupBy("block", "new").agg(F.min(F.struct(F.size("changed").alias("n"), "old", "changed")).alias("best"))
         found.append(staged(best.select("block", "new", "best.old", "best.changed"), "paired"))
-        rest = left.join(found[-1].select(F.col("block").alias("_block"), F.col("new").alias("_new")), F.col("block").eqNullSafe(F.col("_block")) & (F.col("new") == F.col("_new")), "left_anti")
+        rest = left.join(
+            found[-1].select(F.col("block").alias("_block"), F.col("new").alias("_new")),
+            F.col("block").eqNullSafe(F.col("_block")) & (F.col("new") == F.col("_new")), "left_anti"
+        )
         left = staged(rest, "left")
         if left.isEmpty():
             break
     if max_changed is None or max_changed >= c:
         first = old.groupBy(F.col("block").alias("_block")).agg(F.min("old").alias("old"))
-        far = left.join(first, F.col("block").eqNullSafe(F.col("_block")), "left").select("block", "new", "old", F.when(F.col("old").isNotNull(), F.array(*map(F.lit, columns))).alias("changed"))
+        far = left.join(first, F.col("block").eqNullSafe(F.col("_block")), "left").select(
+            "block", "new", "old", F.when(F.col("old").isNotNull(), F.array(*map(F.lit, columns))).alias("changed")
+        )
     else:
         far = left.select("block", "new", F.lit(None).cast(old.schema["old"].dataType).alias("old"), F.lit(None).cast("array<string>").alias("changed"))
     pairs = reduce(DataFrame.unionByName, found, far)
-    rows = after.select(F.struct(*block).alias("block"), F.struct(*(F.col(x).alias(f"c{i}") for i, x in enumerate(columns))).alias("cells"), F.col(order).alias("row"))
-    kinds = new.join(pairs.withColumnRenamed("block", "_block").withColumnRenamed("new", "_new"), F.col("block").eqNullSafe(F.col("_block")) & (F.col("new") == F.col("_new")), "left")
+    rows = after.select(
+        F.struct(*block).alias("block"), F.struct(*(F.col(x).alias(f"c{i}") for i, x in enumerate(columns))).alias("cells"),
+        F.col(order).alias("row")
+    )
+    kinds = new.join(
+        pairs.withColumnRenamed("block", "_block").withColumnRenamed("new", "_new"),
+        F.col("block").eqNullSafe(F.col("_block")) & (F.col("new") == F.col("_new")), "left"
+    )
     kinds = kinds.select(F.col("block").alias("_block"), F.col("cells").alias("_cells"), "old", "changed")
     out = rows.join(kinds, F.col("block").eqNullSafe(F.col("_block")) & F.col("cells").eqNullSafe(F.col("_cells")), "left")
-    return out.select(*(F.col("block").getField(x).alias(x) for x in block), F.col("row").alias(f"after_{order}"), F.col("old").alias(f"before_{order}"), F.when(F.col("old").isNotNull(), F.size("changed")).alias("n_changed"), "changed")
+    return out.select(
+        *(F.col("block").getField(x).alias(x) for x in block), F.col("row").alias(f"after_{order}"), F.col("old").alias(f"before_{order}"),
+        F.when(F.col("old").isNotNull(), F.size("changed")).alias("n_changed"), "changed"
+    )
 
 
 def row_changes(before: DataFrame, after: DataFrame, block: list[str], columns: list[str], order: str, *, max_changed: int | None = None) -> DataFrame:
@@ -77,10 +94,17 @@ def row_changes(before: DataFrame, after: DataFrame, block: list[str], columns:
     met = met.join(side(before, "b"), at.eqNullSafe(F.col("b_block")) & (F.col(f"before_{order}") == F.col("b_order")), "left")
     cells = lambda old, new: F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), old(i).alias("before"), new(i).alias("after")) for i, c in enumerate(columns))))
     state = F.when(F.col(f"before_{order}").isNull(), "added").otherwise("result")
-    changed = met.select(*block, state.alias("state"), f"before_{order}", f"after_{order}", "changed", cells(lambda i: F.col(f"b_{i}"), lambda i: F.col(f"a_{i}")))
+    changed = met.select(
+        *block, state.alias("state"), f"before_{order}", f"after_{order}", "changed",
+        cells(lambda i: F.col(f"b_{i}"), lambda i: F.col(f"a_{i}"))
+    )
     changed = changed.where((F.col("state") == "added") | F.array_contains("changed", F.col("column_name"))).drop("changed")
     used = pairs.select(F.struct(*block).alias("_block"), F.col(f"before_{order}").alias("_order")).distinct()
     gone = before.join(used, at.eqNullSafe(F.col("_block")) & (F.col(order) == F.col("_order")), "left_anti")
     none = F.lit(None)
-    gone = gone.select(*block, F.lit("removed").alias("state"), F.col(order).alias(f"before_{order}"), none.cast(after.schema[order].dataType).alias(f"after_{order}"), cells(lambda i: F.col(columns[i]).cast("string"), lambda i: none.cast("string")))
+    gone = gone.select(
+        *block, F.lit("removed").alias("state"), F.col(order).alias(f"before_{order}"),
+        none.cast(after.schema[order].dataType).alias(f"after_{order}"),
+        cells(lambda i: F.col(columns[i]).cast("string"), lambda i: none.cast("string"))
+    )
     return changed.unionByName(gone)

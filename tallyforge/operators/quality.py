@@ -28,7 +28,10 @@ def value_counts(df: DataFrame) -> DataFrame:
 
 def profile(df: DataFrame) -> DataFrame:
     """A row for each column: ``n_rows``, ``n_null`` and ``n_duplicate`` (rows less distinct values, null being a value), all in one pass. A table without rows gives zeros."""
-    counts = value_counts(df).groupBy("column_name").agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"), (F.sum("n") - F.count(F.lit(1))).alias("n_duplicate"))
+    counts = value_counts(df).groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+        (F.sum("n") - F.count(F.lit(1))).alias("n_duplicate")
+    )
     names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
     return names.join(counts, "column_name", "left").fillna(0)
 
@@ -73,7 +76,9 @@ def coverage(actual: DataFrame, expected: DataFrame, column: str) -> DataFrame:
     """Values that only one side has: ``missing`` or ``unexpected``."""
     value = lambda df: df.select(F.trim(F.col(column).cast("string")).alias("value")).where(F.col("value") != "").distinct()
     both = value(actual).withColumn("_a", F.lit(1)).join(value(expected).withColumn("_e", F.lit(1)), "value", "full")
-    return both.where(F.col("_a").isNull() | F.col("_e").isNull()).select("value", F.when(F.col("_a").isNull(), "missing").otherwise("unexpected").alias("status"))
+    return both.where(F.col("_a").isNull() | F.col("_e").isNull()).select(
+        "value", F.when(F.col("_a").isNull(), "missing").otherwise("unexpected").alias("status")
+    )
 
 
 def schema_differences(actual: StructType, expected: StructType, optional: list[str] = ()) -> list[tuple[str, str]]:
@@ -85,7 +90,9 @@ def schema_differences(actual: StructType, expected: StructType, optional: list[
 
 def value_changes(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """A row for each changed value: key, ``column_name``, ``before``, ``after`` (as text) and ``became_null``. A row that one side has alone has all its values changed, from null or to null."""
-    a, b = before.select(key, *(F.col(c).cast("string").alias(f"a_{c}") for c in columns)), after.select(key, *(F.col(c).cast("string").alias(f"b_{c}") for c in columns))
+    a, b = before.select(
+        key, *(F.col(c).cast("string").alias(f"a_{c}") for c in columns)
+    ), after.select(key, *(F.col(c).cast("string").alias(f"b_{c}") for c in columns))
     pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"a_{c}").alias("before"), F.col(f"b_{c}").alias("after")) for c in columns))
     out = a.join(b, key, "full").select(key, F.inline(pairs))
     return out.where(T.changed(F.col("before"), F.col("after"))).withColumn("became_null", F.col("after").isNull())

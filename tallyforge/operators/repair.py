@@ -25,7 +25,10 @@ def explode_multi_value(df: DataFrame, ids: str, names: str, *, flag: str = "joi
 def explode_targets(df: DataFrame, ids: str, names: str, *, companions: str = "companions", flag: str = "multi_target") -> DataFrame:
     """``explode_multi_value`` for targets: their other members join the companions that the row has already."""
     out = explode_multi_value(df.withColumnRenamed(companions, "_had"), ids, names, flag=flag, companions="_more")
-    both = F.concat(F.coalesce(T.split_cell(F.col("_had")), F.array().cast("array<string>")), F.coalesce(T.split_cell(F.col("_more")), F.array().cast("array<string>")))
+    both = F.concat(
+        F.coalesce(T.split_cell(F.col("_had")), F.array().cast("array<string>")),
+        F.coalesce(T.split_cell(F.col("_more")), F.array().cast("array<string>"))
+    )
     return out.withColumn(companions, T.join_cell(both)).drop("_had", "_more")
 
 
@@ -33,7 +36,9 @@ def null_invalid(df: DataFrame, column: str, valid: DataFrame, valid_column: str
     """Nulls references that don't resolve; the rows that had one are the second result."""
     known = valid.select(F.col(valid_column).alias("_known")).dropna().distinct()
     joined = df.join(known, df[column] == F.col("_known"), "left")
-    return joined.withColumn(column, F.when(F.col("_known").isNotNull(), F.col(column))).drop("_known"), joined.where(F.col(column).isNotNull() & F.col("_known").isNull()).drop("_known")
+    return joined.withColumn(
+        column, F.when(F.col("_known").isNotNull(), F.col(column))
+    ).drop("_known"), joined.where(F.col(column).isNotNull() & F.col("_known").isNull()).drop("_known")
 
 
 def dedupe_keep_first(df: DataFrame, keys: list[str], *order: str) -> tuple[DataFrame, DataFrame]:
@@ -50,7 +55,11 @@ def flag_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def lenient(column: Column, kind: DataType) -> Column:
     """The column read as a type, null where it can't be."""
-    for kinds, cast in (((BooleanType,), T.lenient_boolean), ((ShortType, IntegerType), T.lenient_integer), ((LongType,), lambda c: T.lenient_double(c).try_cast("long")), ((DoubleType, FloatType), T.lenient_double), ((DateType,), T.lenient_date), ((TimestampType,), T.lenient_timestamp), ((StringType,), T.clean_id)):
+    for kinds, cast in (
+        ((BooleanType,), T.lenient_boolean), ((ShortType, IntegerType), T.lenient_integer),
+        ((LongType,), lambda c: T.lenient_double(c).try_cast("long")), ((DoubleType, FloatType), T.lenient_double),
+        ((DateType,), T.lenient_date), ((TimestampType,), T.lenient_timestamp), ((StringType,), T.clean_id)
+    ):
         if isinstance(kind, kinds):
             return cast(column)
     return column.try_cast(kind)
@@ -69,7 +78,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
 def upsert_counts(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """One row: ``n_inserted`` and ``n_updated`` of an upsert."""
     known = target.select(*keys).distinct().withColumn("_known", F.lit(1))
-    return updates.join(known, keys, "left").agg(F.count_if(F.col("_known").isNull()).alias("n_inserted"), F.count_if(F.col("_known").isNotNull()).alias("n_updated"))
+    return updates.join(known, keys, "left").agg(
+        F.count_if(F.col("_known").isNull()).alias("n_inserted"), F.count_if(F.col("_known").isNotNull()).alias("n_updated")
+    )
 
 
 def upsert_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,7 +89,9 @@ def upsert_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataF
     return updates.select(*keys).join(known, keys, "left").select(*keys, F.when(F.col("_known").isNull(), "inserted").otherwise("updated").alias("action"))
 
 
-def create_missing_parents(children: DataFrame, parents: DataFrame, keys: list[str], order: str, enrich: list[str], summary: DataFrame | None = None) -> DataFrame:
+def create_missing_parents(
+    children: DataFrame, parents: DataFrame, keys: list[str], order: str, enrich: list[str], summary: DataFrame | None = None
+) -> DataFrame:
     """A stub for each key that children have and parents lack: ``enrich`` from ``summary`` if it has them, else the children's first known value by ``order``."""
     missing = children.dropna(subset=keys).join(parents.select(*keys), keys, "left_anti")
     if not enrich:
@@ -126,10 +139,15 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     known = known.withColumn("_plain_first", T.normalised_name(F.col("_first")))
 
     def lookup(key: str, out: str) -> DataFrame:
-        found = known.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(*block, F.col(key).alias(f"_{out}_key")).agg(F.min("_id").alias(f"_{out}"), F.count_distinct("_id").alias("_n"))
+        found = known.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(*block, F.col(key).alias(f"_{out}_key")).agg(
+            F.min("_id").alias(f"_{out}"), F.count_distinct("_id").alias("_n")
+        )
         return found.where("_n = 1").drop("_n")
 
-    steps = {"exact": ("_name", F.col(name)), "plain": ("_plain_name", F.col("_own_plain")), "first": ("_first", F.col(name)), "plain_first": ("_plain_first", F.col("_own_plain"))}
+    steps = {
+        "exact": ("_name", F.col(name)), "plain": ("_plain_name", F.col("_own_plain")), "first": ("_first", F.col(name)),
+        "plain_first": ("_plain_first", F.col("_own_plain"))
+    }
     for step, (key, value) in steps.items():
         rows = rows.withColumn(f"_{step}_key", value).join(lookup(key, step), [*block, f"_{step}_key"], "left")
     found = F.coalesce(*(f"_{step}" for step in steps))
@@ -142,4 +160,7 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     close = pairs.withColumn("_score", T.name_similarity(F.col(name), F.col("_name"))).where(F.col("_score") >= cutoff)
     close = close.groupBy(*block, name).agg(F.max(F.struct("_score", "_name", "_id")).getField("_id").alias("_similar"))
     out = rows.join(close, [*block, name], "left").withColumn("_close", F.when(F.col("_found").isNull(), F.col("_similar")))
-    return out.select(*df.columns, F.coalesce("_found", "_close").alias(id), F.coalesce("_by", F.when(F.col("_close").isNotNull(), "similar")).alias("resolved_by"))
+    return out.select(
+        *df.columns, F.coalesce("_found", "_close").alias(id),
+        F.coalesce("_by", F.when(F.col("_close").isNotNull(), "similar")).alias("resolved_by")
+    )

@@ -59,7 +59,11 @@ def per(df: DataFrame, keys: dict[str, str], columns: dict[str, str]) -> DataFra
 
 # Silver: votes
 
-VOTE_BASE = {"castaway_id": "castaway_id", **same("version_season", "episode", "day", "tribe", "tribe_status"), "merge_phase": PHASE, "target_id": "vote_id", **same("voted_out_id", "immunity", "vote_event", "vote_event_outcome", "split_vote", "nullified", "tie", "vote_order")}
+VOTE_BASE = {
+    "castaway_id": "castaway_id", **same("version_season", "episode", "day", "tribe", "tribe_status"), "merge_phase": PHASE,
+    "target_id": "vote_id",
+    **same("voted_out_id", "immunity", "vote_event", "vote_event_outcome", "split_vote", "nullified", "tie", "vote_order")
+}
 VOTE_DYNAMICS = {
     "vote_dynamics_key": key("castaway_id", "version_season", "episode"),
     **same(*VOTE_BASE),
@@ -87,7 +91,11 @@ def vote_dynamics(vote_history: DataFrame) -> DataFrame:
 # Silver: advantages
 
 PLAYED = "event_type LIKE '%played%'"
-ADVANTAGE_BASE = {**same("castaway_id", "version_season", "episode", "day", "advantage_id", "sequence_id"), "event_type": "lower(event)", "target_castaway_id": "played_for_id", **same("co_castaway_ids", "joint_play", "multi_target_play"), "success_outcome": "lower(success)", **same("votes_nullified", "advantage_type", "clue_details", "location_found", "conditions")}
+ADVANTAGE_BASE = {
+    **same("castaway_id", "version_season", "episode", "day", "advantage_id", "sequence_id"), "event_type": "lower(event)",
+    "target_castaway_id": "played_for_id", **same("co_castaway_ids", "joint_play", "multi_target_play"),
+    "success_outcome": "lower(success)", **same("votes_nullified", "advantage_type", "clue_details", "location_found", "conditions")
+}
 ADVANTAGE_STRATEGY = {
     "advantage_strategy_key": key("castaway_id", "version_season", "advantage_id", "sequence_id"),
     **same(*ADVANTAGE_BASE),
@@ -107,7 +115,11 @@ def advantage_strategy(advantage_movement: DataFrame, advantage_details: DataFra
 
 # Silver: challenges
 
-CHALLENGE_BASE = {**same("castaway_id", "version_season", "episode", "challenge_id", "challenge_type"), "challenge_name": "name", "recurring_name": "recurring_name", "result": "lower(result)", "won_flag": flag("result ILIKE '%win%'"), **same("chosen_for_reward", "sit_out", "order_of_finish", "team", "tribe_status")}
+CHALLENGE_BASE = {
+    **same("castaway_id", "version_season", "episode", "challenge_id", "challenge_type"), "challenge_name": "name",
+    "recurring_name": "recurring_name", "result": "lower(result)", "won_flag": flag("result ILIKE '%win%'"),
+    **same("chosen_for_reward", "sit_out", "order_of_finish", "team", "tribe_status")
+}
 CHALLENGE_PERFORMANCE = {
     "challenge_performance_key": key("castaway_id", "version_season", "challenge_id"),
     **same(*CHALLENGE_BASE),
@@ -136,7 +148,10 @@ EDIT_FEATURES = {
     "has_confessional": flag("confessional_count > 0"),
     "high_confessional_count": flag("confessional_count >= 3"),
     "high_confessional_time": flag("confessional_time >= 60"),
-    **{f"{side}_edited_{c}": flag(f"exp_{c} > 0 AND confessional_{c} {sign} exp_{c}") for side, sign in (("over", ">"), ("under", "<")) for c in ("count", "time")},
+    **{
+        f"{side}_edited_{c}": flag(f"exp_{c} > 0 AND confessional_{c} {sign} exp_{c}") for side,
+        sign in (("over", ">"), ("under", "<")) for c in ("count", "time")
+    },
 }
 
 
@@ -167,7 +182,12 @@ def jury_analysis(jury_votes: DataFrame, season_summary: DataFrame, castaways: D
     votes = votes.join(season_summary.select("version_season", F.col("winner_id").alias("actual_winner_id")), "version_season")
     tribes = original_tribes(castaways)
     votes = votes.join(tribes.withColumnRenamed("original_tribe", "juror_original_tribe"), PERSON, "left")
-    votes = votes.join(tribes.select(F.col("castaway_id").alias("finalist_id"), "version_season", F.col("original_tribe").alias("finalist_original_tribe")), ["finalist_id", "version_season"], "left")
+    votes = votes.join(
+        tribes.select(
+            F.col("castaway_id").alias("finalist_id"), "version_season", F.col("original_tribe").alias("finalist_original_tribe")
+        ),
+        ["finalist_id", "version_season"], "left"
+    )
     return pick(votes, JURY_ANALYSIS)
 
 
@@ -176,14 +196,19 @@ def jury_analysis(jury_votes: DataFrame, season_summary: DataFrame, castaways: D
 PROFILE = {
     "castaways": ["castaway_id", "full_name", "season", "castaway", "age", "city", "state"],
     "castaway_details": ["personality_type", "occupation", "gender", *ORIGINS, "race", "ethnicity"],
-    "season_summary": {"season_location": "location", "season_country": "country", "tribe_setup": "tribe_setup", "season_name": "full_name", **same("viewers_premiere", "viewers_finale", "viewers_reunion"), "season_avg_viewers": "viewers_mean"},
+    "season_summary": {
+        "season_location": "location", "season_country": "country", "tribe_setup": "tribe_setup", "season_name": "full_name",
+        **same("viewers_premiere", "viewers_finale", "viewers_reunion"), "season_avg_viewers": "viewers_mean"
+    },
 }
 
 
 def castaway_profile(castaways: DataFrame, castaway_details: DataFrame, season_summary: DataFrame) -> DataFrame:
     """Distinct people with their details. Seasons join by number alone, so equal numbers of two versions both match."""
     seasons = season_summary.select("season", *(F.col(e).alias(n) for n, e in PROFILE["season_summary"].items()))
-    joined = castaways.select(*PROFILE["castaways"]).join(castaway_details.select("castaway_id", *PROFILE["castaway_details"]), "castaway_id", "left").join(seasons, "season", "left")
+    joined = castaways.select(*PROFILE["castaways"]).join(
+        castaway_details.select("castaway_id", *PROFILE["castaway_details"]), "castaway_id", "left"
+    ).join(seasons, "season", "left")
     return joined.select(*PROFILE["castaways"], *PROFILE["castaway_details"], *PROFILE["season_summary"]).distinct()
 
 
@@ -223,7 +248,10 @@ SEASON_CONTEXT = {
 
 def season_context(season_summary: DataFrame, castaways: DataFrame, castaway_details: DataFrame) -> DataFrame:
     """One row per season. A person counts as returning if the details hold several rows for them; a season without a number is of the last era."""
-    people = castaway_details.select("castaway_id", "gender", "bipoc", "lgbt", (F.count(F.lit(1)).over(Window.partitionBy("castaway_id")) > 1).alias("is_returning_player"))
+    people = castaway_details.select(
+        "castaway_id", "gender", "bipoc", "lgbt",
+        (F.count(F.lit(1)).over(Window.partitionBy("castaway_id")) > 1).alias("is_returning_player")
+    )
     mix = per(castaways.select("castaway_id", "version_season", "age").join(people, "castaway_id"), same("version_season"), DEMOGRAPHICS)
     seasons = pick(season_summary, SEASON_BASE)
     bounds = seasons.agg(F.min("season_number").alias("min_season"), F.max("season_number").alias("max_season"))
@@ -232,7 +260,10 @@ def season_context(season_summary: DataFrame, castaways: DataFrame, castaway_det
 
 # Silver: tribes
 
-COMPOSITION = {"tribe_size": "count(*)", **{f"{n}_count": total_if(p) for n, p in HOLDS.items()}, **{f"{n}_ratio": over(total_if(p), "count(*)") for n, p in HOLDS.items()}}
+COMPOSITION = {
+    "tribe_size": "count(*)", **{f"{n}_count": total_if(p) for n, p in HOLDS.items()},
+    **{f"{n}_ratio": over(total_if(p), "count(*)") for n, p in HOLDS.items()}
+}
 TRIBE_BASE = {**same("castaway_id", "version_season", "episode", "day", "tribe", "tribe_status"), "merge_phase": PHASE}
 TRIBE = ["version_season", "episode", "tribe"]
 PEOPLE = ["gender", *ORIGINS, "race", "ethnicity"]
@@ -266,7 +297,9 @@ def social_positioning(tribe_mapping: DataFrame, castaway_details: DataFrame, ca
     members, tribes = stays.join(people, "castaway_id"), original_tribes(castaways)
     mix = per(members, same(*TRIBE, "merge_phase"), COMPOSITION).drop("merge_phase")
     merged = stays.where("merge_phase = 'post_merge'").join(tribes, PERSON)
-    origins = O.groups_per_partition(merged, TRIBE, "original_tribe").withColumnsRenamed({"n_rows": "original_tribe_members", "n_groups": "total_tribe_members"})
+    origins = O.groups_per_partition(merged, TRIBE, "original_tribe").withColumnsRenamed(
+        {"n_rows": "original_tribe_members", "n_groups": "total_tribe_members"}
+    )
     rows = members.join(mix, TRIBE).join(tribes, PERSON, "left").join(origins, [*TRIBE, "original_tribe"], "left")
     return pick(rows, SOCIAL_POSITIONING)
 
@@ -276,10 +309,12 @@ def social_positioning(tribe_mapping: DataFrame, castaway_details: DataFrame, ca
 ALONE, GROUP_FORMAT = "challenge_format = 'individual'", "challenge_format = 'team'"
 PRE, POST = "merge_phase = 'pre_merge'", "merge_phase = 'post_merge'"
 CHALLENGE_STATS = {
-    "total_challenges": "count(*)", "challenges_won": total("won_flag"), "individual_wins": total_if(ALONE, "won_flag"), "team_wins": total_if(GROUP_FORMAT, "won_flag"),
+    "total_challenges": "count(*)", "challenges_won": total("won_flag"), "individual_wins": total_if(ALONE, "won_flag"),
+    "team_wins": total_if(GROUP_FORMAT, "won_flag"),
     "pre_merge_wins": total_if(PRE, "won_flag"), "post_merge_wins": total_if(POST, "won_flag"),
     "reward_selections": total("CAST(chosen_for_reward AS INT)"), "challenge_sitouts": total("CAST(sit_out AS INT)"),
-    "individual_win_rate": over(total_if(ALONE, "won_flag"), total_if(ALONE)), "team_win_rate": over(total_if(GROUP_FORMAT, "won_flag"), total_if(GROUP_FORMAT)),
+    "individual_win_rate": over(total_if(ALONE, "won_flag"), total_if(ALONE)),
+    "team_win_rate": over(total_if(GROUP_FORMAT, "won_flag"), total_if(GROUP_FORMAT)),
     **{f"{s}_wins": total(f"{s}_win") for s in SKILLS},
     **{f"{s}_participation_rate": over(total(f"{s}_participated"), "count(*)") for s in ("balance", "endurance", "puzzle", "strength")},
 }
@@ -297,7 +332,8 @@ VOTE_STATS = {
     "pre_merge_correct_votes": total_if(PRE, "vote_correct"), "post_merge_correct_votes": total_if(POST, "vote_correct"),
     "majority_alliance_votes": total("in_majority_alliance"), "lone_wolf_votes": total("voting_alone"), "avg_vote_alignment": "avg(alignment_ratio)",
     "vote_accuracy_rate": over(total("vote_correct"), "count(*)"),
-    "pre_merge_accuracy_rate": over(total_if(PRE, "vote_correct"), total_if(PRE)), "post_merge_accuracy_rate": over(total_if(POST, "vote_correct"), total_if(POST)),
+    "pre_merge_accuracy_rate": over(total_if(PRE, "vote_correct"), total_if(PRE)),
+    "post_merge_accuracy_rate": over(total_if(POST, "vote_correct"), total_if(POST)),
     "majority_alliance_rate": over(total("in_majority_alliance"), "count(*)"), "lone_wolf_rate": over(total("voting_alone"), "count(*)"),
 }
 VOTES_RECEIVED_STATS = {"total_votes_received": "count(*)", "pre_merge_votes_received": total_if(PRE), "post_merge_votes_received": total_if(POST)}
@@ -307,19 +343,36 @@ SOCIAL_STATS = {
     **{f"{n}_minority_rate": over(total_if(f"{n}_status = '{n}_minority'"), "count(*)") for n in ("gender", "racial", "lgbt")},
     "original_tribe_minority_rate": over(total_if("original_tribe_status = 'minority'"), total_if(POST)),
 }
-JURY_STATS = {"jury_votes_received": "count(*)", "jury_votes_from_original_tribe": total("same_original_tribe"), "original_tribe_jury_support_rate": over(total("same_original_tribe"), "count(*)")}
-OF_PERSON, OF_TARGET, OF_FINALIST = same(*PERSON), {"castaway_id": "target_id", "version_season": "version_season"}, {"castaway_id": "finalist_id", "version_season": "version_season"}
+JURY_STATS = {
+    "jury_votes_received": "count(*)", "jury_votes_from_original_tribe": total("same_original_tribe"),
+    "original_tribe_jury_support_rate": over(total("same_original_tribe"), "count(*)")
+}
+OF_PERSON, OF_TARGET, OF_FINALIST = same(*PERSON), {"castaway_id": "target_id", "version_season": "version_season"}, {
+    "castaway_id": "finalist_id", "version_season": "version_season"
+}
 #: Silver table, keys and measures of each part.
 PARTS = [
     ("challenge_performance", OF_PERSON, CHALLENGE_STATS), ("advantage_strategy", OF_PERSON, ADVANTAGE_STATS), ("vote_dynamics", OF_PERSON, VOTE_STATS),
     ("vote_dynamics", OF_TARGET, VOTES_RECEIVED_STATS), ("social_positioning", OF_PERSON, SOCIAL_STATS), ("jury_analysis", OF_FINALIST, JURY_STATS),
 ]
-TARGETS = {"ml_features_key": key(*PERSON), **same(*PERSON), "target_winner": flag("winner"), "target_finalist": flag("finalist"), "target_jury": flag("jury"), "target_placement": "CAST(round(try_cast(place AS DOUBLE)) AS INT)"}
-OF_PROFILE = {**same("gender", "race", "ethnicity", "occupation", "personality_type"), "current_age": "age", **{f"is_{o}": f"CAST({o} AS INT)" for o in ORIGINS}}
+TARGETS = {
+    "ml_features_key": key(*PERSON), **same(*PERSON), "target_winner": flag("winner"), "target_finalist": flag("finalist"),
+    "target_jury": flag("jury"), "target_placement": "CAST(round(try_cast(place AS DOUBLE)) AS INT)"
+}
+OF_PROFILE = {
+    **same("gender", "race", "ethnicity", "occupation", "personality_type"), "current_age": "age",
+    **{f"is_{o}": f"CAST({o} AS INT)" for o in ORIGINS}
+}
 OF_SEASON = {
-    **same("season_number", "season_era"), "is_new_era_format": "CAST(is_new_era_format AS INT)", **same("season_recency_weight", "cast_size", "finalist_count", "jury_count"),
+    **same("season_number", "season_era"), "is_new_era_format": "CAST(is_new_era_format AS INT)",
+    **same("season_recency_weight", "cast_size", "finalist_count", "jury_count"),
     **{f"season_{n}_ratio": f"{n}_ratio" for n in ("male", "female", "bipoc", "returnee")}, "season_average_age": "average_age",
-    **{n: f"CAST({n} AS INT)" for n in ("has_edge_of_extinction", "has_redemption_island", "has_tribe_swap", "all_newbie_cast", "all_returnee_cast", "mixed_returnee_cast")},
+    **{
+        n: f"CAST({n} AS INT)" for n in (
+            "has_edge_of_extinction", "has_redemption_island", "has_tribe_swap", "all_newbie_cast", "all_returnee_cast",
+            "mixed_returnee_cast"
+        )
+    },
 }
 
 
@@ -334,8 +387,13 @@ def ml_features_non_edit(castaways: DataFrame, silver: dict[str, DataFrame]) ->
 
 
 EDIT_STATS = {
-    **{f"total_{n}": total(n) if n.endswith("confessional_count") else f"sum({n})" for n in ("confessional_count", "confessional_time", "expected_confessional_count", "expected_confessional_time")},
-    "episodes_with_confessionals": total("has_confessional"), "high_confessional_episodes": total("high_confessional_count"), "high_confessional_time_episodes": total("high_confessional_time"),
+    **{
+        f"total_{n}": total(n) if n.endswith("confessional_count") else f"sum({n})" for n in (
+            "confessional_count", "confessional_time", "expected_confessional_count", "expected_confessional_time"
+        )
+    },
+    "episodes_with_confessionals": total("has_confessional"), "high_confessional_episodes": total("high_confessional_count"),
+    "high_confessional_time_episodes": total("high_confessional_time"),
     **{f"{side}_edited_{c}_episodes": total(f"{side}_edited_{c}") for side in ("over", "under") for c in ("count", "time")},
     "total_episodes_appeared": "count(*)",
     **{f"overall_confessional_{c}_ratio": over(f"sum(confessional_{c})", f"sum(expected_confessional_{c})") for c in ("count", "time")},
@@ -362,7 +420,9 @@ def ml_features_hybrid(non_edit: DataFrame, edit: DataFrame) -> DataFrame:
     return flagged.fillna(dict.fromkeys(EDIT_STATS, 0)).select(*non_edit.columns, *EDIT_STATS, *EDIT_FLAGS)
 
 
-def castaway_features(castaways: DataFrame, castaway_details: DataFrame, version_season: str | None = None, episode: tuple[str, int] | None = None) -> DataFrame:
+def castaway_features(
+    castaways: DataFrame, castaway_details: DataFrame, version_season: str | None = None, episode: tuple[str, int] | None = None
+) -> DataFrame:
     """People with their details and ``returning_player``, of one season or of the episodes that a comparison (=, < or >) allows."""
     nth = F.row_number().over(Window.partitionBy("castaway_id").orderBy("version_season"))
     rows = castaways.select(*PERSON, "age", "state", "episode", (nth > 1).alias("returning_player"))

@@ -16,10 +16,15 @@ def snapshot_row(runs: DataFrame, **otherwise: str) -> DataFrame:
     latest = runs.orderBy(F.desc("run_started_at"), F.desc("run_id")).limit(1)
     notes = otherwise.get("notes", "feature snapshot")
     row = latest.select(F.col("run_id").cast("string").alias("ingest_run_id"), F.col("environment").cast("string").alias("environment"))
-    default = runs.sparkSession.range(1).select(F.lit(None).cast("string").alias("ingest_run_id"), F.lit(otherwise.get("environment")).cast("string").alias("environment"))
+    default = runs.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("ingest_run_id"), F.lit(otherwise.get("environment")).cast("string").alias("environment")
+    )
     there = latest.select(F.lit(1).alias("_there"))
     both = row.unionByName(default.join(there, F.lit(True), "left_anti"))
-    return both.select(surrogate_key(F.col("ingest_run_id"), F.col("environment")).alias("snapshot_id"), "ingest_run_id", "environment", F.lit(notes).alias("notes"))
+    return both.select(
+        surrogate_key(F.col("ingest_run_id"), F.col("environment")).alias("snapshot_id"), "ingest_run_id", "environment",
+        F.lit(notes).alias("notes")
+    )
 
 
 def write_snapshot(df: DataFrame, path: str, snapshot: DataFrame | str) -> None:

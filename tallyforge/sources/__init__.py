@@ -114,7 +114,12 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE {table}_before_{id}")
 
     def row_counts(self) -> DataFrame:
-        counts = [self.spark.table(f"{x}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(x).alias("layer"), F.lit(t).alias("table_name"), "n_rows") for x, t in self.list_tables()]
+        counts = [
+            self.spark.table(f"{x}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(x).alias("layer"), F.lit(t).alias("table_name"), "n_rows"
+            ) for x,
+            t in self.list_tables()
+        ]
         return reduce(DataFrame.unionByName, counts)
 
     def existing_keys(self, name: str, keys: list[str]) -> DataFrame:
@@ -137,7 +142,11 @@ class Warehouse:
                 self.spark.table(f"{x}.{t}").write.mode("overwrite").parquet(f"{path}/{x}/{t}")
                 rows = self.spark.read.parquet(f"{path}/{x}/{t}")
                 total = F.coalesce(F.sum(F.xxhash64(*rows.columns).cast("decimal(20,0)")), F.lit(0)).cast("string")
-                entries.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("checksum")).select(F.lit(x).alias("layer"), F.lit(t).alias("table_name"), F.lit(f"{path}/{x}/{t}").alias("path"), "n_rows", "checksum"))
+                entries.append(
+                    rows.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("checksum")).select(
+                        F.lit(x).alias("layer"), F.lit(t).alias("table_name"), F.lit(f"{path}/{x}/{t}").alias("path"), "n_rows", "checksum"
+                    )
+                )
         manifest = reduce(DataFrame.unionByName, entries)
         run = latest_run(self).select("run_id", "environment", "status") if ("bronze", "ingestion_runs") in self.list_tables() else None
         if run is None:
@@ -152,14 +161,20 @@ def open_run(warehouse: Warehouse, environment: str, at: str, *, layer: str = "b
     """Record a run as started in the layer's ingestion_runs; gives its id."""
     run_id = str(uuid.uuid4())
     schema = "run_id string, environment string, run_started_at timestamp, run_finished_at timestamp, status string, notes string"
-    row = warehouse.spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(environment).alias("environment"), F.to_timestamp(F.lit(at)).alias("run_started_at"), F.lit(None).cast("timestamp").alias("run_finished_at"), F.lit("running").alias("status"), F.lit(json.dumps(notes)).alias("notes"))
+    row = warehouse.spark.range(1).select(
+        F.lit(run_id).alias("run_id"), F.lit(environment).alias("environment"), F.to_timestamp(F.lit(at)).alias("run_started_at"),
+        F.lit(None).cast("timestamp").alias("run_finished_at"), F.lit("running").alias("status"), F.lit(json.dumps(notes)).alias("notes")
+    )
     warehouse.write(row.to(StructType.fromDDL(schema)), layer, "ingestion_runs", "append")
     return run_id
 
 
 def close_run(warehouse: Warehouse, run_id: str, status: str, at: str, *, layer: str = "bronze") -> None:
     run = warehouse.load(f"{layer}.ingestion_runs").where(F.col("run_id") == run_id)
-    warehouse.write(run.withColumn("status", F.lit(status)).withColumn("run_finished_at", F.to_timestamp(F.lit(at))), layer, "ingestion_runs", "upsert", ["run_id"])
+    warehouse.write(
+        run.withColumn("status", F.lit(status)).withColumn("run_finished_at", F.to_timestamp(F.lit(at))), layer, "ingestion_runs", "upsert",
+        ["run_id"]
+    )
 
 
 def latest_run(warehouse: Warehouse, layer: str = "bronze") -> DataFrame:

@@ -14,7 +14,8 @@ from ..sources import Warehouse
 
 
 def upsert_landed(
-    spark: SparkSession, path: str, schema: StructType, layer: str, name: str, keys: list[str], checkpoint: str, *, order: list[str], format: str = "json", repair: Callable[[DataFrame], DataFrame] = lambda df: df
+    spark: SparkSession, path: str, schema: StructType, layer: str, name: str, keys: list[str], checkpoint: str, *, order: list[str],
+    format: str = "json", repair: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> StreamingQuery:
     """Upsert each batch of files that landed under ``path``; ends when all there are have been taken.
 

@@ -13,6 +13,8 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 @pytest.fixture(scope="session")
 def spark():
     folder = tempfile.mkdtemp(prefix="spark-")
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", f"{folder}/warehouse").config("spark.driver.memory", "4g").getOrCreate()
+    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config(
+        "spark.sql.warehouse.dir", f"{folder}/warehouse"
+    ).config("spark.driver.memory", "4g").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session

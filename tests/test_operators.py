@@ -22,9 +22,14 @@ def test_lenient_casts(spark):
 
 
 def test_explode_holders_then_targets(spark):
-    df = spark.createDataFrame([(1, "a, b,,c", "Ann, Bob", "x, y", "X"), (2, None, None, None, None)], "i int, holder string, holder_name string, target string, target_name string")
+    df = spark.createDataFrame(
+        [(1, "a, b,,c", "Ann, Bob", "x, y", "X"), (2, None, None, None, None)],
+        "i int, holder string, holder_name string, target string, target_name string"
+    )
     held = O.explode_multi_value(df, "holder", "holder_name", flag="joint_play")
-    assert sorted((r.i, r.holder, r.holder_name, r.companions) for r in held.where("i = 1").collect()) == [(1, "a", "Ann", "b, c"), (1, "b", "Bob", "a, c"), (1, "c", "Bob", "a, b")]
+    assert sorted(
+        (r.i, r.holder, r.holder_name, r.companions) for r in held.where("i = 1").collect()
+    ) == [(1, "a", "Ann", "b, c"), (1, "b", "Bob", "a, c"), (1, "c", "Bob", "a, b")]
     both = O.explode_targets(held, "target", "target_name")
     assert both.count() == 7 and both.where("i = 2").first().holder is None
 
@@ -41,7 +46,10 @@ def test_names_resolve_in_turn(spark):
     people = spark.createDataFrame([(1, "Zoë Ray", "p1"), (1, "Max Orr", "p2"), (1, "Max Lee", "p3")], "block int, name string, id string")
     rows = spark.createDataFrame([(1, n) for n in ("Zoë Ray", "ZOE RAY", "Zoë", "Max", "Max Orrr", "Quentin", None)], "block int, name string")
     found = {r.name: (r.id, r.resolved_by) for r in O.resolve_ids(rows, people, ["block"], "name", "id").collect()}
-    assert found == {"Zoë Ray": ("p1", "exact"), "ZOE RAY": ("p1", "plain"), "Zoë": ("p1", "first"), "Max": (None, None), "Max Orrr": ("p2", "similar"), "Quentin": (None, None), None: (None, None)}
+    assert found == {
+        "Zoë Ray": ("p1", "exact"), "ZOE RAY": ("p1", "plain"), "Zoë": ("p1", "first"), "Max": (None, None), "Max Orrr": ("p2", "similar"),
+        "Quentin": (None, None), None: (None, None)
+    }
 
 
 def test_rules(spark):
@@ -69,7 +77,10 @@ def test_warehouse(spark, tmp_path):
     from tallyforge.sources import load_freshest, save_csv
 
     save_csv(w.load("silver.things"), f"file://{tmp_path}/csv")
-    listed = spark.createDataFrame([("things", "csv", f"file://{tmp_path}/csv", 2), ("things", "json", "nowhere", 1)], "dataset string, format string, path string, committed_at int")
+    listed = spark.createDataFrame(
+        [("things", "csv", f"file://{tmp_path}/csv", 2), ("things", "json", "nowhere", 1)],
+        "dataset string, format string, path string, committed_at int"
+    )
     assert sorted(map(tuple, load_freshest(spark, listed, "things").collect())) == [("1", "b"), ("2", "c")]
 
 
@@ -106,10 +117,15 @@ def test_checks_of_references(spark):
     """Nulls are no violations; where a reference allows them they are counted. Orphans and null references go only if there are parents."""
     from tallyforge import medallion as L
 
-    rows = spark.createDataFrame([("1", "a", "s"), ("2", None, "s"), ("3", "x", None), ("4", "x", "s"), ("4", "x", "s")], "id string, person string, season string")
+    rows = spark.createDataFrame(
+        [("1", "a", "s"), ("2", None, "s"), ("3", "x", None), ("4", "x", "s"), ("4", "x", "s")], "id string, person string, season string"
+    )
     people, nobody = spark.createDataFrame([("a",)], "person string"), spark.createDataFrame([], "person string")
     strict, lenient = L.Reference(("person",), "people", ("person",)), L.Reference(("person",), "people", ("person",), True)
-    data = L.Dataset("d", "id int, person string", references=(strict, lenient, L.Reference(("season",), "seasons", ("season",))), rules=("missing_count(person) = 0",))
+    data = L.Dataset(
+        "d", "id int, person string", references=(strict, lenient, L.Reference(("season",), "seasons", ("season",))),
+        rules=("missing_count(person) = 0",)
+    )
     for parents, found, n_null in ((people, 3, 1), (nobody, None, None)):
         checks = {(r.check, r.n_null): (r.found, r.passed, r.samples) for r in L.prepared(rows, data, {"people": parents})[1].collect()}
         ok = found is None
@@ -118,7 +134,9 @@ def test_checks_of_references(spark):
     repaired = L.Dataset("d", "id int, person string", ("id",), repairs=(L.drop_orphans(["id"], "person", "people", "person"),), references=(), rules=())
     kept, _, events = L.prepared(rows, repaired, {"people": people})
     assert [tuple(r) for r in kept.collect()] == [(1, "a")]
-    assert sorted((r.action, r.row_key, r.before) for r in events.collect() if r.action != "column dropped") == sorted([("orphan dropped", "2", None), *[("orphan dropped", k, "x") for k in "344"]])
+    assert sorted(
+        (r.action, r.row_key, r.before) for r in events.collect() if r.action != "column dropped"
+    ) == sorted([("orphan dropped", "2", None), *[("orphan dropped", k, "x") for k in "344"]])
     assert {r.id for r in L.prepared(rows, repaired, {"people": nobody})[0].collect()} == {1, 2, 3, 4}
 
 
@@ -131,11 +149,15 @@ def test_coercion_audit_and_schema_check(spark):
     wanted = None
     for parts in (1, 2, 3):
         kept, _, events = L.prepared(rows.repartition(parts, "more"), data, {})
-        found = sorted(map(tuple, kept.collect())), sorted((r.action, r.row_key, r.column_name, r.before, r.after, r.context) for r in events.collect() if r.row_key)
+        found = sorted(map(tuple, kept.collect())), sorted(
+            (r.action, r.row_key, r.column_name, r.before, r.after, r.context) for r in events.collect() if r.row_key
+        )
         wanted = wanted or found
         assert found == wanted and [r.before for r in events.where("action = 'column dropped' AND column_name = 'more'").collect()] == ["int"]
     assert wanted[0] == [(1, True, 3), (2, False, 5)]
-    assert ("value coerced", "1", "ok", " yes ", "true", "n=3.0") in wanted[1] and ("value coerced", "1", "n", "3.0", "3", "n=3.0") in wanted[1] and ("duplicate dropped", "2", None, None, None, None) in wanted[1]
+    assert (
+        "value coerced", "1", "ok", " yes ", "true", "n=3.0"
+    ) in wanted[1] and ("value coerced", "1", "n", "3.0", "3", "n=3.0") in wanted[1] and ("duplicate dropped", "2", None, None, None, None) in wanted[1]
     for schema, words in (("id int, gone int", "lacks gone"), ("id array<int>", "id is string instead of"), ("more date", "more is int instead of date")):
         try:
             L.prepared(rows, L.Dataset("d", schema), {})
@@ -150,10 +172,17 @@ def test_load_order_parents_and_refresh(spark):
 
     w = Warehouse(spark)
     held = L.Dataset("o41_items", "item_id string, kind string", ("item_id",), references=(), rules=())
-    uses = L.Dataset("o41_uses", "use_id int, item_id string, kind string", ("use_id",), parents=(L.Parents("o41_items", ("item_id",), "use_id", ("kind",)),), references=(L.Reference(("item_id",), "o41_items", ("item_id",)),), rules=())
+    uses = L.Dataset(
+        "o41_uses", "use_id int, item_id string, kind string", ("use_id",),
+        parents=(L.Parents("o41_items", ("item_id",), "use_id", ("kind",)),),
+        references=(L.Reference(("item_id",), "o41_items", ("item_id",)),), rules=()
+    )
     assert [d.name for d in L.load_order([uses, held])] == ["o41_items", "o41_uses"]
     L.load_bronze(w, spark.createDataFrame([("a", "x")], "item_id string, kind string"), held, "r1", "2024-01-01 00:00:00")
-    found = L.load_bronze(w, spark.createDataFrame([(1, "a", None), (3, "b", "late"), (2, "b", "early")], "use_id int, item_id string, kind string"), uses, "r1", "2024-01-01 00:00:00")
+    found = L.load_bronze(
+        w, spark.createDataFrame([(1, "a", None), (3, "b", "late"), (2, "b", "early")], "use_id int, item_id string, kind string"), uses,
+        "r1", "2024-01-01 00:00:00"
+    )
     assert found.count() == 3 and sorted((r.item_id, r.kind) for r in w.load("bronze.o41_items").collect()) == [("a", "x"), ("b", "early")]
     assert w.load("bronze.remediation_events").where("action = 'parent added' AND row_key = 'b'").count() == 1
     fewer = spark.createDataFrame([(9, "a", "z")], "use_id int, item_id string, kind string")
@@ -165,23 +194,37 @@ def test_streamed_upserts_are_the_same_each_time(spark, tmp_path):
     from tallyforge.streaming import upsert_landed
 
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.json").write_text('{"k": 1, "at": 2, "v": "late"}\n{"k": 1, "at": 1, "v": "z"}\n{"k": 1, "at": 1, "v": "b"}\n{"k": 2, "at": 1, "v": "c"}\n')
+    (tmp_path / "in" / "a.json").write_text(
+        '{"k": 1, "at": 2, "v": "late"}\n{"k": 1, "at": 1, "v": "z"}\n{"k": 1, "at": 1, "v": "b"}\n{"k": 2, "at": 1, "v": "c"}\n'
+    )
     schema = spark.createDataFrame([], "k int, at int, v string").schema
     for n in (1, 2):
-        upsert_landed(spark, f"file://{tmp_path}/in", schema, "silver", f"streamed{n}", ["k"], f"file://{tmp_path}/check{n}", order=["at"]).awaitTermination(120)
+        upsert_landed(
+            spark, f"file://{tmp_path}/in", schema, "silver", f"streamed{n}", ["k"], f"file://{tmp_path}/check{n}", order=["at"]
+        ).awaitTermination(120)
         assert sorted((r.k, r.v) for r in Warehouse(spark).load(f"silver.streamed{n}").collect()) == [(1, "b"), (2, "c")]
 
 
 def test_pairing_rounds_and_bounds(spark):
     """Ties go to the first, nulls are equal, rows beyond the bound and in new blocks have no partner, also null blocks; copies are looked at once."""
     columns = ["a", "b", "c"]
-    before = spark.createDataFrame([("x", 1, "p", None, 1), ("x", 2, "p", None, 1), ("x", 3, "q", "r", 2), (None, 1, "p", "p", 3)], "blk string, n int, a string, b string, c int")
-    after = spark.createDataFrame([("x", 1, "p", None, 1), ("x", 2, "q", None, 2), ("x", 3, "z", "z", 9), ("y", 1, "p", None, 1), (None, 1, "p", "q", 3)], "blk string, n int, a string, b string, c int")
+    before = spark.createDataFrame(
+        [("x", 1, "p", None, 1), ("x", 2, "p", None, 1), ("x", 3, "q", "r", 2), (None, 1, "p", "p", 3)],
+        "blk string, n int, a string, b string, c int"
+    )
+    after = spark.createDataFrame(
+        [("x", 1, "p", None, 1), ("x", 2, "q", None, 2), ("x", 3, "z", "z", 9), ("y", 1, "p", None, 1), (None, 1, "p", "q", 3)],
+        "blk string, n int, a string, b string, c int"
+    )
     every = {(r.blk, r.after_n): (r.before_n, r.n_changed, r.changed) for r in O.pair_rows(before, after, ["blk"], columns, "n").collect()}
     assert every == {("x", 1): (1, 0, []), ("x", 2): (3, 1, ["b"]), ("x", 3): (1, 3, columns), ("y", 1): (None, None, None), (None, 1): (1, 1, ["b"])}
     near = {(r.blk, r.after_n): r.before_n for r in O.pair_rows(before, after, ["blk"], columns, "n", max_changed=1).collect()}
     assert near == {("x", 1): 1, ("x", 2): 3, ("x", 3): None, ("y", 1): None, (None, 1): 1}
-    states = sorted((r.state, r.column_name, r.before, r.after) for r in O.row_changes(before, after, ["blk"], columns, "n", max_changed=1).where("blk = 'x'").collect())
+    states = sorted(
+        (r.state, r.column_name, r.before, r.after) for r in O.row_changes(
+            before, after, ["blk"], columns, "n", max_changed=1
+        ).where("blk = 'x'").collect()
+    )
     assert [x for x in states if x[0] == "result"] == [("result", "b", "r", None)] and sum(x[0] == "added" for x in states) == 3 and sum(x[0] == "removed" for x in states) == 3
 
 
@@ -189,7 +232,9 @@ def test_pairing_of_a_large_block_is_linear(spark):
     """100,000 rows of one block, most changed in a cell: every row meets few others."""
     cells = F.expr("named_struct('id', id, 'k', cast(id % 50000 as string), 'v', cast(id * 7 % 100003 as string), 'w', cast(id % 3 as string))")
     before = spark.range(100_000).select(F.lit("one").alias("blk"), cells.alias("s")).select("blk", "s.*")
-    after = before.withColumn("v", F.when(F.col("id") % 4 == 0, "new").otherwise(F.col("v"))).withColumn("w", F.when(F.col("id") % 4 == 1, "x").otherwise(F.col("w")))
+    after = before.withColumn(
+        "v", F.when(F.col("id") % 4 == 0, "new").otherwise(F.col("v"))
+    ).withColumn("w", F.when(F.col("id") % 4 == 1, "x").otherwise(F.col("w")))
     found = O.pair_rows(before, after, ["blk"], ["k", "v", "w"], "id", max_changed=1)
     assert found.count() == 100_000 and found.where("before_id = after_id").count() > 99_000 and found.where("n_changed > 1").count() == 0
 
@@ -227,12 +272,16 @@ def test_events_are_told_once(spark, tmp_path):
 def test_snapshots_stand_side_by_side(spark, tmp_path):
     from tallyforge import snapshots as S
 
-    path, runs = f"file://{tmp_path}/features", spark.createDataFrame([("r1", "dev", 1), ("r2", "prod", 2)], "run_id string, environment string, run_started_at int")
+    path, runs = f"file://{tmp_path}/features", spark.createDataFrame(
+        [("r1", "dev", 1), ("r2", "prod", 2)], "run_id string, environment string, run_started_at int"
+    )
     one, none = S.snapshot_row(runs), S.snapshot_row(runs.where("false"), environment="local")
     assert one.first().ingest_run_id == "r2" and none.first().environment == "local" and none.first().ingest_run_id is None
     for df, id in ((spark.range(3), "s1"), (spark.range(5), one), (spark.range(4), one)):
         S.write_snapshot(df, path, id)
-    taken = spark.createDataFrame([("s1", "2024-01-01"), (one.first().snapshot_id, "2024-02-01")], "snapshot_id string, at string").select("snapshot_id", F.to_timestamp("at").alias("taken_at"))
+    taken = spark.createDataFrame(
+        [("s1", "2024-01-01"), (one.first().snapshot_id, "2024-02-01")], "snapshot_id string, at string"
+    ).select("snapshot_id", F.to_timestamp("at").alias("taken_at"))
     assert S.read_snapshot(spark, path, taken).count() == 4 and S.read_snapshot(spark, path, taken, at="2024-01-15").count() == 3
     assert S.read_snapshot(spark, path, taken, at="2023-01-15").count() == 0
 
@@ -274,15 +323,33 @@ def test_load_of_all_datasets(spark):
     landed = {
         "castaway_details": (people, "castaway_id string, full_name string, bipoc string"),
         "season_summary": ([("US37", "37", "2018-09-26")], "version_season string, season string, premiered string"),
-        "castaways": ([*[(f"p{i}", "US37", f"Ann{chr(97 + i) * 3}", str(i)) for i in range(6)], ("p9", "US37", "Nobody", "9")], "castaway_id string, version_season string, castaway string, `Order` string"),
-        "challenge_description": ([("US37", "25", "Immunity", "true"), ("US37", "7", "Reward", "no")], "version_season string, challenge_id string, challenge_type string, race string"),
+        "castaways": (
+            [*[(f"p{i}", "US37", f"Ann{chr(97 + i) * 3}", str(i)) for i in range(6)], ("p9", "US37", "Nobody", "9")],
+            "castaway_id string, version_season string, castaway string, `Order` string"
+        ),
+        "challenge_description": (
+            [("US37", "25", "Immunity", "true"), ("US37", "7", "Reward", "no")],
+            "version_season string, challenge_id string, challenge_type string, race string"
+        ),
         "challenge_summary": ([("US37", "8", "x"), ("US37", "8", "x"), ("US37", "25", "y")], "version_season string, challenge_id string, category string"),
         "challenge_results": (person("8", "1") + person("25", "2"), "castaway_id string, version_season string, challenge_id string, sog_id string"),
-        "vote_history": ([("p1", "US37", "3", "26", "p2", "p2"), ("none", "US37", "3", "99", None, "p2"), ("p3", "US37", "4", None, "p2", "p2")], "castaway_id string, version_season string, episode string, challenge_id string, vote_id string, voted_out_id string"),
-        "journeys": ([(None, "US37", "2", "1", "Annbbb"), ("p2", "US37", "2", "1", "Annccc")], "castaway_id string, version_season string, episode string, sog_id string, castaway string"),
-        "advantage_movement": ([("p1, p2", "US37", "5", "1", "p3, p77"), ("p4", "US37", "5", "2", None)], "castaway_id string, version_season string, advantage_id string, sequence_id string, played_for_id string"),
+        "vote_history": (
+            [("p1", "US37", "3", "26", "p2", "p2"), ("none", "US37", "3", "99", None, "p2"), ("p3", "US37", "4", None, "p2", "p2")],
+            "castaway_id string, version_season string, episode string, challenge_id string, vote_id string, voted_out_id string"
+        ),
+        "journeys": (
+            [(None, "US37", "2", "1", "Annbbb"), ("p2", "US37", "2", "1", "Annccc")],
+            "castaway_id string, version_season string, episode string, sog_id string, castaway string"
+        ),
+        "advantage_movement": (
+            [("p1, p2", "US37", "5", "1", "p3, p77"), ("p4", "US37", "5", "2", None)],
+            "castaway_id string, version_season string, advantage_id string, sequence_id string, played_for_id string"
+        ),
         "advantage_details": ([("5", "US37")], "advantage_id string, version_season string"),
-        "auction_details": ([("US37", "1", "pie", " p1 "), ("US37", "1", "pie", "nan")], "version_season string, auction_num string, item string, castaway_id string"),
+        "auction_details": (
+            [("US37", "1", "pie", " p1 "), ("US37", "1", "pie", "nan")],
+            "version_season string, auction_num string, item string, castaway_id string"
+        ),
         "boot_mapping": (person("1", "3"), "castaway_id string, version_season string, sog_id string, `order` string"),
         "boot_order": (person("1"), "castaway_id string, version_season string, `order` string"),
         "episodes": ([("US37", "1"), ("US37", "1"), ("US37", "2")], "version_season string, episode string"),
@@ -304,7 +371,11 @@ def test_load_of_all_datasets(spark):
     assert order.index("castaway_details") < order.index("castaways") < order.index("journeys") and order.index("challenge_summary") < order.index("challenge_results")
     assert L.run_pipeline(w, {n: (df, mark) for n, df in frames.items()}, configured, "2024-01-01 00:00:00", upto="bronze", strict=False) == "succeeded"
     count = lambda n: w.load(f"bronze.{n}").count()
-    wanted = {"castaway_details": 6, "castaways": 6, "challenge_description": 3, "challenge_summary": 3, "challenge_results": 12, "vote_history": 3, "journeys": 2, "advantage_movement": 5, "episodes": 2, "castaway_scores": 6, "auction_details": 2, "tribe_mapping": 6}
+    wanted = {
+        "castaway_details": 6, "castaways": 6, "challenge_description": 3, "challenge_summary": 3, "challenge_results": 12,
+        "vote_history": 3, "journeys": 2, "advantage_movement": 5, "episodes": 2, "castaway_scores": 6, "auction_details": 2,
+        "tribe_mapping": 6
+    }
     assert {n: count(n) for n in wanted} == wanted
     votes = {(r.castaway_id, r.challenge_id) for r in w.load("bronze.vote_history").collect()}
     assert votes == {("p1", 25), (None, None), ("p3", None)}
@@ -313,6 +384,8 @@ def test_load_of_all_datasets(spark):
     assert plays == {("p1", "p3", True, True), ("p1", None, True, True), ("p2", "p3", True, True), ("p2", None, True, True), ("p4", None, False, False)}
     kinds = dict(w.load("bronze.castaway_details").dtypes) | dict(w.load("bronze.season_summary").dtypes) | dict(w.load("bronze.challenge_description").dtypes)
     assert (kinds["bipoc"], kinds["premiered"], kinds["race"], kinds["challenge_id"]) == ("boolean", "date", "boolean", "int")
-    actions = {(r.dataset, r.action): r.n for r in w.load("bronze.remediation_events").where("action <> 'value coerced'").groupBy("dataset", "action").agg(F.count(F.lit(1)).alias("n")).collect()}
+    actions = {
+        (r.dataset, r.action): r.n for r in w.load("bronze.remediation_events").where("action <> 'value coerced'").groupBy("dataset", "action").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
     assert actions["castaways", "orphan dropped"] == 1 and actions["vote_history", "null kept"] == 1 and actions["vote_history", "reference fixed"] == 1 and actions["vote_history", "reference nulled"] == 1
     assert actions["journeys", "id filled in"] == 1 and actions["challenge_description", "parent added"] == 1 and actions["challenge_summary", "duplicate kept"] == 2 and actions["castaway_scores", "duplicate dropped"] == 6
