@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType, TimestampType
 
 from .. import functions as T
+from ..staging import staged
 
 
 def explode_multi_value(df: DataFrame, ids: str, names: str, *, flag: str = "joint", companions: str = "companions") -> DataFrame:
@@ -126,12 +129,51 @@ def unpivot_flags(df: DataFrame, ids: list[str], flags: list[str], name: str = "
     return df.select(*ids, *flags).unpivot(ids, flags, name, "_on").where("_on").drop("_on").distinct()
 
 
+#: Names of more letters skip the rounds of ``most_similar``; rounds it makes at most; parts that a block's remaining names are dealt to.
+SHORT_NAME, NAME_ROUNDS, NAME_PARTS = 40, 2, 32
+
+
+def most_similar(df: DataFrame, names: DataFrame, block: list[str], name: str, other: str, *, cutoff: float = 0.7) -> DataFrame:
+    """``df`` (distinct ``block`` and ``name``) with the row of ``names`` (distinct ``block`` and ``other``) that is most similar, from ``cutoff`` on; of equals the greatest name.
+
+    Two names whose letters don't match in d places (counted on both sides) become equal when i letters go from one and d - i from the other. Round d is thus an
+    equi-join of names with d letters gone together (and d - 1, as d is odd or even with the letters), and finds all pairs that near. What it hasn't found has a similarity of 2n / (2n + d + 1) at most, n
+    being the name's letters, so a name with a better match leaves. Only names like none in two rounds, or long ones, meet those of their block whose lengths and letters allow the similarity.
+    """
+    left = staged(df.select(*block, name).dropna(), "names")
+    names = staged(names.dropna(subset=[*block, other]), "known")
+    rest = [c for c in names.columns if c not in (*block, other)]
+    score = T.name_similarity(F.col(name), F.col(other)).alias("_score")
+    best = F.max(F.struct("_score", other, *rest)).alias("_best")
+    found = []
+    for d in range(NAME_ROUNDS + 1):
+        if left.isEmpty():
+            break
+        some = left.where(F.length(name) <= SHORT_NAME)
+        met = None
+        for i, j in ((i, e - i) for e in (d - 1, d) for i in range(e + 1)):
+            a = some.select(*block, name, F.explode(T.letters_gone(F.col(name), i)).alias("_key"))
+            b = names.where(F.length(other) <= SHORT_NAME + d).select(*block, other, *rest, F.explode(T.letters_gone(F.col(other), j)).alias("_key"))
+            pairs = a.join(b, [*block, "_key"]).drop("_key")
+            met = pairs if met is None else met.unionByName(pairs)
+        near = met.distinct().select("*", score).where(F.col("_score") >= cutoff).groupBy(*block, name).agg(best)
+        n = 2 * F.length(name)
+        found.append(staged(near.where(F.col("_best._score") > n / (n + d + 1)), "similar"))
+        left = staged(left.join(found[-1].select(*block, name), [*block, name], "left_anti"), "names")
+    a, b = F.length(name), F.length(other)
+    dealt = left.withColumn("_part", F.pmod(F.xxhash64(name), F.lit(NAME_PARTS)))
+    known = names.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(NAME_PARTS - 1).cast("long"))))
+    pairs = dealt.join(known, [*block, "_part"]).where(2 * F.least(a, b) >= cutoff * (a + b))
+    pairs = pairs.where(2 * T.letters_in_common(F.col(name), F.col(other)) >= cutoff * (a + b))
+    found.append(pairs.select(*block, name, other, *rest, score).where(F.col("_score") >= cutoff).groupBy(*block, name).agg(best))
+    return reduce(DataFrame.unionByName, found).select(*block, name, "_best.*")
+
+
 def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, id: str, *, cutoff: float = 0.7) -> DataFrame:
     """``df`` with ``id`` and ``resolved_by``, found by ``name`` among ``people`` (block, name, id) of the same block.
 
     In turn: the exact name, the name without accents, case and signs, a first word or its plain form that only one person has, and the
-    most similar name from ``cutoff`` on (of equals the greatest name). The last step alone pairs names: the distinct ones left over
-    with those of their block whose lengths and letters allow the similarity, which is twice the letters in common over all letters at most.
+    most similar name from ``cutoff`` on (of equals the greatest name, then the greatest id). ``most_similar`` finds that for the distinct names left over.
     """
     rows = df.withColumn("_own_plain", T.normalised_name(F.col(name)))
     known = people.select(*block, F.col(name).alias("_name"), F.col(id).alias("_id")).dropna(subset=["_name", "_id"]).distinct()
@@ -154,11 +196,8 @@ def resolve_ids(df: DataFrame, people: DataFrame, block: list[str], name: str, i
     by = F.coalesce(*(F.when(F.col(f"_{step}").isNotNull(), step) for step in steps))
     rows = rows.withColumn("_found", found).withColumn("_by", by)
     left = rows.where(F.col("_found").isNull() & F.col(name).isNotNull()).select(*block, name).distinct()
-    a, b = F.length(name), F.length("_name")
-    pairs = left.join(known.select(*block, "_name", "_id").distinct(), block).where(2 * F.least(a, b) >= cutoff * (a + b))
-    pairs = pairs.where(2 * T.letters_in_common(F.col(name), F.col("_name")) >= cutoff * (a + b))
-    close = pairs.withColumn("_score", T.name_similarity(F.col(name), F.col("_name"))).where(F.col("_score") >= cutoff)
-    close = close.groupBy(*block, name).agg(F.max(F.struct("_score", "_name", "_id")).getField("_id").alias("_similar"))
+    names = known.groupBy(*block, "_name").agg(F.max("_id").alias("_id"))
+    close = most_similar(left, names, block, name, "_name", cutoff=cutoff).select(*block, name, F.col("_id").alias("_similar"))
     out = rows.join(close, [*block, name], "left").withColumn("_close", F.when(F.col("_found").isNull(), F.col("_similar")))
     return out.select(
         *df.columns, F.coalesce("_found", "_close").alias(id),

@@ -52,6 +52,47 @@ def test_names_resolve_in_turn(spark):
     }
 
 
+def test_similar_names_meet_few_others(spark):
+    """The rounds find what comparing all names finds, ties, empty and long names among them; names with a near one never meet their block."""
+    import itertools
+    import random
+
+    from tallyforge import functions as T
+    from tallyforge.operators import repair
+
+    rng = random.Random(7)
+    name = lambda: "".join(rng.choice("abé#") for _ in range(rng.randrange(9)))
+    names = {(b, name(), b * 1000 + i) for b in (1, 2) for i in range(60)} | {(1, "q" * 45 + "r", 7), (1, None, 8)}
+    asked = {(b, name()) for b in (1, 2, 3) for _ in range(60)} | {(1, "q" * 46), (1, "q" * 44), (2, None)}
+    known = {}
+    for b, n, i in names:
+        known[b, n] = max(i, known.get((b, n), i))
+    score = lambda a, b: 2 * T.matching_letters(b, a) / (len(a) + len(b)) if a or b else 1.0
+    wanted = {}
+    for (b, n), ((c, m), i) in itertools.product(asked, known.items()):
+        if b == c and n is not None and m is not None and score(n, m) >= 0.7:
+            wanted[b, n] = max(wanted.get((b, n), (0.0, "", 0)), (score(n, m), m, i), key=lambda x: (x[0], x[1].encode(), x[2]))
+    left = spark.createDataFrame(sorted(asked, key=str), "block int, name string")
+    held = spark.createDataFrame([(b, n, i) for (b, n), i in known.items()], "block int, _name string, _id int")
+    found = O.most_similar(left, held, ["block"], "name", "_name")
+    assert {(r.block, r.name): (r._score, r._name, r._id) for r in found.collect()} == wanted
+    assert len(wanted) > 60
+    full = repair.T.letters_in_common
+    near = spark.createDataFrame([(1, f"xName#{i:05}") for i in range(0, 3000, 3)], "block int, name string")
+    people = spark.createDataFrame([(1, f"Name#{i:05}", i) for i in range(3000)], "block int, _name string, _id int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(a, b):
+        return F.udf(lambda x, y: seen.add(1) or 0, "int")(a, b)
+
+    repair.T.letters_in_common = counted
+    try:
+        got = O.most_similar(near, people, ["block"], "name", "_name").collect()
+    finally:
+        repair.T.letters_in_common = full
+    assert all(r.name == "x" + r._name for r in got) and len(got) == 1000 and seen.value == 0
+
+
 def test_rules(spark):
     df = spark.createDataFrame([(1, None), (1, "a")], "a int, b string")
     found = [tuple(r) for r in run_rules(df, ["missing_count(b) = 1", "duplicate_count(a) = 0", "missing_count(zz) = 0"]).collect()]
