@@ -35,10 +35,27 @@ def explode_targets(df: DataFrame, ids: str, names: str, *, companions: str = "c
     return out.withColumn(companions, T.join_cell(both)).drop("_had", "_more")
 
 
+def left_lookup(df: DataFrame, found: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """Left join of ``df`` with ``found`` where its ``columns`` equal ``keys``. Rows with a null in one match nothing: they are dealt to all tasks by their content, not to one."""
+    match = [F.col(c) == F.col(k) for c, k in zip(columns, keys)]
+    kinds, theirs = dict(df.dtypes), dict(found.dtypes)
+    if any(kinds[c] != theirs[k] for c, k in zip(columns, keys)):
+        return df.join(found, match, "left")  # values of unlike types are equal while their hashes differ
+    lacks = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
+    spread = F.when(lacks, content_hash(df)).otherwise(F.xxhash64(*columns))
+    a, b = df.withColumn("_spread", spread), found.withColumn("_at", F.xxhash64(*keys))
+    return a.join(b, [*match, F.col("_spread") == F.col("_at")], "left").drop("_spread", "_at")
+
+
+def content_hash(df: DataFrame) -> Column:
+    """A hash of a row's plain columns; nested ones are left out."""
+    return F.xxhash64(*(F.col(c) for c, kind in df.dtypes if "<" not in kind))
+
+
 def null_invalid(df: DataFrame, column: str, valid: DataFrame, valid_column: str) -> tuple[DataFrame, DataFrame]:
     """Nulls references that don't resolve; the rows that had one are the second result."""
     known = valid.select(F.col(valid_column).alias("_known")).dropna().distinct()
-    joined = df.join(known, df[column] == F.col("_known"), "left")
+    joined = left_lookup(df, known, [column], ["_known"])
     return joined.withColumn(
         column, F.when(F.col("_known").isNotNull(), F.col(column))
     ).drop("_known"), joined.where(F.col(column).isNotNull() & F.col("_known").isNull()).drop("_known")

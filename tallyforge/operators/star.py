@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import surrogate_key
-from .repair import upsert
+from .repair import left_lookup, upsert
 
 
 @dataclass(frozen=True)
@@ -16,6 +16,7 @@ class Dimension:
     """``key`` is a digest of the ``natural`` columns, so it is the same in every run and on every machine, without a counter.
 
     ``columns`` are further columns and the expressions they come from; ``text_key`` is an expression where the key is to be readable.
+    ``few``: its rows stay few however many facts there are (seasons, episodes), so facts don't travel to them.
     """
 
     name: str
@@ -23,6 +24,7 @@ class Dimension:
     natural: tuple[str, ...]
     columns: dict[str, str] = field(default_factory=dict)
     text_key: str | None = None
+    few: bool = False
 
     def key_of(self, *natural: Column) -> Column:
         return surrogate_key(*natural)
@@ -63,13 +65,18 @@ def with_late_members(held: DataFrame, facts: DataFrame, d: Dimension, columns:
 
 
 def fact_rows(source: DataFrame, lookups: list[Lookup], dimensions: dict[str, tuple[Dimension, DataFrame]], columns: dict[str, str]) -> DataFrame:
-    """The fact's rows: the keys of its lookups, then ``columns`` (name and expression). Only a dimension's two key columns are joined, so adaptive execution can broadcast the small ones."""
+    """The fact's rows: the keys of its lookups, then ``columns`` (name and expression). Only a dimension's key columns are joined. Dimensions of few
+    rows are broadcast, and first: shuffled, all facts of a season would meet in one task. Facts without a natural key are dealt to all tasks."""
     out = source
-    for n, lookup in enumerate(lookups):
+    for n, lookup in sorted(enumerate(lookups), key=lambda x: not dimensions[x[1].dimension][0].few):
         d, rows = dimensions[lookup.dimension]
         keys = rows.select(F.col(d.key).alias(f"_key{n}"), *(F.col(c).alias(f"_{n}_{c}") for c in d.natural))
-        match = [F.col(c) == F.col(f"_{n}_{k}") for c, k in zip(lookup.columns, d.natural)]
-        out = out.join(keys, match, "inner" if lookup.required else "left")
+        named = [f"_{n}_{c}" for c in d.natural]
+        match = [F.col(c) == F.col(k) for c, k in zip(lookup.columns, named)]
+        if d.few:
+            out = out.join(F.broadcast(keys), match, "inner" if lookup.required else "left")
+        else:
+            out = out.join(keys, match) if lookup.required else left_lookup(out, keys, list(lookup.columns), named)
     return out.select(*(F.col(f"_key{n}").alias(x.alias) for n, x in enumerate(lookups)), *(F.expr(e).alias(c) for c, e in columns.items()))
 
 

@@ -84,9 +84,9 @@ DIMENSIONS = {d.name: d for d in (
         ) | {f"is_{x}": x for x in ("african", "asian", "latin_american", "native_american", "bipoc", "lgbt")}
     ),
     O.Dimension("dim_season", "season_key", ("version_season",), same("version", "season_name") | {"season_number": "season"} | same("location", "country", "tribe_setup") | {"cast_size": "n_cast", "tribe_count": "n_tribes", "finalist_count": "n_finalists", "jury_count": "n_jury"}
-                | same("premiered", "ended", "filming_started", "filming_ended") | {"winner_castaway_id": "winner_id"} | same("viewers_reunion", "viewers_premiere", "viewers_finale", "viewers_mean", "rank")),
+                | same("premiered", "ended", "filming_started", "filming_ended") | {"winner_castaway_id": "winner_id"} | same("viewers_reunion", "viewers_premiere", "viewers_finale", "viewers_mean", "rank"), few=True),
     O.Dimension("dim_episode", "episode_key", ("version_season", "episode_in_season"), same("episode_title", "episode_date") | {"episode_description": "episode_summary"} | same("total_episode_count") | {
-        "previous_episode_key": f"CASE WHEN episode_in_season > 1 THEN {_EPISODE_KEY.format('episode_in_season - 1')} END", "next_episode_key": f"CASE WHEN episode_in_season < total_episode_count THEN {_EPISODE_KEY.format('episode_in_season + 1')} END"}, _EPISODE_KEY.format("episode_in_season")),
+        "previous_episode_key": f"CASE WHEN episode_in_season > 1 THEN {_EPISODE_KEY.format('episode_in_season - 1')} END", "next_episode_key": f"CASE WHEN episode_in_season < total_episode_count THEN {_EPISODE_KEY.format('episode_in_season + 1')} END"}, _EPISODE_KEY.format("episode_in_season"), few=True),
     O.Dimension("dim_challenge", "challenge_key", ("version_season", "challenge_id"), same("challenge_name", "recurring_name", "challenge_type", "short_description", "long_description", "location") | {"season_episode_key": _EPISODE_KEY.format("episode")}
                 | same("reward", "immunity", "reward_details", "immunity_details") | {"source_challenge_id": "challenge_id"}, "concat(version_season, '-', CAST(challenge_id AS STRING))"),
     O.Dimension("dim_advantage", "advantage_key", ("version_season", "advantage_id"), same("advantage_name", "advantage_type", "advantage_subtype") | {"first_appearance_episode_key": _EPISODE_KEY.format("first_ep"), "reentry_episode_key": _EPISODE_KEY.format("reentry_ep")}

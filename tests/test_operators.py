@@ -430,3 +430,55 @@ def test_load_of_all_datasets(spark):
     }
     assert actions["castaways", "orphan dropped"] == 1 and actions["vote_history", "null kept"] == 1 and actions["vote_history", "reference fixed"] == 1 and actions["vote_history", "reference nulled"] == 1
     assert actions["journeys", "id filled in"] == 1 and actions["challenge_description", "parent added"] == 1 and actions["challenge_summary", "duplicate kept"] == 2 and actions["castaway_scores", "duplicate dropped"] == 6
+
+
+def _most_in_a_partition(df):
+    """Rows of the fullest partition, joins and windows shuffled as planned."""
+    spark = df.sparkSession
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        whole = F.max(F.to_json(F.struct(*df.columns)))  # so that no column is pruned, nor a join that only it needs
+        return df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), whole.alias("row")).agg(F.max("n"), F.max("row")).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_without_a_key_are_dealt_to_all_tasks(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("who"))
+    people = spark.range(0, 4000, 8).select(F.col("id").cast("string").alias("known"), F.lit("x").alias("kind"))
+    met = O.left_lookup(rows, people, ["who"], ["known"])
+    assert met.columns == ["id", "who", "known", "kind"]
+    assert met.where("kind = 'x'").count() == 500 and met.count() == 4000 and met.where("known <> who").isEmpty()
+    assert O.left_lookup(rows, people.withColumn("known", F.col("known").cast("int")), ["who"], ["known"]).where("kind = 'x'").count() == 500
+    assert _most_in_a_partition(met) < 1000
+    assert _most_in_a_partition(O.null_invalid(rows, "who", people, "known")[0]) < 1000
+
+
+def test_loads_deal_rows_without_a_key_to_all_tasks(spark, monkeypatch):
+    from tallyforge import medallion as L
+
+    monkeypatch.setattr(L, "staged", lambda df, name: df)
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("who"))
+    people = spark.range(0, 4000, 4).select(F.col("id").cast("string").alias("who"))
+    data = L.Dataset("d", "id long, who string", ("who",), ("id",), ("who",), repairs=(L.null_references(["id"], "who", "people", "who"),))
+    found = L.marked(rows, data, {"people": people})
+    assert found.where("_gone").isEmpty() and found.count() == 4000
+    assert _most_in_a_partition(found) < 1000
+
+
+def test_facts_do_not_travel_to_dimensions_of_few_rows(spark):
+    few, many = O.Dimension("few", "few_key", ("season",), few=True), O.Dimension("many", "many_key", ("who",))
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id")).alias("who"), (F.col("id") % 3).alias("season"))
+    dimensions = {
+        "few": (few, O.dimension_rows(spark.range(2).withColumnRenamed("id", "season"), few)),
+        "many": (many, O.dimension_rows(spark.range(0, 4000, 8).withColumnRenamed("id", "who"), many))
+    }
+    lookups = [O.Lookup("many", ("who",), "who_key"), O.Lookup("few", ("season",), "season_key", True)]
+    found = O.fact_rows(facts, lookups, dimensions, {"id": "id"})
+    assert found.columns == ["who_key", "season_key", "id"]
+    assert found.count() == 2667 and found.where("who_key IS NOT NULL").count() == 333 and found.where("season_key IS NULL").isEmpty()
+    assert _most_in_a_partition(found) < 700
