@@ -125,7 +125,7 @@ def drop_orphans(keys: list[str], column: str, parent: str, parent_column: str)
             return df
         known = tables[parent].select(F.col(parent_column).alias("_known")).dropna().distinct()
         some = F.broadcast(known.agg((F.count(F.lit(1)) > 0).alias("_some")))  # one row
-        met = df.join(known, F.col(column) == F.col("_known"), "left").crossJoin(some)
+        met = O.left_lookup(df, known, [column], ["_known"]).crossJoin(some)
         return noted(met, F.col("_known").isNull() & F.col("_some"), note("orphan dropped", keys, column, F.col(column)), gone=True).drop("_known", "_some")
 
     return run
@@ -136,7 +136,7 @@ def null_references(keys: list[str], column: str, parent: str, parent_column: st
 
     def run(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
         known = tables[parent].select(F.col(parent_column).alias("_known")).dropna().distinct()
-        met = df.join(known, F.col(column) == F.col("_known"), "left")
+        met = O.left_lookup(df, known, [column], ["_known"])
         bad = F.col(column).isNotNull() & F.col("_known").isNull()
         return noted(met, bad, note("reference nulled", keys, column, F.col(column))).withColumn(column, F.when(~bad, F.col(column))).drop("_known")
 
@@ -191,8 +191,9 @@ def marked(landed: DataFrame, dataset: Dataset, tables: dict[str, DataFrame]) ->
         whole = F.to_json(F.struct(*(F.col(f.name) for f in schema)), {"ignoreNullFields": "false"})
         order = [F.col(c).asc_nulls_last() for c in dataset.order]
         df = df.withColumn("_exempt", F.col("_gone") | exempt)
-        df = df.withColumn("_nth", F.when(~F.col("_exempt"), F.row_number().over(Window.partitionBy(*keys, "_exempt").orderBy(*order, whole))))
-        df = noted(df, F.col("_nth") > 1, note("duplicate dropped", keys), gone=True).drop("_nth", "_exempt")
+        df = df.withColumn("_spread", F.when(F.col("_exempt"), O.content_hash(df)))  # exempt rows have no place among others, so they needn't meet
+        df = df.withColumn("_nth", F.when(~F.col("_exempt"), F.row_number().over(Window.partitionBy(*keys, "_exempt", "_spread").orderBy(*order, whole))))
+        df = noted(df, F.col("_nth") > 1, note("duplicate dropped", keys), gone=True).drop("_nth", "_exempt", "_spread")
     conformed = {f.name: O.lenient(F.col(f.name), f.dataType) for f in schema}
     changes = [
         F.when(
