@@ -280,6 +280,27 @@ def test_pairing_of_a_large_block_is_linear(spark):
     assert found.count() == 100_000 and found.where("before_id = after_id").count() > 99_000 and found.where("n_changed > 1").count() == 0
 
 
+def test_pairing_of_small_blocks_shuffles_each_side_once(spark, monkeypatch):
+    """Blocks of few rows are compared whole, with no round and no table but the list of large blocks; by rounds they give the same, also mixed and with null blocks."""
+    from tallyforge.operators import pairing
+
+    block = F.when(F.col("id") % 10 > 0, F.when(F.col("id") < 60, F.lit("big")).otherwise((F.col("id") % 7).cast("string")))
+    before = spark.range(120).select(block.alias("blk"), "id", (F.col("id") % 9).alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") % 5).alias("b"), (F.col("id") % 3).cast("string").alias("c"))
+    after = before.where("id % 8 <> 3").selectExpr("blk", "id + 1000 AS id", "CASE WHEN id % 3 = 0 THEN 99 ELSE a END AS a", "CASE WHEN id % 5 > 1 THEN b END AS b", "CASE WHEN id % 6 = 0 THEN 'x' ELSE c END AS c")
+    after = after.unionByName(spark.createDataFrame([("new", 1, 1, 1, "x"), (None, 2, 77, 77, "y")], after.schema))
+    names, write = [], pairing.staged
+    monkeypatch.setattr(pairing, "staged", lambda df, name: names.append(name) or write(df, name))
+    found = {}
+    for few in (64, 15, 0):
+        monkeypatch.setattr(pairing, "FEW", few, raising=False)
+        for most in (None, 1):
+            names.clear()
+            found[few, most] = sorted(map(repr, O.pair_rows(before, after, ["blk"], ["a", "b", "c"], "id", max_changed=most).collect()))
+            assert names == ["large"] if few == 64 else "paired" in names
+            found[few, most] += sorted(map(repr, O.row_changes(before, after, ["blk"], ["a", "b", "c"], "id", max_changed=most).collect()))
+    assert all(found[few, most] == found[64, most] for few in (15, 0) for most in (None, 1)) and found[64, None] != found[64, 1]
+
+
 def test_star_keys_are_stable(spark):
     """A second run with changed and late rows keeps every key; late members are filled in, and facts find them."""
     d = O.Dimension("dim", "key", ("id",), {"label": "name"})
