@@ -17,16 +17,22 @@ EDGE_SEASONS, REDEMPTION_SEASONS, NEW_ERA = (35, 36, 37, 38), (22, 23, 26), 41
 _n = F.count_if
 
 
-def challenge_parts(results: DataFrame, challenges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Wins in all and by format, rewards and sit-outs of each person and season; and their wins by type of challenge, as a map."""
+def challenge_parts(results: DataFrame, challenges: DataFrame) -> DataFrame:
+    """Wins in all and by format, rewards and sit-outs of each person and season, and their wins by type of challenge, as a map.
+
+    Results are counted by type once, and everything else is summed from these counts.
+    """
     met = results.join(challenges.select("challenge_key", "challenge_type"), "challenge_key")
-    won, kind = F.lower("result").like("r%"), F.col("challenge_type")
-    totals = met.groupBy(*PERSON).agg(
-        _n(won).alias("wins"), _n(won & kind.ilike("%#1%")).alias("individual_wins"), _n(won & (kind.ilike("%#2%") | kind.ilike("%#3%"))).alias("team_wins"),
-        _n(F.col("chosen_for_reward")).alias("chosen_for_reward"), _n(F.col("sit_out")).alias("sitouts"),
+    kind = F.col("kind")
+    by_type = met.groupBy(*PERSON, F.coalesce("challenge_type", F.lit("unknown")).alias("kind")).agg(
+        _n(F.lower("result").like("r%")).alias("wins"), _n(F.col("chosen_for_reward")).alias("chosen_for_reward"), _n(F.col("sit_out")).alias("sitouts")
+    )
+    wins_if = lambda of: F.sum(F.when(of, F.col("wins")).otherwise(0))
+    return by_type.groupBy(*PERSON).agg(
+        F.sum("wins").alias("wins"), wins_if(kind.ilike("%#1%")).alias("individual_wins"), wins_if(kind.ilike("%#2%") | kind.ilike("%#3%")).alias("team_wins"),
+        F.sum("chosen_for_reward").alias("chosen_for_reward"), F.sum("sitouts").alias("sitouts"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "wins")))).alias("wins_by_type"),  # a member for each type
     )
-    by_type = met.groupBy(*PERSON, F.coalesce(kind, F.lit("unknown")).alias("kind")).agg(_n(won).alias("wins"))
-    return totals, by_type.groupBy(*PERSON).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "wins")))).alias("wins_by_type"))  # a member for each type
 
 
 def vote_parts(votes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,7 +66,7 @@ def season_parts(seasons: DataFrame, people: DataFrame) -> DataFrame:
 def person_features(s: dict[str, DataFrame]) -> DataFrame:
     """A row for each person and season with all measures, 0 where a part has none."""
     people = s["bridge_castaway_season"]
-    totals, by_type = challenge_parts(s["fact_challenge_results"], s["dim_challenge"])
+    totals = challenge_parts(s["fact_challenge_results"], s["dim_challenge"])
     cast, received = vote_parts(s["fact_vote_history"].withColumn("tribe_status", F.col("vote_event")))
     edit = s["fact_confessionals"].groupBy(*PERSON).agg(
         F.sum("confessional_count").alias("confessional_count"), F.sum("confessional_time").alias("confessional_time")
@@ -76,7 +82,7 @@ def person_features(s: dict[str, DataFrame]) -> DataFrame:
         "confessional_count", "jury_votes"
     )
     out = O.feature_matrix(
-        base, [totals, by_type, cast, received, edit, jury], PERSON,
+        base, [totals, cast, received, edit, jury], PERSON,
         dict.fromkeys(counts, 0) | {"vote_alignment": 0.0, "confessional_time": 0.0}
     )
     out = out.withColumn("wins_by_type", F.coalesce("wins_by_type", F.create_map().cast("map<string,bigint>")))
@@ -190,14 +196,16 @@ def person_season_features(t):
 def person_payload_paths(t):
     """The payload of each person and season, read back along its paths."""
     rows = person_payload(person_features(star_tables(t, *_FACTS)))
-    path = lambda p, kind="bigint": F.get_json_object("payload", f"$.{p}").cast(kind)
-    types = F.from_json(F.get_json_object("payload", "$.challenge_stats.wins_by_type"), "map<string,bigint>")
+    kind = """demographics struct<full_name string>, challenge_stats struct<total_wins bigint, wins_by_type map<string, bigint>>,
+      vote_stats struct<tribals struct<pre_merge bigint>>, misc struct<season_weight double>, jury struct<jury_votes bigint>"""
+    rows = rows.select(*PERSON, "castaway_id", "version_season", F.from_json("payload", kind).alias("p"))  # a payload is read once for all paths
+    types = F.col("p.challenge_stats.wins_by_type")
     return rows.select(
-        *PERSON, "castaway_id", "version_season", path("demographics.full_name", "string").alias("full_name"),
-        path("challenge_stats.total_wins").alias("total_wins"), F.size(types).alias("n_types"),
+        *PERSON, "castaway_id", "version_season", F.col("p.demographics.full_name").alias("full_name"),
+        F.col("p.challenge_stats.total_wins").alias("total_wins"), F.size(types).alias("n_types"),
         F.aggregate(F.map_values(types), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("wins_of_types"),
-        path("vote_stats.tribals.pre_merge").alias("pre_merge"), F.round(path("misc.season_weight", "double"), 6).alias("season_weight"),
-        path("jury.jury_votes").alias("jury_votes"),
+        F.col("p.vote_stats.tribals.pre_merge").alias("pre_merge"), F.round("p.misc.season_weight", 6).alias("season_weight"),
+        F.col("p.jury.jury_votes").alias("jury_votes"),
     )
 
 
@@ -217,10 +225,12 @@ def episode_payload_paths(t):
         "confessionals": "confessionals", "wins": "challenges.wins", "sitouts": "challenges.sitouts", "votes_cast": "votes.cast",
         "votes_correct": "votes.correct"
     }
-    read = lambda p: F.get_json_object("payload", f"$.{p}").cast("bigint")
+    both = "struct<count bigint, cumulative bigint>"
+    kind = f"confessionals {both}, challenges struct<wins {both}, sitouts {both}>, votes struct<cast {both}, correct {both}>"
+    rows = rows.select(*PERSON, "episode_key", F.from_json("payload", kind).alias("p"))
     return rows.select(
         *PERSON, "episode_key",
-        *(x for m, p in paths.items() for x in (read(f"{p}.count").alias(m), read(f"{p}.cumulative").alias(f"{m}_cumulative")))
+        *(x for m, p in paths.items() for x in (F.col(f"p.{p}.count").alias(m), F.col(f"p.{p}.cumulative").alias(f"{m}_cumulative")))
     )
 
 

@@ -301,6 +301,22 @@ def test_pairing_of_small_blocks_shuffles_each_side_once(spark, monkeypatch):
     assert all(found[few, most] == found[64, most] for few in (15, 0) for most in (None, 1)) and found[64, None] != found[64, 1]
 
 
+def test_results_are_counted_by_type_once(spark):
+    """Totals are sums of the counts by type: one pass over the results, and a payload is parsed once for all its paths."""
+    from tallyforge.plans import QUERIES, legacy
+
+    results = spark.createDataFrame(
+        [("a", "s", "k1", "R", True, False), ("a", "s", "k2", "r", True, True), ("a", "s", "k3", "A", False, None), ("a", "s", "k4", "R", None, True), ("b", "s", "k4", "N", False, False), ("b", "s", None, "R", True, True)],
+        "castaway_key string, season_key string, challenge_key string, result string, chosen_for_reward boolean, sit_out boolean"
+    )
+    challenges = spark.createDataFrame([("k1", "B#12"), ("k2", "B#23"), ("k3", "B#23"), ("k4", None)], "challenge_key string, challenge_type string")
+    found = {r.castaway_key: r[2:] for r in legacy.challenge_parts(results, challenges).collect()}
+    assert found == {"a": (3, 1, 1, 2, 2, {"B#12": 1, "B#23": 1, "unknown": 1}), "b": (0, 0, 0, 0, 0, {"unknown": 0})}
+    for name in ("person_payload_paths", "episode_payload_paths"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and "get_json_object" not in plan
+
+
 def test_star_keys_are_stable(spark):
     """A second run with changed and late rows keeps every key; late members are filled in, and facts find them."""
     d = O.Dimension("dim", "key", ("id",), {"label": "name"})
