@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as T
 from .. import operators as O
+from ..staging import staged
 from .registry import query
 
 
@@ -215,7 +216,7 @@ def train_baseline(t):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = _matrix(t).withColumn("label", T.flag(F.col("return_share") > 0.3).cast("double"))
+    rows = staged(_matrix(t), "matrix").withColumn("label", T.flag(F.col("return_share") > 0.3).cast("double"))  # the split, the fit and the test read it
     rows = VectorAssembler(inputCols=["c_acctbal", "n_orders", "n_final", "order_value", "n_lines", "quantity"], outputCol="features").transform(rows)
     train, test = rows.randomSplit([0.8, 0.2], 42)
     return RandomForestClassifier(numTrees=20, seed=42).fit(train).transform(test).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))

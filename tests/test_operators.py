@@ -317,6 +317,15 @@ def test_results_are_counted_by_type_once(spark):
         assert plan.count("from_json(") == 1 and "get_json_object" not in plan
 
 
+def test_baseline_reads_a_written_matrix(spark):
+    """The split, the fit and the held-out rows read one table; none of them makes the matrix again."""
+    from tallyforge.plans import QUERIES
+
+    df = QUERIES["train_baseline"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "return_share" in plan and "l_returnflag" not in plan and 0 < sum(r.n for r in df.collect()) < spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+
+
 def test_star_keys_are_stable(spark):
     """A second run with changed and late rows keeps every key; late members are filled in, and facts find them."""
     d = O.Dimension("dim", "key", ("id",), {"label": "name"})
