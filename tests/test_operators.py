@@ -326,6 +326,16 @@ def test_baseline_reads_a_written_matrix(spark):
     assert "return_share" in plan and "l_returnflag" not in plan and 0 < sum(r.n for r in df.collect()) < spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
 
 
+def test_profiles_join_the_matrix_last(spark):
+    """A person with several profiles has a row for each: no join, sort or shuffle comes after that."""
+    from tallyforge.plans import QUERIES
+
+    for name in ("model_ml_features_non_edit", "model_ml_features_hybrid"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        last = next(line for line in plan.splitlines() if "Join " in line)
+        assert "LeftOuter" in last and "castaway_id" in last and "version_season" not in last
+
+
 def test_star_keys_are_stable(spark):
     """A second run with changed and late rows keeps every key; late members are filled in, and facts find them."""
     d = O.Dimension("dim", "key", ("id",), {"label": "name"})
